@@ -103,10 +103,18 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
 
 
+def round_half_up(c: str | Column, digits: int = 4) -> Column:
+    """Round a double half away from zero at ``digits`` decimals, returning a
+    double. The value is first snapped to 8 decimals as a DECIMAL, so two
+    engines whose sums differ in the last bits still agree on exact halves
+    (an average of 2-decimal prices over 8 rows ends in 5 at the 5th decimal)."""
+    return F.round(_col(c).cast("decimal(38,8)"), digits).cast("double")
+
+
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every double column (for stable comparisons and exports)."""
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            out[f.name] = F.round(F.col(f.name), digits)
+            out[f.name] = round_half_up(F.col(f.name), digits)
     return df.withColumns(out) if out else df

@@ -38,11 +38,12 @@ def forward_fill(
     by: Sequence[str],
     order: Sequence[str],
     strategy: str = "bucketed",
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Fill ``cols`` in place. ``bucket`` must be monotone in ``order`` and
     constant across ties of ``order``; it defaults to the first order column
-    (for a date key pass e.g. ``F.trunc('d', 'month')``)."""
+    (for a date key pass e.g. ``F.trunc('d', 'month')``, or the name of an
+    existing coarser column such as ``'year'``)."""
     cols, by, order = list(cols), list(by), list(order)
     if strategy == "window":
         w = Window.partitionBy(*by).orderBy(*order)
@@ -50,9 +51,13 @@ def forward_fill(
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    b = "__ff_bucket"
-    bucket = F.col(order[0]) if bucket is None else bucket
-    base = df.withColumn(b, bucket)
+    if isinstance(bucket, str):
+        # an existing column: windows and joins keyed on it can reuse a
+        # partitioning by (group, bucket) that earlier steps already made
+        b, base = bucket, df
+    else:
+        b = "__ff_bucket"
+        base = df.withColumn(b, F.col(order[0]) if bucket is None else bucket)
 
     # 1) fill inside each (group, bucket); these windows run in parallel
     w_in = Window.partitionBy(*by, b).orderBy(*order)
@@ -75,4 +80,4 @@ def forward_fill(
     #    join into a broadcast when its measured size allows
     out = inner.join(seeds, on=[*by, b], how="left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__seed_{c}")) for c in cols})
-    return out.drop(b, *[f"__seed_{c}" for c in cols])
+    return out.select(*df.columns)

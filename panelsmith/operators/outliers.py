@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelsmith.functions.columns import round_half_up
+
 from panelsmith.operators.quantiles import quantiles
 
 OUTLIER_COLUMNS = ["outlier_column", "outlier_value", "q1", "q3", "iqr"]
@@ -102,5 +104,5 @@ def outlier_summary(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("outlier_column").agg(
         F.count_if("is_outlier").cast("bigint").alias("n_outliers"),
         F.count("*").cast("bigint").alias("n_rows"),
-        F.round(F.try_divide(F.count_if("is_outlier") * F.lit(100.0), F.count("*")), 4).alias("pct_outliers"),
+        round_half_up(F.try_divide(F.count_if("is_outlier") * F.lit(100.0), F.count("*")), 4).alias("pct_outliers"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.functions.columns import zero_fill
+from panelsmith.functions.columns import round_half_up, zero_fill
 from panelsmith.operators import outliers as O
 from panelsmith.operators import quality as Q
 from panelsmith.operators.fill import forward_fill
@@ -20,7 +20,7 @@ def _events_daily(t: Tables):
 
 
 def _round_outliers(df):
-    return df.withColumns({c: F.round(c, R4) for c in ["outlier_value", "q1", "q3", "iqr"]})
+    return df.withColumns({c: round_half_up(c, R4) for c in ["outlier_value", "q1", "q3", "iqr"]})
 
 
 EVENT_Q_SQL = """
@@ -221,7 +221,7 @@ WHERE nation IS NULL OR day IS NULL OR year IS NULL OR month IS NULL OR price IS
 """,
 )
 def any_null_rows(spark, sf_dir):
-    return Q.rows_with_nulls(masked_spine(Tables(spark, sf_dir))).withColumn("price", F.round("price", R4))
+    return Q.rows_with_nulls(masked_spine(Tables(spark, sf_dir))).withColumn("price", round_half_up("price", R4))
 
 
 @query(

@@ -18,6 +18,36 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _decimal_rounding(sql: str) -> str:
+    """Rewrite every ``round(expr, d)`` of an oracle SQL text into the
+    snapped half-up form used on the Spark side (``round_half_up``)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i : j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner = _decimal_rounding(sql[j + 6 : comma])
+        digits = sql[comma + 1 : k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST({inner} AS DECIMAL(38,8)), {digits}) AS DOUBLE)")
+        i = k
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
 
@@ -26,7 +56,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = _decimal_rounding(sql.strip())
         return fn
 
     return deco
