@@ -69,8 +69,7 @@ def f_sf(f: float, d1: float, d2: float) -> float:
     return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
-@F.pandas_udf("double")
-def f_pvalue(f: pd.Series, dof: pd.Series) -> pd.Series:
+def _f_pvalue(f: pd.Series, dof: pd.Series) -> pd.Series:
     """p-value of an F(1, dof) statistic; runs on the small (group, feature) table."""
     vals = [
         None if (pd.isna(a) or pd.isna(b)) else f_sf(float(a), 1.0, float(b))
@@ -79,6 +78,11 @@ def f_pvalue(f: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(vals, dtype="float64")
 
 
+def f_pvalue(f, dof):
+    """Column of F(1, dof) p-values (Arrow-batched pandas UDF)."""
+    return F.pandas_udf(_f_pvalue, "double")(f, dof)
+
+
 def f_regression(df: DataFrame, target: str, features: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Per (group, feature): n, Pearson r with the target, F = r^2/(1-r^2)*(n-2).
 

@@ -1 +1,171 @@
-"""Registered queries."""
+"""Registered queries: feature scoring, metrics, per-group forests, write-back.
+
+On the test tables the groups are the three return flags of lineitem, the
+target is the net price ``l_extendedprice * (1 - l_discount)`` and the
+candidate features are the raw line columns plus one constant column (which
+the F-test must reject without failing).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelsmith.functions.columns import round_doubles
+from panelsmith.functions.hashing import masked, md5_bucket, split_label
+from panelsmith.operators import impute as IM
+from panelsmith.operators import stats as S
+from panelsmith.plans.inputs import R4, md5_sql
+from panelsmith.plans.registry import query
+from panelsmith.session import Tables
+
+FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "const_one"]
+TARGET = "net"
+
+# A small search space for registered runs; REFERENCE_GRID is the full one.
+SMALL_GRID = {"numTrees": [20], "maxDepth": [4, 6], "featureSubsetStrategy": ["sqrt"]}
+
+
+def _lines(t: Tables):
+    li = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+        "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+    )
+    return li.withColumns(
+        {"const_one": F.lit(1.0), TARGET: F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))}
+    )
+
+
+_F_SQL = (
+    "WITH li AS (SELECT *, 1.0 AS const_one, l_extendedprice * (1.0 - l_discount) AS net FROM lineitem), s AS ("
+    + " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{c}' AS feature, count({c}) AS n,
+       CASE WHEN stddev_pop({c}) * stddev_pop(net) = 0 THEN NULL
+            ELSE covar_pop({c}, net) / (stddev_pop({c}) * stddev_pop(net)) END AS r
+FROM li GROUP BY l_returnflag"""
+        for c in FEATURES
+    )
+    + ")"
+)
+
+
+@query(
+    "f_regression",
+    _F_SQL
+    + """
+SELECT l_returnflag, feature, n, round(r, 4) AS r,
+       round(CASE WHEN r * r = 1 THEN NULL ELSE r * r / (1 - r * r) END * (n - 2), 4) AS f_stat
+FROM s
+""",
+)
+def f_regression(spark, sf_dir):
+    """Pearson r and F statistic of every feature with the target, per group;
+    a constant feature gets NULL r / F."""
+    scores = S.f_regression(_lines(Tables(spark, sf_dir)), TARGET, FEATURES, ["l_returnflag"])
+    return round_doubles(scores.select("l_returnflag", "feature", "n", "r", "f_stat"), R4)
+
+
+@query("feature_select")
+def feature_select(spark, sf_dir):
+    """Features with p < 0.05 per group, with p-values (F(1, n-2) survival)
+    computed on the small (group, feature) table."""
+    scores = S.f_regression(_lines(Tables(spark, sf_dir)), TARGET, FEATURES, ["l_returnflag"])
+    return S.select_features(scores, 0.05).select("l_returnflag", "feature", "n", "r", "f_stat", "p_value")
+
+
+def _split_key():
+    return [F.col("l_orderkey"), F.col("l_linenumber")]
+
+
+@query(
+    "regression_metrics",
+    f"""
+WITH li AS (
+  SELECT l_returnflag, l_extendedprice * (1.0 - l_discount) AS net, l_extendedprice * 0.95 AS pred,
+         CASE WHEN {md5_sql("CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)", 100)} < 80
+              THEN 'train' ELSE 'test' END AS split
+  FROM lineitem)
+SELECT l_returnflag, split, count(*) AS n,
+       round(sqrt(sum((net - pred) * (net - pred)) / count(*)), 4) AS rmse,
+       round(1 - sum((net - pred) * (net - pred)) / (count(*) * var_pop(net)), 4) AS r2
+FROM li GROUP BY l_returnflag, split
+""",
+)
+def regression_metrics(spark, sf_dir):
+    """RMSE and R2 per (group, split) for a predictor SQL can state."""
+    li = _lines(Tables(spark, sf_dir)).withColumns(
+        {"pred": F.col("l_extendedprice") * F.lit(0.95), "split": split_label(_split_key())}
+    )
+    return round_doubles(S.regression_metrics(li, TARGET, "pred", ["l_returnflag", "split"]), R4)
+
+
+# ------------------------------------------------------------ forests (R checks)
+
+FOREST_FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+
+
+def _forest_input(spark, sf_dir):
+    """Every line, target masked on one md5 bucket in ten (the rows to impute);
+    split and folds from the line key."""
+    li = _lines(Tables(spark, sf_dir))
+    key = _split_key()
+    li = li.withColumn(TARGET, masked(TARGET, key, 10, 0))
+    return IM.prepare(li, TARGET, ["l_orderkey", "l_linenumber"], train_pct=80, folds=2)
+
+
+def _fit(spark, sf_dir):
+    df = _forest_input(spark, sf_dir)
+    return df, IM.fit_group_forests(
+        df, "l_returnflag", FOREST_FEATURES, TARGET, grid=SMALL_GRID, folds=2, seed=2026, parallelism=2, group_threads=3
+    )
+
+
+@query("rf_cv")
+def rf_cv(spark, sf_dir):
+    """Cross-validated grid scores per group (MSE, smaller is better) with the
+    chosen parameters flagged, plus train/test RMSE and R2 of the best model."""
+    df, fitted = _fit(spark, sf_dir)
+    scores = IM.cv_scores(spark, fitted)
+    ev = IM.evaluation(df, fitted)
+    best = scores.where("is_best").drop("is_best")
+    return best.join(ev, "l_returnflag").select(
+        "l_returnflag", "num_trees", "max_depth", "feature_subset", "cv_mse", "split", "n", "rmse", "r2"
+    )
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    _, fitted = _fit(spark, sf_dir)
+    return IM.feature_importances(spark, fitted)
+
+
+@query("impute_forest")
+def impute_forest(spark, sf_dir):
+    """Predictions of each group's forest for its masked-target rows."""
+    df, fitted = _fit(spark, sf_dir)
+    return IM.predict(df, fitted, keep=["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+@query(
+    "impute_writeback",
+    f"""
+WITH o AS (
+  SELECT o_orderkey, o_orderpriority,
+         CASE WHEN {md5_sql('o_orderkey', 10)} <> 0 THEN o_totalprice END AS price
+  FROM orders),
+m AS (SELECT o_orderpriority, avg(price) AS prediction FROM o GROUP BY o_orderpriority),
+p AS (SELECT o.o_orderkey, m.prediction FROM o JOIN m USING (o_orderpriority) WHERE o.price IS NULL)
+SELECT o.o_orderkey, o.o_orderpriority, round(coalesce(o.price, p.prediction), 4) AS price,
+       (o.price IS NULL AND p.prediction IS NOT NULL) AS is_imputed
+FROM o LEFT JOIN p ON o.o_orderkey = p.o_orderkey
+""",
+)
+def impute_writeback(spark, sf_dir):
+    """Masked order prices take a group-mean prediction through a keyed left
+    join; observed prices are untouched and the row count is kept."""
+    o = Tables(spark, sf_dir).orders.select(
+        "o_orderkey", "o_orderpriority", F.when(md5_bucket("o_orderkey", 10) != 0, F.col("o_totalprice")).alias("price")
+    )
+    means = o.groupBy("o_orderpriority").agg(F.avg("price").alias("prediction"))
+    preds = o.where(F.col("price").isNull()).join(means, "o_orderpriority").select("o_orderkey", "prediction")
+    out = IM.write_back(o, preds, ["o_orderkey"], "price")
+    return round_doubles(out.select("o_orderkey", "o_orderpriority", "price", "is_imputed"), R4)
