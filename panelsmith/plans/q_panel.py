@@ -15,7 +15,9 @@ from panelsmith.plans.panel import index_override
 from panelsmith.plans.registry import query
 from panelsmith.session import Tables
 
-MONTH_BUCKET = F.trunc("day", "month")
+
+def _month_bucket():
+    return F.trunc("day", "month")
 
 
 @query(
@@ -30,7 +32,7 @@ FROM spine
 )
 def ffill_daily(spark, sf_dir):
     s = I.spine(Tables(spark, sf_dir)).withColumn("price_obs", F.col("price"))
-    f = forward_fill(s, ["price"], ["nation"], ["day"], bucket=MONTH_BUCKET)
+    f = forward_fill(s, ["price"], ["nation"], ["day"], bucket=_month_bucket())
     return round_doubles(f.select("nation", "day", "price_obs", "price"), I.R4)
 
 
