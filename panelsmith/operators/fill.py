@@ -14,10 +14,11 @@ Two physical strategies give the same result:
 ``bucketed`` (default)
     The ORDER BY range is cut into buckets (a coarsening of the key, such as the
     month of a date) and the fill runs per (group, bucket) in parallel. Each
-    bucket's last non-null value is found by a partial aggregation (map-side
-    combine), carried across buckets with a window over that small summary, and
-    joined back. Peers of the ORDER BY key must fall into one bucket, which any
-    coarsening of the key guarantees.
+    bucket's last non-null value is aggregated from the filled rows, carried
+    across buckets with a window over that small summary (groups x buckets
+    rows), and joined back. Peers of the ORDER BY key must fall into one bucket, which any
+    coarsening of the key guarantees. The rows are shuffled once (by group and
+    bucket); the summary and the seeds are one row per (group, bucket).
 """
 
 from __future__ import annotations
@@ -63,12 +64,12 @@ def forward_fill(
     w_in = Window.partitionBy(*by, b).orderBy(*order)
     inner = base.withColumns({c: F.last(c, ignorenulls=True).over(w_in) for c in cols})
 
-    # 2) last non-null value of each bucket: partial aggregate, one row per
-    #    (group, bucket) and map task leaves each mapper
+    # 2) each bucket's last value, read off the filled rows: the filled value
+    #    at the bucket's greatest key is its last non-null value, and peers of
+    #    that key share it. ``inner`` is already hash-partitioned by
+    #    (group, bucket), so this aggregate adds no shuffle of the rows.
     okey = F.struct(*_cols(order))
-    summary = base.groupBy(*by, b).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in cols]
-    )
+    summary = inner.groupBy(*by, b).agg(*[F.max_by(F.col(c), okey).alias(c) for c in cols])
 
     # 3) carry across buckets on the small summary (groups x buckets rows)
     w_carry = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
