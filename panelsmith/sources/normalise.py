@@ -98,7 +98,7 @@ def event_counts(spark: SparkSession, path: str, start_year: int = 2006) -> Data
     the alias dimension (exact match), years from ``start_year``, month
     names mapped to numbers (an unknown name fails the job)."""
     raw = norm_columns(read_csv(spark, path, "Country string, Month string, Year int, Events int"))
-    named = raw.withColumn("alias", norm_string("country"))
+    named = raw.withColumn("alias", norm_string("country")).drop("country")
     kept = dims.map_alias(named, "alias").where(F.col("country").isNotNull())
     kept = kept.where(F.col("year") >= start_year)
     return kept.select("country", month_from_name("month").alias("month"), "year", "events")
