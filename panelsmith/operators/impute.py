@@ -48,6 +48,11 @@ class GroupForests:
     models: dict = field(default_factory=dict)
     scores: list = field(default_factory=list)  # (group, numTrees, maxDepth, strategy, cv_mse)
     best: dict = field(default_factory=dict)  # group -> (numTrees, maxDepth, strategy, cv_mse)
+    features_of: dict = field(default_factory=dict)  # group -> features its model uses
+    skipped: list = field(default_factory=list)  # groups without usable features
+
+    def group_features(self, g) -> list[str]:
+        return self.features_of.get(g, self.features)
 
 
 def _grid(rf: RandomForestRegressor, grid: dict):
@@ -89,9 +94,14 @@ def fit_group_forests(
     parallelism: int = 2,
     group_threads: int = 4,
     max_bins: int = 32,
+    features_by_group: dict | None = None,
 ) -> GroupForests:
     """Cross-validated forest per group on the ``split == 'train'`` rows with a
-    non-null label. ``df`` must carry ``split`` and ``fold`` (see ``prepare``)."""
+    non-null label. ``df`` must carry ``split`` and ``fold`` (see ``prepare``).
+
+    ``features_by_group`` gives each group its own feature list (e.g. the
+    features its F-test selected); a group with no feature is skipped and
+    listed in ``skipped``."""
     grid = grid or REFERENCE_GRID
     features = list(features)
     train = df.where((F.col("split") == "train") & F.col(label).isNotNull()).select(
@@ -99,10 +109,15 @@ def fit_group_forests(
     )
     groups = [r[0] for r in train.select(group_col).distinct().orderBy(group_col).collect()]
     out = GroupForests(group_col=group_col, features=features, label=label)
+    if features_by_group is not None:
+        out.features_of = {g: list(features_by_group.get(g, [])) for g in groups}
+        out.skipped = [g for g in groups if not out.features_of[g]]
+        groups = [g for g in groups if out.features_of[g]]
 
     def search(g):
-        part = train.where(F.col(group_col) == F.lit(g)).drop(group_col)
-        assembler = VectorAssembler(inputCols=features, outputCol="__features")
+        feats = out.group_features(g)
+        part = train.where(F.col(group_col) == F.lit(g)).select(*feats, label, "fold")
+        assembler = VectorAssembler(inputCols=feats, outputCol="__features")
         rf = RandomForestRegressor(labelCol=label, featuresCol="__features", seed=seed, maxBins=max_bins)
         maps = _grid(rf, grid)
         cv = CrossValidator(
@@ -143,7 +158,7 @@ def feature_importances(spark: SparkSession, fitted: GroupForests) -> DataFrame:
     rows = []
     for g, model in fitted.models.items():
         imp = model.stages[-1].featureImportances.toArray().tolist()
-        ranked = sorted(zip(fitted.features, imp), key=lambda t: (-t[1], t[0]))
+        ranked = sorted(zip(fitted.group_features(g), imp), key=lambda t: (-t[1], t[0]))
         rows += [(g, f, float(v), i + 1) for i, (f, v) in enumerate(ranked)]
     return spark.createDataFrame(
         rows, f"{fitted.group_col} string, feature string, importance double, rank int"

@@ -5,10 +5,10 @@ year); a value is an outlier iff it is strictly below q1 - 1.5*iqr or strictly
 above q3 + 1.5*iqr. NULL is never an outlier; iqr = 0 flags any value that
 differs from q1.
 
-Plan: quartiles of all value columns are grouped aggregates (partial + final,
-skew-safe), joined back to the rows on the partition keys (AQE broadcasts the
-small quartile table when its measured size allows), then one unpivot turns
-the checked columns into one long result. No window buffers a whole partition.
+Plan: the checked columns are unpivoted to (keys, column, value); quartiles
+per (partition, column) are grouped aggregates (partial + final, skew-safe);
+they are joined back on (partition, column) (AQE broadcasts the small quartile
+table when its measured size allows). No window buffers a whole partition.
 """
 
 from __future__ import annotations
@@ -34,17 +34,6 @@ def with_year(df: DataFrame, partition_cols: Sequence[str], date_col: str, date_
     return df
 
 
-def quartile_table(
-    df: DataFrame, value_cols: Sequence[str], by: Sequence[str], method: str = "approx", accuracy: int = 10000
-) -> DataFrame:
-    """(by..., __q1_<c>, __q3_<c> for each c)."""
-    out = None
-    for c in value_cols:
-        q = quantiles(df, c, by, [0.25, 0.75], method=method, accuracy=accuracy, names=[f"__q1_{c}", f"__q3_{c}"])
-        out = q if out is None else out.join(q, on=list(by), how="full")
-    return out
-
-
 def flag_outliers(
     df: DataFrame,
     value_cols: Sequence[str],
@@ -56,35 +45,36 @@ def flag_outliers(
     date_col: str | None = None,
     date_format: str | None = None,
 ) -> DataFrame:
-    """Every (row, checked column) with its quartiles and an ``is_outlier`` flag."""
+    """Every (row, checked column) with its quartiles and an ``is_outlier`` flag.
+
+    The checked columns are unpivoted first, so the quartiles of all columns
+    come from one grouped quantile computation keyed by (partition, column)
+    instead of one pass per column.
+    """
     value_cols, partition_cols, key_cols = list(value_cols), list(partition_cols), list(key_cols)
     if date_col is not None:
         df = with_year(df, partition_cols, date_col, date_format)
-    keep = list(dict.fromkeys([*key_cols, *partition_cols, *value_cols]))
-    rows = df.select(*keep)
-    q = quartile_table(rows, value_cols, partition_cols, method, accuracy)
-    joined = rows.join(q, on=partition_cols, how="inner")
-    # one long row per (row, checked column), built by a single generator
-    stacked = joined.select(
-        *key_cols,
+    keep = list(dict.fromkeys([*key_cols, *partition_cols]))
+    long = df.select(
+        *keep,
         F.inline(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(c).alias("outlier_column"),
-                        F.col(c).cast("double").alias("outlier_value"),
-                        F.col(f"__q1_{c}").cast("double").alias("q1"),
-                        F.col(f"__q3_{c}").cast("double").alias("q3"),
-                    )
+                    F.struct(F.lit(c).alias("outlier_column"), F.col(c).cast("double").alias("outlier_value"))
                     for c in value_cols
                 ]
             )
         ),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    )
+    by = [*partition_cols, "outlier_column"]
+    q = quantiles(long, "outlier_value", by, [0.25, 0.75], method=method, accuracy=accuracy, names=["q1", "q3"])
+    # groups without any value have no quartiles: their rows get NULL bounds
+    # and are never flagged
+    joined = long.join(q, on=by, how="left").withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi = F.col("q3") + F.lit(whisker) * F.col("iqr")
     flag = F.coalesce((F.col("outlier_value") < lo) | (F.col("outlier_value") > hi), F.lit(False))
-    return stacked.withColumn("is_outlier", flag)
+    return joined.withColumn("is_outlier", flag).select(*keep, *OUTLIER_COLUMNS, "is_outlier")
 
 
 def iqr_outliers(df: DataFrame, value_cols, partition_cols, key_cols, **kw) -> DataFrame:

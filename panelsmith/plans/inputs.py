@@ -287,6 +287,10 @@ def panel_inputs(t: Tables) -> dict:
     )
 
 
+def materialized_panel(t: Tables) -> DataFrame:
+    return _materialized(t, "_panel", build_test_panel)
+
+
 def build_test_panel(t: Tables, fill_strategy: str = "bucketed") -> DataFrame:
     from panelsmith.plans.panel import build_panel
 

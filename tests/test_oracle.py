@@ -12,7 +12,7 @@ from panelsmith.plans import registry
 from panelsmith.session import TABLES
 
 registry.load_all()
-ML = {"rf_cv", "feature_importance", "impute_forest"}
+ML = {"rf_cv", "feature_importance", "impute_forest", "impute_panel"}
 
 
 def _norm(v):

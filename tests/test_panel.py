@@ -37,3 +37,28 @@ def test_panel_override_and_cutoff(spark):
     # events are only kept on the last observed day of each month
     per_month = p.where(F.col("events") > 0).groupBy("nation", "year", "month").count()
     assert per_month.where("count > 1").count() == 0
+
+
+def test_imputation_pipeline_invariants(spark):
+    from panelsmith.plans.q_flow import run_imputation
+
+    res = run_imputation(spark, MEDIUM, group_threads=4)
+    base = I_panel = res.panel.drop("is_imputed")
+    before = {r.stage: r.n_null_rows for r in res.null_counts.collect()}
+    assert before["after"] < before["before"]
+    out = res.panel
+    # row count kept, keys unique
+    assert out.count() == I_panel.count()
+    assert out.groupBy("nation", "day").count().where("count > 1").count() == 0
+    # observed targets untouched: imputed rows were exactly the NULL ones
+    from panelsmith.plans.inputs import materialized_panel
+    from panelsmith.session import Tables
+
+    orig = materialized_panel(Tables(spark, MEDIUM)).select("nation", "day", F.col("reserves").alias("orig"))
+    j = out.join(orig, ["nation", "day"])
+    assert j.where(F.col("orig").isNotNull() & (F.col("orig") != F.col("reserves"))).count() == 0
+    assert j.where(F.col("is_imputed") != F.col("orig").isNull()).count() == 0 or res.fitted.skipped
+    # a constant calendar column is never selected
+    assert res.selection.where(F.col("r").isNull()).count() == 0
+    ev = res.evaluation.collect()
+    assert ev and all(r.rmse >= 0 for r in ev)
