@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor
-    loss, unlike a local checkpoint)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialize ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from a scan of it.
+
+    One job writes it (an eager ``checkpoint()`` of an uncached plan would
+    compute it twice), the files survive executor loss (unlike a local
+    checkpoint), and the scan carries real sizes, so joins against a small
+    materialized table can be planned as broadcasts."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "panelsmith") -> SparkSession:
