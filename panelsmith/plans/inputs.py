@@ -212,6 +212,11 @@ def rates_base(t: Tables) -> DataFrame:
 
 
 def daily_prices(t: Tables) -> DataFrame:
+    """(day, brent, wti), materialized once per handle (one row per day)."""
+    return _materialized(t, "_daily_prices", _daily_prices_plan)
+
+
+def _daily_prices_plan(t: Tables) -> DataFrame:
     """(day, brent, wti): two masked global daily series, inner-joined."""
     li = t.lineitem.select(F.to_date("l_shipdate").alias("day"), "l_extendedprice", "l_quantity")
     daily = li.groupBy("day").agg(F.avg("l_extendedprice").alias("brent"), F.avg("l_quantity").alias("wti"))
