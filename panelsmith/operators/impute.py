@@ -176,7 +176,8 @@ def predict(df: DataFrame, fitted: GroupForests, keep: Sequence[str], only_missi
         scored = model.transform(rows).select(*keep, F.col("prediction").cast("double").alias("prediction"))
         parts.append(scored)
     if not parts:
-        raise ValueError("no fitted groups")
+        # no group could be fitted: no predictions, targets stay missing
+        return df.limit(0).select(*keep, F.lit(None).cast("double").alias("prediction"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -186,6 +187,11 @@ def predict(df: DataFrame, fitted: GroupForests, keep: Sequence[str], only_missi
 def evaluation(df: DataFrame, fitted: GroupForests) -> DataFrame:
     """RMSE and R2 of each group's best model on its train and test rows."""
     labelled = df.where(F.col(fitted.label).isNotNull())
+    if not fitted.models:
+        return regression_metrics(
+            labelled.select(fitted.group_col, "split", fitted.label, F.lit(None).cast("double").alias("prediction")),
+            fitted.label, "prediction", [fitted.group_col, "split"],
+        )
     scored = predict(labelled, fitted, keep=[fitted.group_col, "split", fitted.label], only_missing=False)
     return regression_metrics(scored, fitted.label, "prediction", [fitted.group_col, "split"])
 

@@ -62,3 +62,11 @@ def test_imputation_pipeline_invariants(spark):
     assert res.selection.where(F.col("r").isNull()).count() == 0
     ev = res.evaluation.collect()
     assert ev and all(r.rmse >= 0 for r in ev)
+
+
+def test_lsci_period_remap_fixture(spark):
+    from panelsmith.plans.panel import PanelSpec, remap_first_period
+
+    df = spark.createDataFrame([("germany", 2006, 2), ("canada", 2006, 2), ("canada", 2007, 2)], "country string, year int, month int")
+    got = [r.month for r in remap_first_period(df, PanelSpec()).collect()]
+    assert got == [3, 4, 2]
