@@ -5,11 +5,12 @@ partial results from every map task, so a group holding a third of all rows is
 aggregated by all tasks, and memory per group is bounded by the accuracy.
 
 ``exact``: discrete percentile (the smallest value whose cumulative share is
->= p, i.e. the ceil(p*n)-th value, as ``percentile_disc``). Two passes: the
-sketch brackets each quantile by a value band [lo, hi] whose rank distance is a
-few n/accuracy rows; a second pass counts rows below ``lo`` and the per-value
-counts inside the band (again partial aggregates), and the quantile is read off
-the band's running count. The band, not the group, is what gets sorted.
+>= p, i.e. the ceil(p*n)-th value, as ``percentile_disc``). Two passes over
+the data: the sketch brackets each quantile by a value band [lo, hi] whose
+rank distance is a few n/accuracy rows; a second pass counts, in one partial
+aggregate for all probabilities, the rows below ``lo`` and the rows per value
+inside the band, and the quantile is read off the band's running count. The
+band, not the group, is what gets sorted.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def quantiles(
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    # pass 1: count + bracketing sketch quantiles
+    # pass 1: count + bracketing sketch quantiles per group
     margin = 3.0 / accuracy
     lo_p = [max(0.0, p - margin) for p in probs]
     hi_p = [min(1.0, p + margin) for p in probs]
@@ -52,40 +53,44 @@ def quantiles(
         F.percentile_approx("__v", lo_p + hi_p, accuracy).alias("__b"),
     )
     k = len(probs)
-    bounds = bounds.select(
+
+    # pass 2: one aggregate for every probability. Each row is emitted once per
+    # probability whose band it is below or inside; rows below the band carry
+    # a NULL key, so map-side combine folds them into one count per group.
+    tagged = vals.join(bounds, on=by, how="inner").select(
         *by,
         "__n",
-        *[F.col("__b")[i].alias(f"__lo{i}") for i in range(k)],
-        *[F.col("__b")[k + i].alias(f"__hi{i}") for i in range(k)],
-    )
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("__i"),
+                        F.when(F.col("__v") >= F.col("__b")[i], F.col("__v")).alias("__key"),
+                        (F.col("__v") <= F.col("__b")[k + i]).alias("__keep"),
+                    )
+                    for i in range(k)
+                ]
+            )
+        ),
+    ).where("__keep")
+    counts = tagged.groupBy(*by, "__n", "__i", "__key").agg(F.count("*").alias("__c"))
 
-    # pass 2: rows below lo, and per-value counts inside [lo, hi]
-    tagged = vals.join(bounds, on=by, how="inner")
-    below = tagged.groupBy(*by).agg(
-        *[F.count_if(F.col("__v") < F.col(f"__lo{i}")).alias(f"__below{i}") for i in range(k)]
+    # running count per (group, probability) over the small count table;
+    # NULL keys sort first, so the running count includes the rows below
+    w = Window.partitionBy(*by, "__i").orderBy(F.col("__key").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1)
+    target = F.greatest(F.lit(1), F.ceil(F.col("__n") * prob - F.lit(1e-9)))
+    hits = (
+        counts.withColumn("__cum", F.sum("__c").over(w))
+        .where(F.col("__key").isNotNull() & (F.col("__cum") >= target))
+        .groupBy(*by, "__i")
+        .agg(F.min("__key").alias("__q"))
+    )
+    return hits.groupBy(*by).agg(
+        *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(name) for i, name in enumerate(names)]
     )
-    pieces = []
-    for i, name in enumerate(names):
-        band = (
-            tagged.where((F.col("__v") >= F.col(f"__lo{i}")) & (F.col("__v") <= F.col(f"__hi{i}")))
-            .groupBy(*by, "__v")
-            .agg(F.count("*").alias("__c"))
-        )
-        w = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-        band = band.withColumn("__cum", F.sum("__c").over(w))
-        target = F.greatest(F.lit(1), F.ceil(F.col("__n") * F.lit(float(probs[i])) - F.lit(1e-9)))
-        q = (
-            band.join(bounds.select(*by, "__n"), on=by)
-            .join(below.select(*by, f"__below{i}"), on=by)
-            .where(F.col(f"__below{i}") + F.col("__cum") >= target)
-            .groupBy(*by)
-            .agg(F.min("__v").alias(name))
-        )
-        pieces.append(q)
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.join(p, on=by, how="full")
-    return out
 
 
 def exact_target_rank(n: int, p: float) -> int:
