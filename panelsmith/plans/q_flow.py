@@ -121,7 +121,7 @@ CANDIDATES = ["interest_rate", "fx_rate", "brent", "wti", "events", "cpi", "gpr_
 
 
 def run_imputation(spark, sf_dir, **kw):
-    params = dict(grid=IMPUTE_GRID, folds=2, group_threads=4, parallelism=1)
+    params = dict(grid=IMPUTE_GRID, folds=2, group_threads=8, parallelism=1)
     params.update(kw)
     return impute_groups(_panel(spark, sf_dir), "nation", ["nation", "day"], "day", "reserves", CANDIDATES, **params)
 
