@@ -65,8 +65,9 @@ def impute_groups(
     feats = IM.prepare(feats, target, list(split_keys), folds=folds)
     if materialize:
         # every fit, fold and prediction below re-reads this table: cut the
-        # lineage once instead of replaying the panel plan per fit
-        feats = cut_lineage(feats)
+        # lineage once, laid out by group so each group's jobs read only its
+        # own files
+        feats = cut_lineage(feats, "features", partition_by=[group])
     candidates = [*candidates, *CALENDAR_FEATURES]
 
     labelled = feats.where(F.col(target).isNotNull())

@@ -57,18 +57,23 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table", partition_by: tuple | list = ()) -> DataFrame:
     """Materialize ``df`` as a Parquet table in the shared checkpoint folder
     and continue from a scan of it.
 
     One job writes it (an eager ``checkpoint()`` of an uncached plan would
     compute it twice), the files survive executor loss (unlike a local
     checkpoint), and the scan carries real sizes, so joins against a small
-    materialized table can be planned as broadcasts."""
+    materialized table can be planned as broadcasts. With ``partition_by`` the
+    table is laid out by those columns, so later filters on them read only
+    the matching files (partition pruning); the original schema is kept."""
     spark = df.sparkSession
     path = shared_dir(spark, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "panelsmith") -> SparkSession:
