@@ -1,0 +1,52 @@
+"""Registered streaming query: the events table read as a file stream, a
+value column masked on an md5 bucket, filled per user by the stateful
+streaming forward fill, written through an exactly-once Parquet sink."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from panelsmith.functions.columns import round_doubles
+from panelsmith.functions.hashing import md5_bucket
+from panelsmith.plans.inputs import R4, md5_sql
+from panelsmith.plans.registry import query
+from panelsmith.session import read_table, shared_dir
+from panelsmith.streaming.fill import stream_forward_fill
+
+
+@query(
+    "stream_fill_events",
+    f"""
+WITH m AS (
+  SELECT event_id, user_id, ts, CASE WHEN {md5_sql('event_id', 10)} <> 0 THEN value END AS value FROM events)
+SELECT event_id, user_id, CAST(ts AS DATE) AS day,
+       round(last_value(value IGNORE NULLS) OVER (
+         PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS value
+FROM m
+""",
+)
+def stream_fill_events(spark, sf_dir):
+    """Streaming forward fill of masked event values per user, in (ts,
+    event_id) order; run to completion (available-now trigger) and read back."""
+    schema = read_table(spark, sf_dir, "events").schema
+    # a glob keeps the table's folder as the stream's base directory
+    stream = spark.readStream.schema(schema).parquet(os.path.join(sf_dir, "[e]vents.parquet"))
+    masked = stream.select(
+        "event_id", "user_id", "ts", F.when(md5_bucket("event_id", 10) != 0, F.col("value")).alias("value")
+    )
+    filled = stream_forward_fill(masked, ["value"], ["user_id"], ["ts", "event_id"])
+    run = uuid.uuid4().hex
+    sink = shared_dir(spark, "streams", f"events_fill-{run}")
+    q = (
+        filled.writeStream.format("parquet")
+        .option("checkpointLocation", shared_dir(spark, "streams", f"events_fill-{run}-ckpt"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(sink)
+    )
+    q.awaitTermination()
+    out = spark.read.schema(filled.schema).parquet(sink)
+    return round_doubles(out.select("event_id", "user_id", F.to_date("ts").alias("day"), "value"), R4)

@@ -27,11 +27,15 @@ def _state_schema(cols: Sequence[str]) -> StructType:
     return StructType([StructField(f"last_{c}", DoubleType()) for c in cols])
 
 
-def stream_forward_fill(stream: DataFrame, cols: Sequence[str], by: Sequence[str], order: str) -> DataFrame:
+def stream_forward_fill(
+    stream: DataFrame, cols: Sequence[str], by: Sequence[str], order: str | Sequence[str]
+) -> DataFrame:
     """Fill ``cols`` (numeric) of a streaming DataFrame per ``by`` group,
-    ordered by ``order`` within each micro-batch; output keeps the input
-    schema (filled columns as double)."""
+    ordered by ``order`` (one column or several, the last ones breaking ties)
+    within each micro-batch; output keeps the input schema (filled columns as
+    double)."""
     cols, by = list(cols), list(by)
+    order = [order] if isinstance(order, str) else list(order)
     out_schema = StructType(
         [StructField(f.name, DoubleType() if f.name in cols else f.dataType, True) for f in stream.schema.fields]
     )
@@ -39,18 +43,22 @@ def stream_forward_fill(stream: DataFrame, cols: Sequence[str], by: Sequence[str
 
     def fill(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seed = list(state.get) if state.exists else [None] * len(cols)
-        for pdf in batches:
-            pdf = pdf.sort_values(order, kind="stable")
-            for i, c in enumerate(cols):
-                s = pdf[c].astype("float64").ffill()
-                if seed[i] is not None:
-                    s = s.fillna(seed[i])
-                pdf[c] = s
-                last = s.dropna()
-                if len(last):
-                    seed[i] = float(last.iloc[-1])
-            state.update(tuple(seed))
-            yield pdf[names]
+        # the group's rows of this micro-batch (bounded by the trigger size)
+        # may arrive in several Arrow chunks in no particular order
+        chunks = list(batches)
+        if not chunks:
+            return
+        pdf = pd.concat(chunks, ignore_index=True).sort_values(order, kind="stable")
+        for i, c in enumerate(cols):
+            s = pdf[c].astype("float64").ffill()
+            if seed[i] is not None:
+                s = s.fillna(seed[i])
+            pdf[c] = s
+            last = s.dropna()
+            if len(last):
+                seed[i] = float(last.iloc[-1])
+        state.update(tuple(seed))
+        yield pdf[names]
 
     return stream.groupBy(*by).applyInPandasWithState(
         fill, out_schema, _state_schema(cols), "append", GroupStateTimeout.NoTimeout
