@@ -64,3 +64,27 @@ def test_group_forests_learn_signal_and_impute(spark):
     # same seed, same scores
     again = IM.fit_group_forests(prep, "g", ["x1", "x2"], "y", grid=grid, folds=2, parallelism=2, group_threads=2)
     assert sorted(again.scores) == sorted(fitted.scores)
+
+
+def test_selection_agrees_with_mllib_selector(spark):
+    """Per group, the features kept at p < 0.05 equal MLlib's
+    UnivariateFeatureSelector (F-test, fpr 0.05) on the same rows."""
+    from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+
+    from conftest import MEDIUM
+    from panelsmith.session import Tables
+
+    li = Tables(spark, MEDIUM).lineitem.select(
+        "l_returnflag", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
+    )
+    feats = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
+    ours = {}
+    for r in S.select_features(S.f_regression(li, "net", feats, ["l_returnflag"])).collect():
+        ours.setdefault(r.l_returnflag, set()).add(r.feature)
+    for flag in ["A", "N", "R"]:
+        part = VectorAssembler(inputCols=feats, outputCol="x").transform(li.where(F.col("l_returnflag") == flag))
+        sel = UnivariateFeatureSelector(featuresCol="x", labelCol="net", outputCol="sel", selectionMode="fpr")
+        sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(0.05)
+        model = sel.fit(part)
+        assert {feats[i] for i in model.selectedFeatures} == ours.get(flag, set())
