@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelsmith.operators.joins import join_null_safe
+
 
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -81,12 +83,6 @@ def forward_fill(
     #    join into a broadcast when its measured size allows
     #    null-safe on the keys: a NULL group (or bucket) is one group, as it
     #    is for the window strategy
-    keys = [*by, b]
-    seeds = seeds.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], *[f"__seed_{c}" for c in cols])
-    cond = None
-    for i, k in enumerate(keys):
-        e = inner[k].eqNullSafe(seeds[f"__key_{i}"])
-        cond = e if cond is None else cond & e
-    out = inner.join(seeds, on=cond, how="left")
-    out = out.withColumns({c: F.coalesce(inner[c], F.col(f"__seed_{c}")) for c in cols})
+    out = join_null_safe(inner, seeds, [*by, b], "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__seed_{c}")) for c in cols})
     return out.select(*df.columns)

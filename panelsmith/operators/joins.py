@@ -10,6 +10,8 @@ their real size against ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,3 +42,15 @@ def outer_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFram
 def outer_join_complete(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer join followed by dropping rows with any missing value."""
     return drop_missing(outer_join(left, right, on))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (``<=>``), so a NULL group
+    joins its own per-group results the way a window partition treats it.
+    Key columns are taken from ``left``; the result has no duplicate keys."""
+    keys = list(keys)
+    r = right.select(
+        *[F.col(k).alias(f"__rk_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys]
+    )
+    cond = reduce(and_, [left[k].eqNullSafe(r[f"__rk_{i}"]) for i, k in enumerate(keys)])
+    return left.join(r, cond, how).drop(*[f"__rk_{i}" for i in range(len(keys))])

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from panelsmith.functions.columns import round_half_up
 
+from panelsmith.operators.joins import join_null_safe
 from panelsmith.operators.quantiles import quantiles
 
 OUTLIER_COLUMNS = ["outlier_column", "outlier_value", "q1", "q3", "iqr"]
@@ -70,7 +71,7 @@ def flag_outliers(
     q = quantiles(long, "outlier_value", by, [0.25, 0.75], method=method, accuracy=accuracy, names=["q1", "q3"])
     # groups without any value have no quartiles: their rows get NULL bounds
     # and are never flagged
-    joined = long.join(q, on=by, how="left").withColumn("iqr", F.col("q3") - F.col("q1"))
+    joined = join_null_safe(long, q, by, "left").withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi = F.col("q3") + F.lit(whisker) * F.col("iqr")
     flag = F.coalesce((F.col("outlier_value") < lo) | (F.col("outlier_value") > hi), F.lit(False))

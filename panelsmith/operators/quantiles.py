@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelsmith.operators.joins import join_null_safe
+
 
 def quantiles(
     df: DataFrame,
@@ -57,7 +59,7 @@ def quantiles(
     # pass 2: one aggregate for every probability. Each row is emitted once per
     # probability whose band it is below or inside; rows below the band carry
     # a NULL key, so map-side combine folds them into one count per group.
-    tagged = vals.join(bounds, on=by, how="inner").select(
+    tagged = join_null_safe(vals, bounds, by, "inner").select(
         *by,
         "__n",
         F.inline(

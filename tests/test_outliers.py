@@ -68,3 +68,11 @@ def test_hot_group_quantiles(spark):
         F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY v)").alias("c"),
     )
     assert rows(ours, "g", "a", "c") == rows(ref, "g", "a", "c")
+
+
+def test_null_partition_is_one_partition(spark):
+    df = spark.createDataFrame(
+        [(i, None, v) for i, v in enumerate([1.0, 2.0, 3.0, 4.0, 100.0])] + [(9, "g", 1.0)], "id int, g string, v double"
+    )
+    out = iqr_outliers(df, ["v"], ["g"], ["id"], method="exact").collect()
+    assert [(r.id, r.outlier_value, r.q1, r.q3) for r in out] == [(4, 100.0, 2.0, 4.0)]
