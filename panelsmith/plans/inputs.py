@@ -86,18 +86,19 @@ def md5_sql(expr: str, modulo: int) -> str:
 
 
 def oil_series(t: Tables) -> DataFrame:
-    """Global daily series with gaps: average ship-day line price, days whose
-    md5 bucket is 0 (of 10) are missing, as non-trading days would be."""
+    """Global daily series with gaps: average ship-day line price; the value
+    of days whose md5 bucket is 0 (of 10) is missing, as on non-trading days.
+    Every day is kept; only the value is masked."""
     li = t.lineitem.select(F.to_date("l_shipdate").alias("day"), "l_extendedprice")
     daily = li.groupBy("day").agg(F.avg("l_extendedprice").alias("oil"))
-    return daily.where(md5_bucket(F.col("day"), 10) != 0)
+    return daily.withColumn("oil", F.when(md5_bucket(F.col("day"), 10) != 0, F.col("oil")))
 
 
 OIL_SQL = f"""
 oil AS (
-  SELECT CAST(l_shipdate AS DATE) AS day, avg(l_extendedprice) AS oil
-  FROM lineitem GROUP BY 1
-  HAVING {md5_sql('CAST(l_shipdate AS DATE)', 10)} <> 0)
+  SELECT CAST(l_shipdate AS DATE) AS day,
+         CASE WHEN {md5_sql('CAST(l_shipdate AS DATE)', 10)} <> 0 THEN avg(l_extendedprice) END AS oil
+  FROM lineitem GROUP BY 1)
 """
 
 
@@ -132,7 +133,7 @@ rets AS (
 #   base      daily order price (fx_rate) x monthly line discount (interest_rate),
 #             full outer on (nation, yyyymm), rows with a gap dropped
 #   prices    two global daily series from lineitem (brent, wti), each with
-#             md5-masked days, inner-joined on the day
+#             md5-masked values on some days, inner-joined on the day
 #   events    monthly returned lines per supplier nation
 #   cpi       quarter-month unit price per supplier nation; nation 0's source
 #             starts in 1997 and a quarterly patch series ('Mmm yyyy' labels)
@@ -242,8 +243,10 @@ def _daily_prices_plan(t: Tables) -> DataFrame:
     li = t.lineitem.select(F.to_date("l_shipdate").alias("day"), "l_extendedprice", "l_quantity")
     daily = li.groupBy("day").agg(F.avg("l_extendedprice").alias("brent"), F.avg("l_quantity").alias("wti"))
     b = md5_bucket(F.col("day"), 10)
-    brent = daily.where(b != 0).select("day", "brent")
-    wti = daily.where(b != 1).select("day", "wti")
+    # values masked on some days (bucket 0 for one series, 1 for the other);
+    # every day is kept
+    brent = daily.select("day", F.when(b != 0, F.col("brent")).alias("brent"))
+    wti = daily.select("day", F.when(b != 1, F.col("wti")).alias("wti"))
     return brent.join(wti, "day", "inner")
 
 
@@ -341,8 +344,8 @@ pdaily AS (
   FROM lineitem GROUP BY 1),
 prices AS (
   SELECT b.day, b.brent, w.wti
-  FROM (SELECT day, brent FROM pdaily WHERE {md5_sql('day', 10)} <> 0) b
-  JOIN (SELECT day, wti FROM pdaily WHERE {md5_sql('day', 10)} <> 1) w ON b.day = w.day),
+  FROM (SELECT day, CASE WHEN {md5_sql('day', 10)} <> 0 THEN brent END AS brent FROM pdaily) b
+  JOIN (SELECT day, CASE WHEN {md5_sql('day', 10)} <> 1 THEN wti END AS wti FROM pdaily) w ON b.day = w.day),
 cpi AS (
   SELECT s.s_nationkey AS nation, {_Y} AS year, {_M} AS month,
          avg(l.l_extendedprice / l.l_quantity) AS cpi
