@@ -28,7 +28,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelsmith.operators.joins import join_null_safe
 
 
 def _cols(xs):
@@ -81,8 +80,13 @@ def forward_fill(
 
     # 4) join the seeds back; the seed table is groups x buckets, AQE turns the
     #    join into a broadcast when its measured size allows
-    #    null-safe on the keys: a NULL group (or bucket) is one group, as it
-    #    is for the window strategy
-    out = join_null_safe(inner, seeds, [*by, b], "left")
+    #    A plain equi-join: ``inner`` is already hash-partitioned by
+    #    (group, bucket), so a sort-merge join reuses that partitioning and
+    #    only the small seed table moves. (A null-safe join would rewrite the
+    #    keys and reshuffle every row.) Consequence: rows whose GROUP key is
+    #    NULL are filled within their own bucket only; NULL order keys are
+    #    fine (they form the first bucket). Use strategy='window' when a NULL
+    #    group key carries meaning.
+    out = inner.join(seeds, on=[*by, b], how="left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__seed_{c}")) for c in cols})
     return out.select(*df.columns)
