@@ -57,3 +57,26 @@ def test_fill_is_idempotent_and_keeps_observed(spark):
     assert once.exceptAll(twice).count() == 0
     assert once.where(F.col("obs").isNotNull() & (F.col("obs") != F.col("price"))).count() == 0
     assert once.count() == s.count()
+
+
+def test_hot_group_is_spread_over_tasks(spark):
+    """A group holding 90% of the rows is filled by many tasks under the
+    bucketed strategy (one per (group, bucket) hash), by one under 'window'."""
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 20000).select(
+            F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
+            F.col("id").cast("int").alias("t"),
+            F.when(F.col("id") % 7 == 0, F.col("id").cast("double")).alias("v"),
+        )
+        def tasks(strategy, bucket=None):
+            out = forward_fill(df, ["v"], ["g"], ["t"], strategy=strategy, bucket=bucket)
+            # the filled column is consumed (else pruning drops the window);
+            # the partition id is taken before the filter on g
+            tagged = out.select("g", "v", F.spark_partition_id().alias("p"))
+            return len(tagged.where("g = 'hot'").groupBy("p").agg(F.sum("v")).collect())
+        assert tasks("window") == 1
+        assert tasks("bucketed", F.floor(F.col("t") / 500)) > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
