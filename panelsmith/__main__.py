@@ -9,13 +9,10 @@ from __future__ import annotations
 import argparse
 import json
 
-DEFAULT_GPR_SCHEMA = (
-    "month date, GPR double, "
-    + ", ".join(
-        f"GPRC_{iso} double"
-        for iso in ["AUS", "BRA", "CAN", "CHN", "FRA", "DEU", "IND", "ITA", "JPN", "MEX", "KOR", "RUS", "ZAF", "TUR", "GBR", "USA"]
-    )
-)
+def _default_gpr_schema() -> str:
+    from panelsmith.sources.dims import COUNTRIES
+
+    return "month date, GPR double, " + ", ".join(f"GPRC_{iso} double" for _, iso in COUNTRIES)
 
 
 def main(argv=None) -> None:
@@ -24,7 +21,7 @@ def main(argv=None) -> None:
     run = sub.add_parser("run", help="normalise, assemble, check, impute and write")
     run.add_argument("--landing", required=True)
     run.add_argument("--out", required=True)
-    run.add_argument("--gpr-schema", default=DEFAULT_GPR_SCHEMA)
+    run.add_argument("--gpr-schema", default=None, help="DDL schema of the wide index sheet (default: GPRC_<ISO3> for the 16 groups)")
     run.add_argument("--folds", type=int, default=5)
     run.add_argument("--grid", default=None, help="JSON grid, e.g. '{\"numTrees\": [50], \"maxDepth\": [10], \"featureSubsetStrategy\": [\"log2\"]}'")
     run.add_argument("--row-split", action="store_true", help="split rows at random (reference behaviour) instead of by period")
@@ -37,7 +34,8 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("panelsmith").getOrCreate()
     grid = json.loads(args.grid) if args.grid else None
     split_keys = ("country", "date") if args.row_split else ("year", "month")
-    res = run_pipeline(spark, args.landing, args.out, args.gpr_schema, grid=grid, folds=args.folds, split_keys=split_keys)
+    schema = args.gpr_schema or _default_gpr_schema()
+    res = run_pipeline(spark, args.landing, args.out, schema, grid=grid, folds=args.folds, split_keys=split_keys)
     for r in res.imputation.null_counts.collect():
         print(f"{r.stage}: {r.n_null_rows} of {r.n_rows} rows with a missing value")
 

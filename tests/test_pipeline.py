@@ -107,3 +107,14 @@ def test_pipeline_end_to_end(spark, landing, tmp_path):
 
 def test_unmatched_groups_reported(spark, landing):
     assert [r.alias for r in unmatched_groups(spark, str(landing)).collect()] == ["atlantis"]
+
+
+def test_command_line_run(spark, landing, tmp_path, capsys):
+    from panelsmith.__main__ import main
+
+    grid = '{"numTrees": [5], "maxDepth": [3], "featureSubsetStrategy": ["sqrt"]}'
+    main(["run", "--landing", str(landing), "--out", str(tmp_path / "cli"), "--gpr-schema", GPR_SCHEMA,
+          "--folds", "2", "--grid", grid])
+    out = capsys.readouterr().out
+    assert "before:" in out and "after:" in out
+    assert spark.read.parquet(str(tmp_path / "cli" / "final")).count() == spark.read.parquet(str(tmp_path / "cli" / "panel")).count()
