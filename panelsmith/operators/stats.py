@@ -151,3 +151,18 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
         F.sqrt(F.col("__ss_res") / F.col("n")).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.col("__ss_res"), F.col("n") * F.col("__var"))).alias("r2"),
     )
+
+
+def metric_gaps(metrics: DataFrame, by: Sequence[str], split_col: str = "split") -> DataFrame:
+    """Train and test RMSE / R2 side by side per group, with their differences
+    (train - test), from the long (group, split, n, rmse, r2) table."""
+    by = list(by)
+    def pick(name, split):
+        return F.max(F.when(F.col(split_col) == split, F.col(name)))
+    wide = metrics.groupBy(*by).agg(
+        pick("rmse", "train").alias("rmse_train"), pick("rmse", "test").alias("rmse_test"),
+        pick("r2", "train").alias("r2_train"), pick("r2", "test").alias("r2_test"),
+    )
+    return wide.withColumns(
+        {"rmse_diff": F.col("rmse_train") - F.col("rmse_test"), "r2_diff": F.col("r2_train") - F.col("r2_test")}
+    )

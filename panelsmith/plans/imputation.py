@@ -41,6 +41,7 @@ class ImputationResult:
     fitted: IM.GroupForests
     evaluation: DataFrame  # (group, split, n, rmse, r2)
     null_counts: DataFrame  # (stage, n_rows, n_null_rows)
+    complete_groups: DataFrame  # groups whose target has no missing value (nothing to impute)
 
 
 def impute_groups(
@@ -90,4 +91,8 @@ def impute_groups(
         fitted=fitted,
         evaluation=IM.evaluation(feats, fitted),
         null_counts=null_row_counts({"before": panel, "after": out.drop("is_imputed")}),
+        complete_groups=feats.groupBy(group)
+        .agg(F.count_if(F.col(target).isNull()).alias("n_missing"))
+        .where(F.col("n_missing") == 0)
+        .select(group),
     )

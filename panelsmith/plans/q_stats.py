@@ -98,6 +98,38 @@ def regression_metrics(spark, sf_dir):
     return round_doubles(S.regression_metrics(li, TARGET, "pred", ["l_returnflag", "split"]), R4)
 
 
+@query(
+    "regression_gaps",
+    f"""
+WITH li AS (
+  SELECT l_returnflag, l_extendedprice * (1.0 - l_discount) AS net, l_extendedprice * 0.95 AS pred,
+         CASE WHEN {md5_sql("CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)", 100)} < 80
+              THEN 'train' ELSE 'test' END AS split
+  FROM lineitem),
+m AS (
+  SELECT l_returnflag, split, sqrt(sum((net - pred) * (net - pred)) / count(*)) AS rmse,
+         1 - sum((net - pred) * (net - pred)) / (count(*) * var_pop(net)) AS r2
+  FROM li GROUP BY l_returnflag, split),
+w AS (
+  SELECT l_returnflag,
+         max(rmse) FILTER (WHERE split = 'train') AS rmse_train, max(rmse) FILTER (WHERE split = 'test') AS rmse_test,
+         max(r2) FILTER (WHERE split = 'train') AS r2_train, max(r2) FILTER (WHERE split = 'test') AS r2_test
+  FROM m GROUP BY l_returnflag)
+SELECT l_returnflag, round(rmse_train, 4) AS rmse_train, round(rmse_test, 4) AS rmse_test,
+       round(rmse_train - rmse_test, 4) AS rmse_diff, round(r2_train, 4) AS r2_train, round(r2_test, 4) AS r2_test,
+       round(r2_train - r2_test, 4) AS r2_diff
+FROM w
+""",
+)
+def regression_gaps(spark, sf_dir):
+    """Train vs test RMSE and R2 per group and their differences."""
+    li = _lines(Tables(spark, sf_dir)).withColumns(
+        {"pred": F.col("l_extendedprice") * F.lit(0.95), "split": split_label(_split_key())}
+    )
+    m = S.regression_metrics(li, TARGET, "pred", ["l_returnflag", "split"])
+    return round_doubles(S.metric_gaps(m, ["l_returnflag"]), R4)
+
+
 # ------------------------------------------------------------ forests (R checks)
 
 FOREST_FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]

@@ -76,3 +76,13 @@ def test_null_partition_is_one_partition(spark):
     )
     out = iqr_outliers(df, ["v"], ["g"], ["id"], method="exact").collect()
     assert [(r.id, r.outlier_value, r.q1, r.q3) for r in out] == [(4, 100.0, 2.0, 4.0)]
+
+
+def test_year_added_from_int_dates(spark):
+    from panelsmith.operators.outliers import with_year
+
+    df = spark.createDataFrame([("a", 20060430, 1.0), ("a", 20071231, 2.0)], "country string, date int, v double")
+    out = with_year(df, ["country", "year"], "date", "yyyyMMdd")
+    assert [r.year for r in out.orderBy("date").collect()] == [2006, 2007]
+    # present year column is kept as is
+    assert with_year(out, ["country", "year"], "date", "yyyyMMdd").columns == out.columns
