@@ -145,11 +145,13 @@ def fit_group_forests(
 
 
 def cv_scores(spark: SparkSession, fitted: GroupForests) -> DataFrame:
-    """(group, num_trees, max_depth, feature_subset, cv_mse, is_best)."""
-    rows = [(*r, fitted.best[r[0]] == r[1:]) for r in fitted.scores]
+    """(group, num_trees, max_depth, feature_subset, cv_mse, neg_mse, is_best);
+    ``neg_mse`` is the score in the greater-is-better convention."""
+    rows = [(*r, -r[4], fitted.best[r[0]] == r[1:]) for r in fitted.scores]
     return spark.createDataFrame(
         rows,
-        f"{fitted.group_col} string, num_trees int, max_depth int, feature_subset string, cv_mse double, is_best boolean",
+        f"{fitted.group_col} string, num_trees int, max_depth int, feature_subset string, cv_mse double, "
+        "neg_mse double, is_best boolean",
     )
 
 

@@ -160,7 +160,7 @@ def rf_cv(spark, sf_dir):
     ev = IM.evaluation(df, fitted)
     best = scores.where("is_best").drop("is_best")
     return best.join(ev, "l_returnflag").select(
-        "l_returnflag", "num_trees", "max_depth", "feature_subset", "cv_mse", "split", "n", "rmse", "r2"
+        "l_returnflag", "num_trees", "max_depth", "feature_subset", "cv_mse", "neg_mse", "split", "n", "rmse", "r2"
     )
 
 
