@@ -52,7 +52,9 @@ def rates_panel(spark: SparkSession, root: str, catalog: DataFrame | None = None
     )
     latest = latest_per_key(obs, ["series_id", "date"], ["realtime_start"])
     latest = _date_floor(latest.withColumn("value", lenient_cast("value", "double")), "date", start)
-    cat = F.broadcast(catalog if catalog is not None else dims.series_catalog(spark))
+    # the built-in catalog has 32 rows and is broadcast; a caller's catalog has
+    # no known bound, so AQE decides from its measured size
+    cat = F.broadcast(dims.series_catalog(spark)) if catalog is None else catalog
     tagged = latest.join(cat, "series_id").withColumns(
         {"value": invert_when("value", F.col("invert")), "yyyymm": F.date_format("date", "yyyyMM")}
     )
