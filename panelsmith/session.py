@@ -90,8 +90,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PANELSMITH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    event_dir = os.environ.get("PANELSMITH_EVENT_LOG")
+    if event_dir:
+        # stage / task timings for tools/stage_times.py (no UI server involved)
+        spark = spark.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+    spark = spark.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
     return spark
