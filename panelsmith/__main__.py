@@ -25,6 +25,7 @@ def main(argv=None) -> None:
     run.add_argument("--folds", type=int, default=5)
     run.add_argument("--grid", default=None, help="JSON grid, e.g. '{\"numTrees\": [50], \"maxDepth\": [10], \"featureSubsetStrategy\": [\"log2\"]}'")
     run.add_argument("--row-split", action="store_true", help="split rows at random (reference behaviour) instead of by period")
+    run.add_argument("--csv", action="store_true", help="also write the panel and the final table as CSV")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -35,7 +36,9 @@ def main(argv=None) -> None:
     grid = json.loads(args.grid) if args.grid else None
     split_keys = ("country", "date") if args.row_split else ("year", "month")
     schema = args.gpr_schema or _default_gpr_schema()
-    res = run_pipeline(spark, args.landing, args.out, schema, grid=grid, folds=args.folds, split_keys=split_keys)
+    res = run_pipeline(
+        spark, args.landing, args.out, schema, grid=grid, folds=args.folds, split_keys=split_keys, csv=args.csv
+    )
     for r in res.imputation.null_counts.collect():
         print(f"{r.stage}: {r.n_null_rows} of {r.n_rows} rows with a missing value")
 

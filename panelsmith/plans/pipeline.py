@@ -26,7 +26,7 @@ from panelsmith.plans.imputation import ImputationResult, impute_groups
 from panelsmith.plans.panel import PanelSpec, build_panel
 from panelsmith.sources import dims
 from panelsmith.sources import normalise as N
-from panelsmith.sources.landed import write_parquet
+from panelsmith.sources.landed import write_csv, write_parquet
 
 PANEL_FEATURES = [
     "interest_rate", "fx_rate", "brent_dollars_per_barrel", "wti_dollars_per_barrel",
@@ -71,9 +71,12 @@ def run_pipeline(
     grid: dict | None = None,
     folds: int = 5,
     split_keys=("year", "month"),
+    csv: bool = False,
 ) -> PipelineResult:
     """Normalise, assemble, check, impute and write. The panel is written once
-    and every later step reads the written table (lineage cut, reusable)."""
+    and every later step reads the written table (lineage cut, reusable).
+    With ``csv`` the panel and the final table are also written as header CSV
+    (``panel_csv/``, ``final_csv/``; distributed, no index column)."""
     spec = spec or PanelSpec()
     src = load_sources(spark, landing, gpr_schema)
     panel = build_panel(**src, spec=spec)
@@ -93,6 +96,9 @@ def run_pipeline(
     write_parquet(cv_scores(spark, res.fitted), os.path.join(out, "scores"))
     write_parquet(feature_importances(spark, res.fitted), os.path.join(out, "importances"))
     write_parquet(res.evaluation, os.path.join(out, "evaluation"))
+    if csv:
+        write_csv(panel, os.path.join(out, "panel_csv"))
+        write_csv(spark.read.parquet(os.path.join(out, "final")), os.path.join(out, "final_csv"))
     return PipelineResult(panel=panel, outliers=outliers, missing=missing, imputation=res)
 
 

@@ -114,7 +114,9 @@ def test_command_line_run(spark, landing, tmp_path, capsys):
 
     grid = '{"numTrees": [5], "maxDepth": [3], "featureSubsetStrategy": ["sqrt"]}'
     main(["run", "--landing", str(landing), "--out", str(tmp_path / "cli"), "--gpr-schema", GPR_SCHEMA,
-          "--folds", "2", "--grid", grid])
+          "--folds", "2", "--grid", grid, "--csv"])
     out = capsys.readouterr().out
     assert "before:" in out and "after:" in out
-    assert spark.read.parquet(str(tmp_path / "cli" / "final")).count() == spark.read.parquet(str(tmp_path / "cli" / "panel")).count()
+    n = spark.read.parquet(str(tmp_path / "cli" / "panel")).count()
+    assert spark.read.parquet(str(tmp_path / "cli" / "final")).count() == n
+    assert spark.read.option("header", True).csv(str(tmp_path / "cli" / "final_csv")).count() == n
