@@ -58,6 +58,10 @@ class PanelSpec:
     lsci_monthly_to: int = 3
     lsci_others_to: int = 4
     cutoff: str = "2006-04-30"
+    # add ``events_covered``: the row's month lies inside the event source's
+    # own coverage for the group (zero-filled months outside it are not
+    # observed zeros)
+    flag_event_coverage: bool = False
 
 
 def remap_first_period(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -116,6 +120,13 @@ def build_panel(
     # 3 monthly events, missing -> 0
     p = left_join(p, events, ["year", "month", g])
     p = zero_fill(p, [s.events_col])
+    if s.flag_event_coverage:
+        ym = F.col("year") * 100 + F.col("month")
+        cov = events.groupBy(g).agg(F.min(ym).alias("__ev_lo"), F.max(ym).alias("__ev_hi"))
+        p = left_join(p, cov, [g])
+        p = p.withColumn(
+            "events_covered", F.coalesce(ym.between(F.col("__ev_lo"), F.col("__ev_hi")), F.lit(False))
+        ).drop("__ev_lo", "__ev_hi")
     # 4 month-end placement
     p = period_end_place(p, s.events_col, [g], period, d)
     # 5 monthly index with patch and override

@@ -72,6 +72,7 @@ def run_pipeline(
     folds: int = 5,
     split_keys=("year", "month"),
     csv: bool = False,
+    check_keys: bool = True,
 ) -> PipelineResult:
     """Normalise, assemble, check, impute and write. The panel is written once
     and every later step reads the written table (lineage cut, reusable).
@@ -79,6 +80,14 @@ def run_pipeline(
     (``panel_csv/``, ``final_csv/``; distributed, no index column)."""
     spec = spec or PanelSpec()
     src = load_sources(spark, landing, gpr_schema)
+    if check_keys:
+        # the joins assume each right side is unique on its key; fail fast
+        # (one aggregate per source) instead of fanning rows out silently
+        period_key = [spec.group, "year", "month"]
+        Q.assert_unique(src["base"], [spec.group, spec.date])
+        Q.assert_unique(src["prices"], [spec.date])
+        for name in ("events", "index", "patch", "gpr", "lsci", "target"):
+            Q.assert_unique(src[name], period_key)
     panel = build_panel(**src, spec=spec)
     write_parquet(panel, os.path.join(out, "panel"))
     panel = spark.read.parquet(os.path.join(out, "panel"))

@@ -120,3 +120,29 @@ def test_command_line_run(spark, landing, tmp_path, capsys):
     n = spark.read.parquet(str(tmp_path / "cli" / "panel")).count()
     assert spark.read.parquet(str(tmp_path / "cli" / "final")).count() == n
     assert spark.read.option("header", True).csv(str(tmp_path / "cli" / "final_csv")).count() == n
+
+
+def test_duplicate_source_key_fails_fast(spark, landing, tmp_path):
+    import shutil
+
+    bad = tmp_path / "bad"
+    shutil.copytree(landing, bad)
+    with open(bad / "acled.csv", "a") as fh:
+        fh.write("Japan,May,2006,1\n")  # second row for (japan, 2006, 5)
+    with pytest.raises(ValueError, match="not unique"):
+        run_pipeline(spark, str(bad), str(tmp_path / "out"), GPR_SCHEMA, folds=2)
+
+
+def test_event_coverage_flag(spark):
+    from panelsmith.plans.panel import PanelSpec, build_panel
+
+    D2 = dt.date
+    base = spark.createDataFrame([("a", D2(2006, 5, 2)), ("a", D2(2006, 7, 3))], "country string, date date")
+    prices = spark.createDataFrame([(D2(2006, 5, 2), 1.0, 2.0)], "date date, brent_dollars_per_barrel double, wti_dollars_per_barrel double")
+    per = lambda col: spark.createDataFrame([], f"country string, year int, month int, {col} double")
+    events = spark.createDataFrame([("a", 2006, 5, 3)], "country string, year int, month int, events int")
+    patch = spark.createDataFrame([], "country string, year int, month int, patch_cpi double")
+    p = build_panel(base, prices, events, per("cpi"), patch, per("gpr_index"), per("lsci"), per("fx_reserves"),
+                    spec=PanelSpec(flag_event_coverage=True))
+    got = sorted((r.date, r.events, r.events_covered) for r in p.collect())
+    assert got == [(D2(2006, 5, 2), 3, True), (D2(2006, 7, 3), 0, False)]
