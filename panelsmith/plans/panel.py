@@ -39,6 +39,11 @@ from panelsmith.operators.placement import period_end_place
 
 @dataclass
 class PanelSpec:
+    """Column names and rules of the panel. The defaults are the
+    reference's rules (override 84.5 for australia in 2006 months 3-5; first
+    lsci period 2006-02 moved to month 3 for germany, italy, russia, turkiye
+    and to month 4 for the others; rows kept after 2006-04-30)."""
+
     group: str = "country"
     date: str = "date"  # DateType
     price_cols: list = field(default_factory=lambda: ["brent_dollars_per_barrel", "wti_dollars_per_barrel"])

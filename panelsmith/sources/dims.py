@@ -61,7 +61,7 @@ SERIES = [
 # Daily oil price series (column name -> series id).
 OIL_SERIES = [("brent_dollars_per_barrel", "RBRTE"), ("wti_dollars_per_barrel", "RWTC")]
 
-# Groups whose FX series is monthly (one panel row per month).
+# Groups whose FX series is monthly (one panel row per month).
 MONTHLY_FX_GROUPS = ("germany", "italy", "russia", "turkiye")
 
 
