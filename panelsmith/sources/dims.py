@@ -29,7 +29,9 @@ COUNTRIES = [
     ("united_states", "USA"),
 ]
 
-# Source spellings that map onto a group key (alias -> key).
+# Source spellings that map onto a group key (alias -> key). Fixed values:
+# the first two are the reference's remaps; the others are added here so that
+# exact-name matching does not drop those groups.
 ALIASES = [
     ("russian_federation", "russia"),
     ("republic_of_korea", "south_korea"),
