@@ -107,12 +107,17 @@ def build_panel(
     target: DataFrame,
     spec: PanelSpec | None = None,
     fill_strategy: str = "bucketed",
+    stages: dict | None = None,
 ) -> DataFrame:
     """Assemble the panel. Inputs:
 
     base (group, date, ...), prices (date, price cols...), events / index /
     gpr / lsci / target (group, year, month, value col), patch (group, year,
     month, patch col).
+
+    ``stages``, when given, receives the lazy intermediate panels
+    ``prices_filled``, ``events_zero_filled`` and ``events_placed``, on which
+    the reference runs its outlier checks.
     """
     s = spec or PanelSpec()
     g, d = s.group, s.date
@@ -122,9 +127,13 @@ def build_panel(
     # serves every window below
     p = left_join(base, prices, [d]).withColumns({"year": F.year(d), "month": F.month(d)})
     p = forward_fill(p, s.price_cols, [g], [d], strategy=fill_strategy, bucket="year")
+    if stages is not None:
+        stages["prices_filled"] = p
     # 3 monthly events, missing -> 0
     p = left_join(p, events, ["year", "month", g])
     p = zero_fill(p, [s.events_col])
+    if stages is not None:
+        stages["events_zero_filled"] = p
     if s.flag_event_coverage:
         ym = F.col("year") * 100 + F.col("month")
         cov = events.groupBy(g).agg(F.min(ym).alias("__ev_lo"), F.max(ym).alias("__ev_hi"))
@@ -134,6 +143,8 @@ def build_panel(
         ).drop("__ev_lo", "__ev_hi")
     # 4 month-end placement
     p = period_end_place(p, s.events_col, [g], period, d)
+    if stages is not None:
+        stages["events_placed"] = p
     # 5 monthly index with patch and override
     p = left_join(p, index, ["year", "month", g])
     p = left_join(p, patch, [g, "year", "month"])

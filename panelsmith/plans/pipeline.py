@@ -7,8 +7,9 @@ Landing layout under ``landing`` (see ``sources.normalise`` for each shape)::
     fred/series_id=<ID>/*.json      eia/series=<column>/*.json     wb/*.json
     acled.csv   imf.csv   gpr.csv   lsci.csv.gz   australiancpi.csv
 
-Outputs under ``out``: ``panel/``, ``outliers/``, ``missing/``, ``final/``,
-``scores/``, ``importances/``, ``evaluation/`` (all Parquet).
+Outputs under ``out``: ``panel/``, ``outliers/``, ``outliers_events_zero_filled/``,
+``outliers_events_placed/``, ``missing/``, ``final/``, ``scores/``,
+``importances/``, ``evaluation/`` (all Parquet).
 """
 
 from __future__ import annotations
@@ -73,6 +74,7 @@ def run_pipeline(
     split_keys=("year", "month"),
     csv: bool = False,
     check_keys: bool = True,
+    stage_outliers: bool = True,
 ) -> PipelineResult:
     """Normalise, assemble, check, impute and write. The panel is written once
     and every later step reads the written table (lineage cut, reusable).
@@ -88,9 +90,17 @@ def run_pipeline(
         Q.assert_unique(src["prices"], [spec.date])
         for name in ("events", "index", "patch", "gpr", "lsci", "target"):
             Q.assert_unique(src[name], period_key)
-    panel = build_panel(**src, spec=spec)
+    stages: dict = {}
+    panel = build_panel(**src, spec=spec, stages=stages)
     write_parquet(panel, os.path.join(out, "panel"))
     panel = spark.read.parquet(os.path.join(out, "panel"))
+    if stage_outliers:
+        # the reference checks events for outliers before and after month-end
+        # placement; both reports come from the intermediate plans
+        keys = [spec.group, spec.date, "year"]
+        for name in ("events_zero_filled", "events_placed"):
+            rep = O.iqr_outliers(stages[name], [spec.events_col], [spec.group, "year"], keys)
+            write_parquet(rep, os.path.join(out, f"outliers_{name}"))
 
     outliers = O.iqr_outliers(panel, DAILY_CHECKED, [spec.group, "year"], [spec.group, spec.date, "year"])
     write_parquet(outliers, os.path.join(out, "outliers"))

@@ -92,6 +92,11 @@ def test_pipeline_end_to_end(spark, landing, tmp_path):
     # target tail after 2007-06 is missing before imputation
     assert rows[("japan", D(2007, 7, 2))].fx_reserves is None
     assert rows[("japan", D(2007, 6, 2))].fx_reserves == 1000 + 10 * 17 + 200
+    # events outliers before / after placement: after placement every day
+    # but the month's last is 0, so the month-end values stand out
+    before = spark.read.parquet(str(tmp_path / "out" / "outliers_events_zero_filled")).count()
+    after = spark.read.parquet(str(tmp_path / "out" / "outliers_events_placed")).count()
+    assert after > before
     # missing report: one row per panel column
     assert res.missing.count() == len(p.columns)
     # imputation: observed targets kept, tail filled for fitted groups
