@@ -133,3 +133,41 @@ def impute_panel(spark, sf_dir):
     """The panel with its missing target tail imputed per nation (period
     split, F-test selection on the training rows, cross-validated forests)."""
     return round_doubles(run_imputation(spark, sf_dir).panel, I.R4)
+
+
+def _stage_sql(stage: str, cte: str, col: str) -> str:
+    return f"""
+{stage}_v AS (SELECT nation, day, year, CAST({col} AS DOUBLE) AS v FROM {cte}),
+{stage}_q AS (SELECT nation, year, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
+              FROM {stage}_v GROUP BY nation, year),
+{stage}_o AS (
+  SELECT '{stage}' AS stage, x.nation, x.day, x.year, x.v AS outlier_value, q.q1, q.q3, q.q3 - q.q1 AS iqr
+  FROM {stage}_v x JOIN {stage}_q q ON x.nation = q.nation AND x.year = q.year
+  WHERE x.v < q.q1 - 1.5 * (q.q3 - q.q1) OR x.v > q.q3 + 1.5 * (q.q3 - q.q1))"""
+
+
+@query(
+    "events_outliers_stages",
+    I.PANEL_SQL
+    + ","
+    + _stage_sql("zero_filled", "p3", "events0")
+    + ","
+    + _stage_sql("placed", "p4", "events")
+    + """
+SELECT stage, nation, day, year, round(outlier_value, 4) AS outlier_value, round(q1, 4) AS q1,
+       round(q3, 4) AS q3, round(iqr, 4) AS iqr
+FROM (SELECT * FROM zero_filled_o UNION ALL SELECT * FROM placed_o)
+""",
+)
+def events_outliers_stages(spark, sf_dir):
+    """Events outliers per (nation, year) after the zero fill and again after
+    month-end placement, as the reference checks them twice."""
+    from panelsmith.plans.panel import build_panel
+
+    stages: dict = {}
+    build_panel(**I.panel_inputs(Tables(spark, sf_dir)), spec=I.panel_spec(), stages=stages)
+    parts = []
+    for stage, key in [("zero_filled", "events_zero_filled"), ("placed", "events_placed")]:
+        o = O.iqr_outliers(stages[key], ["events"], ["nation", "year"], ["nation", "day", "year"], method="exact")
+        parts.append(o.select(F.lit(stage).alias("stage"), "nation", "day", "year", "outlier_value", "q1", "q3", "iqr"))
+    return round_doubles(parts[0].unionByName(parts[1]), I.R4)
