@@ -48,3 +48,18 @@ def test_query_matches_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE) - ML))
 def test_rows_only_queries_run(spark, name):
     assert registry.QUERIES[name](spark, SMALL).count() >= 0
+
+
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+    "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint",
+}
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_query_types_match_sql(spark, con, name):
+    sdf = registry.QUERIES[name](spark, SMALL)
+    rel = con.sql(registry.ORACLE[name])
+    spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
