@@ -95,23 +95,29 @@ def fit_group_forests(
     group_threads: int = 4,
     max_bins: int = 32,
     features_by_group: dict | None = None,
+    min_rows: int | None = None,
 ) -> GroupForests:
     """Cross-validated forest per group on the ``split == 'train'`` rows with a
     non-null label. ``df`` must carry ``split`` and ``fold`` (see ``prepare``).
 
     ``features_by_group`` gives each group its own feature list (e.g. the
-    features its F-test selected); a group with no feature is skipped and
-    listed in ``skipped``."""
+    features its F-test selected). A group with no feature, or with fewer
+    than ``min_rows`` (default 2 x folds) labelled training rows, is skipped
+    and listed in ``skipped``; its missing targets stay missing."""
     grid = grid or REFERENCE_GRID
     features = list(features)
     train = df.where((F.col("split") == "train") & F.col(label).isNotNull()).select(
         group_col, *features, label, F.col("fold").cast("int").alias("fold")
     )
-    groups = [r[0] for r in train.select(group_col).distinct().orderBy(group_col).collect()]
+    # one small aggregate: labelled training rows per group (groups x 1 rows)
+    min_rows = 2 * folds if min_rows is None else min_rows
+    sizes = {r[0]: r[1] for r in train.groupBy(group_col).count().collect()}
+    groups = sorted(g for g, n in sizes.items() if n >= min_rows)
     out = GroupForests(group_col=group_col, features=features, label=label)
+    out.skipped = sorted(g for g, n in sizes.items() if n < min_rows)
     if features_by_group is not None:
         out.features_of = {g: list(features_by_group.get(g, [])) for g in groups}
-        out.skipped = [g for g in groups if not out.features_of[g]]
+        out.skipped += [g for g in groups if not out.features_of[g]]
         groups = [g for g in groups if out.features_of[g]]
 
     def search(g):

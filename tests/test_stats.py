@@ -115,3 +115,14 @@ def test_period_split_removes_monthly_target_leakage(spark):
     leaky = test_r2(["country", "date"])
     clean = test_r2(["year", "month"])
     assert leaky > 0.8 and clean < leaky - 0.4
+
+
+def test_tiny_group_is_skipped_not_fatal(spark):
+    df = spark.range(0, 400).select(
+        F.when(F.col("id") < 397, F.lit("big")).otherwise(F.lit("tiny")).alias("g"),
+        "id", (F.col("id") % 13).cast("double").alias("x"),
+    ).withColumn("y", F.col("x") * 2.0)
+    prep = IM.prepare(df, "y", ["id"], folds=2)
+    grid = {"numTrees": [5], "maxDepth": [3], "featureSubsetStrategy": ["all"]}
+    fitted = IM.fit_group_forests(prep, "g", ["x"], "y", grid=grid, folds=2, parallelism=1, group_threads=2)
+    assert set(fitted.models) == {"big"} and fitted.skipped == ["tiny"]
