@@ -4,8 +4,8 @@ target imputed, results written as Parquet.
 
 Landing layout under ``landing`` (see ``sources.normalise`` for each shape)::
 
-    fred/series_id=<ID>/*.json      eia/series=<column>/*.json     wb/*.json
-    acled.csv   imf.csv   gpr.csv   lsci.csv.gz   australiancpi.csv
+    rates/series_id=<ID>/*.json      oil/series=<column>/*.json     reserves/*.json
+    conflict_events.csv   price_index.csv   risk_index.csv   shipping_index.csv.gz   index_patch.csv
 
 Outputs under ``out``: ``panel/``, ``outliers/``, ``outliers_events_zero_filled/``,
 ``outliers_events_placed/``, ``missing/``, ``final/``, ``scores/``,
@@ -48,18 +48,18 @@ def load_sources(spark: SparkSession, landing: str, gpr_schema: str) -> dict:
     """All normalised source tables of a landing zone, keyed as ``build_panel``
     expects them."""
     j = lambda *p: os.path.join(landing, *p)
-    base = N.rates_panel(spark, j("fred"))
-    cpi = N.period_index(spark, j("imf.csv")).withColumnRenamed("value", "cpi")
-    patch = N.quarterly_patch(spark, j("australiancpi.csv"), "australia").withColumnRenamed("australia_cpi", "patch_cpi")
+    base = N.rates_panel(spark, j("rates"))
+    cpi = N.period_index(spark, j("price_index.csv")).withColumnRenamed("value", "cpi")
+    patch = N.quarterly_patch(spark, j("index_patch.csv"), "australia")
     return dict(
         base=base,
-        prices=N.price_panel(spark, j("eia")),
-        events=N.event_counts(spark, j("acled.csv")),
+        prices=N.price_panel(spark, j("oil")),
+        events=N.event_counts(spark, j("conflict_events.csv")),
         index=cpi,
         patch=patch,
-        gpr=N.wide_index(spark, j("gpr.csv"), gpr_schema),
-        lsci=N.shipping_index(spark, j("lsci.csv.gz")),
-        target=N.reserves(spark, j("wb")),
+        gpr=N.wide_index(spark, j("risk_index.csv"), gpr_schema),
+        lsci=N.shipping_index(spark, j("shipping_index.csv.gz")),
+        target=N.reserves(spark, j("reserves")),
     )
 
 
@@ -124,7 +124,7 @@ def run_pipeline(
 def unmatched_groups(spark: SparkSession, landing: str) -> DataFrame:
     """Source names of the event sheet that map to no group (reported, not
     silently dropped)."""
-    raw = spark.read.option("header", True).csv(os.path.join(landing, "acled.csv"))
+    raw = spark.read.option("header", True).csv(os.path.join(landing, "conflict_events.csv"))
     names = raw.select(F.regexp_replace(F.lower(F.trim("Country")), r"\s+", "_").alias("alias")).distinct()
     return dims.unmatched(dims.map_alias(names, "alias"), "alias")
 

@@ -29,40 +29,40 @@ def landing(tmp_path_factory):
     for ci, (name, (iso, rate_id, fx_id)) in enumerate(COUNTRIES.items()):
         rate = [{"date": f"{y}-{m:02d}-01", "realtime_start": "2008-01-01", "value": str(1 + i / 10 + ci)}
                 for i, (y, m) in enumerate(MONTHS)]
-        _json(root / "fred" / f"series_id={rate_id}" / "p.json", {"observations": rate})
+        _json(root / "rates" / f"series_id={rate_id}" / "p.json", {"observations": rate})
         days = [1] if name == "germany" else [2, 9, 16, 23]
         fx = [{"date": f"{y}-{m:02d}-{d:02d}", "realtime_start": "2008-01-01", "value": str(100 + i + d / 100 + ci)}
               for i, (y, m) in enumerate(MONTHS) for d in days]
-        _json(root / "fred" / f"series_id={fx_id}" / "p.json", {"observations": fx})
+        _json(root / "rates" / f"series_id={fx_id}" / "p.json", {"observations": fx})
     for col, off in [("brent_dollars_per_barrel", 0), ("wti_dollars_per_barrel", 5)]:
         data = [{"period": f"{y}-{m:02d}-{d:02d}", "value": str(50 + i + d / 10 + off)}
                 for i, (y, m) in enumerate(MONTHS) for d in range(1, 29) if not (col.startswith("brent") and d == 9)]
-        _json(root / "eia" / f"series={col}" / "p.json", {"response": {"data": data}})
+        _json(root / "oil" / f"series={col}" / "p.json", {"response": {"data": data}})
     names = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
              "November", "December"]
     lines = ["Country,Month,Year,Events"] + [
         f"{n.title()},{names[m - 1]},{y},{(i + 1) * 10 + ci}" for ci, n in enumerate(COUNTRIES) for i, (y, m) in enumerate(MONTHS)
     ] + ["Atlantis,May,2006,9"]
-    (root / "acled.csv").write_text("\n".join(lines) + "\n")
+    (root / "conflict_events.csv").write_text("\n".join(lines) + "\n")
     imf = ["TIME_PERIOD,COUNTRY,value"] + [
         f"{y}-M{m:02d},{iso},{80 + i + ci}" for ci, (n, (iso, _, _)) in enumerate(COUNTRIES.items())
         for i, (y, m) in enumerate(MONTHS) if not (iso == "AUS" and (y, m) < (2006, 8))
     ]
-    (root / "imf.csv").write_text("\n".join(imf) + "\n")
-    (root / "australiancpi.csv").write_text("date,cpi_index\nMar 2006,84.9\nJun 2006,85.9\nSep 2006,86.7\n")
+    (root / "price_index.csv").write_text("\n".join(imf) + "\n")
+    (root / "index_patch.csv").write_text("date,cpi_index\nMar 2006,84.9\nJun 2006,85.9\nSep 2006,86.7\n")
     gpr = ["month,GPR,GPRC_AUS,GPRC_DEU,GPRC_JPN", "2005-12-01,1,1,1,1"] + [
         f"{y}-{m:02d}-01,1,{0.1 * i},{0.2 * i},{0.3 * i}" for i, (y, m) in enumerate(MONTHS)
     ]
-    (root / "gpr.csv").write_text("\n".join(gpr) + "\n")
+    (root / "risk_index.csv").write_text("\n".join(gpr) + "\n")
     lsci = ["Economy_Label,Month_Label,Index_Average_M2_2023__100_Value"] + [
         f"{n.title()},{lab} {y},{10 + i + ci}" for ci, n in enumerate(COUNTRIES)
         for i, (y, lab) in enumerate([(2006, "feb."), (2006, "may"), (2006, "aug."), (2006, "nov."), (2007, "feb."), (2007, "may")])
     ]
-    (root / "lsci.csv.gz").write_bytes(gzip.compress(("\n".join(lsci) + "\n").encode()))
+    (root / "shipping_index.csv.gz").write_bytes(gzip.compress(("\n".join(lsci) + "\n").encode()))
     wb = [{"OBS_VALUE": str(1000 + 10 * i + 100 * ci), "REF_AREA": iso, "TIME_PERIOD": f"{y}-{m:02d}", "UNIT_MEASURE": u}
           for ci, (iso, _, _) in enumerate(COUNTRIES.values()) for i, (y, m) in enumerate(MONTHS) if (y, m) <= (2007, 6)
           for u in ("USD", "XDR")]
-    _json(root / "wb" / "p.json", {"value": wb})
+    _json(root / "reserves" / "p.json", {"value": wb})
     return root
 
 
@@ -132,7 +132,7 @@ def test_duplicate_source_key_fails_fast(spark, landing, tmp_path):
 
     bad = tmp_path / "bad"
     shutil.copytree(landing, bad)
-    with open(bad / "acled.csv", "a") as fh:
+    with open(bad / "conflict_events.csv", "a") as fh:
         fh.write("Japan,May,2006,1\n")  # second row for (japan, 2006, 5)
     with pytest.raises(ValueError, match="not unique"):
         run_pipeline(spark, str(bad), str(tmp_path / "out"), GPR_SCHEMA, folds=2)

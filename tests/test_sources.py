@@ -18,7 +18,7 @@ def _write_json(path, obj):
 
 
 def test_rates_panel(spark, tmp_path):
-    root = tmp_path / "fred"
+    root = tmp_path / "rates"
     obs = lambda rows: {"observations": [dict(zip(["date", "realtime_start", "value"], r)) for r in rows]}
     # monthly rate: two revisions for April, the later one wins
     _write_json(root / "series_id=IRSTCI01JPM156N" / "p1.json",
@@ -33,7 +33,7 @@ def test_rates_panel(spark, tmp_path):
 
 
 def test_price_panel(spark, tmp_path):
-    root = tmp_path / "eia"
+    root = tmp_path / "oil"
     page = lambda rows: {"response": {"data": [{"period": p, "value": v} for p, v in rows]}}
     _write_json(root / "series=brent_dollars_per_barrel" / "b1.json", page([("2006-01-03", "60.5"), ("2006-01-04", "61")]))
     _write_json(root / "series=brent_dollars_per_barrel" / "b2.json", page([("2025-01-02", "75")]))
@@ -44,16 +44,16 @@ def test_price_panel(spark, tmp_path):
 
 def test_reserves_usd_only(spark, tmp_path):
     rec = lambda v, a, t, u: {"OBS_VALUE": v, "REF_AREA": a, "TIME_PERIOD": t, "UNIT_MEASURE": u}
-    _write_json(tmp_path / "wb" / "p.json", {"value": [rec("10.5", "JPN", "2006-04", "USD"), rec("9", "JPN", "2006-04", "XDR"),
+    _write_json(tmp_path / "reserves" / "p.json", {"value": [rec("10.5", "JPN", "2006-04", "USD"), rec("9", "JPN", "2006-04", "XDR"),
                                                         rec("3", "XXX", "2006-05", "USD")]})
-    got = sorted(((r.country, r.year, r.month, r.fx_reserves) for r in N.reserves(spark, str(tmp_path / "wb")).collect()),
+    got = sorted(((r.country, r.year, r.month, r.fx_reserves) for r in N.reserves(spark, str(tmp_path / "reserves")).collect()),
                  key=lambda t: (t[0] is None, t[0] or "", t[1], t[2]))
     # unknown code kept with a NULL group (reported, not silently dropped)
     assert got == [("japan", 2006, 4, 10.5), (None, 2006, 5, 3.0)]
 
 
 def test_event_counts(spark, tmp_path):
-    p = tmp_path / "acled.csv"
+    p = tmp_path / "conflict_events.csv"
     p.write_text("Country,Month,Year,Events\nSouth Africa,March,2006,7\nTurkey,May,2007,3\nFrance,January,2005,1\nAtlantis,May,2007,9\n")
     got = sorted(tuple(r) for r in N.event_counts(spark, str(p)).collect())
     assert got == [("south_africa", 3, 2006, 7), ("turkiye", 5, 2007, 3)]
@@ -67,7 +67,7 @@ def test_event_counts_unknown_month_fails(spark, tmp_path):
 
 
 def test_wide_index_melt_keeps_nulls(spark, tmp_path):
-    p = tmp_path / "gpr.csv"
+    p = tmp_path / "risk_index.csv"
     p.write_text("month,GPR,GPRC_JPN,GPRC_ZAF\n2005-12-01,1,2,3\n2006-01-01,1,0.5,\n")
     out = N.wide_index(spark, str(p), "month date, GPR double, GPRC_JPN double, GPRC_ZAF double")
     got = sorted((r.country, r.year, r.month, r.gpr_index) for r in out.collect())
@@ -75,14 +75,14 @@ def test_wide_index_melt_keeps_nulls(spark, tmp_path):
 
 
 def test_period_index(spark, tmp_path):
-    p = tmp_path / "imf.csv"
+    p = tmp_path / "price_index.csv"
     p.write_text("TIME_PERIOD,COUNTRY,value\n2006-M04,DEU,101.5\n2006-M05,ITA,99\n")
     got = sorted(tuple(r) for r in N.period_index(spark, str(p)).collect())
     assert got == [("germany", 101.5, 2006, 4), ("italy", 99.0, 2006, 5)]
 
 
 def test_shipping_index_gzip_and_aliases(spark, tmp_path):
-    p = tmp_path / "lsci.csv.gz"
+    p = tmp_path / "shipping_index.csv.gz"
     body = ("Economy_Label,Month_Label,Index_Average_M2_2023__100_Value\n"
             "Russian Federation,feb. 2006,10.5\nRepublic of Korea,may 2006,20\nCanada,Sep. 2010,30\nNowhere,jan. 2006,1\n")
     p.write_bytes(gzip.compress(body.encode()))
