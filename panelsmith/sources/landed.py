@@ -16,7 +16,10 @@ from panelsmith.functions.columns import nan_to_null
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str, header: bool = True, **options) -> DataFrame:
-    """CSV (plain or .gz, decompressed transparently) with a fixed schema."""
+    """CSV (plain or .gz, decompressed transparently) with a fixed schema.
+    Plain CSV is split across tasks; a gzip file is read by one task, so land
+    large gzip sources as many files (or convert them once with
+    ``streaming.ingest.stream_landing``)."""
     r = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         r = r.option(k, v)
@@ -28,11 +31,17 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], cols: Sequence[
     return nan_to_null(df.select(*cols) if cols else df)
 
 
-def read_json_pages(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
-    """One JSON document per file (an API page), parsed with ``schema``. All
-    pages of one source are read by a single scan, replacing a driver loop
-    that fetched and concatenated them."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+def read_json_pages(
+    spark: SparkSession, path: str | Sequence[str], schema: str, multi_line: bool = True
+) -> DataFrame:
+    """JSON pages parsed with ``schema``; all pages of one source are read by
+    a single scan, replacing a driver loop that fetched and concatenated them.
+
+    ``multi_line=True``: one JSON document per file (an API page). Such a file
+    cannot be split, so each page is one task; land pages of bounded size.
+    ``multi_line=False``: JSON Lines, one document per line, split across tasks
+    like CSV, for sources too large for single-task files."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def explode_records(df: DataFrame, array_path: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -103,3 +103,12 @@ def test_dimensions(spark):
     inv = {r.series_id for r in cat.where("invert").collect()}
     assert "DEXJPUS" in inv and "DEXUSAL" not in inv and "CCUSSP01DEM650N" not in inv
     assert dims.countries(spark).count() == 16
+
+
+def test_json_lines_pages(spark, tmp_path):
+    from panelsmith.sources.landed import explode_records, read_json_pages
+
+    p = tmp_path / "pages.jsonl"
+    p.write_text("\n".join(json.dumps({"observations": [{"date": f"2006-01-0{i}", "value": str(i)}]}) for i in range(1, 6)))
+    df = explode_records(read_json_pages(spark, str(p), "observations array<struct<date:string, value:string>>", multi_line=False), "observations")
+    assert df.count() == 5
