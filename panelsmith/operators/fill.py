@@ -43,9 +43,10 @@ def forward_fill(
     bucket: Column | str | None = None,
 ) -> DataFrame:
     """Fill ``cols`` in place. ``bucket`` must be monotone in ``order`` and
-    constant across ties of ``order``; it defaults to the first order column
-    (for a date key pass e.g. ``F.trunc('d', 'month')``, or the name of an
-    existing coarser column such as ``'year'``)."""
+    constant across ties of ``order``: an expression (e.g.
+    ``F.trunc('d', 'month')``) or the name of an existing coarser column
+    (e.g. ``'year'``). Without one, a date/timestamp first order key is
+    bucketed by month; any other key falls back to the window form."""
     cols, by, order = list(cols), list(by), list(order)
     if strategy == "window":
         w = Window.partitionBy(*by).orderBy(*order)
@@ -53,13 +54,23 @@ def forward_fill(
     if strategy != "bucketed":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    if bucket is None:
+        # default bucket: the month of a date / timestamp order key. Other
+        # keys have no natural coarsening, and the key itself would make one
+        # bucket per row, so without an explicit bucket use the window form.
+        kind = dict(df.dtypes).get(order[0], "")
+        if kind.startswith("date") or kind.startswith("timestamp"):
+            bucket = F.trunc(F.col(order[0]).cast("date"), "month")
+        else:
+            w = Window.partitionBy(*by).orderBy(*order)
+            return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
     if isinstance(bucket, str):
         # an existing column: windows and joins keyed on it can reuse a
         # partitioning by (group, bucket) that earlier steps already made
         b, base = bucket, df
     else:
         b = "__ff_bucket"
-        base = df.withColumn(b, F.col(order[0]) if bucket is None else bucket)
+        base = df.withColumn(b, bucket)
 
     # 1) fill inside each (group, bucket); these windows run in parallel
     w_in = Window.partitionBy(*by, b).orderBy(*order)

@@ -80,3 +80,11 @@ def test_hot_group_is_spread_over_tasks(spark):
         assert tasks("bucketed", F.floor(F.col("t") / 500)) > 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_default_bucket(spark):
+    rows = [("a", D(2006, 1, 31), 1.0), ("a", D(2006, 2, 1), None), ("a", D(2006, 4, 2), None)]
+    df = spark.createDataFrame(rows, "g string, d date, v double")
+    assert [r.v for r in forward_fill(df, ["v"], ["g"], ["d"]).orderBy("d").collect()] == [1.0, 1.0, 1.0]
+    ints = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "g string, t int, v double")
+    assert [r.v for r in forward_fill(ints, ["v"], ["g"], ["t"]).orderBy("t").collect()] == [2.0, 2.0]
