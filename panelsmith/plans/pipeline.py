@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from panelsmith.operators import outliers as O
 from panelsmith.operators import quality as Q
 from panelsmith.operators.impute import cv_scores, feature_importances
+from panelsmith.operators.placement import period_end_place
 from panelsmith.plans.imputation import ImputationResult, impute_groups
 from panelsmith.plans.panel import PanelSpec, build_panel
 from panelsmith.sources import dims
@@ -98,8 +99,13 @@ def run_pipeline(
         # the reference checks events for outliers before and after month-end
         # placement; both reports come from the intermediate plans
         keys = [spec.group, spec.date, "year"]
-        for name in ("events_zero_filled", "events_placed"):
-            rep = O.iqr_outliers(stages[name], [spec.events_col], [spec.group, "year"], keys)
+        cols = [spec.group, spec.date, "year", "month", spec.events_col]
+        zf_path = os.path.join(out, "stage_events_zero_filled")
+        write_parquet(stages["events_zero_filled"].select(*cols), zf_path)
+        zf = spark.read.parquet(zf_path)
+        placed = period_end_place(zf, spec.events_col, [spec.group], ["year", "month"], spec.date)
+        for name, frame in (("events_zero_filled", zf), ("events_placed", placed)):
+            rep = O.iqr_outliers(frame, [spec.events_col], [spec.group, "year"], keys)
             write_parquet(rep, os.path.join(out, f"outliers_{name}"))
 
     outliers = O.iqr_outliers(panel, DAILY_CHECKED, [spec.group, "year"], [spec.group, spec.date, "year"])

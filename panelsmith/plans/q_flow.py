@@ -162,12 +162,18 @@ FROM (SELECT * FROM zero_filled_o UNION ALL SELECT * FROM placed_o)
 def events_outliers_stages(spark, sf_dir):
     """Events outliers per (nation, year) after the zero fill and again after
     month-end placement, as the reference checks them twice."""
+    from panelsmith.operators.placement import period_end_place
     from panelsmith.plans.panel import build_panel
+    from panelsmith.session import cut_lineage
 
     stages: dict = {}
     build_panel(**I.panel_inputs(Tables(spark, sf_dir)), spec=I.panel_spec(), stages=stages)
+    # the outlier passes read each stage 3 times: materialize the zero-filled
+    # stage once (5 columns) and derive the placed stage from it
+    zf = cut_lineage(stages["events_zero_filled"].select("nation", "day", "year", "month", "events"), "events_stage")
+    placed = period_end_place(zf, "events", ["nation"], ["year", "month"], "day")
     parts = []
-    for stage, key in [("zero_filled", "events_zero_filled"), ("placed", "events_placed")]:
-        o = O.iqr_outliers(stages[key], ["events"], ["nation", "year"], ["nation", "day", "year"], method="exact")
+    for stage, frame in [("zero_filled", zf), ("placed", placed)]:
+        o = O.iqr_outliers(frame, ["events"], ["nation", "year"], ["nation", "day", "year"], method="exact")
         parts.append(o.select(F.lit(stage).alias("stage"), "nation", "day", "year", "outlier_value", "q1", "q3", "iqr"))
     return round_doubles(parts[0].unionByName(parts[1]), I.R4)
