@@ -112,3 +112,19 @@ def test_json_lines_pages(spark, tmp_path):
     p.write_text("\n".join(json.dumps({"observations": [{"date": f"2006-01-0{i}", "value": str(i)}]}) for i in range(1, 6)))
     df = explode_records(read_json_pages(spark, str(p), "observations array<struct<date:string, value:string>>", multi_line=False), "observations")
     assert df.count() == 5
+
+
+def test_parquet_ingest_turns_nan_into_null(spark, tmp_path):
+    import pandas as pd
+
+    from panelsmith.sources.landed import read_parquet
+
+    path = str(tmp_path / "nan.parquet")
+    spark.createDataFrame(pd.DataFrame({"a": [1.0, float("nan")], "b": ["x", "y"]})).write.parquet(path)
+    got = sorted((r.b, r.a) for r in read_parquet(spark, path).collect())
+    assert got == [("x", 1.0), ("y", None)]
+
+
+def test_keep_groups_is_a_semi_join(spark):
+    df = spark.createDataFrame([("japan", 1), ("atlantis", 2), ("japan", 3)], "country string, v int")
+    assert sorted(r.v for r in N.keep_groups(df).collect()) == [1, 3]
