@@ -302,3 +302,34 @@ FROM panel
 def panel(spark, sf_dir):
     """Flagship: the full panel assembly on the test tables."""
     return round_doubles(I.build_test_panel(Tables(spark, sf_dir)), I.R4)
+
+
+@query(
+    "latest_revision_masked",
+    f"""
+WITH e AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id,
+         CASE WHEN {I.md5_sql('event_id', 10)} = 0 THEN '.' ELSE CAST(value AS VARCHAR) END AS raw
+  FROM events),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) AS rn FROM e)
+SELECT user_id, day, event_id, raw, round(TRY_CAST(raw AS DOUBLE), 4) AS value FROM r WHERE rn = 1
+""",
+)
+def latest_revision_masked(spark, sf_dir):
+    """Latest event per (user, day) whose value text may be '.': the latest
+    row wins even then, and its value stays missing (no fall-back to an
+    earlier row), as for a series revision that is not a number."""
+    from panelsmith.functions.hashing import md5_bucket
+
+    e = Tables(spark, sf_dir).events.select(
+        "user_id",
+        F.to_date("ts").alias("day"),
+        "ts",
+        "event_id",
+        F.when(md5_bucket("event_id", 10) == 0, F.lit(".")).otherwise(F.col("value").cast("string")).alias("raw"),
+    )
+    latest = latest_per_key(e, ["user_id", "day"], ["ts"], ["event_id"])
+    return round_doubles(
+        latest.select("user_id", "day", "event_id", "raw", F.col("raw").try_cast("double").alias("value")), I.R4
+    )
