@@ -323,3 +323,21 @@ def hash_split(spark, sf_dir):
 def kfold_assign(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderpriority", fold_of("o_orderkey", 5).alias("fold"))
     return o.groupBy("o_orderpriority", "fold").agg(F.count("*").alias("n_rows"))
+
+
+_NAMES_SQL = "[" + ", ".join(f"'{m}'" for m in D.MONTH_NAMES) + "]"
+
+
+@query(
+    "month_name_remap",
+    f"""
+SELECT DISTINCT strftime(o_orderdate, '%B') AS month_name,
+       CAST(list_position({_NAMES_SQL}, lower(strftime(o_orderdate, '%B'))) AS INTEGER) AS month
+FROM orders
+""",
+)
+def month_name_remap(spark, sf_dir):
+    """Full month names (as in a landed sheet) mapped to 1..12; a name that
+    is not a month fails the job instead of becoming NULL."""
+    o = Tables(spark, sf_dir).orders.select(F.date_format("o_orderdate", "MMMM").alias("month_name")).distinct()
+    return o.select("month_name", D.month_from_name("month_name").alias("month"))
