@@ -341,3 +341,28 @@ def month_name_remap(spark, sf_dir):
     is not a month fails the job instead of becoming NULL."""
     o = Tables(spark, sf_dir).orders.select(F.date_format("o_orderdate", "MMMM").alias("month_name")).distinct()
     return o.select("month_name", D.month_from_name("month_name").alias("month"))
+
+
+@query(
+    "quarter_month_map",
+    """
+SELECT DISTINCT strftime(o_orderdate, '%b') AS label,
+       CASE strftime(o_orderdate, '%b') WHEN 'Mar' THEN 3 WHEN 'Jun' THEN 6 WHEN 'Sep' THEN 9 WHEN 'Dec' THEN 12 END AS month
+FROM orders
+""",
+)
+def quarter_month_map(spark, sf_dir):
+    """Quarter-end labels of a quarterly series mapped to their month; other
+    labels give NULL."""
+    o = Tables(spark, sf_dir).orders.select(F.date_format("o_orderdate", "MMM").alias("label")).distinct()
+    return o.select("label", D.quarter_month("label").alias("month"))
+
+
+@query(
+    "column_slice",
+    "SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem",
+)
+def column_slice(spark, sf_dir):
+    """Inclusive slice of columns by label (first..last in table order); only
+    the sliced columns reach the scan."""
+    return C.select_slice(Tables(spark, sf_dir).lineitem, "l_quantity", "l_tax")
