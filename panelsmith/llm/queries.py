@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import mixing, secret_ledger, url_rules
+from panelsmith.llm import inner_topk, jaccard_join, mixing, secret_ledger, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -21,6 +21,28 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# -------------------------------------------------------- op2 n-gram Jaccard join
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+')"
+
+JACCARD_SQL = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2]) END) AS s FROM docs),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM tokens x JOIN tokens y ON x.t = y.t AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 90 * (max(x.n) + max(y.n) - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = s.doc_id) AS component_id FROM sets s
+"""
+
+
+@query("op2_jaccard_join", JACCARD_SQL)
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 # ------------------------------------------------------------ op4 secret scans
 
 _SPLIT = """list_filter(list_transform(range(1, len(m) + 1), lambda i: {{'start': list_sum(list_transform(p[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i-1], lambda x: length(x))), 0),
@@ -59,6 +81,23 @@ def op4_secret_scans(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------- op6 exact top-k search
+
+TOPK_SQL = """
+WITH usable AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op6_topk_search", TOPK_SQL)
+def op6_topk_search(spark, sf_dir):
+    return inner_topk.inner_topk(read_table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20, scale=64.0)
+
+
 # -------------------------------------------------------------- op7 URL filters
 
 #: host, path, verdict
