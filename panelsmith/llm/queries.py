@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import inner_topk, jaccard_join, mixing, secret_ledger, url_rules
+from panelsmith.llm import decontaminate, inner_topk, jaccard_join, mixing, secret_ledger, token_spans, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -21,6 +21,25 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# ------------------------------------------------- op1 benchmark decontamination
+
+_SHINGLES = """list_distinct(CASE WHEN len(w) < 5 THEN [] ELSE list_transform(range(1, len(w) - 3),
+  lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]) END)"""
+
+DECONTAMINATE_SQL = f"""
+WITH docs AS (SELECT doc_id, unnest({_SHINGLES}) AS t FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents)),
+items AS (SELECT item_id, len(s) AS n, unnest(s) AS t FROM (SELECT item_id, {_SHINGLES} AS s
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark)))
+SELECT doc_id, item_id, count(*) AS n_shared, max(n) AS n_item, count(*) / max(n) AS containment
+FROM docs JOIN items USING (t) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * max(n)
+"""
+
+
+@query("op1_decontamination", DECONTAMINATE_SQL)
+def op1_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 # -------------------------------------------------------- op2 n-gram Jaccard join
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -43,6 +62,16 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+# -------------------------------------------------------------- op3 token counts
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    record, fields = token_spans.field_record(["source", "lang", "text"])
+    return token_spans.count_section_tokens(docs, record, fields, rule="first")
+
+
 # ------------------------------------------------------------ op4 secret scans
 
 _SPLIT = """list_filter(list_transform(range(1, len(m) + 1), lambda i: {{'start': list_sum(list_transform(p[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i-1], lambda x: length(x))), 0),

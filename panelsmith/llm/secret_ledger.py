@@ -64,11 +64,11 @@ def match_spans(text: Column, rule: Rule) -> Column:
             F.concat(s["out"], F.array(F.struct(begin.alias("start"), (begin + x["len"]).alias("end"), x["size"].alias("size")))).alias("out"),
         )
 
+    # zipped, so that each expression is evaluated once per text; the last
+    # piece follows the last match
     parts = F.transform(
-        whole,
-        lambda m, i: F.struct(
-            F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("len"), F.length(F.get(tested, i)).alias("size")
-        ),
+        F.filter(F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), tested.alias("tested")), lambda z: z["whole"].isNotNull()),
+        lambda z: F.struct(F.length(z["piece"]).alias("gap"), F.length(z["whole"]).alias("len"), F.length(z["tested"]).alias("size")),
     )
     found = F.aggregate(parts, start, step, lambda s: F.filter(s["out"], lambda x: x["size"] >= rule.min_chars))
     found = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
@@ -117,9 +117,10 @@ def scan_unseen(
         )
         for r in rules
     ]
-    return texts.select("blob_id", F.explode(F.filter(F.array(*results), lambda x: x.isNotNull())).alias("r")).select(
-        "blob_id", "r.rule", "r.version", "r.spans"
-    )
+    # the outer form: for the inner one the optimiser would add a test of the
+    # array's size, and so run the rules twice
+    scanned = texts.select("blob_id", F.explode_outer(F.array(*results)).alias("r")).where("r is not null")
+    return scanned.select("blob_id", "r.rule", "r.version", "r.spans")
 
 
 def blob_findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
