@@ -9,14 +9,15 @@ components ("heavy") are not read at all, and each heavy element in the
 prefix is paid for by one more element of prefix, so that l less the heavy
 ones still must be shared. A pair becomes a candidate when it shares what the
 document with the shorter prefix requires; candidates are verified on the
-whole sets. Documents whose prefix has too many heavy elements go on to a
-longer prefix among themselves, up to their whole set, and last with a larger
-bound on heavy ones, so every linked pair is found.
+whole sets. Documents whose prefix has too many heavy elements are compared
+among themselves on their whole sets, with the least bound on heavy elements
+that leaves each of them enough others, so every linked pair is found.
 
 Equal sets are one class from the start. Then classes are linked, where that
-verifies, to the smallest class that shares one of their lowest elements, so
-a large group of near copies is one component before pairs are enumerated:
-only pairs of classes from different components are.
+verifies, to the class among those that share one of their lowest elements
+whose own elements are the most shared (of near copies, the original), so
+most of a large group is one component before pairs are enumerated: only
+pairs of classes from different components are.
 """
 
 from __future__ import annotations
@@ -33,10 +34,10 @@ from panelsmith.llm.components import connected_components
 from panelsmith.session import cut_lineage
 
 #: An element in more components than this is heavy at first.
-HEAVY = 48
-#: Elements of prefix beyond the shortest, at first; then eight times as many.
-SLACK = 8
-#: Lowest elements that tie a class to the smallest class with one of them.
+HEAVY = 12
+#: Elements of prefix beyond the shortest, at first; then the whole set.
+SLACK = 16
+#: Lowest elements that tie a class to one class that has them too.
 ANCHORS = 4
 #: Cost of verifying a candidate pair, in postings.
 VERIFY_COST = 20
@@ -120,76 +121,87 @@ class _Join:
 
     def shared_elements(self, nodes: DataFrame) -> DataFrame:
         """(node, n, pos, token) of the elements that several classes hold."""
-        postings = nodes.select("node", "n", F.posexplode("elements").alias("pos", "token"))
+        postings = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("elements").alias("pos", "token"))
         several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
         return cut_lineage(postings.join(several, "token"), "jaccard-shared")
 
     def anchored(self, shared: DataFrame) -> DataFrame:
-        """Pairs of a class and the smallest class with the same low elements."""
-        low = shared.where(F.col("pos") < ANCHORS)
-        first = low.groupBy("token").agg(F.min(F.struct("n", "node")).alias("f"))
+        """Pairs of a class and the class with most shared elements among
+        those that hold one of its lowest."""
+        commons = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max(self.base() + SLACK)).alias("common"))
+        low = shared.where(F.col("pos") < ANCHORS).select("token", "node", "n").join(commons, "node")
+        first = low.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("f"))
         tied = low.join(first, "token").where("f.node <> node").select(F.col("f.node").alias("a"), F.col("node").alias("b"), "n", F.col("f.n").alias("m"))
-        return tied.where(F.col("m") * self.den >= F.col("n") * self.num).groupBy("a", "b").count().where("count > 1").select("a", "b")
+        fits = F.least("n", "m") * self.den >= F.greatest("n", "m") * self.num
+        return tied.where(fits).groupBy("a", "b").count().where("count > 1").select("a", "b")
 
-    def candidates(self, shared: DataFrame, comps: DataFrame, heavy: int, slack: int) -> tuple[DataFrame, DataFrame]:
+    def candidates(self, shared: DataFrame, comps: DataFrame, whole: bool) -> tuple[DataFrame, DataFrame]:
         """Pairs of classes in different components to verify, and the
         classes (node) whose prefix must become longer."""
         rows = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         per_comp = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         stats = per_comp.groupBy("token").agg(F.count(F.lit(1)).alias("n_comps"), F.sum("c").alias("df")).where("n_comps > 1")
-        rows = cut_lineage(rows.join(stats, "token"), "jaccard-rows").withColumn("is_heavy", F.col("n_comps") > heavy)
-        base, within = self.base(), lambda l: F.col("pos") < F.col("base") + l
-        aggs = []
-        steps = sorted({*range(1, min(slack, SLACK) + 1), *(slack * i // 8 for i in range(1, 9))})
-        for l in steps:  # noqa: E741
-            h = F.coalesce(F.sum(F.when(within(l) & F.col("is_heavy"), 1)), F.lit(0))
-            light = F.coalesce(F.sum(F.when(within(l) & ~F.col("is_heavy"), F.col("df"))), F.lit(0))
-            need = F.lit(l) - h
-            cost = light * (1 + VERIFY_COST / F.greatest(need, F.lit(1)))
-            # l goes up to the least overlap
-            possible = (need >= 1) & (F.lit(l) <= F.max(F.col("n") - F.col("base")))
-            aggs.append(F.when(possible, F.struct(cost.alias("cost"), F.lit(l).alias("l"), need.alias("need"))).alias(f"l{l}"))
-        choice = rows.withColumn("base", base).groupBy("node").agg(*aggs)
-        best = F.least(*[F.col(f"l{l}") for l in steps]) if len(steps) > 1 else F.col(f"l{steps[0]}")
-        choice = cut_lineage(choice.select("node", best.alias("b")).select("node", "b.l", "b.need"), "jaccard-choice")
-        light = rows.where(~F.col("is_heavy")).withColumn("base", base).join(choice, "node")
-        read = light.where(within(F.coalesce("l", F.lit(slack)))).select("token", "comp", "node", "n", "l", "need")
-        read = cut_lineage(read, "jaccard-read")
+        rows = cut_lineage(rows.join(stats, "token").drop("c"), "jaccard-rows")
+        heavy = HEAVY
+        if whole:
+            # a set with m elements to share needs all but m - 1 of its
+            # elements light: the m-th most widespread one must be
+            needed = F.col("n") - self.base()
+            spread = rows.groupBy("node").agg(F.max(needed).cast("int").alias("m"), F.sort_array(F.collect_list("n_comps"), asc=False).alias("s"))
+            heavy = max(heavy, spread.agg(F.max(F.get("s", F.col("m") - 1))).first()[0] or 0)
+        rows = rows.withColumn("is_heavy", F.col("n_comps") > heavy)
+        # the shortest prefix that holds the element, counted in l
+        rows = rows.withColumn("level", F.greatest(F.col("pos") - self.base() + 1, F.lit(1)).cast("int"))
+        if whole:
+            # the whole set: l is the least overlap
+            held = rows.groupBy("node").agg(F.max(F.col("n") - self.base()).alias("l"), F.sum(F.col("is_heavy").cast("int")).alias("h"))
+            choice = held.select("node", "l", (F.col("l") - F.col("h")).alias("need"))
+        else:
+            aggs = []
+            for l in range(1, SLACK + 1):  # noqa: E741
+                inside = F.col("level") <= l
+                h = F.sum(F.when(inside & F.col("is_heavy"), 1).otherwise(0))
+                light = F.sum(F.when(inside & ~F.col("is_heavy"), F.col("df")).otherwise(0))
+                need = F.lit(l) - h
+                cost = light * (1 + VERIFY_COST / F.greatest(need, F.lit(1)))
+                # l goes up to the least overlap
+                possible = (need >= 1) & (F.lit(l) <= F.max(F.col("n") - self.base()))
+                aggs.append(F.when(possible, F.struct(cost.alias("cost"), F.lit(l).alias("l"), need.alias("need"))).alias(f"l{l}"))
+            best = F.least(*[F.col(f"l{l}") for l in range(1, SLACK + 1)])  # noqa: E741
+            choice = rows.groupBy("node").agg(*aggs).select("node", best.alias("b")).select("node", "b.l", "b.need")
+        choice = cut_lineage(choice, "jaccard-choice")
+        light = rows.where(~F.col("is_heavy")).join(choice, "node").where(F.col("l").isNull() | F.lit(whole) | (F.col("level") <= F.col("l")))
+        read = cut_lineage(light.select("token", "comp", "node"), "jaccard-read")
         ends = read.select("token", "comp").distinct()
         cross = ends.join(ends.withColumnRenamed("comp", "other"), "token").where("comp < other")
-        x = read.select("token", "comp", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "l", "need")])
-        y = read.select("token", F.col("comp").alias("other"), *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "l", "need")])
+        x, y = read.withColumnRenamed("node", "a"), read.select("token", F.col("comp").alias("other"), F.col("node").alias("b"))
+        met = cross.join(x, ["token", "comp"]).join(y, ["token", "other"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+        sizes = choice.join(rows.groupBy("node").agg(F.max("n").alias("n")), "node")
+        met = met.join(sizes.toDF("a", "x_l", "x_need", "x_n"), "a").join(sizes.toDF("b", "y_l", "y_need", "y_n"), "b")
         fits = F.least("x_n", "y_n") * self.den >= F.greatest("x_n", "y_n") * self.num
-        settled = F.col("x_l").isNotNull() | F.col("y_l").isNotNull()
-        met = cross.join(x, ["token", "comp"]).join(y, ["token", "other"]).where(fits & settled)
         longest = F.lit(1 << 60)
         xl, yl = F.coalesce("x_l", longest), F.coalesce("y_l", longest)
         need = F.when(xl < yl, F.col("x_need")).when(yl < xl, F.col("y_need")).otherwise(F.greatest("x_need", "y_need"))
-        pairs = met.groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.max(need).alias("need"))
-        return pairs.where("c >= need").select("a", "b"), choice.where("l is null").select("node")
+        # without a need on either side, both go on to their whole sets
+        return met.where(fits & (F.col("c") >= need)).select("a", "b"), choice.where("l is null").select("node")
 
     def run(self) -> DataFrame:
         members = self.members()
         usable = members.where("id is not null and n > 0")
         self.one_id = cut_lineage(usable.groupBy("node").agg(F.min("id").alias("id")), "jaccard-ids")
-        nodes = usable.groupBy("node").agg(F.first("n").alias("n"), F.first("elements").alias("elements"))
+        few = self.one_id.count() <= BROADCAST_ROWS
+        chosen = F.broadcast(self.one_id) if few else self.one_id
+        nodes = usable.join(chosen, ["node", "id"]).select("node", "n", "elements")
         shared = self.shared_elements(nodes)
         links = cut_lineage(self.verified(self.anchored(shared)), "jaccard-links")
         comps = cut_lineage(connected_components(links), "jaccard-comps")
-        heavy, slack = HEAVY, SLACK
-        while True:
-            pairs, left = self.candidates(shared, comps, heavy, slack)
+        pairs, left = self.candidates(shared, comps, whole=False)
+        links = links.unionByName(cut_lineage(self.verified(pairs), "jaccard-links"))
+        if left.count():
+            comps = cut_lineage(connected_components(links), "jaccard-comps")
+            shared = self.shared_elements(self.sets_of(left.join(self.one_id, "node"), lambda s: s))
+            pairs, _ = self.candidates(shared, comps, whole=True)
             links = links.unionByName(cut_lineage(self.verified(pairs), "jaccard-links"))
-            open_sizes = left.join(nodes.select("node", "n"), "node").agg(F.count(F.lit(1)), F.max("n")).first()
-            if not open_sizes[0]:
-                break
-            if slack >= _needed(open_sizes[1], self.num, self.den):
-                heavy *= 4  # their whole sets were in the prefix
-            slack *= 8
-            num, den, more = self.num, self.den, slack
-            shared = self.shared_elements(
-                self.sets_of(left.join(self.one_id, "node"), lambda s: s - _needed(s, num, den) + more)
-            )
         comps = connected_components(links)
         labelled = members.select("id", "n", "node").join(comps, "node", "left")
         # a text without words is linked with nothing: its label is its own id
