@@ -302,11 +302,12 @@ def _train_counts(docs: DataFrame, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(salt, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "salt", "blob"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "blob": [pack_counts(*merge_counts(list(pdf["blob"])))]})
+        merged = merge_counts(list(pdf["blob"]))
+        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(merged[2].sum())], "blob": [pack_counts(*merged)]})
 
     chunked = docs.mapInArrow(work, "bucket long, salt int, blob binary")
-    once = chunked.groupBy("bucket", "salt").applyInPandas(merge, "bucket long, blob binary")
-    return once.groupBy("bucket").applyInPandas(merge, "bucket long, blob binary")
+    once = chunked.groupBy("bucket", "salt").applyInPandas(merge, "bucket long, tokens long, blob binary")
+    return once.groupBy("bucket").applyInPandas(merge, "bucket long, tokens long, blob binary")
 
 
 def _round(counts: DataFrame, m: Totals | None, seed: int) -> tuple[dict, dict, int, int]:
@@ -353,10 +354,15 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
         got, sizes, _, _ = _round(counts, Totals(got, sizes, vocabulary), seed + r)
     m = Totals(got, sizes, vocabulary)
 
+    # groups of chunks that a bucket is scored in: one, unless a word is very
+    # frequent; a token takes about five bytes
+    wanted = F.greatest(F.ceil(F.col("tokens") * (1.25 * 5 / GROUP_BYTES)), F.lit(1))
+    many = {r["bucket"]: int(r["g"]) for r in counts.select("bucket", wanted.alias("g")).where("g > 1").collect()}
+
     def tokens(batches):
         seq, task = 0, TaskContext.get().partitionId()
         for part, words, contexts, doc in _chunks(batches):
-            chunk = (task << 32) + seq
+            chunk = task * 1_000_003 + seq
             seq += 1
             order = np.argsort(words, kind="stable")
             words, contexts, doc = words[order], contexts[order], doc[order]
@@ -374,16 +380,15 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([*buckets.tolist(), -1 - chunk % 4096], pa.int64()),
+                    pa.array([*(chunk % many.get(b, 1) for b in buckets.tolist()), 0], pa.int32()),
                     pa.array([chunk] * (len(blobs) + 1), pa.int64()),
                     pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
                 ],
-                names=["bucket", "chunk", "blob"],
+                names=["bucket", "group", "chunk", "blob"],
             )
 
-    sent = rows.mapInArrow(tokens, "bucket long, chunk long, blob binary")
-    # groups of chunks per bucket: one, unless a word is very frequent
-    spread = counts.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(_groups(volume, bits) - 1))).alias("group"), F.col("blob").alias("counts"))
-    sent = sent.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(_groups(volume, bits))).cast("int"))
+    sent = rows.mapInArrow(tokens, "bucket long, group int, chunk long, blob binary")
+    spread = counts.select("bucket", F.explode(F.sequence(F.lit(0), wanted.cast("int") - 1)).alias("group"), F.col("blob").alias("counts"))
 
     def score(pieces: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(pieces):
@@ -393,7 +398,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
             return pd.DataFrame({"chunk": pieces["chunk"], "is_header": True, "blob": pieces["blob"]})
         state = Seating(*merge_counts(list(known["counts"])))
         mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True)
-        unigrams = np.bincount(np.searchsorted(state.words, np.repeat(state.words, np.diff(np.append(np.searchsorted(state.pairs // FINE, np.arange(len(state.words))), len(state.pairs))))), weights=state.n, minlength=len(state.words)) if len(state.words) else np.zeros(0)
+        unigrams = np.bincount(state.pairs // FINE, weights=state.n, minlength=len(state.words))
         scale = n_train + 0.5 * (vocabulary + 1)
         out = []
         for blob in pieces["blob"]:
@@ -431,8 +436,3 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     schema = f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     return scored.groupBy("chunk").applyInPandas(gather, schema).withColumnRenamed("id", id_col)
 
-
-def _groups(volume: int, bits: int) -> int:
-    """Groups of chunks that a bucket is scored in: if a word may make up a
-    third of all tokens (five bytes each), its share of a group is bounded."""
-    return max(1, int(np.ceil(volume / 6 * 5 / 3 / GROUP_BYTES / 8)))

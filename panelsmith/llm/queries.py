@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import decontaminate, inner_topk, jaccard_join, mixing, secret_ledger, token_spans, url_rules
+from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -110,6 +110,17 @@ def op4_secret_scans(spark, sf_dir):
     )
 
 
+# ----------------------------------------------------------------------- op5 PII
+
+#: In production the key comes from the caller's secret store.
+SURROGATE_KEY = "panelsmith-surrogates"
+
+
+@query("op5_surrogates")
+def op5_surrogates(spark, sf_dir):
+    return surrogates.replace_personal(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 # ---------------------------------------------------------- op6 exact top-k search
 
 TOPK_SQL = """
@@ -155,6 +166,26 @@ def op7_url_filters(spark, sf_dir):
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+# -------------------------------------------------------- op8 quality classifier
+
+
+@query("op8_quality")
+def op8_quality(spark, sf_dir):
+    return importance.select_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+# --------------------------------------------------------------- op9 LM scoring
+
+
+def held_out(id_col: str):
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark, sf_dir):
+    return pitman_yor.score_texts(read_table(spark, sf_dir, "documents"), held_out("doc_id"))
+
+
 # ------------------------------------------------------- op10 mixing to weights
 
 #: Parts of the mix per source; all other sources share OTHER_PARTS.
