@@ -131,11 +131,11 @@ def log_ratios(docs: DataFrame, ratios: np.ndarray, id_type: str) -> DataFrame:
                 bucket, text = features(split, n_buckets)
                 sums = [np.bincount(text, weights=row[bucket], minlength=part.num_rows) for row in table]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), *map(pa.array, sums)],
-                    names=["id", "kind", "n_words", *names],
+                    [part.column("id"), part.column("text_key"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), *map(pa.array, sums)],
+                    names=["id", "text_key", "kind", "n_words", *names],
                 )
 
-    return docs.mapInArrow(work, f"id {id_type}, kind int, n_words long, " + ", ".join(f"{n} double" for n in names))
+    return docs.mapInArrow(work, f"id {id_type}, text_key long, kind int, n_words long, " + ", ".join(f"{n} double" for n in names))
 
 
 def _log_raw(pi: list[float]):
@@ -201,8 +201,9 @@ def select_quality(
     seed: int = 20,
     share: float | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, n_words, log_weight, key
-    (log_weight + temperature * Gumbel noise) and kept (boolean).
+    """One row per row of ``docs``: ``id_col``, text_key (xxhash64 of the
+    text), n_words, log_weight, key (log_weight + temperature * Gumbel noise)
+    and kept (boolean).
 
     ``labels`` (``id_col``, quality 0/1, toxic 0/1) marks good text (quality 1,
     toxic 0) and unwanted text (quality 0, or else toxic 1). Labels with nulls
@@ -218,7 +219,7 @@ def select_quality(
     marks = labels.select(F.col(id_col).alias("id"), kind.alias("kind")).where("id is not null and kind is not null")
     marks = marks.groupBy("id").agg(F.min(F.when(F.col("kind") > 0, F.col("kind"))).alias("bad")).select("id", F.coalesce("bad", F.lit(0)).alias("kind"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
-    rows = rows.select("id", F.coalesce("kind", F.lit(-1)).alias("kind"), "text")
+    rows = rows.select("id", F.xxhash64("text").alias("text_key"), F.coalesce("kind", F.lit(-1)).alias("kind"), "text")
     scored = cut_lineage(log_ratios(rows, fit_models(rows, n_buckets, prior), id_type), "importance-scores")
 
     known = {r["kind"]: r["n"] for r in scored.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 4 rows
@@ -234,7 +235,7 @@ def select_quality(
         k = likely if share is None else round(share * sum(known.values()))
     uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = F.when(F.col("id").isNull(), 0.0).otherwise(-F.log(-F.log(uniform)))
-    keyed = scored.select("id", "n_words", weight.alias("log_weight")).withColumn("key", F.col("log_weight") + temperature * noise)
+    keyed = scored.select("id", "text_key", "n_words", weight.alias("log_weight")).withColumn("key", F.col("log_weight") + temperature * noise)
     cut = None
     if k is not None and k < sum(known.values()):
         cut = kth_largest(keyed, "key", k) if k else math.inf

@@ -95,7 +95,7 @@ class _Join:
     def members(self) -> DataFrame:
         num, den = self.num, self.den
         return cut_lineage(
-            _sets(self.docs, self.n, lambda s: s - _needed(s, num, den) + SLACK, "id long, node long, n long, elements array<long>"),
+            _sets(self.docs, self.n, lambda s: s - _needed(s, num, den) + SLACK, "id long, text_key long, node long, n long, elements array<long>"),
             "jaccard-members",
         )
 
@@ -203,12 +203,12 @@ class _Join:
             pairs, _ = self.candidates(shared, comps, whole=True)
             links = links.unionByName(cut_lineage(self.verified(pairs), "jaccard-links"))
         comps = connected_components(links)
-        labelled = members.select("id", "n", "node").join(comps, "node", "left")
+        labelled = members.select("id", "text_key", "n", "node").join(comps, "node", "left")
         # a text without words is linked with nothing: its label is its own id
         labelled = cut_lineage(labelled.withColumn("label", F.coalesce("comp", "node")), "jaccard-labels")
         smallest = labelled.where("id is not null and n > 0").groupBy("label").agg(F.min("id").alias("least_id"))
         return labelled.join(smallest, "label", "left").select(
-            "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("least_id"))).otherwise(F.col("id")).alias("component_id")
+            "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("least_id"))).otherwise(F.col("id")).alias("component_id"), "text_key"
         )
 
 
@@ -216,7 +216,8 @@ def jaccard_components(
     docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_shingles, component_id (the
-    smallest id that links reach, its own included). Two rows link when
+    smallest id that links reach, its own included), text_key (xxhash64 of the
+    text). Two rows link when
     den * |intersection| >= num * |union| of their n-word shingle sets.
 
     A text with fewer than n words is one shingle, its whole sequence; a null
@@ -227,5 +228,5 @@ def jaccard_components(
     """
     if not (0 < num <= den) or not 1 <= n <= 5:
         raise ValueError("need 0 < num <= den and n from 1 to 5")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
     return _Join(rows, n, num, den).run().withColumnRenamed("id", id_col)

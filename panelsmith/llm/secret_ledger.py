@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelsmith.session import cut_lineage
+
 FINDING = "array<struct<start:int,end:int>>"
 LEDGER_SCHEMA = f"blob_id string, rule string, version int, spans {FINDING}"
 
@@ -179,3 +181,17 @@ def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:
 
     done = F.aggregate(found, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(found) > 0, done).otherwise(text)
+
+
+#: Blobs with findings up to which their list may be broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def redact_versions(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """``versions`` with the findings in ``text_col`` replaced; all rows and
+    columns stay, texts without findings as they are."""
+    hits = cut_lineage(blob_findings(ledger, rules), "secret-findings").select(F.col("blob_id").alias("__blob"), F.col("found").alias("__found"))
+    hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
+    joined = versions.withColumn("__id", blob_id(F.col(text_col))).join(hits, F.col("__id") == F.col("__blob"), "left")
+    clean = F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(redact(F.col(text_col), F.col("__found")))
+    return joined.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in versions.columns])
