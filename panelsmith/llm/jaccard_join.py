@@ -34,9 +34,12 @@ from panelsmith.llm.components import connected_components
 from panelsmith.session import cut_lineage
 
 #: An element in more components than this is heavy at first.
-HEAVY = 12
-#: Elements of prefix beyond the shortest, at first; then the whole set.
-SLACK = 16
+HEAVY = 16
+#: Elements of prefix beyond the shortest, at first, and one more for so many
+#: elements of the set; then the whole set.
+SLACK, SLACK_STEP = 6, 32
+#: Lengths of prefix that a document chooses from.
+CHOICES = 16
 #: Lowest elements that tie a class to one class that has them too.
 ANCHORS = 4
 #: Cost of verifying a candidate pair, in postings.
@@ -88,14 +91,20 @@ class _Join:
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.docs, self.n, self.num, self.den = docs, n, num, den
 
-    def base(self, n="n") -> Column:
-        n = F.col(n)
+    def base(self) -> Column:
+        n = F.col("n")
         return n - F.floor((n * self.num + (self.den - 1)) / self.den)
 
+    def usable(self) -> Column:
+        """The largest l to choose: every set that can be linked has as much
+        slack, and l goes up to the least overlap."""
+        least = F.floor(F.floor(F.col("n") * self.num / self.den) / SLACK_STEP) + SLACK
+        return F.least(least, F.col("n") - self.base())
+
     def members(self) -> DataFrame:
         num, den = self.num, self.den
         return cut_lineage(
-            _sets(self.docs, self.n, lambda s: s - _needed(s, num, den) + SLACK, "id long, text_key long, node long, n long, elements array<long>"),
+            _sets(self.docs, self.n, lambda s: s - _needed(s, num, den) + SLACK + s // SLACK_STEP, "id long, text_key long, node long, n long, elements array<long>"),
             "jaccard-members",
         )
 
@@ -128,7 +137,7 @@ class _Join:
     def anchored(self, shared: DataFrame) -> DataFrame:
         """Pairs of a class and the class with most shared elements among
         those that hold one of its lowest."""
-        commons = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max(self.base() + SLACK)).alias("common"))
+        commons = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max(self.base() + SLACK + F.floor(F.col("n") / SLACK_STEP))).alias("common"))
         low = shared.where(F.col("pos") < ANCHORS).select("token", "node", "n").join(commons, "node")
         first = low.groupBy("token").agg(F.max(F.struct("common", "node", "n")).alias("f"))
         tied = low.join(first, "token").where("f.node <> node").select(F.col("f.node").alias("a"), F.col("node").alias("b"), "n", F.col("f.n").alias("m"))
@@ -158,16 +167,15 @@ class _Join:
             choice = held.select("node", "l", (F.col("l") - F.col("h")).alias("need"))
         else:
             aggs = []
-            for l in range(1, SLACK + 1):  # noqa: E741
-                inside = F.col("level") <= l
+            for i in range(CHOICES):
+                step = F.lit(1) + F.floor((self.usable() - 1) * i / (CHOICES - 1))
+                inside = F.col("level") <= step
                 h = F.sum(F.when(inside & F.col("is_heavy"), 1).otherwise(0))
                 light = F.sum(F.when(inside & ~F.col("is_heavy"), F.col("df")).otherwise(0))
-                need = F.lit(l) - h
+                need = F.max(step) - h
                 cost = light * (1 + VERIFY_COST / F.greatest(need, F.lit(1)))
-                # l goes up to the least overlap
-                possible = (need >= 1) & (F.lit(l) <= F.max(F.col("n") - self.base()))
-                aggs.append(F.when(possible, F.struct(cost.alias("cost"), F.lit(l).alias("l"), need.alias("need"))).alias(f"l{l}"))
-            best = F.least(*[F.col(f"l{l}") for l in range(1, SLACK + 1)])  # noqa: E741
+                aggs.append(F.when(need >= 1, F.struct(cost.alias("cost"), F.max(step).alias("l"), need.alias("need"))).alias(f"l{i}"))
+            best = F.least(*[F.col(f"l{i}") for i in range(CHOICES)])
             choice = rows.groupBy("node").agg(*aggs).select("node", best.alias("b")).select("node", "b.l", "b.need")
         choice = cut_lineage(choice, "jaccard-choice")
         light = rows.where(~F.col("is_heavy")).join(choice, "node").where(F.col("l").isNull() | F.lit(whole) | (F.col("level") <= F.col("l")))
