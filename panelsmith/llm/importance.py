@@ -129,7 +129,7 @@ def log_ratios(docs: DataFrame, ratios: np.ndarray, id_type: str) -> DataFrame:
             for part in W.chunks(batch, "text"):
                 split = W.split_words(part.column("text"), lower=False)
                 bucket, text = features(split, n_buckets)
-                sums = [np.bincount(text, weights=row[bucket], minlength=part.num_rows) for row in table]
+                sums = [np.bincount(text, weights=row[bucket], minlength=part.num_rows).astype(float) for row in table]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("text_key"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), *map(pa.array, sums)],
                     names=["id", "text_key", "kind", "n_words", *names],

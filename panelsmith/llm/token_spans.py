@@ -76,7 +76,7 @@ def allocate(first: np.ndarray, end: np.ndarray, begin: np.ndarray, stop: np.nda
     both = np.searchsorted(end, begin, "right")  # a token over both edges counts once
     ok = both < len(end)
     wide = np.zeros(len(begin), dtype=np.int64)
-    wide[ok] = (first[both[ok]] < begin[ok]) & (end[both[ok]] > stop[ok]) & (begin[ok] < stop[ok])
+    wide[ok] = (first[both[ok]] < begin[ok]) & (end[both[ok]] > stop[ok])
     return np.asarray(held, dtype=float), crossing - wide
 
 
