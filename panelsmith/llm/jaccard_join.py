@@ -10,8 +10,11 @@ prefix is paid for by one more element of prefix, so that l less the heavy
 ones still must be shared. A pair becomes a candidate when it shares what the
 document with the shorter prefix requires; candidates are verified on the
 whole sets. Documents whose prefix has too many heavy elements are compared
-among themselves on their whole sets, with the least bound on heavy elements
-that leaves each of them enough others, so every linked pair is found.
+among themselves by prefixes of their whole sets in the order of how many
+components hold an element, the rarest first. Those who share an element of
+that prefix meet in blocks of bounded size and are verified there by counting,
+so no pairs are written but a forest of the links found. Every linked pair of
+components is found at one of the two levels.
 
 Equal sets are one class from the start. Then classes are linked, where that
 verifies, to the class among those that share one of their lowest elements
@@ -25,9 +28,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from panelsmith.llm import words as W
 from panelsmith.llm.components import connected_components
@@ -44,6 +49,8 @@ CHOICES = 16
 ANCHORS = 4
 #: Cost of verifying a candidate pair, in postings.
 VERIFY_COST = 20
+#: Sets of one element that meet in a block at most, from either side.
+BLOCK = 256
 #: Rows up to which a list of class ids (16 bytes each) may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -87,6 +94,40 @@ def _sets(docs: DataFrame, n: int, keep, schema: str) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
+def forest(comp: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> tuple[list[int], list[int]]:
+    """Linked pairs of sets that join different components, less those that
+    join what earlier ones have joined."""
+    if len(sets) < 2 or (comp == comp[0]).all():
+        return [], []
+    sizes = np.array([len(s) for s in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(column[-1]) + 1, 8192):  # elements at a time
+        cut = slice(np.searchsorted(column, lo), np.searchsorted(column, lo + 8192))
+        held = np.zeros((len(sets), 8192), dtype=np.float32)
+        held[row[cut], column[cut] - lo] = 1
+        shared += held @ held.T
+    linked = den * shared.astype(np.int64) >= num * (sizes[:, None] + sizes[None, :] - shared.astype(np.int64))
+    root, out = {int(c): int(c) for c in comp}, ([], [])
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    for i, j in zip(*np.nonzero(np.triu(linked, 1) & (comp[:, None] != comp[None, :]))):
+        a, b = find(int(comp[i])), find(int(comp[j]))
+        if a != b:
+            root[a] = b
+            out[0].append(int(i))
+            out[1].append(int(j))
+    return out
+
+
 class _Join:
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.docs, self.n, self.num, self.den = docs, n, num, den
@@ -144,41 +185,33 @@ class _Join:
         fits = F.least("n", "m") * self.den >= F.greatest("n", "m") * self.num
         return tied.where(fits).groupBy("a", "b").count().where("count > 1").select("a", "b")
 
-    def candidates(self, shared: DataFrame, comps: DataFrame, whole: bool) -> tuple[DataFrame, DataFrame]:
-        """Pairs of classes in different components to verify, and the
-        classes (node) whose prefix must become longer."""
+    def spread(self, shared: DataFrame, comps: DataFrame) -> DataFrame:
+        """``shared`` with the component of each class, and the number of
+        components (n_comps > 1) and classes (df) that hold each element."""
         rows = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         per_comp = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         stats = per_comp.groupBy("token").agg(F.count(F.lit(1)).alias("n_comps"), F.sum("c").alias("df")).where("n_comps > 1")
-        rows = cut_lineage(rows.join(stats, "token").drop("c"), "jaccard-rows")
-        heavy = HEAVY
-        if whole:
-            # a set with m elements to share needs all but m - 1 of its
-            # elements light: the m-th most widespread one must be
-            needed = F.col("n") - self.base()
-            spread = rows.groupBy("node").agg(F.max(needed).cast("int").alias("m"), F.sort_array(F.collect_list("n_comps"), asc=False).alias("s"))
-            heavy = max(heavy, spread.agg(F.max(F.get("s", F.col("m") - 1))).first()[0] or 0)
-        rows = rows.withColumn("is_heavy", F.col("n_comps") > heavy)
+        return cut_lineage(rows.join(stats, "token"), "jaccard-rows")
+
+    def candidates(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs of classes in different components to verify, and the
+        classes (node) whose prefix must become longer."""
+        rows = rows.withColumn("is_heavy", F.col("n_comps") > HEAVY)
         # the shortest prefix that holds the element, counted in l
         rows = rows.withColumn("level", F.greatest(F.col("pos") - self.base() + 1, F.lit(1)).cast("int"))
-        if whole:
-            # the whole set: l is the least overlap
-            held = rows.groupBy("node").agg(F.max(F.col("n") - self.base()).alias("l"), F.sum(F.col("is_heavy").cast("int")).alias("h"))
-            choice = held.select("node", "l", (F.col("l") - F.col("h")).alias("need"))
-        else:
-            aggs = []
-            for i in range(CHOICES):
-                step = F.lit(1) + F.floor((self.usable() - 1) * i / (CHOICES - 1))
-                inside = F.col("level") <= step
-                h = F.sum(F.when(inside & F.col("is_heavy"), 1).otherwise(0))
-                light = F.sum(F.when(inside & ~F.col("is_heavy"), F.col("df")).otherwise(0))
-                need = F.max(step) - h
-                cost = light * (1 + VERIFY_COST / F.greatest(need, F.lit(1)))
-                aggs.append(F.when(need >= 1, F.struct(cost.alias("cost"), F.max(step).alias("l"), need.alias("need"))).alias(f"l{i}"))
-            best = F.least(*[F.col(f"l{i}") for i in range(CHOICES)])
-            choice = rows.groupBy("node").agg(*aggs).select("node", best.alias("b")).select("node", "b.l", "b.need")
+        aggs = []
+        for i in range(CHOICES):
+            step = F.lit(1) + F.floor((self.usable() - 1) * i / (CHOICES - 1))
+            inside = F.col("level") <= step
+            h = F.sum(F.when(inside & F.col("is_heavy"), 1).otherwise(0))
+            light = F.sum(F.when(inside & ~F.col("is_heavy"), F.col("df")).otherwise(0))
+            need = F.max(step) - h
+            cost = light * (1 + VERIFY_COST / F.greatest(need, F.lit(1)))
+            aggs.append(F.when(need >= 1, F.struct(cost.alias("cost"), F.max(step).alias("l"), need.alias("need"))).alias(f"l{i}"))
+        best = F.least(*[F.col(f"l{i}") for i in range(CHOICES)])
+        choice = rows.groupBy("node").agg(*aggs).select("node", best.alias("b")).select("node", "b.l", "b.need")
         choice = cut_lineage(choice, "jaccard-choice")
-        light = rows.where(~F.col("is_heavy")).join(choice, "node").where(F.col("l").isNull() | F.lit(whole) | (F.col("level") <= F.col("l")))
+        light = rows.where(~F.col("is_heavy")).join(choice, "node").where(F.col("l").isNull() | (F.col("level") <= F.col("l")))
         read = cut_lineage(light.select("token", "comp", "node"), "jaccard-read")
         ends = read.select("token", "comp").distinct()
         cross = ends.join(ends.withColumnRenamed("comp", "other"), "token").where("comp < other")
@@ -193,6 +226,34 @@ class _Join:
         # without a need on either side, both go on to their whole sets
         return met.where(fits & (F.col("c") >= need)).select("a", "b"), choice.where("l is null").select("node")
 
+    def met_in_blocks(self, left: DataFrame, comps: DataFrame) -> DataFrame:
+        """Links (a, b) between different components of the classes ``left``;
+        of those one element brings together in a block, a spanning forest."""
+        sets = cut_lineage(self.sets_of(left.join(self.one_id, "node"), lambda s: s), "jaccard-whole")
+        rows = self.spread(self.shared_elements(sets), comps)
+        # with base() + 1 elements of the whole set in the prefix, linked sets
+        # share one; the elements that no other component holds come first
+        order = Window.partitionBy("node").orderBy("n_comps", "token")
+        everyone = Window.partitionBy("node")
+        alone = F.col("n") - F.count(F.lit(1)).over(everyone)
+        rows = rows.withColumn("place", F.row_number().over(order) + alone).where(F.col("place") <= self.base() + 1)
+        rows = cut_lineage(rows.select("token", "comp", "node"), "jaccard-prefixes")
+        groups = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        rows = rows.join(groups, "token").select(
+            "token", "comp", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        )
+        rows = rows.select("token", "comp", "node", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        num, den = self.num, self.den
+
+        def work(pdf: pd.DataFrame) -> pd.DataFrame:
+            a, b = forest(pdf["comp"].to_numpy(), [np.asarray(e, dtype=np.int64) for e in pdf["elements"]], num, den)
+            nodes = pdf["node"].to_numpy()
+            return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
+
+        met = rows.join(sets.select("node", "elements"), "node")
+        return met.groupBy("token", "lo", "hi").applyInPandas(work, "a long, b long").distinct()
+
     def run(self) -> DataFrame:
         members = self.members()
         usable = members.where("id is not null and n > 0")
@@ -203,13 +264,11 @@ class _Join:
         shared = self.shared_elements(nodes)
         links = cut_lineage(self.verified(self.anchored(shared)), "jaccard-links")
         comps = cut_lineage(connected_components(links), "jaccard-comps")
-        pairs, left = self.candidates(shared, comps, whole=False)
+        pairs, left = self.candidates(self.spread(shared, comps))
         links = links.unionByName(cut_lineage(self.verified(pairs), "jaccard-links"))
         if left.count():
             comps = cut_lineage(connected_components(links), "jaccard-comps")
-            shared = self.shared_elements(self.sets_of(left.join(self.one_id, "node"), lambda s: s))
-            pairs, _ = self.candidates(shared, comps, whole=True)
-            links = links.unionByName(cut_lineage(self.verified(pairs), "jaccard-links"))
+            links = links.unionByName(cut_lineage(self.met_in_blocks(left, comps), "jaccard-links"))
         comps = connected_components(links)
         labelled = members.select("id", "text_key", "n", "node").join(comps, "node", "left")
         # a text without words is linked with nothing: its label is its own id

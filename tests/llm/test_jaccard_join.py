@@ -55,7 +55,8 @@ def corpus(seed, n_docs=160):
 
 @pytest.mark.parametrize("seed,n,num,den", [(1, 3, 90, 100), (2, 5, 80, 100), (3, 3, 50, 100)])
 def test_equals_brute_force(spark, monkeypatch, seed, n, num, den):
-    monkeypatch.setattr(jaccard_join, "HEAVY", 3)  # so that both levels are used
+    monkeypatch.setattr(jaccard_join, "HEAVY", 2)  # so that both levels are used
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
     monkeypatch.setattr(jaccard_join, "SLACK", 2)
     rows = corpus(seed)
     got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), n, num, den)
