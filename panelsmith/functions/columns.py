@@ -60,7 +60,7 @@ def quote_suffix_invert(series_id: str | Column, value: str | Column, suffix: st
     The id is tested from character ``start`` (1-based) to the end, e.g.
     ``DEXJPUS`` -> 'US' -> inverted, ``DEXUSAL`` -> 'AL' -> unchanged.
     """
-    tail = F.substring(_col(series_id), start, 1 << 20)
+    tail = F.substr(_col(series_id), F.lit(start))
     return invert_when(value, tail == F.lit(suffix))
 
 

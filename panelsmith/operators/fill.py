@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 
 
 
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -41,12 +44,15 @@ def forward_fill(
     order: Sequence[str],
     strategy: str = "bucketed",
     bucket: Column | str | None = None,
+    null_groups: bool = True,
 ) -> DataFrame:
     """Fill ``cols`` in place. ``bucket`` must be monotone in ``order`` and
     constant across ties of ``order``: an expression (e.g.
     ``F.trunc('d', 'month')``) or the name of an existing coarser column
     (e.g. ``'year'``). Without one, a date/timestamp first order key is
-    bucketed by month; any other key falls back to the window form."""
+    bucketed by month; any other key needs one, or ``strategy='window'``.
+    ``null_groups=False`` states that no group key is NULL and so keeps the
+    keys' own partitioning; NULL keys would then be filled within buckets only."""
     cols, by, order = list(cols), list(by), list(order)
     if strategy == "window":
         w = Window.partitionBy(*by).orderBy(*order)
@@ -55,15 +61,23 @@ def forward_fill(
         raise ValueError(f"unknown strategy {strategy!r}")
 
     if bucket is None:
-        # default bucket: the month of a date / timestamp order key. Other
-        # keys have no natural coarsening, and the key itself would make one
-        # bucket per row, so without an explicit bucket use the window form.
+        # default bucket: the month of a date / timestamp order key; other
+        # keys have no natural coarsening
         kind = dict(df.dtypes).get(order[0], "")
         if kind.startswith("date") or kind.startswith("timestamp"):
             bucket = F.trunc(F.col(order[0]).cast("date"), "month")
         else:
-            w = Window.partitionBy(*by).orderBy(*order)
-            return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+            raise ValueError(f"order key {order[0]!r} is no date: give a bucket, or strategy='window' (one task per group)")
+    names = df.columns
+    if null_groups:
+        # NULL is a group like any other: keys that are never NULL stand in
+        types = dict(df.dtypes)
+        stand_in = {}
+        for i, c in enumerate(by):
+            zero = F.lit("") if types[c] == "string" else F.lit(0).cast(types[c]) if types[c] in _NUMBERS else None
+            stand_in[f"__ff_null_{i}"] = F.col(c).isNull()
+            stand_in[f"__ff_key_{i}"] = F.coalesce(F.col(c), zero) if zero is not None else F.coalesce(F.col(c).cast("string"), F.lit(""))
+        df, by = df.withColumns(stand_in), list(stand_in)
     if isinstance(bucket, str):
         # an existing column: windows and joins keyed on it can reuse a
         # partitioning by (group, bucket) that earlier steps already made
@@ -94,10 +108,8 @@ def forward_fill(
     #    A plain equi-join: ``inner`` is already hash-partitioned by
     #    (group, bucket), so a sort-merge join reuses that partitioning and
     #    only the small seed table moves. (A null-safe join would rewrite the
-    #    keys and reshuffle every row.) Consequence: rows whose GROUP key is
-    #    NULL are filled within their own bucket only; NULL order keys are
-    #    fine (they form the first bucket). Use strategy='window' when a NULL
-    #    group key carries meaning.
+    #    keys and reshuffle every row.) NULL order keys form the first bucket.
+    # a NULL bucket is the first one: nothing is carried into it
     out = inner.join(seeds, on=[*by, b], how="left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__seed_{c}")) for c in cols})
-    return out.select(*df.columns)
+    return out.select(*names)

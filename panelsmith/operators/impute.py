@@ -36,9 +36,12 @@ REFERENCE_GRID = {
     "featureSubsetStrategy": ["log2", "sqrt"],
 }
 
-# MLlib trees accept maxDepth <= 30; deeper settings of a grid are dropped.
+# The deepest tree MLlib accepts.
 MAX_MLLIB_DEPTH = 30
 
+# The part of that space MLlib can run; the default.
+RUNNABLE_GRID = REFERENCE_GRID | {"maxDepth": [d for d in REFERENCE_GRID["maxDepth"] if d <= MAX_MLLIB_DEPTH]}
+
 
 @dataclass
 class GroupForests:
@@ -49,18 +52,22 @@ class GroupForests:
     scores: list = field(default_factory=list)  # (group, numTrees, maxDepth, strategy, cv_mse)
     best: dict = field(default_factory=dict)  # group -> (numTrees, maxDepth, strategy, cv_mse)
     features_of: dict = field(default_factory=dict)  # group -> features its model uses
-    skipped: list = field(default_factory=list)  # groups without usable features
+    skipped: list = field(default_factory=list)  # groups that cannot be fitted
+    reasons: dict = field(default_factory=dict)  # group -> why it was skipped
+    group_type: str = "string"
 
     def group_features(self, g) -> list[str]:
         return self.features_of.get(g, self.features)
 
 
 def _grid(rf: RandomForestRegressor, grid: dict):
-    depths = [d for d in grid["maxDepth"] if d <= MAX_MLLIB_DEPTH]
+    too_deep = [d for d in grid["maxDepth"] if d > MAX_MLLIB_DEPTH]
+    if too_deep:
+        raise ValueError(f"maxDepth {too_deep}: MLlib trees are at most {MAX_MLLIB_DEPTH} deep")
     return (
         ParamGridBuilder()
         .addGrid(rf.numTrees, list(grid["numTrees"]))
-        .addGrid(rf.maxDepth, depths)
+        .addGrid(rf.maxDepth, list(grid["maxDepth"]))
         .addGrid(rf.featureSubsetStrategy, list(grid["featureSubsetStrategy"]))
         .build()
     )
@@ -95,43 +102,54 @@ def fit_group_forests(
     group_threads: int = 4,
     max_bins: int = 32,
     features_by_group: dict | None = None,
-    min_rows: int | None = None,
 ) -> GroupForests:
     """Cross-validated forest per group on the ``split == 'train'`` rows with a
     non-null label. ``df`` must carry ``split`` and ``fold`` (see ``prepare``).
 
     ``features_by_group`` gives each group its own feature list (e.g. the
-    features its F-test selected). A group with no feature, or with fewer
-    than ``min_rows`` (default 2 x folds) labelled training rows, is skipped
-    and listed in ``skipped``; its missing targets stay missing."""
-    grid = grid or REFERENCE_GRID
+    features its F-test selected). Every group is fitted, on the folds that
+    have rows of it; one whose rows all lie in one fold takes the first
+    parameters of the grid, its score missing. Only a group that cannot be
+    fitted (no feature, or a feature with missing values) is listed in
+    ``skipped``, with the reason in ``reasons``; its targets stay missing."""
+    grid = grid or RUNNABLE_GRID
     features = list(features)
     train = df.where((F.col("split") == "train") & F.col(label).isNotNull()).select(
         group_col, *features, label, F.col("fold").cast("int").alias("fold")
     )
-    # one small aggregate: labelled training rows per group (groups x 1 rows)
-    min_rows = 2 * folds if min_rows is None else min_rows
-    sizes = {r[0]: r[1] for r in train.groupBy(group_col).count().collect()}
-    groups = sorted(g for g, n in sizes.items() if n >= min_rows)
-    out = GroupForests(group_col=group_col, features=features, label=label)
-    out.skipped = sorted(g for g, n in sizes.items() if n < min_rows)
+    # one small aggregate: the folds and the missing features of each group
+    found = train.groupBy(group_col).agg(
+        F.sort_array(F.collect_set("fold")).alias("folds"), *[F.count_if(F.col(f).isNull()).alias(f"null_{i}") for i, f in enumerate(features)]
+    )
+    found = {r[0]: r for r in found.collect()}
+    out = GroupForests(group_col=group_col, features=features, label=label, group_type=dict(df.dtypes)[group_col])
     if features_by_group is not None:
-        out.features_of = {g: list(features_by_group.get(g, [])) for g in groups}
-        out.skipped += [g for g in groups if not out.features_of[g]]
-        groups = [g for g in groups if out.features_of[g]]
+        out.features_of = {g: list(features_by_group.get(g, [])) for g in found}
+    for g in sorted(found):
+        missing = [f for i, f in enumerate(features) if f in out.group_features(g) and found[g][f"null_{i}"]]
+        if not out.group_features(g) or missing:
+            out.skipped.append(g)
+            out.reasons[g] = f"missing values in {', '.join(missing)}" if missing else "no feature"
+    groups = [g for g in sorted(found) if g not in out.reasons]
 
     def search(g):
         feats = out.group_features(g)
-        part = train.where(F.col(group_col) == F.lit(g)).select(*feats, label, "fold")
+        present = found[g]["folds"]
+        dealt = (F.array_position(F.lit(present), F.col("fold")) - 1).cast("int")
+        part = train.where(F.col(group_col) == F.lit(g)).select(*feats, label, dealt.alias("fold"))
         assembler = VectorAssembler(inputCols=feats, outputCol="__features")
         rf = RandomForestRegressor(labelCol=label, featuresCol="__features", seed=seed, maxBins=max_bins)
         maps = _grid(rf, grid)
+        if len(present) < 2:
+            model = Pipeline(stages=[assembler, rf]).fit(part, maps[0])
+            vals = {p.name: v for p, v in maps[0].items()}
+            return g, model, [(g, int(vals["numTrees"]), int(vals["maxDepth"]), str(vals["featureSubsetStrategy"]), None)]
         cv = CrossValidator(
             estimator=Pipeline(stages=[assembler, rf]),
             estimatorParamMaps=maps,
             evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse"),
             foldCol="fold",
-            numFolds=folds,
+            numFolds=len(present),
             parallelism=parallelism,
             seed=seed,
         )
@@ -146,17 +164,17 @@ def fit_group_forests(
         for g, best, rows in pool.map(search, groups):
             out.models[g] = best
             out.scores.extend(rows)
-            out.best[g] = min(rows, key=lambda r: (r[4], r[1], r[2], r[3]))[1:]
+            out.best[g] = min(rows, key=lambda r: (r[4] or 0.0, r[1], r[2], r[3]))[1:]
     return out
 
 
 def cv_scores(spark: SparkSession, fitted: GroupForests) -> DataFrame:
     """(group, num_trees, max_depth, feature_subset, cv_mse, neg_mse, is_best);
     ``neg_mse`` is the score in the greater-is-better convention."""
-    rows = [(*r, -r[4], fitted.best[r[0]] == r[1:]) for r in fitted.scores]
+    rows = [(*r, None if r[4] is None else -r[4], fitted.best[r[0]] == r[1:]) for r in fitted.scores]
     return spark.createDataFrame(
         rows,
-        f"{fitted.group_col} string, num_trees int, max_depth int, feature_subset string, cv_mse double, "
+        f"{fitted.group_col} {fitted.group_type}, num_trees int, max_depth int, feature_subset string, cv_mse double, "
         "neg_mse double, is_best boolean",
     )
 
@@ -169,7 +187,7 @@ def feature_importances(spark: SparkSession, fitted: GroupForests) -> DataFrame:
         ranked = sorted(zip(fitted.group_features(g), imp), key=lambda t: (-t[1], t[0]))
         rows += [(g, f, float(v), i + 1) for i, (f, v) in enumerate(ranked)]
     return spark.createDataFrame(
-        rows, f"{fitted.group_col} string, feature string, importance double, rank int"
+        rows, f"{fitted.group_col} {fitted.group_type}, feature string, importance double, rank int"
     )
 
 

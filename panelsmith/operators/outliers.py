@@ -7,8 +7,8 @@ differs from q1.
 
 Plan: the checked columns are unpivoted to (keys, column, value); quartiles
 per (partition, column) are grouped aggregates (partial + final, skew-safe);
-they are joined back on (partition, column) (AQE broadcasts the small quartile
-table when its measured size allows). No window buffers a whole partition.
+they are written and joined back on (partition, column), by a broadcast while
+their size allows. No window buffers a whole partition.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from panelsmith.functions.columns import round_half_up
 
 from panelsmith.operators.joins import join_null_safe
 from panelsmith.operators.quantiles import quantiles
+from panelsmith.session import cut_lineage
 
 OUTLIER_COLUMNS = ["outlier_column", "outlier_value", "q1", "q3", "iqr"]
 
@@ -69,6 +70,9 @@ def flag_outliers(
     )
     by = [*partition_cols, "outlier_column"]
     q = quantiles(long, "outlier_value", by, [0.25, 0.75], method=method, accuracy=accuracy, names=["q1", "q3"])
+    # written, so that it is planned by its real size: while that is small, the
+    # checked rows are not exchanged
+    q = cut_lineage(q, "quartiles")
     # groups without any value have no quartiles: their rows get NULL bounds
     # and are never flagged
     joined = join_null_safe(long, q, by, "left").withColumn("iqr", F.col("q3") - F.col("q1"))

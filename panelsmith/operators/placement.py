@@ -34,8 +34,9 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the greatest (order..., tiebreak...) per key, all columns kept.
 
-    Written as ``max_by`` over a struct: a hash aggregate with map-side
-    combine, so no sort of whole keys and no single task per hot key.
+    Written as ``max_by`` over a struct: a sort aggregate on both sides of the
+    exchange (struct buffers do not fit a hash aggregate) whose map side sends
+    one row per key and task, so no single task gets a hot key.
     Ties on ``order`` are broken by the largest ``tiebreak``.
     """
     keys = list(keys)

@@ -79,14 +79,14 @@ def null_row_counts(stages: dict[str, DataFrame]) -> DataFrame:
 
 
 def coverage(df: DataFrame, by: Sequence[str], year: str = "year", month: str = "month") -> DataFrame:
-    """min/max year and yyyymm per group."""
-    ym = yyyymm(F.col(year), F.col(month))
-    return df.groupBy(*by).agg(
-        F.min(year).alias("min_year"),
-        F.max(year).alias("max_year"),
-        F.min(ym).alias("min_yyyymm"),
-        F.max(ym).alias("max_yyyymm"),
+    """min/max year and yyyymm per group. The periods are compared as integers
+    (a hash aggregate) and formatted afterwards."""
+    ym = F.col(year).cast("int") * 100 + F.col(month).cast("int")
+    ends = df.groupBy(*by).agg(
+        F.min(year).alias("min_year"), F.max(year).alias("max_year"), F.min(ym).alias("__first"), F.max(ym).alias("__last")
     )
+    text = {f"{side}_yyyymm": yyyymm(F.floor(F.col(c) / 100), F.col(c) % 100) for side, c in (("min", "__first"), ("max", "__last"))}
+    return ends.withColumns(text).drop("__first", "__last")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -15,13 +15,13 @@ band, not the group, is what gets sorted.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelsmith.operators.joins import join_null_safe
+from panelsmith.session import cut_lineage
 
 
 def quantiles(
@@ -54,6 +54,9 @@ def quantiles(
         F.count("*").alias("__n"),
         F.percentile_approx("__v", lo_p + hi_p, accuracy).alias("__b"),
     )
+    # written, so that its size is known and the raw rows are not exchanged to
+    # meet it while it is small
+    bounds = cut_lineage(bounds, "quantile-bounds")
     k = len(probs)
 
     # pass 2: one aggregate for every probability. Each row is emitted once per
@@ -84,17 +87,19 @@ def quantiles(
     )
     prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1)
     target = F.greatest(F.lit(1), F.ceil(F.col("__n") * prob - F.lit(1e-9)))
+    # the sketch promises that the band holds the rank; both edges are checked
     hits = (
         counts.withColumn("__cum", F.sum("__c").over(w))
-        .where(F.col("__key").isNotNull() & (F.col("__cum") >= target))
         .groupBy(*by, "__i")
-        .agg(F.min("__key").alias("__q"))
+        .agg(
+            F.min(F.when(F.col("__key").isNotNull() & (F.col("__cum") >= target), F.col("__key"))).alias("__q"),
+            F.coalesce(F.max(F.when(F.col("__key").isNull(), F.col("__c"))), F.lit(0)).alias("__below"),
+            F.max(target).alias("__rank"),
+        )
     )
+    missed = F.col("__q").isNull() | (F.col("__below") >= F.col("__rank"))
+    hits = hits.withColumn("__q", F.when(missed, F.raise_error(F.lit("quantile outside its band: use a larger accuracy"))).otherwise(F.col("__q")))
     return hits.groupBy(*by).agg(
         *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(name) for i, name in enumerate(names)]
     )
 
-
-def exact_target_rank(n: int, p: float) -> int:
-    """ceil(p*n), at least 1 — the 1-based rank ``percentile_disc`` returns."""
-    return max(1, math.ceil(n * p - 1e-9))

@@ -43,8 +43,8 @@ def _betacf(a: float, b: float, x: float, max_iter: int = 20000, eps: float = 3e
         delta = d * c
         h *= delta
         if abs(delta - 1.0) < eps:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta function: no convergence at a={a}, b={b}, x={x}")
 
 
 def betainc_reg(a: float, b: float, x: float) -> float:

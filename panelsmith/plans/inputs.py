@@ -80,9 +80,10 @@ spine AS (
 """
 
 
-def md5_sql(expr: str, modulo: int) -> str:
+def md5_sql(expr: str, modulo: int, purpose: str = "", seed: int = 2026) -> str:
     """DuckDB form of ``md5_bucket`` for a single key expression."""
-    return f"CAST(CAST('0x' || substr(md5(CAST({expr} AS VARCHAR)), 1, 8) AS BIGINT) % {modulo} AS INTEGER)"
+    salt = f"'{purpose}:{seed}:' || " if purpose else ""
+    return f"CAST(CAST('0x' || substr(md5({salt}CAST({expr} AS VARCHAR)), 1, 8) AS BIGINT) % {modulo} AS INTEGER)"
 
 
 def oil_series(t: Tables) -> DataFrame:

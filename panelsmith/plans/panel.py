@@ -126,7 +126,7 @@ def build_panel(
     # placement are all keyed on (group, year), so one hash partitioning
     # serves every window below
     p = left_join(base, prices, [d]).withColumns({"year": F.year(d), "month": F.month(d)})
-    p = forward_fill(p, s.price_cols, [g], [d], strategy=fill_strategy, bucket="year")
+    p = forward_fill(p, s.price_cols, [g], [d], strategy=fill_strategy, bucket="year", null_groups=False)
     if stages is not None:
         stages["prices_filled"] = p
     # 3 monthly events, missing -> 0
@@ -156,7 +156,7 @@ def build_panel(
     # period fills of index and lsci in one pass. The reference fills the
     # patched group, then all groups; a fill is idempotent, so one fill of all
     # groups gives the same values.
-    p = forward_fill(p, [s.index_col, s.lsci_col], [g], period, strategy=fill_strategy, bucket="year")
+    p = forward_fill(p, [s.index_col, s.lsci_col], [g], period, strategy=fill_strategy, bucket="year", null_groups=False)
     # 8 cutoff after the fills
     p = p.where(F.col(d) > F.to_date(F.lit(s.cutoff)))
     # 9 target

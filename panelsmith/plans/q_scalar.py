@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelsmith.functions import columns as C
 from panelsmith.functions import dates as D
+from panelsmith.functions.columns import round_doubles
 from panelsmith.functions.hashing import fold_of, md5_bucket, split_label
 from panelsmith.operators.joins import semi_join
 from panelsmith.plans.inputs import R4, md5_sql
@@ -287,16 +288,22 @@ def src_json_inline(spark, sf_dir):
     return landed.inline_json_records(e, "props", "k int", keep=["event_id"], wrap_object=True)
 
 
-@query("src_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query(
+    "src_roundtrip",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 4) AS o_totalprice, o_orderpriority FROM orders",
+)
 def src_roundtrip(spark, sf_dir):
-    """nation written as CSV into the shared checkpoint area and read back
-    with an explicit schema (no inference pass)."""
+    """orders written as CSV into a fresh folder of the shared checkpoint area
+    and read back with an explicit schema (no inference pass)."""
+    import uuid
+
     from panelsmith.session import shared_dir
 
-    n = Tables(spark, sf_dir).nation
-    path = shared_dir(spark, "roundtrip", "nation_csv")
-    landed.write_csv(n, path)
-    return landed.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    path = shared_dir(spark, "roundtrip", f"orders-{uuid.uuid4().hex}")
+    landed.write_csv(o, path)
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    return round_doubles(landed.read_csv(spark, path, schema), 4)
 
 
 # ---------------------------------------------------------------- splits
@@ -305,7 +312,7 @@ def src_roundtrip(spark, sf_dir):
 @query(
     "hash_split",
     f"""
-SELECT o_orderpriority, CASE WHEN {md5_sql('o_orderkey', 100)} < 80 THEN 'train' ELSE 'test' END AS split,
+SELECT o_orderpriority, CASE WHEN {md5_sql('o_orderkey', 100, 'split')} < 80 THEN 'train' ELSE 'test' END AS split,
        count(*) AS n_rows
 FROM orders GROUP BY ALL
 """,
@@ -318,7 +325,7 @@ def hash_split(spark, sf_dir):
 
 @query(
     "kfold_assign",
-    f"SELECT o_orderpriority, {md5_sql('o_orderkey', 5)} AS fold, count(*) AS n_rows FROM orders GROUP BY ALL",
+    f"SELECT o_orderpriority, {md5_sql('o_orderkey', 5, 'fold')} AS fold, count(*) AS n_rows FROM orders GROUP BY ALL",
 )
 def kfold_assign(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.select("o_orderpriority", fold_of("o_orderkey", 5).alias("fold"))

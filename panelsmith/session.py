@@ -40,13 +40,17 @@ class Tables:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    ``spark.checkpoint.dir`` is read from the session; a private folder is only
-    set when the setting is absent (local tests), never on a configured cluster.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    local session (one JVM) gets a private folder; on a cluster that would be
+    a different disk per machine, so it is an error there.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
+        one_machine = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        if not base and not one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not base:
             base = tempfile.mkdtemp(prefix="panelsmith-ckpt-")
         sc.setCheckpointDir(base)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from panelsmith.functions.columns import nan_to_null
 
@@ -54,11 +55,14 @@ def inline_json_records(
     df: DataFrame, col: str, element_schema: str, keep: Sequence[str] = (), wrap_object: bool = False
 ) -> DataFrame:
     """Parse a JSON text column holding an array of records (or one record
-    when ``wrap_object``) and expand it to rows with typed columns."""
+    when ``wrap_object``) and expand it to rows with typed columns.
+
+    A malformed payload fails the job. A NULL payload, and an empty array,
+    keeps one row whose record columns are NULL."""
     text = F.concat(F.lit("["), F.col(col), F.lit("]")) if wrap_object else F.col(col)
-    fields = ", ".join(":".join(f.strip().split(None, 1)) for f in element_schema.split(","))
-    parsed = F.from_json(text, f"array<struct<{fields}>>")
-    return df.select(*keep, parsed.alias("__recs")).select(*keep, F.inline("__recs"))
+    records = ArrayType(StructType.fromDDL(element_schema))
+    parsed = F.from_json(text, records, {"mode": "FAILFAST"})
+    return df.select(*keep, parsed.alias("__recs")).select(*keep, F.inline_outer("__recs"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -87,4 +87,14 @@ def test_default_bucket(spark):
     df = spark.createDataFrame(rows, "g string, d date, v double")
     assert [r.v for r in forward_fill(df, ["v"], ["g"], ["d"]).orderBy("d").collect()] == [1.0, 1.0, 1.0]
     ints = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "g string, t int, v double")
-    assert [r.v for r in forward_fill(ints, ["v"], ["g"], ["t"]).orderBy("t").collect()] == [2.0, 2.0]
+    with pytest.raises(ValueError, match="bucket"):
+        forward_fill(ints, ["v"], ["g"], ["t"])
+
+
+def test_null_groups_are_filled_across_buckets(spark):
+    rows = [(None, 2005, D(2005, 1, 1), 1.0), (None, 2006, D(2006, 1, 1), None), ("", 2006, D(2006, 1, 2), None), ("a", 2007, D(2007, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "g string, k int, d date, v double")
+    for by in (["g"], ["g", "k"], ["k"]):
+        a = forward_fill(df, ["v"], by, ["d"], strategy="window")
+        b = forward_fill(df, ["v"], by, ["d"])
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

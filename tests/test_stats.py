@@ -1,5 +1,7 @@
 import math
 
+import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from panelsmith.functions.hashing import md5_bucket
@@ -117,12 +119,22 @@ def test_period_split_removes_monthly_target_leakage(spark):
     assert leaky > 0.8 and clean < leaky - 0.4
 
 
-def test_tiny_group_is_skipped_not_fatal(spark):
+def test_every_group_that_can_be_is_fitted(spark):
     df = spark.range(0, 400).select(
-        F.when(F.col("id") < 397, F.lit("big")).otherwise(F.lit("tiny")).alias("g"),
-        "id", (F.col("id") % 13).cast("double").alias("x"),
-    ).withColumn("y", F.col("x") * 2.0)
-    prep = IM.prepare(df, "y", ["id"], folds=2)
+        F.when(F.col("id") < 396, F.lit("big")).when(F.col("id") < 398, F.lit("tiny")).when(F.col("id") == 398, F.lit("one")).otherwise(F.lit("gap")).alias("g"),
+        "id", F.when(F.col("id") < 399, (F.col("id") % 13).cast("double")).alias("x"),
+    ).withColumn("y", F.coalesce(F.col("x"), F.lit(1.0)) * 2.0)
+    prep = IM.prepare(df, "y", ["id"], folds=2).withColumn("split", F.lit("train"))
     grid = {"numTrees": [5], "maxDepth": [3], "featureSubsetStrategy": ["all"]}
     fitted = IM.fit_group_forests(prep, "g", ["x"], "y", grid=grid, folds=2, parallelism=1, group_threads=2)
-    assert set(fitted.models) == {"big"} and fitted.skipped == ["tiny"]
+    assert set(fitted.models) == {"big", "tiny", "one"}
+    assert fitted.skipped == ["gap"] and fitted.reasons == {"gap": "missing values in x"}
+    assert fitted.best["one"][3] is None
+
+
+def test_depth_beyond_the_limit_is_an_error(spark):
+    df = spark.range(0, 40).selectExpr("'g' AS g", "id", "cast(id AS double) AS x", "cast(id AS double) AS y")
+    prep = IM.prepare(df, "y", ["id"], folds=2)
+    with pytest.raises(ValueError, match="30"):
+        IM.fit_group_forests(prep, "g", ["x"], "y", grid=IM.REFERENCE_GRID, folds=2)
+    assert len(IM._grid(RandomForestRegressor(), IM.RUNNABLE_GRID)) == 24

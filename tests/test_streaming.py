@@ -3,7 +3,6 @@ import json
 from pyspark.sql import functions as F
 
 from panelsmith.sources.landed import explode_records
-from panelsmith.streaming.fill import stream_forward_fill
 from panelsmith.streaming.ingest import stream_landing
 
 
@@ -31,22 +30,3 @@ def test_stream_landing_is_incremental(spark, tmp_path):
     rows = sorted((r.date.isoformat(), r.value) for r in spark.read.parquet(str(sink)).collect())
     # the first page is not read twice (checkpointed offsets)
     assert rows == [("2006-01-02", 1.5), ("2006-01-03", None), ("2006-01-04", 2.0)]
-
-
-def test_stream_forward_fill_carries_state(spark, tmp_path):
-    src = tmp_path / "rows"
-    src.mkdir()
-    schema = "g string, t int, v double"
-    (src / "a.json").write_text("\n".join(json.dumps(r) for r in [
-        {"g": "a", "t": 1, "v": None}, {"g": "a", "t": 2, "v": 5.0}, {"g": "a", "t": 3, "v": None}, {"g": "b", "t": 1, "v": 7.0},
-    ]))
-    stream = spark.readStream.schema(schema).json(str(src))
-    filled = stream_forward_fill(stream, ["v"], ["g"], "t")
-    q = (filled.writeStream.format("memory").queryName("ffill_out").outputMode("append")
-         .option("checkpointLocation", str(tmp_path / "ck")).start())
-    q.processAllAvailable()
-    (src / "b.json").write_text("\n".join(json.dumps(r) for r in [{"g": "a", "t": 4, "v": None}, {"g": "b", "t": 2, "v": None}]))
-    q.processAllAvailable()
-    q.stop()
-    got = sorted((r.g, r.t, r.v) for r in spark.sql("SELECT * FROM ffill_out").collect())
-    assert got == [("a", 1, None), ("a", 2, 5.0), ("a", 3, 5.0), ("a", 4, 5.0), ("b", 1, 7.0), ("b", 2, 7.0)]

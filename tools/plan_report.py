@@ -26,7 +26,9 @@ def shape(plan: str) -> dict:
         "broadcast_joins": count(r"BroadcastHashJoin|BroadcastNestedLoopJoin"),
         "sort_merge_joins": count(r"SortMergeJoin"),
         "windows": count(r"\bWindow \["),
-        "aggregates": count(r"(?:Hash|ObjectHash|Sort)Aggregate\(keys=\[[^\]]*\], functions=\[partial_"),
+        "aggregates": count(r"(?:Hash|ObjectHash|Sort)Aggregate\(keys?=\[[^\]]*\], functions=\[partial_"),
+        "sort_aggregates": count(r"SortAggregate\(keys?=\[[^\]]*\], functions=\[partial_"),
+        "sorts": count(r"\bSort \["),
         "scans": count(r"FileScan parquet|Scan parquet"),
         "pushed_filters": count(r"PushedFilters: \[[^\]]+\]"),
         "python_udfs": count(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas"),
@@ -37,7 +39,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
     registry.load_all()
-    cols = ["exchanges", "broadcast_joins", "sort_merge_joins", "windows", "aggregates", "scans", "pushed_filters", "python_udfs"]
+    cols = ["exchanges", "broadcast_joins", "sort_merge_joins", "windows", "aggregates", "sort_aggregates", "sorts", "scans", "pushed_filters", "python_udfs"]
     print(f"# Plan shapes ({os.path.basename(sf_dir)}, optimized physical plan before AQE)\n")
     print("Queries that materialize shared inputs show the plan that reads the materialized tables.\n")
     print("| query | " + " | ".join(cols) + " |")
