@@ -8,8 +8,10 @@ Landing layout under ``landing`` (see ``sources.normalise`` for each shape)::
     conflict_events.csv   price_index.csv   risk_index.csv   shipping_index.csv.gz   index_patch.csv
 
 Outputs under ``out``: ``panel/``, ``outliers/``, ``outliers_events_zero_filled/``,
-``outliers_events_placed/``, ``missing/``, ``final/``, ``scores/``,
-``importances/``, ``evaluation/`` (all Parquet).
+``outliers_events_placed/``, ``outlier_counts/``, ``missing/``, ``coverage/``,
+``unmatched/``, ``final/``, ``scores/``, ``importances/``, ``evaluation/``,
+``metric_gaps/``, ``selection/``, ``null_counts/``, ``complete_groups/``,
+``skipped_groups/`` (all Parquet).
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelsmith.operators import outliers as O
 from panelsmith.operators import quality as Q
+from panelsmith.operators import stats as S
 from panelsmith.operators.impute import cv_scores, feature_importances
 from panelsmith.operators.placement import period_end_place
 from panelsmith.plans.imputation import ImputationResult, impute_groups
@@ -47,7 +51,8 @@ class PipelineResult:
 
 def load_sources(spark: SparkSession, landing: str, gpr_schema: str) -> dict:
     """All normalised source tables of a landing zone, keyed as ``build_panel``
-    expects them."""
+    expects them. Rows of names that no group matches are left out; see
+    ``unmatched_names`` for their report."""
     j = lambda *p: os.path.join(landing, *p)
     base = N.rates_panel(spark, j("rates"))
     cpi = N.period_index(spark, j("price_index.csv")).withColumnRenamed("value", "cpi")
@@ -56,11 +61,11 @@ def load_sources(spark: SparkSession, landing: str, gpr_schema: str) -> dict:
         base=base,
         prices=N.price_panel(spark, j("oil")),
         events=N.event_counts(spark, j("conflict_events.csv")),
-        index=cpi,
+        index=cpi.where(F.col("country").isNotNull()),
         patch=patch,
         gpr=N.wide_index(spark, j("risk_index.csv"), gpr_schema),
         lsci=N.shipping_index(spark, j("shipping_index.csv.gz")),
-        target=N.reserves(spark, j("reserves")),
+        target=N.reserves(spark, j("reserves")).where(F.col("country").isNotNull()),
     )
 
 
@@ -83,6 +88,7 @@ def run_pipeline(
     (``panel_csv/``, ``final_csv/``; distributed, no index column)."""
     spec = spec or PanelSpec()
     src = load_sources(spark, landing, gpr_schema)
+    write_parquet(unmatched_names(spark, landing, gpr_schema), os.path.join(out, "unmatched"))
     if check_keys:
         # the joins assume each right side is unique on its key; fail fast
         # (one aggregate per source) instead of fanning rows out silently
@@ -112,6 +118,8 @@ def run_pipeline(
     write_parquet(outliers, os.path.join(out, "outliers"))
     missing = Q.missing_profile(panel)
     write_parquet(missing, os.path.join(out, "missing"))
+    write_parquet(Q.coverage(panel, [spec.group]), os.path.join(out, "coverage"))
+    write_parquet(O.outlier_counts(outliers, [spec.group]), os.path.join(out, "outlier_counts"))
 
     res = impute_groups(
         panel, spec.group, [spec.group, spec.date], spec.date, spec.target_col, PANEL_FEATURES,
@@ -121,6 +129,12 @@ def run_pipeline(
     write_parquet(cv_scores(spark, res.fitted), os.path.join(out, "scores"))
     write_parquet(feature_importances(spark, res.fitted), os.path.join(out, "importances"))
     write_parquet(res.evaluation, os.path.join(out, "evaluation"))
+    write_parquet(S.metric_gaps(spark.read.parquet(os.path.join(out, "evaluation")), [spec.group]), os.path.join(out, "metric_gaps"))
+    write_parquet(res.selection, os.path.join(out, "selection"))
+    write_parquet(res.null_counts, os.path.join(out, "null_counts"))
+    write_parquet(res.complete_groups, os.path.join(out, "complete_groups"))
+    skipped = [(str(g), why) for g, why in sorted(res.fitted.reasons.items())]
+    write_parquet(spark.createDataFrame(skipped, f"{spec.group} string, reason string"), os.path.join(out, "skipped_groups"))
     if csv:
         write_csv(panel, os.path.join(out, "panel_csv"))
         write_csv(spark.read.parquet(os.path.join(out, "final")), os.path.join(out, "final_csv"))
@@ -134,3 +148,20 @@ def unmatched_groups(spark: SparkSession, landing: str) -> DataFrame:
     names = raw.select(F.regexp_replace(F.lower(F.trim("Country")), r"\s+", "_").alias("alias")).distinct()
     return dims.unmatched(dims.map_alias(names, "alias"), "alias")
 
+
+def unmatched_names(spark: SparkSession, landing: str, gpr_schema: str) -> DataFrame:
+    """(source, name) of every name or code that maps to no group, of all
+    sources that carry one."""
+    j = lambda *p: os.path.join(landing, *p)
+    events = unmatched_groups(spark, landing).select(F.lit("conflict_events").alias("source"), F.col("alias").alias("name"))
+    label = N.norm_string("Economy_Label").alias("alias")
+    lsci = spark.read.option("header", True).csv(j("shipping_index.csv.gz")).select(label).distinct()
+    codes = spark.read.option("header", True).csv(j("price_index.csv")).select(F.col("COUNTRY").alias("iso3")).distinct()
+    pages = N.read_json_pages(spark, j("reserves"), "value array<struct<REF_AREA:string>>")
+    areas = pages.select(F.explode("value.REF_AREA").alias("iso3")).distinct()
+    wide = [c.split("_", 1)[1].upper() for c in StructType.fromDDL(gpr_schema).names if c.lower().startswith("gprc_")]
+    sheet = spark.createDataFrame([(c,) for c in wide], "iso3 string")
+    out = events.unionByName(dims.unmatched(dims.map_alias(lsci, "alias"), "alias").select(F.lit("shipping_index").alias("source"), F.col("alias").alias("name")))
+    for source, df in (("price_index", codes), ("reserves", areas), ("risk_index", sheet)):
+        out = out.unionByName(dims.unmatched(dims.map_iso3(df, "iso3"), "iso3").select(F.lit(source).alias("source"), F.col("iso3").alias("name")))
+    return out

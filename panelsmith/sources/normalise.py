@@ -36,21 +36,22 @@ def rates_panel(spark: SparkSession, root: str, catalog: DataFrame | None = None
     """(date, country, interest_rate, fx_rate): monthly rate and daily FX per
     country, joined on (country, yyyymm), rows with a gap dropped.
 
-    Per (series, date) the latest revision (max realtime_start) wins; its
-    value is cast leniently ('.' -> NULL) and does not fall back to an
+    Per (series, date) the latest revision (max realtime_start) wins, of equal
+    ones the first in the page; its value is cast leniently ('.' -> NULL) and does not fall back to an
     earlier revision. FX quotes flagged ``invert`` in the catalog become 1/x.
     """
     schema = (
         "observations array<struct<date:string, realtime_start:string, value:string>>, series_id string"
     )
     pages = read_json_pages(spark, root, schema)
-    obs = explode_records(pages, "observations", keep=["series_id"]).select(
+    obs = pages.select("series_id", F.posexplode("observations").alias("pos", "o")).select(
         "series_id",
-        F.to_date("date").alias("date"),
-        F.to_date("realtime_start").alias("realtime_start"),
-        "value",
+        F.to_date("o.date").alias("date"),
+        F.to_date("o.realtime_start").alias("realtime_start"),
+        F.col("o.value").alias("value"),
+        (-F.col("pos")).alias("from_end"),
     )
-    latest = latest_per_key(obs, ["series_id", "date"], ["realtime_start"])
+    latest = latest_per_key(obs, ["series_id", "date"], ["realtime_start"], tiebreak=["from_end"]).drop("from_end")
     latest = _date_floor(latest.withColumn("value", lenient_cast("value", "double")), "date", start)
     # the built-in catalog has 32 rows and is broadcast; a caller's catalog has
     # no known bound, so AQE decides from its measured size

@@ -8,7 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from panelsmith.plans.pipeline import run_pipeline, unmatched_groups
+from panelsmith.plans.pipeline import run_pipeline, unmatched_groups, unmatched_names
 
 D = dt.date
 MONTHS = [(2006 + i // 12, i % 12 + 1) for i in range(24)]
@@ -48,6 +48,7 @@ def landing(tmp_path_factory):
         f"{y}-M{m:02d},{iso},{80 + i + ci}" for ci, (n, (iso, _, _)) in enumerate(COUNTRIES.items())
         for i, (y, m) in enumerate(MONTHS) if not (iso == "AUS" and (y, m) < (2006, 8))
     ]
+    imf += ["2006-M04,XXA,1", "2006-M04,XXB,2"]
     (root / "price_index.csv").write_text("\n".join(imf) + "\n")
     (root / "index_patch.csv").write_text("date,cpi_index\nMar 2006,84.9\nJun 2006,85.9\nSep 2006,86.7\n")
     gpr = ["month,GPR,GPRC_AUS,GPRC_DEU,GPRC_JPN", "2005-12-01,1,1,1,1"] + [
@@ -58,10 +59,12 @@ def landing(tmp_path_factory):
         f"{n.title()},{lab} {y},{10 + i + ci}" for ci, n in enumerate(COUNTRIES)
         for i, (y, lab) in enumerate([(2006, "feb."), (2006, "may"), (2006, "aug."), (2006, "nov."), (2007, "feb."), (2007, "may")])
     ]
+    lsci += ["Mu,may 2006,1", "Lemuria,may 2006,2"]
     (root / "shipping_index.csv.gz").write_bytes(gzip.compress(("\n".join(lsci) + "\n").encode()))
     wb = [{"OBS_VALUE": str(1000 + 10 * i + 100 * ci), "REF_AREA": iso, "TIME_PERIOD": f"{y}-{m:02d}", "UNIT_MEASURE": u}
           for ci, (iso, _, _) in enumerate(COUNTRIES.values()) for i, (y, m) in enumerate(MONTHS) if (y, m) <= (2007, 6)
           for u in ("USD", "XDR")]
+    wb += [{"OBS_VALUE": "1", "REF_AREA": c, "TIME_PERIOD": "2006-04", "UNIT_MEASURE": "USD"} for c in ("XXA", "XXC")]
     _json(root / "reserves" / "p.json", {"value": wb})
     return root
 
@@ -110,6 +113,14 @@ def test_pipeline_end_to_end(spark, landing, tmp_path):
     assert fitted, "at least one country should have selected features and a model"
 
 
+def test_unmatched_names_of_every_source(spark, landing):
+    got = {(r.source, r.name) for r in unmatched_names(spark, str(landing), GPR_SCHEMA + ", GPRC_XXD double").collect()}
+    assert got == {
+        ("conflict_events", "atlantis"), ("shipping_index", "mu"), ("shipping_index", "lemuria"), ("price_index", "XXA"),
+        ("price_index", "XXB"), ("reserves", "XXA"), ("reserves", "XXC"), ("risk_index", "XXD"),
+    }
+
+
 def test_unmatched_groups_reported(spark, landing):
     assert [r.alias for r in unmatched_groups(spark, str(landing)).collect()] == ["atlantis"]
 
