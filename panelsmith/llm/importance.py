@@ -22,6 +22,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,10 @@ PRIOR = 2.0
 #: Log rates move towards 0 by this much: the mix of topics and languages in a
 #: class differs by less by chance, and says nothing about quality.
 NEUTRAL = 2.0
+#: Buckets that travel together.
+BLOCK = 1 << 16
+#: Labels (an id and a kind, 16 bytes) up to which they may be broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Kinds of labelled text: the target, then the unwanted ones.
 KINDS = ("target", "low", "toxic")
 #: A text may be unwanted in part: beside its whole model, what a kind has in
@@ -70,9 +75,10 @@ def features(words: W.Words, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return buckets.astype(np.int64), np.concatenate([text, text, text[1:][inside]])
 
 
-def _count(docs: DataFrame, n_buckets: int) -> DataFrame:
-    """(bucket, kind, n) over the rows (kind, text); kind -1 counts as raw
-    only, every row counts as raw (kind -1)."""
+def _count(docs: DataFrame, n_buckets: int) -> np.ndarray:
+    """Counts per kind, and of all rows (the last row), over the rows (kind,
+    text). Tasks send blocks of buckets, compressed, which are added up per
+    block; as many sums as a model has buckets reach the driver."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(KINDS) + 1, n_buckets), dtype=np.int64)
@@ -83,25 +89,39 @@ def _count(docs: DataFrame, n_buckets: int) -> DataFrame:
                 for k in range(len(KINDS)):
                     totals[k] += np.bincount(bucket[kind == k], minlength=n_buckets)
                 totals[-1] += np.bincount(bucket, minlength=n_buckets)
-        kind, bucket = np.nonzero(totals)
-        n = totals[kind, bucket]
-        kind = np.where(kind == len(KINDS), -1, kind)
-        for at in range(0, len(n), 1 << 16):
-            cut = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut], pa.int32()), pa.array(kind[cut], pa.int32()), pa.array(n[cut], pa.int64())], names=["bucket", "kind", "n"]
-            )
+        size = min(BLOCK, n_buckets)
+        for k, row in enumerate(totals):
+            for at in range(0, n_buckets, size):
+                if row[at : at + size].any():
+                    yield pa.RecordBatch.from_pylist([{"kind": k, "at": at, "blob": _packed(row[at : at + size])}], schema=_BLOCKS)
 
-    return docs.mapInArrow(work, "bucket int, kind int, n long").groupBy("bucket", "kind").agg(F.sum("n").alias("n"))
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "at": pdf["at"].iloc[:1], "blob": [_packed(sum(map(_unpacked, pdf["blob"])))]})
+
+    schema = "kind int, at int, blob binary"
+    out = np.zeros((len(KINDS) + 1, n_buckets))
+    for r in docs.mapInArrow(work, schema).groupBy("kind", "at").applyInPandas(add, schema).collect():
+        block = _unpacked(bytes(r["blob"]))
+        out[r["kind"], r["at"] : r["at"] + len(block)] = block
+    return out
+
+
+_BLOCKS = pa.schema([("kind", pa.int32()), ("at", pa.int32()), ("blob", pa.binary())])
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return len(counts).to_bytes(8, "little") + pa.compress(counts.astype("i8").tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob[8:], 8 * int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True), dtype="i8")
 
 
 def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = PRIOR) -> np.ndarray:
     """log p(bucket | component) - log p(bucket | target) per bucket, of the
     target, and of each unwanted kind whole and at each dilution, from rows
     (kind, text). At most (kinds + 1) * n_buckets counts are collected."""
-    counts = np.zeros((len(KINDS) + 1, n_buckets))
-    table = _count(labelled, n_buckets).toArrow()
-    counts[table.column("kind").to_numpy(), table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    counts = _count(labelled, n_buckets)
     raw = (counts[-1] + 0.5) / (counts[-1].sum() + 0.5 * n_buckets)
     expected = counts[:-1].sum(axis=1, keepdims=True) * counts[0] / max(counts[0].sum(), 1)
     rate = np.log((counts[:-1] + prior) / (expected + prior))
@@ -218,6 +238,8 @@ def select_quality(
     kind = F.when(F.col("quality") == 0, 1).when(F.col("toxic") == 1, 2).when((F.col("quality") == 1) & (F.col("toxic") == 0), 0)
     marks = labels.select(F.col(id_col).alias("id"), kind.alias("kind")).where("id is not null and kind is not null")
     marks = marks.groupBy("id").agg(F.min(F.when(F.col("kind") > 0, F.col("kind"))).alias("bad")).select("id", F.coalesce("bad", F.lit(0)).alias("kind"))
+    marks = cut_lineage(marks, "importance-labels")
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks.hint("shuffle_hash")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
     rows = rows.select("id", F.xxhash64("text").alias("text_key"), F.coalesce("kind", F.lit(-1)).alias("kind"), "text")
     scored = cut_lineage(log_ratios(rows, fit_models(rows, n_buckets, prior), id_type), "importance-scores")
