@@ -29,20 +29,22 @@ def _given(titles: str) -> str:
 
 #: Kinds in the order of the pattern's groups.
 KINDS = ("email", "phone", "card", "ip", "given_m", "given_f", "surname")
-PATTERN = "|".join(
-    f"({p})"
-    for p in (
-        r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-        r"(?<![\w+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\w)",
-        r"(?<!\w)\d{4}(?:[ -]?\d{4}){3}(?!\w)",
-        r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
-        _given(_MALE),
-        _given(_FEMALE),
-        rf"(?<=\b(?:{_MALE}|{_FEMALE})\.? )(?:{_WORD})|(?<=\b(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}[\p{{L}}'’-]{{1,40}} ){_WORD}",
-    )
+_ADDRESSES = (
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
+    r"(?<![\w+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\w)",
+    r"(?<!\w)\d{4}(?:[ -]?\d{4}){3}(?!\w)",
+    r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
+)
+_NAMES = (
+    _given(_MALE),
+    _given(_FEMALE),
+    rf"(?<=\b(?:{_MALE}|{_FEMALE})\.? )(?:{_WORD})|(?<=\b(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}[\p{{L}}'’-]{{1,40}} ){_WORD}",
 )
-#: Any mention has a digit and a dot, a digit and a bracket, an at sign, ...
-HINT = rf"[@0-9]|(?:{_MALE}|{_FEMALE})\.? "
+PATTERN = "|".join(f"({p})" for p in _ADDRESSES + _NAMES)
+#: The same groups for texts without a title: looking back for one is dear.
+NO_NAMES = "|".join([f"({p})" for p in _ADDRESSES] + ["((?!))"] * len(_NAMES))
+_FIRST = "".join(sorted({t[0] for t in (_MALE + "|" + _FEMALE).split("|")}))
+TITLE = rf"\b(?=[{_FIRST}])(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}"
 
 GIVEN = {
     ("given_m", "latin"): "Adrian Bruno Carl Daniel Emil Felix Gabriel Hugo Ivan Jonas Karl Leon Martin Nils Oscar Paul Quentin Robert Simon Thomas".split(),
@@ -176,11 +178,17 @@ def replace_personal(
     rows = docs.select(
         F.col(id_col).alias("s_id"), F.struct(*keep).alias("s_kept") if keep else F.lit(0).alias("s_kept"), text.alias("s_text"), F.sha2(text, 256).alias("s_digest")
     )
-    # a cheap test first: the pattern is only tried where a digit, an at sign
-    # or a title occurs
-    is_hit = F.coalesce(F.when(F.col("s_text").rlike(HINT), F.col("s_text").rlike(PATTERN)), F.lit(False))
+    # cheap tests first: a pattern is only tried where a title, a digit or an
+    # at sign occurs
+    titled, plain = F.col("s_text").rlike(TITLE), F.col("s_text").contains("@") | F.col("s_text").rlike("[0-9]")
+
+    def by_title(f) -> Column:
+        return F.when(titled, f(PATTERN)).otherwise(f(NO_NAMES))
+
+    found = F.when(titled, F.col("s_text").rlike(PATTERN)).when(plain, F.col("s_text").rlike(NO_NAMES))
+    is_hit = F.coalesce(found, F.lit(False))
     hits = rows.where(is_hit)
-    groups = [F.regexp_extract_all("s_text", F.lit(PATTERN), F.lit(g + 1)).alias(k) for g, k in enumerate(KINDS)]
+    groups = [by_title(lambda p, g=g: F.regexp_extract_all("s_text", F.lit(p), F.lit(g + 1))).alias(k) for g, k in enumerate(KINDS)]
     zipped = F.arrays_zip(*groups)
     kind = F.array_max(F.array(*[F.when(F.col("m")[k] != "", F.lit(k)) for k in KINDS]))
     mentions = (
@@ -203,7 +211,7 @@ def replace_personal(
     )
     counts = [f"n_{k}" for k in KINDS[:4]] + ["n_name"]
     rebuilt = F.array_join(
-        F.zip_with(F.split("s_text", PATTERN, -1), "shown", lambda piece, s: F.concat(piece, F.coalesce(s, F.lit("")))), ""
+        F.zip_with(by_title(lambda p: F.split("s_text", p, -1)), "shown", lambda piece, s: F.concat(piece, F.coalesce(s, F.lit("")))), ""
     )
     changed = hits.join(per_text, "s_digest").select("s_id", "s_kept", rebuilt.alias("s_text"), F.lit(True).alias("changed"), *counts)
     same = rows.where(~is_hit).select("s_id", "s_kept", "s_text", F.lit(False).alias("changed"), *[F.lit(0).cast("bigint").alias(c) for c in counts])
