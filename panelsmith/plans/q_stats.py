@@ -186,6 +186,58 @@ def impute_forest(spark, sf_dir):
     return IM.predict(df, fitted, keep=["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
+_LINE_KEY = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
+
+
+@query(
+    "rf_cv_audit",
+    f"""
+SELECT l_returnflag, CASE WHEN {md5_sql(_LINE_KEY, 100, "split")} < 80 THEN 'train' ELSE 'test' END AS split,
+       count(*) AS n, CAST(1 AS BIGINT) AS n_best
+FROM lineitem WHERE {md5_sql(_LINE_KEY, 10)} <> 0 GROUP BY ALL
+""",
+)
+def rf_cv_audit(spark, sf_dir):
+    """What SQL can state of the search: the rows each group's best model was
+    judged on, and that there is one best model per group."""
+    df, fitted = _fit(spark, sf_dir)
+    best = IM.cv_scores(spark, fitted).groupBy("l_returnflag").agg(F.count_if("is_best").alias("n_best"))
+    return IM.evaluation(df, fitted).join(best, "l_returnflag").select("l_returnflag", "split", "n", "n_best")
+
+
+@query(
+    "feature_importance_audit",
+    f"""
+SELECT DISTINCT l_returnflag, CAST({len(FOREST_FEATURES)} AS BIGINT) AS n_features, CAST({len(FOREST_FEATURES)} AS BIGINT) AS n_ranks,
+       CAST(1 AS DOUBLE) AS total
+FROM lineitem
+""",
+)
+def feature_importance_audit(spark, sf_dir):
+    """Every feature once per group, and importances that add up to 1."""
+    _, fitted = _fit(spark, sf_dir)
+    by = IM.feature_importances(spark, fitted).groupBy("l_returnflag")
+    return by.agg(
+        F.countDistinct("feature").alias("n_features"), F.countDistinct("rank").alias("n_ranks"), F.round(F.sum("importance"), 6).alias("total")
+    )
+
+
+@query(
+    "impute_forest_audit",
+    f"""
+SELECT l_returnflag, count(*) AS n_predicted, count(*) AS n_in_range
+FROM lineitem WHERE {md5_sql(_LINE_KEY, 10)} = 0 GROUP BY l_returnflag
+""",
+)
+def impute_forest_audit(spark, sf_dir):
+    """Every masked row is predicted, inside the range of the observed values."""
+    df, fitted = _fit(spark, sf_dir)
+    seen = df.where(F.col(TARGET).isNotNull()).groupBy("l_returnflag").agg(F.min(TARGET).alias("lo"), F.max(TARGET).alias("hi"))
+    made = IM.predict(df, fitted, keep=["l_returnflag"]).join(seen, "l_returnflag")
+    inside = F.col("prediction").between(F.col("lo"), F.col("hi"))
+    return made.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_predicted"), F.count_if(inside).alias("n_in_range"))
+
+
 @query(
     "impute_writeback",
     f"""

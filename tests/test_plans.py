@@ -9,7 +9,10 @@ from conftest import SMALL
 from panelsmith.plans import registry
 
 registry.load_all()
-ML = {"rf_cv", "feature_importance", "impute_forest", "impute_panel"}
+ML = {
+    "rf_cv", "feature_importance", "impute_forest", "impute_panel",
+    "rf_cv_audit", "feature_importance_audit", "impute_forest_audit",
+}
 
 
 def _plan(spark, name):
