@@ -194,7 +194,37 @@ OTHER_PARTS = 6
 BLOCK_CHARS = 50_000
 
 
-@query("op10_mix_sources")
+_WEIGHT_ROWS = ", ".join(f"('{k}', {v})" for k, v in [*MIX_WEIGHTS.items(), (mixing.OTHER, OTHER_PARTS)])
+
+MIX_SQL = f"""
+WITH RECURSIVE weights(k, parts) AS (SELECT col0, col1::BIGINT FROM (VALUES {_WEIGHT_ROWS})),
+docs AS (SELECT doc_id, source, lang, n_chars, coalesce((SELECT k FROM weights WHERE k = source), '{mixing.OTHER}') AS mix_source,
+  coalesce(length(text), 0)::BIGINT AS chars, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 't' || md5(text), '')), 1, 10))::BIGINT AS h FROM documents),
+placed AS (SELECT *, coalesce(sum(chars) OVER (PARTITION BY mix_source ORDER BY h, doc_id, chars ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_chars FROM docs),
+sums AS (SELECT mix_source AS k, greatest(ceil(sum(chars) / {BLOCK_CHARS}), 1)::BIGINT AS blocks FROM docs GROUP BY mix_source),
+sources AS (SELECT k, parts, blocks, (blocks + parts - 1) // parts AS rounds, blocks // parts AS full_rounds FROM sums JOIN weights USING (k)),
+ends AS (SELECT DISTINCT rounds AS to_round FROM sources),
+phases AS (SELECT to_round, coalesce(lag(to_round) OVER (ORDER BY to_round), 0) AS from_round,
+  (SELECT list(k ORDER BY k) FROM sources WHERE rounds >= to_round) AS ks,
+  (SELECT list(parts ORDER BY k) FROM sources WHERE rounds >= to_round) AS ps,
+  (SELECT sum(parts)::BIGINT FROM sources WHERE rounds >= to_round) AS period FROM ends),
+starts AS (SELECT *, coalesce(sum((to_round - from_round) * period) OVER (ORDER BY to_round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_slot FROM phases),
+edf AS (SELECT to_round, ks, ps, period, 0::BIGINT AS t, list_transform(ps, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS pick, NULL::BIGINT AS place FROM phases
+  UNION ALL SELECT to_round, ks, ps, period, t + 1, list_transform(done, lambda x, i: CASE WHEN i = now THEN x + 1 ELSE x END), now, done[now] FROM (
+    SELECT * EXCLUDE (pick, place), list_min(list_filter(list_transform(range(1, len(ps) + 1),
+      lambda i: CASE WHEN (done[i] * period) // ps[i] <= t THEN (((done[i] + 1) * period + ps[i] - 1) // ps[i]) * 100000 + i END), lambda c: c IS NOT NULL)) % 100000 AS now
+    FROM edf WHERE t < period)),
+slots AS (SELECT to_round, ks[pick] AS k, place, t - 1 AS slot FROM edf WHERE pick IS NOT NULL),
+dealt AS (SELECT p.*, s.parts, least(offset_chars // {BLOCK_CHARS}, s.blocks - 1) AS block FROM placed p JOIN sources s ON s.k = p.mix_source),
+rounds AS (SELECT *, block // parts AS r, block % parts AS place FROM dealt)
+SELECT d.doc_id, d.source, d.lang, d.n_chars, d.mix_source, d.block, f.first_slot + (r - f.from_round) * f.period + (d.place * f.period) // d.parts AS release,
+  f.first_slot + (r - f.from_round) * f.period + ((d.place + 1) * f.period + d.parts - 1) // d.parts AS deadline,
+  f.first_slot + (r - f.from_round) * f.period + s.slot AS slot, d.offset_chars, r < (SELECT min(full_rounds) FROM sources) AS on_target
+FROM rounds d JOIN starts f ON f.from_round <= r AND r < f.to_round JOIN slots s ON s.to_round = f.to_round AND s.k = d.mix_source AND s.place = d.place
+"""
+
+
+@query("op10_mix_sources", MIX_SQL)
 def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(
         read_table(spark, sf_dir, "documents"), MIX_WEIGHTS, BLOCK_CHARS, other_weight=OTHER_PARTS, keep=("lang", "n_chars")
