@@ -238,7 +238,15 @@ class _Join:
         alone = F.col("n") - F.count(F.lit(1)).over(everyone)
         rows = rows.withColumn("place", F.row_number().over(order) + alone).where(F.col("place") <= self.base() + 1)
         rows = cut_lineage(rows.select("token", "comp", "node"), "jaccard-prefixes")
-        groups = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        # elements that the same classes hold bring together the same pairs: one
+        # of them is enough, and none whose classes are of one component
+        groups = rows.groupBy("token").agg(
+            F.count(F.lit(1)).alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("who"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("also"),
+            (F.min("comp") != F.max("comp")).alias("several"),
+        )
+        groups = groups.where("several").groupBy("members", "who", "also").agg(F.min("token").alias("token"))
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         rows = rows.join(groups, "token").select(
             "token", "comp", "node", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
