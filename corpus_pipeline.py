@@ -38,21 +38,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates (five-word shingles, similarity 0.8
     and more), keep the document with the smallest id."""
     groups = cut_lineage(jaccard_join.jaccard_components(docs, n=5, num=80, den=100), "groups")
-    kept = _without(docs, groups.where(F.col("component_id") != F.col("doc_id")))
-    # rows of one group that share the smallest id: the least text key stays
-    again = (
-        groups.where((F.col("component_id") == F.col("doc_id")) & (F.col("n_shingles") > 0))
-        .groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("text_key").alias("first"))
-        .where("rows > 1")
+    losers = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id", "text_key")
+    # of rows with the smallest id in one group, the least text key stays
+    again = groups.where((F.col("component_id") == F.col("doc_id")) & (F.col("n_shingles") > 0)).groupBy("doc_id", "component_key")
+    again = cut_lineage(
+        again.agg(F.count(F.lit(1)).alias("rows"), F.min("text_key").alias("first")).where("rows > 1"), "repeated-ids"
     )
-    again = cut_lineage(again, "repeated-ids")
     if again.isEmpty():
-        return kept
+        return _without(docs, losers)
+    others = groups.join(again, ["doc_id", "component_key"]).where(F.col("text_key") != F.col("first")).select("doc_id", "text_key")
+    kept = _without(docs, losers.unionByName(others))
     twice = again.select(F.col("doc_id").alias("__id"), F.col("first").alias("__first"))
-    single = kept.join(twice, kept["doc_id"] == F.col("__id"), "left_anti")
-    many = kept.join(twice, (kept["doc_id"] == F.col("__id")) & (F.xxhash64(kept["text"]) == F.col("__first"))).drop("__id", "__first")
-    return single.unionByName(many.dropDuplicates(["doc_id"]))
+    same = (kept["doc_id"] == F.col("__id")) & (F.xxhash64(kept["text"]) == F.col("__first"))
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

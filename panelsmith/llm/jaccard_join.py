@@ -283,7 +283,7 @@ class _Join:
         labelled = cut_lineage(labelled.withColumn("label", F.coalesce("comp", "node")), "jaccard-labels")
         smallest = labelled.where("id is not null and n > 0").groupBy("label").agg(F.min("id").alias("least_id"))
         return labelled.join(smallest, "label", "left").select(
-            "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("least_id"))).otherwise(F.col("id")).alias("component_id"), "text_key"
+            "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("least_id"))).otherwise(F.col("id")).alias("component_id"), "text_key", F.col("label").alias("component_key")
         )
 
 
@@ -292,7 +292,7 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_shingles, component_id (the
     smallest id that links reach, its own included), text_key (xxhash64 of the
-    text). Two rows link when
+    text) and component_key, which tells components apart where ids repeat. Two rows link when
     den * |intersection| >= num * |union| of their n-word shingle sets.
 
     A text with fewer than n words is one shingle, its whole sequence; a null
