@@ -129,19 +129,21 @@ def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = P
     models = raw * np.exp(rate)
     models /= models.sum(axis=1, keepdims=True)
     target = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * n_buckets)
-    parts = [np.ones(n_buckets)]
+    parts = [np.zeros(n_buckets, dtype=np.float32)]
     for k in range(1, len(KINDS)):
         excess = counts[k] * -np.expm1(-np.maximum(rate[k], 0))
         excess /= max(excess.sum(), 1e-300)
-        parts += [models[k] / models[0], *[1 - d + d * excess / target for d in DILUTIONS]]
-    return np.log(np.array(parts)).astype(np.float32)
+        parts.append(np.log(models[k] / models[0]).astype(np.float32))
+        parts += [np.log(1 - d + d * excess / target).astype(np.float32) for d in DILUTIONS]
+    return np.array(parts)
 
 
-def log_ratios(docs: DataFrame, ratios: np.ndarray, id_type: str) -> DataFrame:
+def log_ratios(docs: DataFrame, shared, id_type: str) -> DataFrame:
     """(id, kind, n_words, r0, r1, ...) of the rows (id, kind, text): the log
-    ratio of each component's likelihood to the target's."""
-    n_buckets, shared = ratios.shape[1], docs.sparkSession.sparkContext.broadcast(ratios)
-    names = [f"r{k}" for k in range(len(ratios))]
+    ratio of each component's likelihood to the target's. ``shared`` is the
+    broadcast result of ``fit_models``."""
+    n_buckets = shared.value.shape[1]
+    names = [f"r{k}" for k in range(len(shared.value))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -242,7 +244,9 @@ def select_quality(
     marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks.hint("shuffle_hash")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
     rows = rows.select("id", F.xxhash64("text").alias("text_key"), F.coalesce("kind", F.lit(-1)).alias("kind"), "text")
-    scored = cut_lineage(log_ratios(rows, fit_models(rows, n_buckets, prior), id_type), "importance-scores")
+    shared = docs.sparkSession.sparkContext.broadcast(fit_models(rows, n_buckets, prior))
+    scored = cut_lineage(log_ratios(rows, shared, id_type), "importance-scores")
+    shared.destroy()  # the scores are written; the driver keeps no model
 
     known = {r["kind"]: r["n"] for r in scored.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 4 rows
     start = [known.get(k, 0) for k in range(len(KINDS))]
