@@ -1,29 +1,36 @@
 """A hierarchical Pitman-Yor language model of words, and its scores.
 
-Restaurants: every class of preceding words has one (FINE classes by a hash of
-the word), whose parent is the restaurant of its group (COARSE groups), whose
-parent is the root, above which is the uniform distribution over the
-vocabulary and one unknown word. Customers of a restaurant are the words seen
-in its context; its tables are customers of its parent. Seating is sampled by
-Gibbs: in a sweep, all customers of a (restaurant, word) leave and are seated
-again given the parent's probability and the restaurant's totals, at each
-level in turn. Up to EXACT customers the number of tables comes from its exact
-conditional by generalised Stirling numbers, beyond that customers come in
-blocks that grow by an eighth. Discounts come from the counts of words seen
-once and twice. The predictive probabilities of the last sweeps are averaged.
-
-Everything of one word is in one bucket of the words' hash range, so sweeps
-need nothing from other buckets but the totals of the restaurants: three sums
-per restaurant, exchanged after each round. The number of buckets follows the
-number of tokens. Tokens travel as compressed blobs, a row per (chunk of
-documents, bucket). A frequent word makes its bucket large: a large bucket is
-counted in two steps and scored in several groups of chunks, each with a copy
-of the bucket's counts; the sampler's seed depends on the bucket alone, so
-the copies agree.
+Restaurants: every two preceding words have one, whose parent is the
+restaurant of the preceding word alone, whose parent is the root, above which
+is the uniform distribution over the vocabulary and one unknown word. Before
+a text's first word stand two start words. Customers of a restaurant are the
+words seen in its context; its tables are customers of its parent. Seating is
+sampled by Gibbs: in a sweep, all customers of a (restaurant, word) leave and
+are seated again given the parent's probability and the restaurant's totals,
+at each level in turn. Up to EXACT customers the number of tables comes from
+its exact conditional by generalised Stirling numbers, beyond that customers
+come in blocks that grow by an eighth. Discounts come from the counts of words
+seen once and twice. The predictive probabilities of the last sweeps are
+averaged.
+
+A bucket holds a range of hashes of the preceding word: the restaurants of
+that word and of all word pairs that end in it, so sweeps need nothing from
+other buckets but the root's probabilities of their words. After each round
+the tables of each word go from the buckets to the root, which is dealt by
+ranges of the word's hash, seated there and sent back; sums of five numbers
+reach the driver. The number of buckets follows the number of tokens, that of
+restaurants the contexts in the text. Word triples of texts that are only
+scored are counted with no customer, so that their probabilities need no
+separate search. Triples travel as compressed blobs, a row per (chunk of
+documents, bucket), summed within a chunk. A frequent word makes its bucket
+large: a large bucket is counted in two steps and scored in several groups of
+chunks, each with a copy of the bucket's counts; the sampler's seed depends on
+the bucket alone, so the copies agree.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +43,11 @@ from pyspark.sql import functions as F
 from panelsmith.llm import words as W
 from panelsmith.session import cut_lineage
 
-FINE, COARSE = 1024, 32
 ROUNDS, SWEEPS, BURN_IN = 3, 5, 2
 EXACT = 32
 #: Tokens of a chunk of documents, and of a bucket on average.
 CHUNK_TOKENS = 1_500_000
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 1_000_000
 #: Chunks whose counts are merged in one group, and MB of blobs scored in one.
 MERGE_CHUNKS = 64
 GROUP_BYTES = 48_000_000
@@ -52,8 +58,10 @@ _END, _START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one blob; their numbers' first bytes, second bytes and so on
+    stand together, which compresses better."""
     head = np.array([len(arrays), *[len(a) for a in arrays]], dtype=np.int64).tobytes()
-    raw = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    raw = head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -62,22 +70,26 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds) + 1)[1:]
     out, at = [], 8 * (len(kinds) + 1)
     for kind, n in zip(kinds, sizes.tolist()):
-        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
-        at += n * np.dtype(kind).itemsize
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * width, offset=at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * width
     return out
 
 
-COUNTS = ("u8", "u4", "u2", "u4")  # words, pairs of each, their contexts, their counts
-TOKENS = ("u8", "u4", "u2", "u4")  # words, tokens of each, their contexts, their documents
+#: The words of a blob, and triples of their places: previous word, the one
+#: before, word; then training customers, or tokens and the tokens' documents.
+COUNTS = ("u8", "u4", "u4", "u4", "u4")
+TOKENS = ("u8", "u4", "u4", "u4", "u4", "u4")
 
 
-def merge_counts(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, context, count) of all blobs, summed, by word and context."""
-    parts = [unpack(b, *COUNTS) for b in blobs]
-    words = np.concatenate([np.repeat(p[0], p[1]) for p in parts]) if parts else np.zeros(0, "u8")
-    contexts = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, "u2")
-    n = np.concatenate([p[3] for p in parts]).astype(np.int64) if parts else np.zeros(0, "i8")
-    return _sum_pairs(words, contexts, n)
+def _is_first(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    out[1:] = columns[0][1:] != columns[0][:-1]
+    for c in columns[1:]:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _sum_pairs(words, contexts, n):
@@ -85,15 +97,39 @@ def _sum_pairs(words, contexts, n):
     words, contexts, n = words[order], contexts[order], n[order]
     if not len(words):
         return words, contexts, n
-    first = np.ones(len(words), dtype=bool)
-    first[1:] = (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])
-    at = np.flatnonzero(first)
+    at = np.flatnonzero(_is_first(words, contexts))
     return words[at], contexts[at], np.add.reduceat(n, at)
 
 
-def pack_counts(words, contexts, n) -> bytes:
-    unique, runs = np.unique(words, return_counts=True)
-    return pack(unique, runs.astype("u4"), contexts.astype("u2"), n.astype("u4"))
+def _triple_order(v, x, w, size: int) -> np.ndarray:
+    """Order of triples of numbers below ``size``."""
+    if size <= 1 << 21:
+        return np.argsort((v.astype(np.int64) << 42) | (x.astype(np.int64) << 21) | w.astype(np.int64), kind="stable")
+    return np.lexsort((w, x, v))
+
+
+def pack_triples(words, v, x, w, *rest) -> bytes:
+    """A blob with those of the sorted ``words`` that its triples need."""
+    used = np.unique(np.concatenate([v, x, w]))
+    place = np.zeros(len(words), dtype=np.uint32)
+    place[used] = np.arange(len(used), dtype=np.uint32)
+    return pack(words[used], *[place[c] for c in (v, x, w)], *[c.astype("u4") for c in rest])
+
+
+def merge_counts(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(words, v, x, w, n) of all blobs: sorted words, and triples of their
+    places, sorted, with the sums of their customers."""
+    parts = [unpack(b, *COUNTS) for b in blobs]
+    if len(parts) == 1:
+        return parts[0][0], *[c.astype(np.int64) for c in parts[0][1:]]
+    words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    ends = np.cumsum([0, *[len(p[0]) for p in parts]]).tolist()
+    v, x, w = (np.concatenate([at[a:b][p[k]] for p, a, b in zip(parts, ends, ends[1:])]) for k in (1, 2, 3))
+    n = np.concatenate([p[4] for p in parts]).astype(np.int64)
+    order = _triple_order(v, x, w, len(words))
+    v, x, w, n = v[order], x[order], w[order], n[order]
+    first = np.flatnonzero(_is_first(v, x, w))
+    return words, v[first], x[first], w[first], np.add.reduceat(n, first)
 
 
 # ------------------------------------------------------------------ sampler
@@ -135,79 +171,120 @@ def seat(customers: np.ndarray, weight: np.ndarray, d: float, stirling: np.ndarr
 
 
 class Totals:
-    """Customers and tables of every restaurant, discounts and strengths."""
+    """Customers and tables of the root, discounts and strengths."""
 
     def __init__(self, rows: dict[tuple[int, int], tuple[float, float]], sizes: dict[int, tuple[float, float]], vocabulary: int):
-        self.n = [np.zeros(m) for m in (1, COARSE, FINE)]
-        self.t = [np.zeros(m) for m in (1, COARSE, FINE)]
-        for (level, i), (n, t) in rows.items():
-            self.n[level][i], self.t[level][i] = n, t
+        self.n, self.t = rows.get((0, 0), (0.0, 0.0))
         # the usual estimate of a discount, kept inside (0, 1)
         self.d = [float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95)) for one, two in (sizes.get(k, (0.0, 0.0)) for k in range(3))]
         self.strength = [1.0, 1.0, 1.0]
         self.vocabulary = vocabulary
 
-    def fresh(self, level: int) -> np.ndarray:
-        return self.strength[level] + self.d[level] * self.t[level]
+    def new_word(self) -> float:
+        """Weight of a new table of the root."""
+        return (self.strength[0] + self.d[0] * self.t) / (self.vocabulary + 1)
+
+    def root(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Probability of words with n customers at t tables of the root."""
+        return (n - self.d[0] * t + self.new_word()) / (self.n + self.strength[0])
 
 
 class Seating:
-    """The sampled state of one bucket: ``word`` (unique), ``group`` (index of
-    word and coarse context) and ``pair`` (word and fine context) levels."""
-
-    def __init__(self, words, contexts, n):
-        self.words, word_of = np.unique(words, return_inverse=True)
-        key = word_of.astype(np.int64) * COARSE + contexts % COARSE
-        self.groups, self.group_of = np.unique(key, return_inverse=True)
-        self.word_of_group, self.coarse = self.groups // COARSE, self.groups % COARSE
-        self.fine, self.n = contexts.astype(np.int64), n.astype(np.int64)
-        self.pairs = word_of.astype(np.int64) * FINE + self.fine
+    """The sampled state of one bucket: the levels ``word``, ``group`` (a word
+    after a parent context) and ``pair`` (a word after a context). A context
+    has one parent; without ``parents`` that is the empty context."""
+
+    def __init__(self, words, contexts, n, parents=None):
+        parents = np.zeros(len(words), dtype=np.int64) if parents is None else parents
+        unique, w = np.unique(words, return_inverse=True)
+        self.contexts, c = np.unique(contexts, return_inverse=True)
+        self.parents, p = np.unique(parents, return_inverse=True)
+        order = np.lexsort((w, c))
+        self._build(unique, p[order], c[order], w[order], np.asarray(n)[order])
+
+    @classmethod
+    def of(cls, words, v, x, w, n) -> Seating:
+        """From ``merge_counts``: contexts are (v, x), parents v."""
+        self = cls.__new__(cls)
+        is_context, is_parent = _is_first(v, x), _is_first(v)
+        self.contexts, self.parents = (v * len(words) + x)[is_context], v[is_parent]
+        self._build(words, np.cumsum(is_parent) - 1, np.cumsum(is_context) - 1, w, n)
+        return self
+
+    def _build(self, words, p, c, w, n):
+        self.words, self.n, self.context = words, n.astype(np.int64), c
+        self.parent_of_context = np.zeros(len(self.contexts), dtype=np.int64)
+        self.parent_of_context[c] = p
+        self.pairs = c * len(words) + w
+        self.groups, self.group_of = np.unique(p * len(words) + w, return_inverse=True)
+        self.parent, self.word = self.groups // max(len(words), 1), self.groups % max(len(words), 1)
+        self.raw = self._sum(w, self.n, len(words))
+        self.context_n = self._sum(c, self.n, len(self.contexts))
+        # only these have a choice of tables
+        self.open = np.flatnonzero(self.n > 1)
+        self.open_context, self.open_group = c[self.open], self.group_of[self.open]
         self.t = np.minimum(self.n, 1)
+        self.closed_context_t = self._sum(c, self.n == 1, len(self.contexts))
+        self.closed_group_n = self._sum(self.group_of, self.n == 1, len(self.groups))
         self._up()
-
-    def _up(self):
-        self.gn = np.bincount(self.group_of, weights=self.t, minlength=len(self.groups)).astype(np.int64)
         self.gt = np.minimum(self.gn, 1)
-        self.wn = np.bincount(self.word_of_group, weights=self.gt, minlength=len(self.words)).astype(np.int64)
+        self.wn = self._sum(self.word, self.gt, len(words))
         self.wt = np.minimum(self.wn, 1)
 
-    def predict(self, m: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of each word at the root, group and pair."""
-        root = (self.wn - m.d[0] * self.wt + m.fresh(0)[0] / (m.vocabulary + 1)) / (m.n[0][0] + m.strength[0])
-        g = self.coarse
-        group = (self.gn - m.d[1] * self.gt + m.fresh(1)[g] * root[self.word_of_group]) / (m.n[1][g] + m.strength[1])
-        f = self.fine
-        pair = (self.n - m.d[2] * self.t + m.fresh(2)[f] * group[self.group_of]) / (m.n[2][f] + m.strength[2])
+    @staticmethod
+    def _sum(where, weights, size) -> np.ndarray:
+        return np.bincount(where, weights=weights, minlength=size).astype(np.int64)
+
+    def _up(self):
+        t = self.t[self.open]
+        self.context_t = self.closed_context_t + self._sum(self.open_context, t, len(self.contexts))
+        self.gn = self.closed_group_n + self._sum(self.open_group, t, len(self.groups))
+
+    def _group(self, m: Totals, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of a new table, and probability, of each group's word."""
+        parent_n = self._sum(self.parent, self.gn, len(self.parents))
+        parent_t = self._sum(self.parent, self.gt, len(self.parents))
+        new = (m.strength[1] + m.d[1] * parent_t)[self.parent] * root[self.word]
+        return new, (self.gn - m.d[1] * self.gt + new) / (parent_n + m.strength[1])[self.parent]
+
+    def _fresh(self, m: Totals) -> np.ndarray:
+        return m.strength[2] + m.d[2] * self.context_t
+
+    def predict(self, m: Totals, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probability of each word at the root, group and pair; ``root`` is
+        given where the root is seated elsewhere."""
+        root = m.root(self.wn, self.wt) if root is None else root
+        _, group = self._group(m, root)
+        pair = (self.n - m.d[2] * self.t + self._fresh(m)[self.context] * group[self.group_of]) / (self.context_n + m.strength[2])[self.context]
         return root, group, pair
 
-    def sweep(self, m: Totals, stirling: list[np.ndarray], rng) -> None:
-        root, group, _ = self.predict(m)
-        self.t = seat(self.n, m.fresh(2)[self.fine] * group[self.group_of], m.d[2], stirling[2], rng)
-        self.gn = np.bincount(self.group_of, weights=self.t, minlength=len(self.groups)).astype(np.int64)
-        self.gt = seat(self.gn, m.fresh(1)[self.coarse] * root[self.word_of_group], m.d[1], stirling[1], rng)
-        self.wn = np.bincount(self.word_of_group, weights=self.gt, minlength=len(self.words)).astype(np.int64)
-        self.wt = seat(self.wn, np.full(len(self.words), m.fresh(0)[0] / (m.vocabulary + 1)), m.d[0], stirling[0], rng)
+    def sweep(self, m: Totals, stirling: list[np.ndarray], rng, root: np.ndarray | None = None) -> None:
+        seated = root is None
+        root = m.root(self.wn, self.wt) if seated else root
+        new, group = self._group(m, root)
+        weight = self._fresh(m)[self.open_context] * group[self.open_group]
+        self.t[self.open] = seat(self.n[self.open], weight, m.d[2], stirling[2], rng)
+        self._up()
+        self.gt = seat(self.gn, new, m.d[1], stirling[1], rng)
+        self.wn = self._sum(self.word, self.gt, len(self.words))
+        if seated:
+            self.wt = seat(self.wn, np.full(len(self.words), m.new_word()), m.d[0], stirling[0], rng)
 
     def totals(self) -> list[tuple[int, int, float, float]]:
-        """(level, restaurant, customers, tables); level -1-k holds how many
+        """(0, 0, customers and tables of the root); level -1-k holds how many
         words level k has seen once and twice."""
-        out = []
-        levels = ((0, np.zeros(len(self.words), np.int64), self.wn, self.wt, 1), (1, self.coarse, self.gn, self.gt, COARSE), (2, self.fine, self.n, self.t, FINE))
-        for level, where, n, t, size in levels:
-            n_sum, t_sum = np.bincount(where, weights=n, minlength=size), np.bincount(where, weights=t, minlength=size)
-            out += [(level, i, float(n_sum[i]), float(t_sum[i])) for i in np.flatnonzero(n_sum).tolist()]
-            out.append((-1 - level, 0, float((n == 1).sum()), float((n == 2).sum())))
-        return out
+        out = [(0, 0, float(self.wn.sum()), float(self.wt.sum()))]
+        return out + [(-1 - k, 0, float((n == 1).sum()), float((n == 2).sum())) for k, n in enumerate((self.wn, self.gn, self.n))]
 
 
-def sample(state: Seating, m: Totals, seed: int, average: bool):
+def sample(state: Seating, m: Totals, seed: int, average: bool, root: np.ndarray):
     """Run one round; the averaged predictive probabilities if asked for."""
     rng, stirling = np.random.default_rng(seed), [log_stirling(d) for d in m.d]
     mean = None
     for s in range(SWEEPS):
-        state.sweep(m, stirling, rng)
+        state.sweep(m, stirling, rng, root)
         if average and s >= BURN_IN:
-            now = state.predict(m)
+            now = state.predict(m, root)
             mean = now if mean is None else [a + b for a, b in zip(mean, now)]
     return [x / (SWEEPS - BURN_IN) for x in mean] if average else None
 
@@ -220,43 +297,45 @@ def lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, sorted_keys[at] == keys
 
 
-def probabilities(state: Seating, mean, m: Totals, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+def probabilities(state: Seating, mean, m: Totals, words: np.ndarray, contexts: np.ndarray, parents: np.ndarray | None = None) -> np.ndarray:
     """Averaged predictive probability of words (unique per call or not) in
     contexts, backing off to the parents' where nothing was seen."""
     root, group, pair = mean
+    if not len(state.pairs):
+        return np.full(len(words), m.new_word() / (m.n + m.strength[0]))
+    size = len(state.words)
     w, known = lookup(state.words, words)
-    p = np.full(len(words), m.fresh(0)[0] / (m.vocabulary + 1) / (m.n[0][0] + m.strength[0]))
-    p[known] = root[w[known]]
-    g = contexts.astype(np.int64) % COARSE
-    at, there = lookup(state.groups, w * COARSE + g)
-    there &= known
-    p = np.where(there, group[at] if len(group) else 0.0, m.fresh(1)[g] * p / (m.n[1][g] + m.strength[1]))
-    f = contexts.astype(np.int64)
-    at, there = lookup(state.pairs, w * FINE + f)
-    there &= known
-    return np.where(there, pair[at] if len(pair) else 0.0, m.fresh(2)[f] * p / (m.n[2][f] + m.strength[2]))
+    c, is_context = lookup(state.contexts, contexts)
+    at, there = lookup(state.pairs, c * size + w)
+    there &= known & is_context
+    if there.all():
+        return pair[at]
+    u, is_parent = lookup(state.parents, np.zeros(len(words), dtype=np.int64) if parents is None else parents)
+    u, is_parent = np.where(is_context, state.parent_of_context[c], u), is_context | is_parent
+    p = np.where(known, root[w], m.new_word() / (m.n + m.strength[0]))
+    g, in_group = lookup(state.groups, u * size + w)
+    parent_n, parent_t = (state._sum(state.parent, k, len(state.parents)) for k in (state.gn, state.gt))
+    fresh = (m.strength[1] + m.d[1] * parent_t) / (parent_n + m.strength[1])
+    p = np.where(in_group & known & is_parent, group[g], np.where(is_parent, fresh[u], 1.0) * p)
+    fresh = state._fresh(m) / (state.context_n + m.strength[2])
+    return np.where(there, pair[at], np.where(is_context, fresh[c], 1.0) * p)
 
 
 # --------------------------------------------------------------- documents
 
 
-def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words with one end after each document, their context classes and
-    their documents' numbers."""
+def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Words with one end after each document, and their documents' numbers."""
     split = W.split_words(part.column("text"))
     sizes = np.diff(split.first) + 1
-    last = np.cumsum(sizes) - 1
     words = np.empty(int(sizes.sum()), dtype=np.uint64)
     is_end = np.zeros(len(words), dtype=bool)
-    is_end[last] = True
+    is_end[np.cumsum(sizes) - 1] = True
     words[is_end], words[~is_end] = _END, split.hashes
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    before[np.concatenate([[0], last[:-1] + 1])] = _START
-    return words, (before % np.uint64(FINE)).astype(np.uint16), np.repeat(np.arange(len(sizes)), sizes)
+    return words, np.repeat(np.arange(len(sizes)), sizes)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Documents (without text) and tokens in chunks of about CHUNK_TOKENS."""
     parts, held = [], 0
     for batch in batches:
@@ -277,59 +356,145 @@ def _joined(parts):
     return (
         table.to_batches()[0],
         np.concatenate([p[1] for p in parts]),
-        np.concatenate([p[2] for p in parts]),
-        np.concatenate([p[3] + s for p, s in zip(parts, shift)]),
+        np.concatenate([p[2] + s for p, s in zip(parts, shift)]),
     )
 
 
-def _bucket_cuts(words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets that sorted words touch, and where each begins."""
+def _triples(words: np.ndarray, doc: np.ndarray):
+    """The sorted distinct words; and tokens, sorted, as places in them of the
+    previous word, the one before it and the word, with their documents."""
+    is_first = _is_first(doc)
+    unique, w = np.unique(np.append(words, _START), return_inverse=True)
+    start, w = w[-1], w[:-1]
+    v, x = np.empty_like(w), np.empty_like(w)
+    v[1:] = w[:-1]
+    v[is_first] = start
+    x[1:] = v[:-1]
+    x[is_first] = start
+    order = _triple_order(v, x, w, len(unique))
+    return unique, v[order], x[order], w[order], doc[order]
+
+
+def _bucket_cuts(words: np.ndarray, bits: int) -> tuple[list[int], list[int], list[int]]:
+    """Buckets that sorted words touch, and where each begins and ends."""
     buckets = (words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
-    return np.unique(buckets, return_index=True)
+    buckets, starts = np.unique(buckets, return_index=True)
+    return buckets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(words)]
+
 
+def _count_triples(docs: DataFrame, bits: int, salted: bool) -> DataFrame:
+    """(bucket, tokens, blob): one row per bucket."""
 
-def _train_counts(docs: DataFrame, bits: int) -> DataFrame:
     def work(batches):
         seq, task = 0, TaskContext.get().partitionId()
-        for part, words, contexts, doc in _chunks(batches):
+        for part, words, doc in _chunks(batches):
+            unique, v, x, w, doc = _triples(words, doc)
             learn = ~part.column("held_out").to_numpy(zero_copy_only=False)[doc]
-            w, u, n = _sum_pairs(words[learn], contexts[learn], np.ones(int(learn.sum()), dtype=np.int64))
-            buckets, starts = _bucket_cuts(w, bits)
-            ends = [*starts[1:].tolist(), len(w)]
-            blobs = [pack_counts(w[a:b], u[a:b], n[a:b]) for a, b in zip(starts.tolist(), ends)]
+            first = np.flatnonzero(_is_first(v, x, w))
+            n, tokens = np.add.reduceat(learn.astype(np.int64), first), np.diff([*first, len(v)])
+            v, x, w = v[first], x[first], w[first]
+            buckets, starts, ends = _bucket_cuts(unique[v], bits)
+            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b]) for a, b in zip(starts, ends)]
             salt = [(task * 131 + seq) % MERGE_CHUNKS] * len(blobs)
             seq += 1
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(salt, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "salt", "blob"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets, pa.int64()), pa.array(salt, pa.int32()), pa.array(np.add.reduceat(tokens, starts), pa.int64()), pa.array(blobs, pa.binary())],
+                names=["bucket", "salt", "tokens", "blob"],
+            )
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        merged = merge_counts(list(pdf["blob"]))
-        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(merged[2].sum())], "blob": [pack_counts(*merged)]})
+        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(pdf["tokens"].sum())], "blob": [pack_triples(*merge_counts(list(pdf["blob"])))]})
 
-    chunked = docs.mapInArrow(work, "bucket long, salt int, blob binary")
-    once = chunked.groupBy("bucket", "salt").applyInPandas(merge, "bucket long, tokens long, blob binary")
-    return once.groupBy("bucket").applyInPandas(merge, "bucket long, tokens long, blob binary")
+    counted = docs.mapInArrow(work, "bucket long, salt int, tokens long, blob binary")
+    if salted:
+        counted = counted.groupBy("bucket", "salt").applyInPandas(merge, "bucket long, tokens long, blob binary")
+    return counted.groupBy("bucket").applyInPandas(merge, "bucket long, tokens long, blob binary")
 
 
-def _round(counts: DataFrame, m: Totals | None, seed: int) -> tuple[dict, dict, int, int]:
-    """Totals after a round over all buckets (at most FINE + COARSE + 4 rows),
-    the vocabulary's size and the number of tokens."""
+def _with_root(counts: DataFrame, downs: DataFrame) -> DataFrame:
+    """Counts with what the root sent to the bucket, in the order of words."""
+    sent = downs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
+    return counts.join(sent, "bucket").select("bucket", "tokens", "blob", F.col("down.blob").alias("down"))
+
+
+def _root_of(state: Seating, down: list[bytes], m: Totals) -> tuple[np.ndarray, np.ndarray]:
+    """Root probabilities and training tokens of the words of a state."""
+    targets = np.unique(state.word)
+    n, t, raw = (np.concatenate(c) for c in zip(*[unpack(b, "u8", "u8", "u8") for b in down]))
+    root, tokens = np.zeros(len(state.words)), np.zeros(len(state.words))
+    root[targets], tokens[targets] = m.root(n.astype(float), t.astype(float)), raw
+    return root, tokens
+
+
+_UP = "bucket long, part long, blob binary, one1 double, two1 double, one2 double, two2 double"
+_DOWN = "bucket long, part long, blob binary, n double, t double, one0 double, two0 double, vocabulary double, tokens double"
+
+
+def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFrame:
+    """A round of each bucket (without ``m`` the first seating): the customers
+    and training tokens of each word for the root, a row per range of words."""
 
     def work(batches):
         for batch in batches:
-            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
-                state = Seating(*merge_counts([blob.as_py()]))
+            downs = batch.column("down") if m is not None else [None] * batch.num_rows
+            for bucket, blob, down in zip(batch.column("bucket").to_pylist(), batch.column("blob"), downs):
+                state = Seating.of(*merge_counts([blob.as_py()]))
                 if m is not None:
-                    sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False)
-                rows = [*state.totals(), (-9, 0, float(len(state.words)), float(state.n.sum()))]
+                    sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False, _root_of(state, down.as_py(), m)[0])
+                targets = np.unique(state.word)
+                words, n, raw = state.words[targets], state.wn[targets], state.raw[targets]
+                parts, starts, ends = _bucket_cuts(words, bits)
+                blobs = [pack(words[a:b], n[a:b].astype("u8"), raw[a:b].astype("u8")) for a, b in zip(starts, ends)]
+                sizes = [float(x) for row in state.totals()[2:] for x in row[2:]]
+                rest = [[x] + [0.0] * (len(parts) - 1) for x in sizes]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.float64(), pa.float64()))], names=["level", "i", "n", "t"]
+                    [pa.array([bucket] * len(parts), pa.int64()), pa.array(parts, pa.int64()), pa.array(blobs, pa.binary()), *[pa.array(r, pa.float64()) for r in rest]],
+                    names=["bucket", "part", "blob", "one1", "two1", "one2", "two2"],
                 )
 
-    sums = counts.mapInArrow(work, "level int, i int, n double, t double").groupBy("level", "i").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    rows = {(r["level"], r["i"]): (r["n"], r["t"]) for r in sums.collect()}
-    vocabulary, tokens = rows.pop((-9, 0), (0, 0))
-    sizes = {-1 - level: v for (level, _), v in rows.items() if level < 0}
-    return {k: v for k, v in rows.items() if k[0] >= 0}, sizes, int(vocabulary), int(tokens)
+    return cut_lineage(known.mapInArrow(work, _UP), "hpy-up")
+
+
+def _at_root(ups: DataFrame, m: Totals | None, seed: int) -> DataFrame:
+    """Customers, tables and training tokens of words, for each bucket."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("bucket")
+        part = int(pdf["part"].iloc[0])
+        got = [unpack(b, "u8", "u8", "u8") for b in pdf["blob"]]
+        words, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+        n, raw = (Seating._sum(at, np.concatenate([g[k] for g in got]), len(words)) for k in (1, 2))
+        t = np.minimum(n, 1)
+        if m is not None:
+            t = seat(n, np.full(len(n), m.new_word()), m.d[0], log_stirling(m.d[0]), np.random.default_rng(hash((seed, part, -1)) & 0xFFFFFFFF))
+        ends = np.cumsum([0, *[len(g[0]) for g in got]]).tolist()
+        out = pd.DataFrame({"bucket": pdf["bucket"].to_numpy(), "part": part})
+        out["blob"] = [pack(*[c[at[a:b]].astype("u8") for c in (n, t, raw)]) for a, b in zip(ends, ends[1:])]
+        sums = {"n": n.sum(), "t": t.sum(), "one0": (n == 1).sum(), "two0": (n == 2).sum(), "vocabulary": (raw > 0).sum(), "tokens": raw.sum()}
+        return out.assign(**{k: [float(x)] + [0.0] * (len(out) - 1) for k, x in sums.items()})
+
+    return cut_lineage(ups.groupBy("part").applyInPandas(work, _DOWN), "hpy-down")
+
+
+def _free(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of tables that are written."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _round(known: DataFrame, bits: int, m: Totals | None, seed: int) -> tuple[DataFrame, Totals, int]:
+    """What the root sends after a round over all buckets, the totals (sums of
+    ten numbers) and the number of training tokens."""
+
+    def sums(df: DataFrame, *names: str) -> list[float]:
+        return [x or 0.0 for x in df.agg(*[F.sum(c) for c in names]).first()]
+
+    ups = _upward(known, bits, m, seed)
+    one1, two1, one2, two2 = sums(ups, "one1", "two1", "one2", "two2")
+    _free(ups)
+    downs = _at_root(ups, m, seed)
+    n, t, one0, two0, vocabulary, tokens = sums(downs, "n", "t", "one0", "two0", "vocabulary", "tokens")
+    return downs, Totals({(0, 0): (n, t)}, {0: (one0, two0), 1: (one1, two1), 2: (one2, two2)}, int(vocabulary)), int(tokens)
 
 
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", seed: int = 9) -> DataFrame:
@@ -347,12 +512,15 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1.0, volume / 6 / BUCKET_TOKENS)))))  # about six bytes a token
-    # a range partition per bucket: each is sampled as one task
-    counts = cut_lineage(_train_counts(rows, bits), "hpy-counts").repartition(max(1, 1 << min(bits, 16)), "bucket")
-    got, sizes, vocabulary, n_train = _round(counts, None, seed)
+    # a partition per bucket: each is sampled as one task
+    salted = volume / 6 / CHUNK_TOKENS > MERGE_CHUNKS
+    counts = cut_lineage(_count_triples(rows, bits, salted), "hpy-counts")
+    _free(counts)
+    counts = counts.repartition(max(1, 1 << min(bits, 16)), "bucket")
+    downs, m, n_train = _round(counts, bits, None, seed)
     for r in range(ROUNDS - 1):
-        got, sizes, _, _ = _round(counts, Totals(got, sizes, vocabulary), seed + r)
-    m = Totals(got, sizes, vocabulary)
+        downs, m, _ = _round(_with_root(counts, downs), bits, m, seed + r)
+    _free(counts)
 
     # groups of chunks that a bucket is scored in: one, unless a word is very
     # frequent; a token takes about five bytes
@@ -361,26 +529,25 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
     def tokens(batches):
         seq, task = 0, TaskContext.get().partitionId()
-        for part, words, contexts, doc in _chunks(batches):
+        for part, words, doc in _chunks(batches):
             chunk = task * 1_000_003 + seq
             seq += 1
-            order = np.argsort(words, kind="stable")
-            words, contexts, doc = words[order], contexts[order], doc[order]
-            buckets, starts = _bucket_cuts(words, bits)
-            ends = [*starts[1:].tolist(), len(words)]
-            blobs = []
-            for a, b in zip(starts.tolist(), ends):
-                unique, runs = np.unique(words[a:b], return_counts=True)
-                blobs.append(pack(unique, runs.astype("u4"), contexts[a:b], doc[a:b].astype("u4")))
             sizes_of = np.bincount(doc, minlength=part.num_rows)
+            unique, v, x, w, doc = _triples(words, doc)
+            buckets, starts, ends = _bucket_cuts(unique[v], bits)
+            blobs = []
+            for a, b in zip(starts, ends):
+                first = a + np.flatnonzero(_is_first(v[a:b], x[a:b], w[a:b]))
+                runs = np.diff([*first, b])
+                blobs.append(pack_triples(unique, v[first], x[first], w[first], runs, doc[a:b]))
             header = part.append_column("n_tokens", pa.array(sizes_of, pa.int64()))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, header.schema) as out:
                 out.write_batch(header)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*buckets.tolist(), -1 - chunk % 4096], pa.int64()),
-                    pa.array([*(chunk % many.get(b, 1) for b in buckets.tolist()), 0], pa.int32()),
+                    pa.array([*buckets, -1 - chunk % 4096], pa.int64()),
+                    pa.array([*(chunk % many.get(b, 1) for b in buckets), 0], pa.int32()),
                     pa.array([chunk] * (len(blobs) + 1), pa.int64()),
                     pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
                 ],
@@ -388,7 +555,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
             )
 
     sent = rows.mapInArrow(tokens, "bucket long, group int, chunk long, blob binary")
-    spread = counts.select("bucket", F.explode(F.sequence(F.lit(0), wanted.cast("int") - 1)).alias("group"), F.col("blob").alias("counts"))
+    spread = _with_root(counts, downs).select("bucket", F.explode(F.sequence(F.lit(0), wanted.cast("int") - 1)).alias("group"), F.col("blob").alias("counts"), "down")
 
     def score(pieces: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(pieces):
@@ -396,17 +563,18 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
         bucket = int(pieces["bucket"].iloc[0])
         if bucket < 0:
             return pd.DataFrame({"chunk": pieces["chunk"], "is_header": True, "blob": pieces["blob"]})
-        state = Seating(*merge_counts(list(known["counts"])))
-        mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True)
-        unigrams = np.bincount(state.pairs // FINE, weights=state.n, minlength=len(state.words))
-        scale = n_train + 0.5 * (vocabulary + 1)
+        state = Seating.of(*merge_counts([known["counts"].iloc[0]]))
+        root, raw = _root_of(state, list(known["down"].iloc[0]), m)
+        mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
+        scale, size = n_train + 0.5 * (m.vocabulary + 1), len(state.words)
         out = []
         for blob in pieces["blob"]:
-            unique, runs, contexts, doc = unpack(blob, *TOKENS)
-            at, there = lookup(state.words, unique)
-            c = np.where(there, unigrams[at] if len(unigrams) else 0, 0.0)
-            base = np.repeat(np.log10((c + 0.5) / scale), runs)
-            p = np.log10(probabilities(state, mean, m, np.repeat(unique, runs), contexts))
+            unique, v, x, w, runs, doc = unpack(blob, *TOKENS)
+            place = np.searchsorted(state.words, unique)
+            v, x, w = place[v], place[x], place[w]
+            there = raw[w] > 0
+            base = np.repeat(np.log10((raw[w] + 0.5) / scale), runs)
+            p = np.repeat(np.log10(probabilities(state, mean, m, state.words[w], v * size + x, v)), runs)
             docs_here, place = np.unique(doc, return_inverse=True)
             out.append(
                 pack(

@@ -123,3 +123,32 @@ def test_seating_follows_the_exact_conditional():
     want = np.exp(stirling[c, 1 : c + 1]) * weight ** np.arange(1, c + 1)
     assert np.abs(got - want / want.sum()).max() < 0.01
     assert stirling[3, 2] == pytest.approx(math.log(3 * (1 - d)))
+
+
+def test_scores_know_both_preceding_words(spark):
+    rng = random.Random(1)
+    texts = [f"a{a} b{b} c{(7 * a + b) % 50}" for a, b in ((rng.randrange(20), rng.randrange(60)) for _ in range(3000))]
+    first, second, third = texts[0].split()
+    other = f"{first} {second} c{(int(third[1:]) + 7) % 50}"  # the word is usual after the last word alone
+    docs = spark.createDataFrame([*((i, t, False) for i, t in enumerate(texts)), (-1, texts[0], True), (-2, other, True)], "doc_id long, text string, h boolean")
+    got = {r.doc_id: r.score for r in pitman_yor.score_texts(docs, F.col("h")).where("doc_id < 0").collect()}
+    assert got[-1] - got[-2] > 0.8
+
+
+def test_every_context_has_its_restaurant():
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 2**63, 5000).astype("u8")[rng.integers(0, 5000, 40_000)]
+    unique, v, x, w, _ = pitman_yor._triples(words, np.zeros(len(words), dtype=np.int64))
+    first = np.flatnonzero(pitman_yor._is_first(v, x, w))
+    blob = pitman_yor.pack_triples(unique, v[first], x[first], w[first], np.diff([*first, len(v)]))
+    state = pitman_yor.Seating.of(*pitman_yor.merge_counts([blob, blob]))
+    assert len(state.parents) == len(set(words[:-1].tolist())) + 1  # and the start
+    assert len(state.contexts) == len(set(zip(words[:-2].tolist(), words[1:-1].tolist()))) + 2
+    assert state.n.sum() == 2 * len(words)
+    rows = state.totals()
+    m = pitman_yor.Totals({(0, 0): rows[0][2:]}, {-1 - a: (n, t) for a, _, n, t in rows[1:]}, len(state.words) - 1)
+    seen = np.flatnonzero(state.context == 7)
+    everything = np.append(unique[unique != pitman_yor._START], np.uint64(3))
+    contexts = np.full(len(everything), state.contexts[7])
+    p = pitman_yor.probabilities(state, state.predict(m), m, everything, contexts)
+    assert abs(p.sum() - 1) < 1e-9 and p[np.searchsorted(everything[:-1], state.words[state.pairs[seen] % len(state.words)])].sum() > 0.3
