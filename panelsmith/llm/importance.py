@@ -46,6 +46,8 @@ KINDS = ("target", "low", "toxic")
 #: A text may be unwanted in part: beside its whole model, what a kind has in
 #: excess of the target enters the mixture at these shares of target text.
 DILUTIONS = (1 / 8, 1 / 64, 1 / 512)
+#: Shares of words in excess of the target in raw text of no labelled kind.
+RAW_SHARES = (1 / 2, 1 / 8)
 EM_ROUNDS = 12
 
 
@@ -119,8 +121,8 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = PRIOR) -> np.ndarray:
     """log p(bucket | component) - log p(bucket | target) per bucket, of the
-    target, and of each unwanted kind whole and at each dilution, from rows
-    (kind, text). At most (kinds + 1) * n_buckets counts are collected."""
+    target, of the excess of all text over the target at each of RAW_SHARES,
+    and of each unwanted kind whole and at each dilution, from rows (kind, text). At most (kinds + 1) * n_buckets counts are collected."""
     counts = _count(labelled, n_buckets)
     raw = (counts[-1] + 0.5) / (counts[-1].sum() + 0.5 * n_buckets)
     expected = counts[:-1].sum(axis=1, keepdims=True) * counts[0] / max(counts[0].sum(), 1)
@@ -129,7 +131,13 @@ def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = P
     models = raw * np.exp(rate)
     models /= models.sum(axis=1, keepdims=True)
     target = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * n_buckets)
-    parts = [np.zeros(n_buckets, dtype=np.float32)]
+    # all text but the target's own, over the target
+    rest = counts[-1] - counts[0]
+    expected = rest.sum() / max(counts[0].sum(), 1) * counts[0]
+    over = np.maximum(np.log((rest + prior) / (expected + prior)) - NEUTRAL, 0)
+    excess = rest * -np.expm1(-over)
+    excess /= max(excess.sum(), 1e-300)
+    parts = [np.zeros(n_buckets, dtype=np.float32), *[np.log(1 - d + d * excess / target).astype(np.float32) for d in RAW_SHARES]]
     for k in range(1, len(KINDS)):
         excess = counts[k] * -np.expm1(-np.maximum(rate[k], 0))
         excess /= max(excess.sum(), 1e-300)
@@ -254,7 +262,7 @@ def select_quality(
         weight, k = F.lit(0.0), None
     else:
         shares = [s / sum(start) for s in start]
-        pi = _fit_mixture(scored, [shares[0], *[s / (1 + len(DILUTIONS)) for s in shares[1:] for _ in range(1 + len(DILUTIONS))]])
+        pi = _fit_mixture(scored, [shares[0], *[0.02 for _ in RAW_SHARES], *[s / (1 + len(DILUTIONS)) for s in shares[1:] for _ in range(1 + len(DILUTIONS))]])
         weight = -_log_raw(pi)
         weight = F.when(F.col("n_words") > 0, weight).otherwise(0.0)
         likely = scored.where(F.lit(pi[0]) * F.exp(weight) >= 0.5).count()

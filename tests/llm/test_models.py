@@ -43,6 +43,19 @@ def test_quality_on_held_out_documents(spark):
     assert share["good"] > 0.98 and share["loud"] < 0.02 and share["rude"] < 0.1
 
 
+def test_raw_text_of_no_labelled_kind_is_dropped(spark):
+    docs, labels = quality_rows()
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("mnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    docs += [(10_000 + i, " ".join(rng.choice(vocab) for _ in range(80)), "junk") for i in range(100)]  # none labelled
+    got = importance.select_quality(
+        spark.createDataFrame(docs, "doc_id long, text string, kind string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ).collect()
+    kept = {r.doc_id: r.kept for r in got}
+    share = {k: np.mean([kept[i] for i, _, kind in docs if kind == k and i % 2 + (k == "junk")]) for k in ("good", "loud", "rude", "junk")}
+    assert share["junk"] < 0.05 and share["good"] > 0.95
+
+
 def test_quality_top_k_and_edges(spark, odd_docs, no_docs):
     docs, labels = quality_rows(n=200)
     frame = spark.createDataFrame(docs, "doc_id long, text string, kind string")
