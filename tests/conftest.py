@@ -7,18 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from panelsmith.session import local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cpus="*", shuffle_partitions=8, app="panelsmith-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (selected columns) for exact comparisons."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((x is None, x) for x in t))

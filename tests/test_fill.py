@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, rows
+from panel_cases import MEDIUM, rows
 from panelsmith.operators.fill import forward_fill
 from panelsmith.plans.inputs import spine
 from panelsmith.session import Tables

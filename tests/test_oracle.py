@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SMALL
+from panel_cases import SMALL
 from panelsmith.plans import registry
 from panelsmith.session import TABLES
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, rows
+from panel_cases import MEDIUM, rows
 from panelsmith.operators.outliers import flag_outliers, iqr_outliers, outlier_summary
 from panelsmith.operators.quantiles import quantiles
 from panelsmith.session import Tables

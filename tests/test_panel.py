@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, SMALL
+from panel_cases import MEDIUM, SMALL
 from panelsmith.plans.inputs import build_test_panel, panel_inputs
 from panelsmith.session import Tables
 

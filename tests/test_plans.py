@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import SMALL
+from panel_cases import SMALL
 from panelsmith.plans import registry
 
 registry.load_all()

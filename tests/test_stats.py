@@ -73,7 +73,7 @@ def test_selection_agrees_with_mllib_selector(spark):
     UnivariateFeatureSelector (F-test, fpr 0.05) on the same rows."""
     from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
 
-    from conftest import MEDIUM
+    from panel_cases import MEDIUM
     from panelsmith.session import Tables
 
     li = Tables(spark, MEDIUM).lineitem.select(
