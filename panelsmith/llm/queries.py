@@ -59,7 +59,8 @@ SELECT s.doc_id, len(s.s) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a =
 
 @query("op2_jaccard_join", JACCARD_SQL)
 def op2_jaccard_join(spark, sf_dir):
-    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    found = jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 # -------------------------------------------------------------- op3 token counts
