@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
+from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -230,3 +230,71 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.mix_sources(
         read_table(spark, sf_dir, "documents"), MIX_WEIGHTS, BLOCK_CHARS, other_weight=OTHER_PARTS, keep=("lang", "n_chars")
     )
+
+
+# ------------------------------------------------- op13 Merkle dataset manifest
+
+
+def _tree_sql(name: str, leaves: str, key: str, levels: int) -> str:
+    """CTEs {name}0..{name}{levels} of a tree per ``key`` over ``leaves`` (key,
+    pos, h); n is the tree's nodes in the level, ``runs`` has each run joined."""
+    out = [f"{name}0 AS (SELECT {key}, pos, h, count(*) OVER (PARTITION BY {key}) AS n FROM {leaves})"]
+    for i in range(levels):
+        out.append(
+            f"""{name}{i + 1} AS (SELECT {key}, pos // {merkle.FANOUT} AS pos,
+  CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h,
+  list(h ORDER BY pos) AS children, any_value(n) AS below, (any_value(n) + {merkle.FANOUT - 1}) // {merkle.FANOUT} AS n FROM {name}{i} GROUP BY {key}, pos // {merkle.FANOUT})"""
+        )
+    return ",\n".join(out)
+
+
+def _field_sql(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+_LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+#: Levels the SQL has; 16 to that power leaves and sources.
+_SQL_LEVELS = 6
+_TAMPERED = "CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+#: CRC-32 (reflected, 0xEDB88320) of the decimal id, bit by bit.
+_CRC_SQL = """(list_reduce([4294967295] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+
+def _ascend_sql(prefix: str, key: str, levels: int, state: str) -> str:
+    """Nested selects that ascend (key, spot, folded, proof) level by level."""
+    out = state
+    for i in range(levels):
+        left, right = f"t.children[1:(a.spot % {merkle.FANOUT})]", f"t.children[(a.spot % {merkle.FANOUT}) + 2:]"
+        sides = f"array_to_string({left}, ''), array_to_string({right}, '')"
+        out = f"""SELECT a.* EXCLUDE (spot, folded, proof), a.spot // {merkle.FANOUT} AS spot,
+  CASE WHEN t.below = 1 THEN a.folded ELSE sha256(concat(array_to_string({left}, ''), a.folded, array_to_string({right}, ''))) END AS folded,
+  CASE WHEN t.below = 1 THEN a.proof ELSE concat(a.proof, {sides}) END AS proof
+  FROM ({out}) a JOIN {prefix}{i + 1} t ON t.{key} IS NOT DISTINCT FROM a.{key} AND t.pos = a.spot // {merkle.FANOUT}"""
+    return out
+
+
+MERKLE_SQL = f"""
+WITH crcs AS (SELECT *, xor({_CRC_SQL}, 4294967295) AS crc FROM documents),
+leaves AS (SELECT doc_id, source, sha256(concat({", ".join(_field_sql(c) for c in _LEAF_FIELDS)})) AS h,
+  sha256(concat({", ".join(_field_sql(c) for c in _LEAF_FIELDS[:-1])}, {_field_sql("(" + _TAMPERED + ")")})) AS claimed FROM crcs),
+placed AS (SELECT *, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS key,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves),
+{_tree_sql("s", "placed", "key", _SQL_LEVELS)},
+tops AS (SELECT 1 AS top, key, h, row_number() OVER (ORDER BY key) - 1 AS pos FROM s{_SQL_LEVELS}),
+{_tree_sql("t", "tops", "top", _SQL_LEVELS)},
+inside AS ({_ascend_sql("s", "key", _SQL_LEVELS, "SELECT doc_id, key, h AS leaf, pos AS spot, claimed AS folded, '' AS proof FROM placed")}),
+above AS ({_ascend_sql("t", "top", _SQL_LEVELS, "SELECT i.doc_id, i.leaf, p.h AS subroot, p.top, p.pos AS spot, i.folded, i.proof FROM inside i JOIN tops p USING (key)")})
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+FROM above CROSS JOIN (SELECT h FROM t{_SQL_LEVELS}) r
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark, sf_dir):
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, lower).otherwise(F.col("text"))
+    manifest = merkle.build_manifest(read_table(spark, sf_dir, "documents"), _LEAF_FIELDS, claimed={"text": tampered})
+    return merkle.verify(manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
