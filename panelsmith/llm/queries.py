@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
+from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, license_scan, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -232,6 +232,57 @@ def op10_mix_sources(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------ op12 license scans
+
+LICENSE_NUM, LICENSE_DEN = 90, 100
+
+
+def _list_sql(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+_LICENSE_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_PHRASE_ROWS = ", ".join(f"('{label}', {_list_sql(license_scan.words_of(p))})" for label, p in license_scan.PHRASES)
+_TEMPLATE_ROWS = ", ".join(
+    f"({i}, '{t.label}', {_list_sql(sorted(set(w)))}, {license_scan.block_step(len(w))})"
+    for i, (t, w) in enumerate((t, license_scan.words_of(t.text)) for t in license_scan.TEMPLATES)
+)
+
+LICENSE_SQL = f"""
+WITH phrases(label, p) AS (VALUES {_PHRASE_ROWS}),
+templates(template, label, t, step) AS (VALUES {_TEMPLATE_ROWS}),
+docs AS (SELECT doc_id, row_number() OVER () AS row_no, coalesce({_LICENSE_WORDS}, []) AS w FROM documents),
+places AS (SELECT row_no, label, unnest(list_filter(range(0, len(w)), lambda i: w[i+1:i+len(p)] = p)) AS word FROM docs, phrases),
+base AS (SELECT row_no, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word FROM places GROUP BY row_no),
+blocks AS (SELECT row_no, label, t, w, step, unnest(range(0, len(w), step)) AS b FROM docs, templates),
+met AS (SELECT row_no, label, len(list_intersect(list_distinct(w[b+1:b+2*step]), t)) AS shared, len(t) AS size FROM blocks),
+found AS (SELECT * FROM met WHERE {LICENSE_DEN} * shared >= {LICENSE_NUM} * size),
+said AS (SELECT row_no, label, true AS base FROM places UNION ALL SELECT row_no, label, false FROM found),
+labels AS (SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM said GROUP BY row_no),
+scores AS (SELECT row_no, max(shared / size) AS score FROM found GROUP BY row_no)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM docs LEFT JOIN base USING (row_no) LEFT JOIN labels USING (row_no) LEFT JOIN scores USING (row_no)
+"""
+
+
+@query("op12_license_scans", LICENSE_SQL)
+def op12_license_scans(spark, sf_dir):
+    found = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"), num=LICENSE_NUM, den=LICENSE_DEN)
+    word, own, met = F.col("phrases.word"), F.col("phrases.label"), F.col("blocks.label")
+    shares = F.transform("blocks", lambda b: b["n_shared"] / b["n_template"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(word).alias("first_word"),
+        F.array_max(word).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(own, met))), ",").alias("labels"),
+        F.coalesce(F.array_max(shares), F.lit(0.0)).alias("score"),
+    )
+
+
 # ------------------------------------------------- op13 Merkle dataset manifest
 
 

@@ -136,3 +136,26 @@ def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
             yield np.unique(grams[a : b - n + 1])
         else:
             yield ngrams(words.hashes[a:b], b - a) if b > a else grams[:0]
+
+
+#: Byte values with A-Z lower-cased.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def word_runs(texts: pa.Array, inside: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """All runs of bytes marked in ``inside`` (256 booleans, looked up after
+    A-Z are lower-cased) in a null-free string array, as one array of words;
+    those of text i are ``first[i]`` to ``first[i + 1]``."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1, offset=8 * texts.offset)
+    data = LOWER[np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]]
+    offsets = offsets - offsets[0]
+    keep = inside[data]
+    starts = np.ones(len(data), dtype=bool)
+    starts[1:] = ~keep[:-1]
+    starts[offsets[:-1][offsets[:-1] < len(data)]] = True  # words end where texts end
+    begin = np.flatnonzero(keep & starts)
+    ends = np.append(np.cumsum(keep, dtype=np.int64)[begin] - 1 if len(begin) else np.zeros(0, dtype=np.int64), int(keep.sum()))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(data[keep])])
+    return words, np.searchsorted(begin, offsets)
