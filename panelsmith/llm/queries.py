@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelsmith.llm import decontaminate, importance, inner_topk, jaccard_join, license_scan, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
+from panelsmith.llm import decontaminate, divergence, importance, inner_topk, jaccard_join, license_scan, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
 from panelsmith.session import read_table
 
 QUERIES: dict = {}
@@ -232,6 +232,37 @@ def op10_mix_sources(spark, sf_dir):
     )
 
 
+# -------------------------------------------------- op11 source divergence audit
+
+MIN_DOCS, TERM_RANKS = 3, 200
+
+_SHARE = "1 + (1000000000::HUGEINT * (c + 1)) // (n + v)"
+DIVERGENCE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tokens AS (SELECT row_no, lang, source, unnest(w) AS t FROM docs),
+kept AS (SELECT lang, t FROM tokens GROUP BY lang, t HAVING count(DISTINCT row_no) >= {MIN_DOCS}),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, t, count(*) AS c FROM tokens JOIN kept USING (lang, t) GROUP BY ALL),
+grid AS (SELECT lang, g.source, t, coalesce(c, 0) AS c FROM groups g JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, t)),
+shares AS (SELECT lang, source, t, c, {_SHARE} AS p FROM (SELECT *, sum(c) OVER (PARTITION BY lang, source) AS n FROM grid) JOIN sizes USING (lang)),
+lang_shares AS (SELECT lang, t, {_SHARE} AS q FROM (SELECT lang, t, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang) AS n FROM grid GROUP BY lang, t) JOIN sizes USING (lang)),
+pair_sums AS (SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b USING (lang, t) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b USING (lang) LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source WHERE a.source <> b.source),
+terms AS (SELECT lang, source, 'term' AS part, t AS item, (p - q) * (p - q) // q AS value FROM shares JOIN lang_shares USING (lang, t) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= {TERM_RANKS}
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit_sources(read_table(spark, sf_dir, "documents"), min_docs=MIN_DOCS, ranks=TERM_RANKS)
+
+
 # ------------------------------------------------------------ op12 license scans
 
 LICENSE_NUM, LICENSE_DEN = 90, 100
