@@ -42,6 +42,9 @@ DENSE_CELLS = 1 << 24
 FLUSH_WORDS = 1 << 30
 #: Partial counters of so many tasks are added by one.
 MERGE_TASKS = 256
+#: Langs, or sources in all langs, up to which their table is broadcast; beyond,
+#: it is joined by the lang.
+BROADCAST_ROWS = 100_000
 #: Probabilities are whole parts of this.
 PARTS = 1_000_000_000
 
@@ -108,6 +111,8 @@ def term_shards(rows: DataFrame, min_docs: int = 3) -> DataFrame:
     sources = rows.groupBy("lang").agg(F.count_distinct("source").alias("n_sources"))
     per_shard = F.least(F.lit(SHARD_TERMS), F.greatest(F.lit(64), F.floor(F.lit(SHARD_CELLS) / F.col("n_sources"))))
     sizes = kept.groupBy("lang").count().join(sources, "lang").select("lang", F.ceil(F.col("count") / per_shard).alias("n_shards"))
+    sizes = cut_lineage(sizes, "divergence-langs")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     dealt = kept.join(sizes, "lang").withColumn("shard", F.pmod("hash", F.col("n_shards")))
     return cut_lineage(dealt.groupBy("lang", "shard").applyInArrow(_build_shard, _SHARD), "divergence-shards")
 
@@ -335,7 +340,8 @@ def audit_sources(
     totals = counted.groupBy("lang", "source").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     totals = groups.join(totals, ["lang", "source"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     totals = totals.groupBy("lang").agg(F.collect_list(F.struct("source", "n")).alias("totals"))
-    per_lang = shards.groupBy("lang").agg(F.sum("n_terms").alias("v")).join(totals, "lang")
+    per_lang = cut_lineage(shards.groupBy("lang").agg(F.sum("n_terms").alias("v")).join(totals, "lang"), "divergence-totals")
+    per_lang = F.broadcast(per_lang) if groups.count() <= BROADCAST_ROWS else per_lang
     info = shards.select("lang", "shard", "terms").join(per_lang, "lang")
     parts = counted.groupBy("lang", "shard").cogroup(info.groupBy("lang", "shard")).applyInArrow(_compare(ranks), _RESULT)
     parts = cut_lineage(parts, "divergence-parts")
