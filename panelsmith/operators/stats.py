@@ -7,80 +7,63 @@ combined from partial results instead of being sent to one task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _betacf(a: float, b: float, x: float, max_iter: int = 20000, eps: float = 3e-16) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = 1.0
-    d = 1.0 - qab * x / qap
-    d = tiny if abs(d) < tiny else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            return h
-    raise ArithmeticError(f"incomplete beta function: no convergence at a={a}, b={b}, x={x}")
-
-
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    """Survival function of the F(d1, d2) distribution."""
-    if f is None or d2 is None or not np.isfinite(f) or d2 <= 0:
-        return float("nan") if f is None or d2 is None or d2 <= 0 or np.isnan(f) else 0.0
-    if f <= 0:
-        return 1.0
-    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-def _f_pvalue(f: pd.Series, dof: pd.Series) -> pd.Series:
-    """p-value of an F(1, dof) statistic; runs on the small (group, feature) table."""
-    vals = [
-        None if (pd.isna(a) or pd.isna(b)) else f_sf(float(a), 1.0, float(b))
-        for a, b in zip(f.tolist(), dof.tolist())
-    ]
-    return pd.Series(vals, dtype="float64")
-
-
-def f_pvalue(f, dof):
-    """Column of F(1, dof) p-values (Arrow-batched pandas UDF)."""
-    return F.pandas_udf(_f_pvalue, "double")(f, dof)
+#: Steps by which a gamma ratio's argument is raised before its series is used.
+GAMMA_STEPS = 20
+#: Terms of the continued fraction: at least this many, and more with the
+#: square root of the degrees of freedom, on which its convergence depends.
+FRACTION_TERMS = 60
+FRACTION_PER_ROOT = 6
+
+# Coefficients of Gamma(x + 1/2) / Gamma(x) / sqrt(x) in powers of 1/x.
+HALF_GAMMA = (1.0, -1 / 8, 1 / 128, 5 / 1024, -21 / 32768, -399 / 262144, 869 / 4194304)
+
+
+def _half_gamma_ratio(x: Column) -> Column:
+    """Gamma(x + 1/2) / Gamma(x) for x >= 1/2: the series at x + GAMMA_STEPS,
+    carried down by the recurrence of the gamma function."""
+    at = x + GAMMA_STEPS
+    series = reduce(lambda acc, c: acc / at + F.lit(c), reversed(HALF_GAMMA), F.lit(0.0))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(GAMMA_STEPS - 1)), lambda i: (x + i) / (x + i + 0.5))
+    return F.sqrt(at) * series * F.aggregate(steps, F.lit(1.0), lambda a, b: a * b)
+
+
+def _beta_fraction(a: Column, b: Column, x: Column, terms: Column) -> Column:
+    """1 / (1 + d1 / (1 + d2 / ...)), the continued fraction of the incomplete
+    beta function, from its last term to its first."""
+
+    def term(k: Column) -> Column:
+        m = F.floor(k / 2)
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return F.when(k % 2 == 0, even).otherwise(odd)
+
+    return 1.0 / F.aggregate(F.sequence(2 * terms, F.lit(1), F.lit(-1)), F.lit(1.0), lambda acc, k: 1.0 + term(k) / acc)
+
+
+def f_pvalue(f: Column, dof: Column) -> Column:
+    """P(F(1, dof) > f) as one expression of built-in functions.
+
+    The upper tail is the regularized incomplete beta I_x(dof / 2, 1 / 2) at
+    x = dof / (dof + f), by its continued fraction on the side where that
+    converges; the number of terms follows from dof. Null for a null or NaN
+    statistic or dof <= 0."""
+    dof = dof.cast("double")
+    a, half = dof / 2, F.lit(0.5)
+    x, rest = dof / (dof + f), f / (dof + f)
+    # x^a (1 - x)^(1/2) / B(a, 1/2)
+    front = F.exp(-a * F.log1p(f / dof)) * F.sqrt(rest) * _half_gamma_ratio(a) / F.sqrt(F.pi())
+    terms = F.ceil(F.greatest(F.lit(FRACTION_TERMS), FRACTION_PER_ROOT * F.sqrt(a))).cast("int")
+    low = front * _beta_fraction(a, half, x, terms) / a
+    high = 1.0 - front * _beta_fraction(half, a, rest, terms) / half
+    tail = F.when(f <= 0, 1.0).when(x < (a + 1) / (a + 2.5), low).otherwise(high)
+    return F.when((dof > 0) & ~F.isnan(f), tail)
 
 
 def f_regression(df: DataFrame, target: str, features: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -124,7 +107,7 @@ def f_regression(df: DataFrame, target: str, features: Sequence[str], by: Sequen
 
 def with_pvalues(scores: DataFrame) -> DataFrame:
     """Add ``p_value`` = P(F(1, n-2) > f_stat)."""
-    return scores.withColumn("p_value", f_pvalue(F.col("f_stat"), (F.col("n") - F.lit(2)).cast("double")))
+    return scores.withColumn("p_value", f_pvalue(F.col("f_stat"), F.col("n") - F.lit(2)))
 
 
 def select_features(scores: DataFrame, alpha: float = 0.05) -> DataFrame:

@@ -64,12 +64,35 @@ def f_regression(spark, sf_dir):
     return round_doubles(scores.select("l_returnflag", "feature", "n", "r", "f_stat"), R4)
 
 
-@query("feature_select")
+def _fraction_sql(a: str, b: str, x: str) -> str:
+    """1 / (1 + d1 / (1 + d2 / ...)) from its last term, as a list reduction."""
+    m, k = "(k // 2)", "k"
+    even = f"{m} * ({b} - {m}) * {x} / (({a} + 2 * {m} - 1) * ({a} + 2 * {m}))"
+    odd = f"-({a} + {m}) * ({a} + {b} + {m}) * {x} / (({a} + 2 * {m}) * ({a} + 2 * {m} + 1))"
+    terms = f"list_transform(range(2 * terms, 0, -1), lambda k: CASE WHEN {k} % 2 = 0 THEN {even} ELSE {odd} END)"
+    return f"(1 / list_reduce([1.0::DOUBLE] || {terms}, lambda acc, d: 1 + d / acc))"
+
+
+@query(
+    "feature_select",
+    _F_SQL
+    + f""",
+f AS (SELECT *, CASE WHEN r * r = 1 THEN NULL ELSE r * r / (1 - r * r) END * (n - 2) AS f_stat, (n - 2)::DOUBLE AS dof FROM s),
+g AS (SELECT *, dof / 2 AS a, dof / (dof + f_stat) AS x, f_stat / (dof + f_stat) AS y,
+        ceil(greatest({S.FRACTION_TERMS}, {S.FRACTION_PER_ROOT} * sqrt(dof / 2)))::BIGINT AS terms,
+        exp(lgamma(dof / 2 + 0.5) - lgamma(dof / 2) - lgamma(0.5) - dof / 2 * ln(1 + f_stat / dof)) * sqrt(f_stat / (dof + f_stat)) AS front FROM f),
+p AS (SELECT *, CASE WHEN f_stat <= 0 THEN 1 WHEN x < (a + 1) / (a + 2.5) THEN front * {_fraction_sql("a", "0.5", "x")} / a
+        ELSE 1 - front * {_fraction_sql("0.5", "a", "y")} / 0.5 END AS p_value FROM g)
+SELECT l_returnflag, feature, n, round(r, 4) AS r, round(f_stat, 4) AS f_stat, round(p_value, 4) AS p_value
+FROM p WHERE p_value < 0.05
+""",
+)
 def feature_select(spark, sf_dir):
     """Features with p < 0.05 per group, with p-values (F(1, n-2) survival)
     computed on the small (group, feature) table."""
     scores = S.f_regression(_lines(Tables(spark, sf_dir)), TARGET, FEATURES, ["l_returnflag"])
-    return S.select_features(scores, 0.05).select("l_returnflag", "feature", "n", "r", "f_stat", "p_value")
+    chosen = S.select_features(scores, 0.05).select("l_returnflag", "feature", "n", "r", "f_stat", "p_value")
+    return round_doubles(chosen, R4)
 
 
 def _split_key():

@@ -18,7 +18,7 @@ assert set(sql) <= set(qs)
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false").getOrCreate())
 assert E.entry(spark).count() > 0
-# a query whose plan ships a pandas UDF to the Python workers
+# a query over grouped aggregates and a special function
 assert qs["feature_select"](spark, "/root/testdata/sf0.001").count() >= 0
 print("CONTRACT_OK", len(qs), len(sql))
 """

@@ -9,12 +9,35 @@ from panelsmith.operators import impute as IM
 from panelsmith.operators import stats as S
 
 
-def test_f_sf_known_values():
-    # F(1, 10) upper tail at 4.96 is ~0.05; F=0 -> 1
-    assert abs(S.f_sf(4.9646, 1, 10) - 0.05) < 1e-3
-    assert S.f_sf(0.0, 1, 10) == 1.0
+def f_tail(f, dof):
+    """P(F(1, dof) > f) by integrating the density of Student's t over (0, sqrt f)."""
+    log_c = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(dof * math.pi)
+    t, n = math.sqrt(f), 20_000
+    at = [math.exp(log_c - (dof + 1) / 2 * math.log1p((t * i / n) ** 2 / dof)) for i in range(n + 1)]
+    simpson = at[0] + at[-1] + 4 * sum(at[1:-1:2]) + 2 * sum(at[2:-1:2])
+    return 1 - 2 * simpson * t / n / 3
+
+
+def test_p_values_by_integration(spark):
+    cases = [(f, d) for f in (1e-6, 0.01, 0.5, 1.0, 3.84, 4.9646, 12.0, 60.0) for d in (1, 2, 3, 10, 57, 1000, 10**6)]
+    df = spark.createDataFrame([(float(f), d) for f, d in cases], "f double, dof long")
+    for r in df.withColumn("p", S.f_pvalue(F.col("f"), F.col("dof"))).collect():
+        assert abs(r.p - f_tail(r.f, r.dof)) < 1e-8, r
+
+
+def test_p_values_at_the_edges(spark):
+    rows = [(0.0, 10), (None, 10), (float("nan"), 10), (4.0, 0), (4.0, -1), (1e9, 50), (3.8415, 10**10), (0.3, 10**10)]
+    df = spark.createDataFrame(rows, "f double, dof long")
+    p = [r.p for r in df.select(S.f_pvalue(F.col("f"), F.col("dof")).alias("p")).collect()]
+    assert p[:5] == [1.0, None, None, None, None] and 0 < p[5] < 1e-100
     # for large dof F(1, d) -> chi2(1): p = erfc(sqrt(F/2))
-    assert abs(S.f_sf(3.8415, 1, 1e6) - math.erfc(math.sqrt(3.8415 / 2))) < 1e-4
+    assert abs(p[6] - math.erfc(math.sqrt(3.8415 / 2))) < 1e-7 and abs(p[7] - math.erfc(math.sqrt(0.15))) < 1e-7
+
+
+def test_p_values_need_no_python_worker(spark):
+    scores = spark.createDataFrame([("g", "x", 100, 0.5, 4.0)], "g string, feature string, n long, r double, f_stat double")
+    plan = S.with_pvalues(scores)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_f_regression_constant_feature(spark):
