@@ -1,12 +1,14 @@
-"""Per-group random-forest imputation with MLlib.
-
-Each group gets its own model search: ``CrossValidator`` over a parameter grid
-of ``RandomForestRegressor``, folds given by a hash fold column, metric MSE
-(smaller is better). Every fit is an ordinary distributed MLlib job over the
-group's rows, so a group holding a third of the data is trained by the whole
-cluster, not by one task. Groups are searched concurrently from a bounded
-thread pool; only the group keys, the grid scores and the importances (one row
-per group x parameter set / feature) come back to the driver.
+"""Per-group random-forest imputation.
+
+Each group gets its own model search over numbers of trees, depths and features
+tried per split. The search is nested: per fold and feature subset one forest of
+the most trees and the greatest depth is grown on the other folds, and the
+fold's rows are scored for every smaller setting by taking its first trees and
+stopping at the smaller depth, so that a grid costs one forest per fold and
+subset. ``operators.forest`` grows the groups in one job (a group beyond one
+task's rows by MLlib over the whole cluster) and scores them by one join.
+Only group keys, the grid scores and the importances (one row per group x
+setting / feature) come to the driver.
 
 Write-back is a left join on the row key; observed values are never replaced
 and the row count is unchanged.
@@ -15,18 +17,13 @@ and the row count is unchanged.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelsmith.functions.hashing import fold_of, split_label
+from panelsmith.operators import forest as FO
 from panelsmith.operators.stats import regression_metrics
 
 # The reference's full search space (trees, depth, features per split).
@@ -48,7 +45,8 @@ class GroupForests:
     group_col: str
     features: list[str]
     label: str
-    models: dict = field(default_factory=dict)
+    models: dict = field(default_factory=dict)  # group -> (numTrees, maxDepth, strategy) of its forest
+    forest: DataFrame | None = None  # (g, fold, subset, trees): the forest of every group
     scores: list = field(default_factory=list)  # (group, numTrees, maxDepth, strategy, cv_mse)
     best: dict = field(default_factory=dict)  # group -> (numTrees, maxDepth, strategy, cv_mse)
     features_of: dict = field(default_factory=dict)  # group -> features its model uses
@@ -59,18 +57,17 @@ class GroupForests:
     def group_features(self, g) -> list[str]:
         return self.features_of.get(g, self.features)
 
+    def vector(self):
+        """The features of a row as one array, in the order of ``features``."""
+        return F.array(*[F.col(f).cast("double") for f in self.features])
+
 
-def _grid(rf: RandomForestRegressor, grid: dict):
+def grid_settings(grid: dict) -> list[tuple]:
+    """(numTrees, maxDepth, featureSubsetStrategy) of a grid, in its order."""
     too_deep = [d for d in grid["maxDepth"] if d > MAX_MLLIB_DEPTH]
     if too_deep:
         raise ValueError(f"maxDepth {too_deep}: MLlib trees are at most {MAX_MLLIB_DEPTH} deep")
-    return (
-        ParamGridBuilder()
-        .addGrid(rf.numTrees, list(grid["numTrees"]))
-        .addGrid(rf.maxDepth, list(grid["maxDepth"]))
-        .addGrid(rf.featureSubsetStrategy, list(grid["featureSubsetStrategy"]))
-        .build()
-    )
+    return [(n, d, s) for n in grid["numTrees"] for d in grid["maxDepth"] for s in grid["featureSubsetStrategy"]]
 
 
 def prepare(
@@ -90,6 +87,21 @@ def prepare(
     return df.withColumns({"split": split_label(keys, train_pct), "fold": fold_of(keys, folds)})
 
 
+def _grown(rows: DataFrame, plans: list[tuple], sizes: dict, out: GroupForests, seed: int, max_bins: int, local_rows: int, threads: int) -> DataFrame:
+    """The forests of ``plans``, of small groups in one job and of large ones
+    by MLlib, merged and stored."""
+    small = [p for p in plans if sizes[p[0]] <= local_rows]
+    large = [p for p in plans if sizes[p[0]] > local_rows]
+    parts = []
+    if small:
+        parts.append(FO.grow_groups(rows, small, out.group_type, seed, max_bins))
+    if large:
+        own = rows.where(F.col("g").isin([p[0] for p in large]))
+        parts.append(FO.fit_large(own, large, out.group_type, seed, max_bins, threads))
+    blocks = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return FO.packed(FO.merge_blocks(blocks), "forests")
+
+
 def fit_group_forests(
     df: DataFrame,
     group_col: str,
@@ -102,27 +114,34 @@ def fit_group_forests(
     group_threads: int = 4,
     max_bins: int = 32,
     features_by_group: dict | None = None,
+    local_rows: int = FO.LOCAL_ROWS,
 ) -> GroupForests:
     """Cross-validated forest per group on the ``split == 'train'`` rows with a
     non-null label. ``df`` must carry ``split`` and ``fold`` (see ``prepare``).
+    A setting's score is the mean over folds of its MSE (smaller is better).
 
     ``features_by_group`` gives each group its own feature list (e.g. the
     features its F-test selected). Every group is fitted, on the folds that
     have rows of it; one whose rows all lie in one fold takes the first
     parameters of the grid, its score missing. Only a group that cannot be
     fitted (no feature, or a feature with missing values) is listed in
-    ``skipped``, with the reason in ``reasons``; its targets stay missing."""
+    ``skipped``, with the reason in ``reasons``; its targets stay missing.
+
+    Groups of at most ``local_rows`` training rows are grown in one job, larger
+    ones by MLlib, ``parallelism * group_threads`` fits at a time."""
     grid = grid or RUNNABLE_GRID
+    settings = grid_settings(grid)
     features = list(features)
-    train = df.where((F.col("split") == "train") & F.col(label).isNotNull()).select(
-        group_col, *features, label, F.col("fold").cast("int").alias("fold")
-    )
-    # one small aggregate: the folds and the missing features of each group
+    trees, depth = max(grid["numTrees"]), max(grid["maxDepth"])
+    out = GroupForests(group_col=group_col, features=features, label=label, group_type=dict(df.dtypes)[group_col])
+    train = df.where((F.col("split") == "train") & F.col(label).isNotNull())
+    # one small aggregate: the folds, the rows and the missing features of each group
     found = train.groupBy(group_col).agg(
-        F.sort_array(F.collect_set("fold")).alias("folds"), *[F.count_if(F.col(f).isNull()).alias(f"null_{i}") for i, f in enumerate(features)]
+        F.collect_set(F.col("fold").cast("int")).alias("folds"),
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(f).isNull()).alias(f"null_{i}") for i, f in enumerate(features)],
     )
     found = {r[0]: r for r in found.collect()}
-    out = GroupForests(group_col=group_col, features=features, label=label, group_type=dict(df.dtypes)[group_col])
     if features_by_group is not None:
         out.features_of = {g: list(features_by_group.get(g, [])) for g in found}
     for g in sorted(found):
@@ -131,40 +150,35 @@ def fit_group_forests(
             out.skipped.append(g)
             out.reasons[g] = f"missing values in {', '.join(missing)}" if missing else "no feature"
     groups = [g for g in sorted(found) if g not in out.reasons]
-
-    def search(g):
-        feats = out.group_features(g)
-        present = found[g]["folds"]
-        dealt = (F.array_position(F.lit(present), F.col("fold")) - 1).cast("int")
-        part = train.where(F.col(group_col) == F.lit(g)).select(*feats, label, dealt.alias("fold"))
-        assembler = VectorAssembler(inputCols=feats, outputCol="__features")
-        rf = RandomForestRegressor(labelCol=label, featuresCol="__features", seed=seed, maxBins=max_bins)
-        maps = _grid(rf, grid)
-        if len(present) < 2:
-            model = Pipeline(stages=[assembler, rf]).fit(part, maps[0])
-            vals = {p.name: v for p, v in maps[0].items()}
-            return g, model, [(g, int(vals["numTrees"]), int(vals["maxDepth"]), str(vals["featureSubsetStrategy"]), None)]
-        cv = CrossValidator(
-            estimator=Pipeline(stages=[assembler, rf]),
-            estimatorParamMaps=maps,
-            evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse"),
-            foldCol="fold",
-            numFolds=len(present),
-            parallelism=parallelism,
-            seed=seed,
-        )
-        model = cv.fit(part)
-        rows = []
-        for pm, metric in zip(maps, model.avgMetrics):
-            vals = {p.name: v for p, v in pm.items()}
-            rows.append((g, int(vals["numTrees"]), int(vals["maxDepth"]), str(vals["featureSubsetStrategy"]), float(metric)))
-        return g, model.bestModel, rows
-
-    with ThreadPoolExecutor(max_workers=max(1, group_threads)) as pool:
-        for g, best, rows in pool.map(search, groups):
-            out.models[g] = best
-            out.scores.extend(rows)
-            out.best[g] = min(rows, key=lambda r: (r[4] or 0.0, r[1], r[2], r[3]))[1:]
+    if not groups:
+        return out
+    number = {f: i for i, f in enumerate(features)}
+    cols = {g: [number[f] for f in out.group_features(g)] for g in groups}
+    sizes = {g: found[g]["n"] for g in groups}
+    rows = train.where(F.col(group_col).isin(groups)).select(
+        F.col(group_col).alias("g"), F.col("fold").cast("int").alias("fold"), F.col(label).cast("double").alias("y"), out.vector().alias("x")
+    )
+    args = (sizes, out, seed, max_bins, local_rows, parallelism * group_threads)
+
+    judged = [g for g in groups if len(found[g]["folds"]) > 1]
+    scored = {}
+    if judged:
+        plans = [(g, cols[g], s, trees, depth, True) for g in judged for s in grid["featureSubsetStrategy"]]
+        forests = _grown(rows, plans, *args)
+        scores = FO.nested_scores(rows, forests, grid["numTrees"], grid["maxDepth"])
+        error = (F.col("y") - F.col("prediction")) ** 2
+        by_fold = scores.groupBy("g", "subset", "n_trees", "depth", "fold").agg(F.avg(error).alias("mse"))
+        of_setting = by_fold.groupBy("g", "n_trees", "depth", "subset").agg(F.avg("mse").alias("mse"))
+        # rounded, so that sums added in another order give the same scores
+        scored = {tuple(r)[:4]: float(f"{r.mse:.12g}") for r in of_setting.collect()}
+    for g in groups:
+        mine = [(g, *s, scored.get((g, *s))) for s in settings]
+        if g not in judged:
+            mine = mine[:1]
+        out.scores.extend(mine)
+        out.best[g] = min(mine, key=lambda r: (r[4] or 0.0, r[1], r[2], r[3]))[1:]
+        out.models[g] = out.best[g][:3]
+    out.forest = _grown(rows, [(g, cols[g], s, n, d, False) for g, (n, d, s) in out.models.items()], *args)
     return out
 
 
@@ -180,12 +194,13 @@ def cv_scores(spark: SparkSession, fitted: GroupForests) -> DataFrame:
 
 
 def feature_importances(spark: SparkSession, fitted: GroupForests) -> DataFrame:
-    """(group, feature, importance, rank) of each group's best forest."""
+    """(group, feature, importance, rank) of each group's best forest: every
+    feature the group's model may use, 0 for those it does not."""
+    found = {} if fitted.forest is None else {(r.g, r.feature): r.importance for r in FO.importances(fitted.forest).collect()}
     rows = []
-    for g, model in fitted.models.items():
-        imp = model.stages[-1].featureImportances.toArray().tolist()
-        ranked = sorted(zip(fitted.group_features(g), imp), key=lambda t: (-t[1], t[0]))
-        rows += [(g, f, float(v), i + 1) for i, (f, v) in enumerate(ranked)]
+    for g in fitted.models:
+        of = [(f, found.get((g, fitted.features.index(f)), 0.0)) for f in fitted.group_features(g)]
+        rows += [(g, f, float(v), i + 1) for i, (f, v) in enumerate(sorted(of, key=lambda t: (-t[1], t[0])))]
     return spark.createDataFrame(
         rows, f"{fitted.group_col} {fitted.group_type}, feature string, importance double, rank int"
     )
@@ -193,21 +208,19 @@ def feature_importances(spark: SparkSession, fitted: GroupForests) -> DataFrame:
 
 def predict(df: DataFrame, fitted: GroupForests, keep: Sequence[str], only_missing: bool = True) -> DataFrame:
     """Predictions of each group's model on its rows (by default only the rows
-    whose label is missing). Groups without such rows contribute nothing."""
-    parts = []
-    for g, model in fitted.models.items():
-        rows = df.where(F.col(fitted.group_col) == F.lit(g))
-        if only_missing:
-            rows = rows.where(F.col(fitted.label).isNull())
-        scored = model.transform(rows).select(*keep, F.col("prediction").cast("double").alias("prediction"))
-        parts.append(scored)
-    if not parts:
+    whose label is missing), by one join whatever the number of groups. Groups
+    without a model contribute nothing; a row that lacks a feature its trees
+    ask for has a null prediction."""
+    keep = list(keep)
+    if fitted.forest is None:
         # no group could be fitted: no predictions, targets stay missing
         return df.limit(0).select(*keep, F.lit(None).cast("double").alias("prediction"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = df.where(F.col(fitted.label).isNull()) if only_missing else df
+    kept = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
+    rows = rows.select(F.col(fitted.group_col).alias("g"), *kept, fitted.vector().alias("x"))
+    deepest = max(d for _, d, _ in fitted.models.values())
+    scored = FO.forest_scores(rows, fitted.forest, [f"k{i}" for i in range(len(keep))], deepest)
+    return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "prediction")
 
 
 def evaluation(df: DataFrame, fitted: GroupForests) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelsmith.functions.columns import round_doubles
+from panelsmith.operators import impute as IM
 from panelsmith.operators import outliers as O
 from panelsmith.operators import quality as Q
 from panelsmith.operators.reshape import pivot_wide
@@ -117,13 +118,13 @@ def pivot_target(spark, sf_dir):
     return round_doubles(wide, I.R4)
 
 
-# a small search space for the registered run; the full grid is a parameter
-IMPUTE_GRID = {"numTrees": [20], "maxDepth": [5], "featureSubsetStrategy": ["sqrt"]}
+# every setting of the reference's search up to the deepest tree, five folds
+IMPUTE_GRID = IM.RUNNABLE_GRID
 CANDIDATES = ["interest_rate", "fx_rate", "brent", "wti", "events", "cpi", "gpr_index", "lsci", "year"]
 
 
 def run_imputation(spark, sf_dir, **kw):
-    params = dict(grid=IMPUTE_GRID, folds=2, group_threads=8, parallelism=1)
+    params = dict(grid=IMPUTE_GRID, folds=5)
     params.update(kw)
     return impute_groups(_panel(spark, sf_dir), "nation", ["nation", "day"], "day", "reserves", CANDIDATES, **params)
 

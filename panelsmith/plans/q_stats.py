@@ -21,8 +21,10 @@ from panelsmith.session import Tables, cut_lineage
 FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "const_one"]
 TARGET = "net"
 
-# A small search space for registered runs; RUNNABLE_GRID is the full one.
-SMALL_GRID = {"numTrees": [20], "maxDepth": [4, 6], "featureSubsetStrategy": ["sqrt"]}
+# The search over single lines, whose groups grow with the table and are fitted
+# by MLlib beyond one task's rows; impute_panel searches the whole RUNNABLE_GRID.
+LINE_GRID = {"numTrees": [10, 20], "maxDepth": [4, 6], "featureSubsetStrategy": ["log2", "sqrt"]}
+FOLDS = 5
 
 
 def _lines(t: Tables):
@@ -164,7 +166,7 @@ def _forest_input(spark, sf_dir):
     li = _lines(Tables(spark, sf_dir))
     key = _split_key()
     li = li.withColumn(TARGET, masked(TARGET, key, 10, 0))
-    return IM.prepare(li, TARGET, ["l_orderkey", "l_linenumber"], train_pct=80, folds=2)
+    return IM.prepare(li, TARGET, ["l_orderkey", "l_linenumber"], train_pct=80, folds=FOLDS)
 
 
 _FITS: dict = {}
@@ -178,7 +180,7 @@ def _fit(spark, sf_dir):
         _FITS.clear()
         df = cut_lineage(_forest_input(spark, sf_dir), "forest-input", partition_by=["l_returnflag"])
         _FITS[at] = df, IM.fit_group_forests(
-            df, "l_returnflag", FOREST_FEATURES, TARGET, grid=SMALL_GRID, folds=2, seed=2026, parallelism=2, group_threads=3
+            df, "l_returnflag", FOREST_FEATURES, TARGET, grid=LINE_GRID, folds=FOLDS, seed=2026, parallelism=2, group_threads=3
         )
     return _FITS[at]
 

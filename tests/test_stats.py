@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from panelsmith.functions.hashing import md5_bucket
@@ -160,4 +159,4 @@ def test_depth_beyond_the_limit_is_an_error(spark):
     prep = IM.prepare(df, "y", ["id"], folds=2)
     with pytest.raises(ValueError, match="30"):
         IM.fit_group_forests(prep, "g", ["x"], "y", grid=IM.REFERENCE_GRID, folds=2)
-    assert len(IM._grid(RandomForestRegressor(), IM.RUNNABLE_GRID)) == 24
+    assert len(IM.grid_settings(IM.RUNNABLE_GRID)) == 24
