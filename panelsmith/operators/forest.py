@@ -34,12 +34,15 @@ from panelsmith.session import cut_lineage, shared_dir
 LOCAL_ROWS = 20_000
 #: Trees a task grows at once, for every fold.
 TREE_BLOCK = 25
+#: Steps after which a walk looks whether it has ended.
+LEG = 5
 #: Rows that meet a forest at once.
 CHUNK_ROWS = 256
 #: Bytes of packed forests up to which they are broadcast to the rows.
 BROADCAST_BYTES = 64 << 20
 
-NODES = "feature:array<int>,threshold:array<double>,left:array<int>,right:array<int>,value:array<double>,gain:array<double>"
+#: child holds the left and the right child of node i at 2 i and 2 i + 1.
+NODES = "feature:array<int>,threshold:array<double>,child:array<int>,value:array<double>,gain:array<double>"
 FOREST = f"fold int, subset string, trees array<struct<tree:int,{NODES}>>"
 
 
@@ -74,7 +77,7 @@ def _best_splits(node: np.ndarray, n_nodes: int, binned: np.ndarray, w: np.ndarr
     """Per node the bin after which a split gains most, and the gain (the
     decrease of the weighted sum of squares; -1 where there is no split)."""
     key = node * n_bins + binned
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key, cw, cs = key[order], np.cumsum(w[order]), np.cumsum(wy[order])
     end = np.flatnonzero(np.append(key[1:] != key[:-1], True))
     of, bin_ = key[end] // n_bins, key[end] % n_bins
@@ -119,7 +122,7 @@ def grow(binned: np.ndarray, y: np.ndarray, weights: np.ndarray, max_depth: int,
             node, row, w, wy = node[keep], row[keep], w[keep], wy[keep]
             place = np.cumsum(open_) - 1
             small, k = place[node], int(open_.sum())
-            chosen = np.argsort(draw.random((k, n_features)), axis=1)[:, :tried]
+            chosen = np.argpartition(draw.random((k, n_features), dtype=np.float32), tried - 1, axis=1)[:, :tried]
             best, best_at, best_f = np.full(k, -1.0), np.zeros(k, dtype=np.int64), np.full(k, -1)
             for j in range(tried):
                 f = chosen[small, j]
@@ -144,16 +147,15 @@ def grow(binned: np.ndarray, y: np.ndarray, weights: np.ndarray, max_depth: int,
         owner = np.repeat(owner[inner], 2)
         n_ids += len(ids)
     flat = {k: np.concatenate(v) for k, v in out.items()}
-    trees = []
-    for t in range(n_trees):
-        own = np.flatnonzero(flat["tree"] == t)  # in the order of levels, the root first
-        number = {int(i): k for k, i in enumerate(flat["id"][own])}
-        number[-1] = -1
-        one = {k: flat[k][own] for k in ("feature", "bin", "value", "gain")}
-        for side in ("left", "right"):
-            one[side] = np.array([number[int(i)] for i in flat[side][own]], dtype=np.int32)
-        trees.append(one)
-    return trees
+    # nodes by tree, in the order of levels, the root first; ids become places
+    order = np.argsort(flat["tree"], kind="stable")
+    bounds = np.searchsorted(flat["tree"][order], np.arange(n_trees + 1))
+    place = np.full(n_ids + 1, -1, dtype=np.int32)  # the last one for no child
+    place[flat["id"][order]] = np.arange(len(order)) - bounds[flat["tree"][order]]
+    for side in ("left", "right"):
+        flat[side] = place[flat[side]]
+    flat = {k: flat[k][order] for k in ("feature", "bin", "left", "right", "value", "gain")}
+    return [{k: v[a:b] for k, v in flat.items()} for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def _grow_block(seed: int, max_bins: int):
@@ -181,8 +183,9 @@ def _grow_block(seed: int, max_bins: int):
             for t, nodes in enumerate(trees):
                 threshold = [float(edges[j][b]) if j >= 0 else None for j, b in zip(nodes["feature"].tolist(), nodes["bin"].tolist())]
                 feature = [cols[j] if j >= 0 else -1 for j in nodes["feature"].tolist()]
-                rest = {k: nodes[k].tolist() for k in ("left", "right", "value", "gain")}
-                packed.append({"tree": block * TREE_BLOCK + t, "feature": feature, "threshold": threshold, **rest})
+                child = np.stack([nodes["left"], nodes["right"]], axis=1).ravel().tolist()
+                rest = {k: nodes[k].tolist() for k in ("value", "gain")}
+                packed.append({"tree": block * TREE_BLOCK + t, "feature": feature, "threshold": threshold, "child": child, **rest})
             rows.append((f, packed))
         kind = pa.list_(
             pa.struct(
@@ -190,8 +193,7 @@ def _grow_block(seed: int, max_bins: int):
                     ("tree", pa.int32()),
                     ("feature", pa.list_(pa.int32())),
                     ("threshold", pa.list_(pa.float64())),
-                    ("left", pa.list_(pa.int32())),
-                    ("right", pa.list_(pa.int32())),
+                    ("child", pa.list_(pa.int32())),
                     ("value", pa.list_(pa.float64())),
                     ("gain", pa.list_(pa.float64())),
                 ]
@@ -224,8 +226,8 @@ def grow_groups(rows: DataFrame, plans: list[tuple], group_type: str, seed: int,
     schema = f"g {group_type}, cols array<int>, subset string, block int, n_trees int, depth int, by_fold boolean"
     asked = F.broadcast(spark.createDataFrame(tasks, schema))  # a few rows per group
     keyed = rows.withColumn("row_key", F.xxhash64("x", "y", "fold"))
-    dealt = keyed.join(asked, "g").groupBy("g", "subset", "block")
-    return dealt.applyInArrow(_grow_block(seed, max_bins), f"g {group_type}, {FOREST}")
+    dealt = _spread(keyed.join(asked, "g"), ["g", "subset", "block"])
+    return dealt.groupBy("g", "subset", "block").applyInArrow(_grow_block(seed, max_bins), f"g {group_type}, {FOREST}")
 
 
 # ---------------------------------------------------------- forests of MLlib
@@ -244,14 +246,13 @@ def stored_trees(spark: SparkSession, path: str, cols: Sequence[int]) -> DataFra
             F.col("n.id").alias("id"),
             F.when(leaf, -1).otherwise(F.get(own, F.col("n.split.featureIndex"))).alias("feature"),
             F.when(~leaf, F.get("n.split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
-            F.col("n.leftChild").alias("left"),
-            F.col("n.rightChild").alias("right"),
+            F.array("n.leftChild", "n.rightChild").alias("child"),
             F.col("n.prediction").alias("value"),
             F.when(leaf, 0.0).otherwise(F.col("n.gain") * F.get("n.impurityStats", F.lit(0))).alias("gain"),
         ).alias("node"),
     )
     trees = nodes.groupBy("tree").agg(F.sort_array(F.collect_list("node")).alias("n"))
-    arrays = [F.col(f"n.{c}").alias(c) for c in ("feature", "threshold", "left", "right", "value", "gain")]
+    arrays = [(F.flatten("n.child") if c == "child" else F.col(f"n.{c}")).alias(c) for c in ("feature", "threshold", "child", "value", "gain")]
     return trees.select(F.struct("tree", *arrays).alias("t")).agg(F.sort_array(F.collect_list("t")).alias("trees"))
 
 
@@ -292,11 +293,11 @@ def _steps(x: Column, tree: Column, node: Column, n: Column) -> Column:
     where a feature on the way is missing."""
 
     def step(at: Column, _: Column) -> Column:
-        goes_left = F.get(x, F.get(tree["feature"], at)) <= F.get(tree["threshold"], at)
-        below = F.when(goes_left, F.get(tree["left"], at)).when(~goes_left, F.get(tree["right"], at))
-        return F.when(F.get(tree["feature"], at) < 0, at).otherwise(below)
+        goes_right = F.get(x, F.get(tree["feature"], at)) > F.get(tree["threshold"], at)
+        return F.when(F.get(tree["feature"], at) < 0, at).otherwise(F.get(tree["child"], 2 * at + goes_right.cast("int")))
 
-    return F.aggregate(F.sequence(F.lit(1), n), node, step)
+    walked = F.aggregate(F.sequence(F.lit(1), n), node, step)
+    return F.when(F.get(tree["feature"], node) < 0, node).otherwise(walked)
 
 
 def walk(x: Column, tree: Column, depths: Sequence[int]) -> Column:
@@ -313,6 +314,12 @@ def walk(x: Column, tree: Column, depths: Sequence[int]) -> Column:
     return F.aggregate(gaps, start, stop, lambda s: s["seen"])
 
 
+def _spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Few bytes, much work: as many partitions as the session asks for, which
+    adaptive execution would merge by their size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def chunked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``rows`` packed into arrays of about CHUNK_ROWS rows of one key, so that
     a join with large rows meets each of them once per chunk, and a large
@@ -320,6 +327,7 @@ def chunked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
     sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).alias("__chunks"))
     dealt = rows.withColumn("__row", F.monotonically_increasing_id()).join(sizes, list(keys))
     dealt = dealt.withColumn("__chunk", F.pmod(F.xxhash64("__row"), F.col("__chunks")))
+    dealt = _spread(dealt, [*keys, "__chunk"])
     return dealt.groupBy(*keys, "__chunk").agg(F.collect_list(F.struct(*columns)).alias("rows")).drop("__chunk")
 
 
@@ -347,7 +355,9 @@ def forest_scores(rows: DataFrame, forests: DataFrame, keep: Sequence[str], max_
     met = chunked(rows, ["g"], [*keep, "x"]).join(forests.select("g", "trees"), "g")
 
     def score(r: Column) -> Column:
-        leaves = F.transform("trees", lambda t: F.get(t["value"], _steps(r["x"], t, F.lit(0), F.lit(max_depth))))
+        legs = F.array_repeat(F.lit(LEG), -(-max_depth // LEG))
+        leaf = lambda t: F.aggregate(legs, F.lit(0), lambda at, n: _steps(r["x"], t, at, n))
+        leaves = F.transform("trees", lambda t: F.get(t["value"], leaf(t)))
         return F.aggregate(leaves, F.lit(0.0), lambda a, v: a + v) / F.size(leaves)
 
     each = F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in keep], score(r).alias("prediction")))

@@ -30,7 +30,7 @@ def reached(tree, x, depth):
     for _ in range(depth):
         if tree["feature"][at] < 0:
             break
-        at = tree["left"][at] if x[tree["feature"][at]] <= tree["threshold"][at] else tree["right"][at]
+        at = tree["child"][2 * at + (x[tree["feature"][at]] > tree["threshold"][at])]
     return tree["value"][at]
 
 
