@@ -19,16 +19,27 @@ Two physical strategies give the same result:
     rows), and joined back. Peers of the ORDER BY key must fall into one bucket, which any
     coarsening of the key guarantees. The rows are shuffled once (by group and
     bucket); the summary and the seeds are one row per (group, bucket).
+
+``ranged``
+    A prefix scan for any order key and any skew. The peers of a key are first
+    one row (a pre-aggregated group), so that ties cannot gather; the keys go to
+    range partitions of (group, key), are filled inside a partition, and the
+    partitions' last values are carried over their bounds by a window over one
+    row per group and partition. A group, and any stretch of it, is spread over
+    as many tasks as it has rows for. Of peers with different values the
+    greatest counts (the other strategies take any).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
+from panelsmith.session import cut_lineage
 
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -57,10 +68,10 @@ def forward_fill(
     if strategy == "window":
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    if strategy != "bucketed":
+    if strategy not in ("bucketed", "ranged"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    if bucket is None:
+    if bucket is None and strategy == "bucketed":
         # default bucket: the month of a date / timestamp order key; other
         # keys have no natural coarsening
         kind = dict(df.dtypes).get(order[0], "")
@@ -78,6 +89,8 @@ def forward_fill(
             stand_in[f"__ff_null_{i}"] = F.col(c).isNull()
             stand_in[f"__ff_key_{i}"] = F.coalesce(F.col(c), zero) if zero is not None else F.coalesce(F.col(c).cast("string"), F.lit(""))
         df, by = df.withColumns(stand_in), list(stand_in)
+    if strategy == "ranged":
+        return _ranged_fill(df, cols, by, order).select(*names)
     if isinstance(bucket, str):
         # an existing column: windows and joins keyed on it can reuse a
         # partitioning by (group, bucket) that earlier steps already made
@@ -113,3 +126,28 @@ def forward_fill(
     out = inner.join(seeds, on=[*by, b], how="left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__seed_{c}")) for c in cols})
     return out.select(*names)
+
+
+def _ranged_fill(df: DataFrame, cols: list[str], by: list[str], order: list[str]) -> DataFrame:
+    """Fill by a prefix scan over range partitions of (by, order)."""
+    keys = [*by, *order]
+    # one row per key: its greatest value, combined on the map side
+    peers = df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+    dealt = peers.repartitionByRange(*keys).withColumn("__ff_part", F.spark_partition_id())
+    # the summary and the fill must see the same partitions
+    dealt = cut_lineage(dealt, "fill-ranges")
+    okey = F.struct(*_cols(order))
+    lasts = dealt.groupBy(*by, "__ff_part").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(c) for c in cols])
+    before = Window.partitionBy(*by).orderBy("__ff_part").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = lasts.select(*by, "__ff_part", *[F.last(c, ignorenulls=True).over(before).alias(f"__seed_{c}") for c in cols])
+    inside = Window.partitionBy(*by, "__ff_part").orderBy(*order)
+    scanned = dealt.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols}).join(seeds, [*by, "__ff_part"], "left")
+    filled = scanned.select(
+        *[F.col(k).alias(f"__ff_k{i}") for i, k in enumerate(keys)],
+        *[F.coalesce(F.col(c), F.col(f"__seed_{c}")).alias(f"__ff_v{i}") for i, c in enumerate(cols)],
+    )
+    # order keys may be null: they are their own first peers, met null-safely
+    same = [F.col(k) == F.col(f"__ff_k{i}") for i, k in enumerate(by)]
+    same += [F.col(k).eqNullSafe(F.col(f"__ff_k{len(by) + i}")) for i, k in enumerate(order)]
+    met = df.join(filled, reduce(and_, same), "left")
+    return met.select(*[F.col(f"__ff_v{cols.index(c)}").alias(c) if c in cols else F.col(c) for c in df.columns])

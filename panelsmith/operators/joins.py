@@ -54,3 +54,32 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     )
     cond = reduce(and_, [left[k].eqNullSafe(r[f"__rk_{i}"]) for i, k in enumerate(keys)])
     return left.join(r, cond, how).drop(*[f"__rk_{i}" for i in range(len(keys))])
+
+
+def merge_periods(sources: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One wide row per key from several tables keyed alike: all value columns
+    of all ``sources`` (name -> table), null where a source has no row.
+
+    A union and one aggregate, pre-aggregated on the map side, so that a base
+    table is joined once instead of once per source. A source that repeats a
+    key would multiply the base's rows; it fails the job by name."""
+    keys = list(keys)
+    parts, values = [], []
+    for name, df in sources.items():
+        own = [c for c in df.columns if c not in keys]
+        clash = set(own) & set(values)
+        if clash:
+            raise ValueError(f"{name}: columns {', '.join(sorted(clash))} are in another source, too")
+        values += own
+        # a null key meets no row of the base
+        parts.append(df.dropna(subset=keys).select(*keys, *own, F.lit(1).alias(f"__n_{name}")))
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    counts = [F.count(f"__n_{name}").alias(f"__n_{name}") for name in sources]
+    wide = merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values], *counts)
+    twice = F.concat_ws(", ", *[F.when(F.col(f"__n_{name}") > 1, F.lit(name)) for name in sources])
+    said = F.concat(F.lit("period key repeated in "), twice, F.lit(" at "), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    # part of every value, so that no optimisation drops the test
+    checked = lambda c: F.when(F.greatest(*[F.col(f"__n_{n}") for n in sources], F.lit(0)) > 1, F.raise_error(said)).otherwise(F.col(c))
+    return wide.select(*keys, *[checked(c).alias(c) for c in values])

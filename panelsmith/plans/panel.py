@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from panelsmith.functions.columns import override_chain, zero_fill
 from panelsmith.operators.fill import forward_fill
-from panelsmith.operators.joins import left_join
+from panelsmith.operators.joins import left_join, merge_periods
 from panelsmith.operators.placement import period_end_place
 
 
@@ -129,11 +129,17 @@ def build_panel(
     p = forward_fill(p, s.price_cols, [g], [d], strategy=fill_strategy, bucket="year", null_groups=False)
     if stages is not None:
         stages["prices_filled"] = p
+    # every period source in one wide row per (group, year, month), lsci with
+    # its first period remapped, joined once
+    merged = merge_periods(
+        dict(events=events, index=index, patch=patch, gpr=gpr, lsci=remap_first_period(lsci, s), target=target), [g, *period]
+    )
+    p = left_join(p, merged, [g, *period])
     # 3 monthly events, missing -> 0
-    p = left_join(p, events, ["year", "month", g])
     p = zero_fill(p, [s.events_col])
+    later = [c for c in merged.columns if c not in (g, *period, s.events_col)]
     if stages is not None:
-        stages["events_zero_filled"] = p
+        stages["events_zero_filled"] = p.drop(*later)
     if s.flag_event_coverage:
         ym = F.col("year") * 100 + F.col("month")
         cov = events.groupBy(g).agg(F.min(ym).alias("__ev_lo"), F.max(ym).alias("__ev_hi"))
@@ -144,22 +150,14 @@ def build_panel(
     # 4 month-end placement
     p = period_end_place(p, s.events_col, [g], period, d)
     if stages is not None:
-        stages["events_placed"] = p
-    # 5 monthly index with patch and override
-    p = left_join(p, index, ["year", "month", g])
-    p = left_join(p, patch, [g, "year", "month"])
+        stages["events_placed"] = p.drop(*later)
+    # 5 monthly index overridden by the patch
     p = p.withColumn(s.index_col, index_override(s)).drop(s.patch_col)
-    # 6 gpr
-    p = left_join(p, gpr, ["year", "month", g])
-    # 7 lsci with the first period remapped
-    p = left_join(p, remap_first_period(lsci, s), ["year", "month", g])
-    # period fills of index and lsci in one pass. The reference fills the
+    # 6 period fills of index and lsci in one pass. The reference fills the
     # patched group, then all groups; a fill is idempotent, so one fill of all
     # groups gives the same values.
     p = forward_fill(p, [s.index_col, s.lsci_col], [g], period, strategy=fill_strategy, bucket="year", null_groups=False)
-    # 8 cutoff after the fills
+    # 7 cutoff after the fills
     p = p.where(F.col(d) > F.to_date(F.lit(s.cutoff)))
-    # 9 target
-    p = left_join(p, target, ["year", "month", g])
     lead = ["year", "month", g, d]
     return p.select(*lead, *[c for c in p.columns if c not in lead])

@@ -32,7 +32,7 @@ FROM spine
 )
 def ffill_daily(spark, sf_dir):
     s = I.spine(Tables(spark, sf_dir)).withColumn("price_obs", F.col("price"))
-    f = forward_fill(s, ["price"], ["nation"], ["day"], bucket=_month_bucket())
+    f = forward_fill(s, ["price"], ["nation"], ["day"], strategy="ranged")
     return round_doubles(f.select("nation", "day", "price_obs", "price"), I.R4)
 
 

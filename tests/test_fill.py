@@ -98,3 +98,34 @@ def test_null_groups_are_filled_across_buckets(spark):
         a = forward_fill(df, ["v"], by, ["d"], strategy="window")
         b = forward_fill(df, ["v"], by, ["d"])
         assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_ranged_fill_spreads_any_stretch(spark):
+    """One group, one month of seconds, half of the rows peers of one key: the
+    fill equals the window's and its keys lie in many partitions."""
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 20000).select(
+            F.lit("hot").alias("g"),
+            F.when(F.col("id") % 2 == 0, 7000).otherwise(F.col("id")).alias("t"),
+            F.when(F.col("id") % 1001 == 1, F.col("id").cast("double")).alias("v"),
+            F.col("id").alias("v2"),
+        ).withColumn("v", F.when(F.col("t") == 7000, 5.0).otherwise(F.col("v")))
+        a = forward_fill(df, ["v"], ["g"], ["t"], strategy="window")
+        b = forward_fill(df, ["v"], ["g"], ["t"], strategy="ranged")
+        assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.count() == 20000
+        dealt = df.groupBy("g", "t").count().repartitionByRange("g", "t").select(F.spark_partition_id().alias("p"))
+        assert dealt.distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_ranged_fill_of_nulls_and_nothing(spark):
+    rows = [(None, None, 1.0, "x"), (None, 2, None, None), ("", 1, None, "y"), ("a", 3, None, None), ("a", None, 4.0, None)]
+    df = spark.createDataFrame(rows, "g string, t int, v double, s string")
+    for cols in (["v"], ["v", "s"]):
+        a = forward_fill(df, cols, ["g"], ["t"], strategy="window")
+        b = forward_fill(df, cols, ["g"], ["t"], strategy="ranged")
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert forward_fill(df.limit(0), ["v"], ["g"], ["t"], strategy="ranged").collect() == []

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from panel_cases import MEDIUM, SMALL
-from panelsmith.plans.inputs import build_test_panel, panel_inputs
+from panelsmith.plans.inputs import build_test_panel, panel_inputs, panel_spec
+from panelsmith.plans.panel import build_panel
 from panelsmith.session import Tables
 
 
@@ -70,3 +72,20 @@ def test_lsci_period_remap_fixture(spark):
     df = spark.createDataFrame([("germany", 2006, 2), ("canada", 2006, 2), ("canada", 2007, 2)], "country string, year int, month int")
     got = [r.month for r in remap_first_period(df, PanelSpec()).collect()]
     assert got == [3, 4, 2]
+
+
+def test_period_sources_are_merged_before_one_join(spark):
+    from panelsmith.operators.joins import merge_periods
+
+    a = spark.createDataFrame([("x", 2020, 1, 5), ("x", 2020, 2, 6), (None, 2020, 1, 9)], "g string, year int, month int, a long")
+    b = spark.createDataFrame([("x", 2020, 1, 1.5), ("y", 2020, 1, None)], "g string, year int, month int, b double")
+    keys = ["g", "year", "month"]
+    got = merge_periods({"a": a, "b": b}, keys)
+    assert dict(got.dtypes)["a"] == "bigint"
+    assert sorted(map(tuple, got.collect()), key=str) == [("x", 2020, 1, 5, 1.5), ("x", 2020, 2, 6, None), ("y", 2020, 1, None, None)]
+    with pytest.raises(Exception, match="period key repeated in b at x"):
+        merge_periods({"a": a, "b": b.unionByName(b.limit(1))}, keys).collect()
+    with pytest.raises(ValueError, match="another source"):
+        merge_periods({"a": a, "b": a}, keys)
+    plan = build_panel(**panel_inputs(Tables(spark, SMALL)), spec=panel_spec())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") <= 4  # prices, the merged periods, the seeds of two fills

@@ -30,6 +30,8 @@ def test_bucketed_fill_equals_window(spark, rows, width):
     a = forward_fill(df, ["v"], ["g"], ["t"], strategy="window")
     b = forward_fill(df, ["v"], ["g"], ["t"], strategy="bucketed", bucket=F.floor(F.col("t") / width))
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    c = forward_fill(df, ["v"], ["g"], ["t"], strategy="ranged")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, c.collect()), key=str)
     # the fill never changes an observed value
     obs = {(g, t): v for g, t, v in rows if v is not None}
     assert all(r.v == obs[(r.g, r.t)] for r in b.collect() if (r.g, r.t) in obs and (r.g, r.t) in {(g, t) for g, t, _ in rows})
