@@ -64,4 +64,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from panelsmith.plans import q_flow, q_panel, q_quality, q_reshape, q_scalar, q_stats  # noqa: F401
+    from panelsmith.plans import q_flow, q_panel, q_quality, q_reshape, q_scalar, q_sources, q_stats  # noqa: F401

@@ -32,7 +32,9 @@ def _date_floor(df: DataFrame, col: str, start: str | None) -> DataFrame:
     return df if start is None else df.where(F.col(col) >= F.to_date(F.lit(start)))
 
 
-def rates_panel(spark: SparkSession, root: str, catalog: DataFrame | None = None, start: str | None = "2006-01-01") -> DataFrame:
+def rates_panel(
+    spark: SparkSession, root: str, catalog: DataFrame | None = None, start: str | None = "2006-01-01", multi_line: bool = True
+) -> DataFrame:
     """(date, country, interest_rate, fx_rate): monthly rate and daily FX per
     country, joined on (country, yyyymm), rows with a gap dropped.
 
@@ -43,7 +45,7 @@ def rates_panel(spark: SparkSession, root: str, catalog: DataFrame | None = None
     schema = (
         "observations array<struct<date:string, realtime_start:string, value:string>>, series_id string"
     )
-    pages = read_json_pages(spark, root, schema)
+    pages = read_json_pages(spark, root, schema, multi_line)
     obs = pages.select("series_id", F.posexplode("observations").alias("pos", "o")).select(
         "series_id",
         F.to_date("o.date").alias("date"),
@@ -66,27 +68,30 @@ def rates_panel(spark: SparkSession, root: str, catalog: DataFrame | None = None
     return outer_join_complete(fx, rate, ["country", "yyyymm"]).select("date", "country", "interest_rate", "fx_rate")
 
 
-def price_panel(spark: SparkSession, root: str) -> DataFrame:
-    """(date, <series columns>...): daily series inner-joined on the date;
-    all pages (date batches) of a series are read by one scan."""
+def price_panel(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
+    """(date, <series columns>...): daily series, dates that all of them have;
+    all pages (date batches) of a series are read by one scan. Pages may
+    overlap (see ``coverage.page_coverage``) where their values agree; a date
+    with two values fails the job."""
     schema = "response struct<data: array<struct<period:string, value:string>>>, series string"
-    pages = read_json_pages(spark, root, schema)
+    pages = read_json_pages(spark, root, schema, multi_line)
     rows = explode_records(pages, "response.data", keep=["series"]).select(
         "series", F.to_date("period", "yyyy-MM-dd").alias("date"), strict_cast("value", "double").alias("value")
     )
-    out = None
-    for name, _ in dims.OIL_SERIES:
-        s = rows.where(F.col("series") == name).select("date", F.col("value").alias(name))
-        out = s if out is None else out.join(s, "date", "inner")
-    return out
+    names = [name for name, _ in dims.OIL_SERIES]
+    own = [F.when(F.col("series") == n, F.col("value")) for n in names]
+    wide = rows.groupBy("date").agg(*[F.min(v).alias(n) for n, v in zip(names, own)], *[F.max(v).alias(f"max_{n}") for n, v in zip(names, own)])
+    twice = F.raise_error(F.concat(F.lit("pages with different values for "), F.col("date").cast("string")))
+    one = [F.when(F.col(n) == F.col(f"max_{n}"), F.col(n)).otherwise(twice).alias(n) for n in names]
+    return wide.where(F.col("date").isNotNull()).dropna(subset=names).select("date", *one)
 
 
-def reserves(spark: SparkSession, root: str, unit: str = "USD") -> DataFrame:
+def reserves(spark: SparkSession, root: str, unit: str = "USD", multi_line: bool = True) -> DataFrame:
     """(country, year, month, fx_reserves) from reserve pages, one unit only."""
     schema = (
         "value array<struct<OBS_VALUE:string, REF_AREA:string, TIME_PERIOD:string, UNIT_MEASURE:string>>"
     )
-    pages = read_json_pages(spark, root, schema)
+    pages = read_json_pages(spark, root, schema, multi_line)
     rows = norm_columns(explode_records(pages, "value"))
     rows = rows.where(F.col("unit_measure") == unit)
     year, month = period_from_label("time_period")
@@ -121,14 +126,45 @@ def wide_index(
     return long.select("country", F.year("month").alias("year"), F.month("month").alias("month"), "gpr_index")
 
 
-def period_index(spark: SparkSession, path: str) -> DataFrame:
-    """(country, value, year, month) from a flat SDMX-style export."""
-    raw = norm_columns(read_csv(spark, path, "TIME_PERIOD string, COUNTRY string, value double"))
+def open_wide_index(spark: SparkSession, path: str, prefix: str = "gprc_", start: str = "2006-01-01") -> DataFrame:
+    """(country, year, month, gpr_index) from wide JSON records whose country
+    columns are not known beforehand: each record is read as one VARIANT and
+    its fields become rows, so that a new country needs no schema. A null
+    cell stays a row; a cell that is no number fails the job."""
+    raw = spark.read.format("json").option("singleVariantColumn", "sheet").option("mode", "FAILFAST").load(path)
+    cells = spark.sql(
+        "SELECT variant_get(sheet, '$.month', 'date') AS month, lower(e.key) AS series, CAST(e.value AS double) AS gpr_index "
+        "FROM {raw}, LATERAL variant_explode(sheet) AS e WHERE startswith(lower(e.key), {prefix})",
+        raw=raw.where(F.expr("variant_get(sheet, '$.month', 'date')") >= F.to_date(F.lit(start))),
+        prefix=prefix,
+    )
+    cells = cells.withColumn("iso3", F.upper(F.get(F.split("series", "_"), 1)))
+    cells = dims.map_iso3(cells, "iso3").where(F.col("country").isNotNull())
+    return cells.select("country", F.year("month").alias("year"), F.month("month").alias("month"), "gpr_index")
+
+
+def _period_values(rows: DataFrame) -> DataFrame:
+    """(country, value, year, month) of rows (time_period, country as ISO-3, value)."""
     year, month = period_from_label("time_period")
-    rows = raw.select(F.col("country").alias("iso3"), "value", year.alias("year"), month.alias("month"))
+    rows = rows.select(F.col("country").alias("iso3"), "value", year.alias("year"), month.alias("month"))
     return dims.map_iso3(rows, "iso3").select("country", "value", "year", "month")
 
 
+def period_index(spark: SparkSession, path: str) -> DataFrame:
+    """(country, value, year, month) from a flat SDMX-style export."""
+    return _period_values(norm_columns(read_csv(spark, path, "TIME_PERIOD string, COUNTRY string, value double")))
+
+
+def period_message(spark: SparkSession, path: str) -> DataFrame:
+    """(country, value, year, month) from SDMX messages in XML: Series elements
+    with the country as attribute and nested Obs elements (TIME_PERIOD,
+    OBS_VALUE). Splittable by series; a malformed one fails the job."""
+    schema = "_COUNTRY string, Obs array<struct<_TIME_PERIOD:string,_OBS_VALUE:double>>"
+    series = spark.read.format("xml").schema(schema).option("rowTag", "Series").option("mode", "FAILFAST").load(path)
+    obs = series.select(F.col("_COUNTRY").alias("country"), F.inline("Obs"))
+    return _period_values(obs.select("country", F.col("_TIME_PERIOD").alias("time_period"), F.col("_OBS_VALUE").alias("value")))
+
+
 def shipping_index(spark: SparkSession, path: str, value_col: str = "Index_Average_M2_2023__100_Value") -> DataFrame:
     """(country, year, month, lsci) from a (gzip) CSV with month labels such
     as 'feb. 2006' or 'may 2006'; economy names matched by alias equality."""
