@@ -39,6 +39,8 @@ PRIOR = 2.0
 NEUTRAL = 2.0
 #: Buckets that travel together.
 BLOCK = 1 << 16
+#: Bytes of text whose n-grams are held at once.
+CHUNK_BYTES = 1 << 19
 #: Labels (an id and a kind, 16 bytes) up to which they may be broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Kinds of labelled text: the target, then the unwanted ones.
@@ -85,7 +87,7 @@ def _count(docs: DataFrame, n_buckets: int) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(KINDS) + 1, n_buckets), dtype=np.int64)
         for batch in batches:
-            for part in W.chunks(batch, "text"):
+            for part in W.chunks(batch, "text", CHUNK_BYTES):
                 bucket, text = features(W.split_words(part.column("text"), lower=False), n_buckets)
                 kind = part.column("kind").to_numpy(zero_copy_only=False)[text]
                 for k in range(len(KINDS)):
@@ -101,7 +103,7 @@ def _count(docs: DataFrame, n_buckets: int) -> np.ndarray:
         return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "at": pdf["at"].iloc[:1], "blob": [_packed(sum(map(_unpacked, pdf["blob"])))]})
 
     schema = "kind int, at int, blob binary"
-    out = np.zeros((len(KINDS) + 1, n_buckets))
+    out = np.zeros((len(KINDS) + 1, n_buckets), dtype=np.int64)
     for r in docs.mapInArrow(work, schema).groupBy("kind", "at").applyInPandas(add, schema).collect():
         block = _unpacked(bytes(r["blob"]))
         out[r["kind"], r["at"] : r["at"] + len(block)] = block
@@ -124,26 +126,38 @@ def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = P
     target, of the excess of all text over the target at each of RAW_SHARES,
     and of each unwanted kind whole and at each dilution, from rows (kind, text). At most (kinds + 1) * n_buckets counts are collected."""
     counts = _count(labelled, n_buckets)
-    raw = (counts[-1] + 0.5) / (counts[-1].sum() + 0.5 * n_buckets)
-    expected = counts[:-1].sum(axis=1, keepdims=True) * counts[0] / max(counts[0].sum(), 1)
-    rate = np.log((counts[:-1] + prior) / (expected + prior))
-    rate = np.sign(rate) * np.maximum(np.abs(rate) - NEUTRAL, 0)
-    models = raw * np.exp(rate)
-    models /= models.sum(axis=1, keepdims=True)
-    target = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * n_buckets)
-    # all text but the target's own, over the target
-    rest = counts[-1] - counts[0]
-    expected = rest.sum() / max(counts[0].sum(), 1) * counts[0]
-    over = np.maximum(np.log((rest + prior) / (expected + prior)) - NEUTRAL, 0)
-    excess = rest * -np.expm1(-over)
-    excess /= max(excess.sum(), 1e-300)
-    parts = [np.zeros(n_buckets, dtype=np.float32), *[np.log(1 - d + d * excess / target).astype(np.float32) for d in RAW_SHARES]]
-    for k in range(1, len(KINDS)):
-        excess = counts[k] * -np.expm1(-np.maximum(rate[k], 0))
-        excess /= max(excess.sum(), 1e-300)
-        parts.append(np.log(models[k] / models[0]).astype(np.float32))
-        parts += [np.log(1 - d + d * excess / target).astype(np.float32) for d in DILUTIONS]
-    return np.array(parts)
+    total = counts.sum(axis=1)
+    good = max(int(total[0]), 1)
+    size = min(BLOCK, n_buckets)
+
+    def blocks() -> Iterator[tuple]:
+        """Per block of buckets: raw text times the kinds' rates, what all text
+        and what each kind has in excess of the target, the target."""
+        for at in range(0, n_buckets, size):
+            c = counts[:, at : at + size].astype(np.float64)
+            rate = np.log((c[:-1] + prior) / (total[:-1, None] * c[0] / good + prior))
+            rate = np.sign(rate) * np.maximum(np.abs(rate) - NEUTRAL, 0)
+            raw = (c[-1] + 0.5) / (total[-1] + 0.5 * n_buckets)
+            # all text but the target's own, over the target
+            rest = c[-1] - c[0]
+            over = np.maximum(np.log((rest + prior) / ((total[-1] - total[0]) * c[0] / good + prior)) - NEUTRAL, 0)
+            excess = np.vstack([rest * -np.expm1(-over), *(c[k] * -np.expm1(-np.maximum(rate[k], 0)) for k in range(1, len(KINDS)))])
+            yield at, raw * np.exp(rate), excess, (c[0] + 0.5) / (total[0] + 0.5 * n_buckets)
+
+    models_sum, excess_sum = np.zeros((len(KINDS), 1)), np.zeros((len(KINDS), 1))
+    for _, models, excess, _ in blocks():
+        models_sum += models.sum(axis=1, keepdims=True)
+        excess_sum += excess.sum(axis=1, keepdims=True)
+    excess_sum = np.maximum(excess_sum, 1e-300)
+    out = np.zeros((1 + len(RAW_SHARES) + (len(KINDS) - 1) * (1 + len(DILUTIONS)), n_buckets), dtype=np.float32)
+    for at, models, excess, target in blocks():
+        models /= models_sum
+        excess = excess / excess_sum / target
+        parts = [np.log(1 - d + d * excess[0]) for d in RAW_SHARES]
+        for k in range(1, len(KINDS)):
+            parts += [np.log(models[k] / models[0]), *(np.log(1 - d + d * excess[k]) for d in DILUTIONS)]
+        out[1:, at : at + size] = parts
+    return out
 
 
 def log_ratios(docs: DataFrame, shared, id_type: str) -> DataFrame:
@@ -156,7 +170,7 @@ def log_ratios(docs: DataFrame, shared, id_type: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            for part in W.chunks(batch, "text"):
+            for part in W.chunks(batch, "text", CHUNK_BYTES):
                 split = W.split_words(part.column("text"), lower=False)
                 bucket, text = features(split, n_buckets)
                 sums = [np.bincount(text, weights=row[bucket], minlength=part.num_rows).astype(float) for row in table]

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled by itself.
 CHUNK_BYTES = 1 << 21
@@ -102,17 +103,19 @@ def split_words(texts: pa.Array, lower: bool = True) -> Words:
     return Words(hash_runs(data, _byte_values(lower), begin), np.searchsorted(begin, offsets), data, begin, end)
 
 
-def chunks(batch: pa.RecordBatch, text_col: str) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about CHUNK_BYTES of text each; null texts
-    become empty."""
+def chunks(batch: pa.RecordBatch, text_col: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with about ``size`` bytes of text each; null texts
+    become empty. A slice is copied when it is its turn."""
     i = batch.schema.get_field_index(text_col)
-    texts = batch.column(i).cast(pa.large_string()).fill_null("")
-    batch = batch.set_column(i, pa.field(text_col, pa.large_string()), texts)
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1, offset=8 * texts.offset)
+    lengths = pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    field = pa.field(text_col, pa.large_string())
     start = 0
-    while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + CHUNK_BYTES, "right")) - 1)
-        yield batch.slice(start, stop - start)
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        part = batch.slice(start, stop - start)
+        yield part.set_column(i, field, part.column(i).cast(pa.large_string()).fill_null(""))
         start = stop
 
 
