@@ -189,14 +189,32 @@ def _log_raw(pi: list[float]):
     return top + F.log(sum((F.exp(t - top) for t in terms[1:]), F.exp(terms[0] - top)))
 
 
+def _shares(names: list[str], pi: list[float]):
+    """Sums over rows of each component's posterior probability, per task."""
+    logs = np.log(np.maximum(pi, 1e-12))[:, None]
+    fields = ["n", *(f"s{k}" for k in range(len(names)))]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names) + 1)
+        for batch in batches:
+            joint = np.stack([batch.column(n).to_numpy() for n in names]) + logs
+            joint = np.exp(joint - joint.max(axis=0))
+            total[0] += batch.num_rows
+            total[1:] += (joint / joint.sum(axis=0)).sum(axis=1)
+        yield pa.record_batch([pa.array([x]) for x in total], names=fields)
+
+    return work, fields
+
+
 def _fit_mixture(scored: DataFrame, start: list[float]) -> list[float]:
-    """Mixture weights of all documents; each round is one small aggregate."""
-    pi = start
+    """Mixture weights of all documents; each round adds up one row per task.
+    The weights travel to the tasks as values: as literals they would make the
+    driver compile a new plan every round."""
+    names = [f"r{k}" for k in range(len(start))]
+    rows, pi = scored.select(*names), start
     for _ in range(EM_ROUNDS):
-        log_raw = _log_raw(pi)
-        sums = scored.agg(
-            F.count(F.lit(1)), *[F.sum(F.exp(F.lit(math.log(max(p, 1e-12))) + F.col(f"r{k}") - log_raw)) for k, p in enumerate(pi)]
-        ).first()
+        work, fields = _shares(names, pi)
+        sums = rows.mapInArrow(work, ", ".join(f"{c} double" for c in fields)).agg(*[F.sum(c) for c in fields]).first()
         if not sums[0]:
             break
         new = [s / sums[0] for s in sums[1:]]
