@@ -1,5 +1,8 @@
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from panelsmith.llm import secret_ledger as S
 from panelsmith.llm import surrogates
 
@@ -91,6 +94,73 @@ def test_surrogates_keep_type_and_coreference(spark):
     assert other[0] != a
 
 
+def _luhn(number):
+    d = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d[::2]) + sum(2 * x - 9 if x > 4 else 2 * x for x in d[1::2])
+
+
+FORMS = [
+    ("+15551234567", r"\+\d{11}", "n_phone"),
+    ("555-123-4567", r"\d{3}-\d{3}-\d{4}", "n_phone"),
+    ("555.123.4567", r"\d{3}\.\d{3}\.\d{4}", "n_phone"),
+    ("(555) 123-4567", r"\(\d{3}\) \d{3}-\d{4}", "n_phone"),
+    ("+49 30 1234 5678", r"\+\d\d \d\d \d{4} \d{4}", "n_phone"),
+    ("123-45-6789", r"\d{3}-\d{2}-\d{4}", "n_id"),
+    ("4111 1111 1111 1111", r"4\d{3}( \d{4}){3}", "n_card"),
+    ("3782 822463 10005", r"3\d{3} \d{6} \d{5}", "n_card"),
+    ("2001:0db8:85a3:0000:0000:8a2e:0370:7334", r"2001:db8(:[0-9a-f]{4}){6}", "n_ip"),
+    ("10.20.30.40", r"\d+(\.\d+){3}", "n_ip"),
+    ("a.b-1@mail.example.org", r"[a-z]\.[a-z]-\d@host\d+\.org", "n_email"),
+]
+
+
+def test_detected_forms(spark):
+    docs = spark.createDataFrame([(i, f"see {m}, then go on.") for i, (m, _, _) in enumerate(FORMS)], "doc_id long, text string")
+    for r in surrogates.replace_personal(docs, "k").collect():
+        mention, form, count = FORMS[r.doc_id]
+        new = re.fullmatch(r"see (.*), then go on\.", r.text)[1]
+        assert re.fullmatch(form, new) and new != mention and r[count] == 1, (mention, new)
+        if count == "n_card":
+            assert _luhn(mention) % 10 == _luhn(new) % 10 == 0
+    clean = ["version 1.2.3-45-6789", "2024-01-15 and 12:30:45", "1234-5678", "order 5551234567", "a:b:c", "Dr. no", "Smith alone"]
+    docs = spark.createDataFrame([*enumerate(clean)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in surrogates.replace_personal(docs, "k").collect()} == dict(enumerate(clean))
+
+
+def test_names_are_followed_through_a_text(spark):
+    texts = [
+        "Dr. Jane Q. Roe met Frau Dr. Müller. Roe's plan, said ROE, suits Müller; roe is fish eggs.",
+        "Prof J. Roe wrote; Roebuck did not.",
+        "Roe alone is not found without a title",
+        "Mr O'Brien and Mr O'Brien's dog; O'Brien left",
+    ]
+    out = {r.doc_id: r for r in surrogates.replace_personal(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), "k").collect()}
+    m = re.fullmatch(r"Dr\. (\w+) Q\. (\w+) met Frau Dr\. (\w+)\. (\w+)'s plan, said (\w+), suits (\w+); roe is fish eggs\.", out[0].text)
+    given, roe, muller, again, loud, other = m.groups()
+    assert given in surrogates.GIVEN["given_n", "latin"] and roe == again and loud == roe.upper() and muller == other != roe
+    assert "Roe" not in out[0].text and "Müller" not in out[0].text and out[0].n_name == 3
+    assert out[1].text == f"Prof J. {roe} wrote; Roebuck did not." and out[2].text == texts[2] and not out[2].changed
+    m = re.fullmatch(r"Mr (\w+) and Mr (\w+)'s dog; (\w+) left", out[3].text)
+    assert len(set(m.groups())) == 1 and out[3].n_name == 2
+
+
+def test_rounds_end_for_many_entities(spark):
+    """More entities than any one draw has surrogates: 10**5 given names of
+    one script, and a fifth-digit space that is full."""
+    kinds = [("given_m", F.concat(F.lit("иван"), F.col("id").cast("string"))), ("phone", (F.col("id") % 90_000 + 10_000).cast("string"))]
+    entities = [spark.range(100_000).select(F.lit(k).alias("kind"), c.alias("key")) for k, c in kinds]
+    entities = entities[0].unionByName(entities[1]).distinct()
+    out = surrogates.assign_surrogates(entities, "k")
+    row = out.agg(F.count("*"), F.countDistinct("kind", "key"), F.countDistinct("kind", "surrogate")).first()
+    assert tuple(row) == (190_000, 190_000, 190_000)
+    assert out.join(entities.select("kind", F.col("key").alias("surrogate")), ["kind", "surrogate"]).count() == 0
+
+
+def test_kept_columns_may_not_clash(odd_docs):
+    with pytest.raises(ValueError):
+        surrogates.replace_personal(odd_docs.withColumn("changed", F.lit(1)), "k", keep=("changed",))
+
+
 def test_surrogates_stay_distinct(spark):
     names = [f"Mr {chr(65 + i)}{c}on Abc" for i in range(26) for c in "aeiou"] + [f"a{i}@b.co" for i in range(10)]
     docs = spark.createDataFrame([*enumerate(names)], "doc_id long, text string")
