@@ -11,6 +11,13 @@ every class alike, so an item with m shingles to be shared is missed with
 probability (1 - p)**m. ``d`` is the smallest for which that is at most
 ``max_miss`` for the shortest item; no document or item is left out.
 Every pair with an agreeing bin is verified by exact shingle containment.
+
+An item of fewer than n words has its whole sequence as its only shingle; the
+runs of that many words in the documents are added to their sketches unreduced,
+since each may be the one that is shared, for the lengths that occur only.
+One sketch, of the bins that the shortest item needs, serves items of all
+sizes: coarser bins' minima are among those of finer bins, so a sketch per size
+of item would add rows, not save them.
 """
 
 from __future__ import annotations
@@ -45,6 +52,16 @@ def shingle_hashes(words: Column, n: int) -> Column:
     return F.sort_array(F.transform(_windows(words, n), lambda i: F.xxhash64(F.slice(words, i, n))))
 
 
+def run_hashes(words: Column, k: int) -> Column:
+    """Distinct hashes of the k-word runs."""
+    return F.array_distinct(F.transform(_windows(words, k), lambda i: F.xxhash64(F.slice(words, i, k))))
+
+
+def _padded(words: Column) -> Column:
+    """Words hold no space, so that runs of words are substrings of this."""
+    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
+
 def extra_bits(least_shared: int, max_miss: float) -> int:
     """The smallest d for which an item that shares ``least_shared`` shingles
     is missed with probability ``max_miss`` at most."""
@@ -76,48 +93,65 @@ def contaminated(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    least_words: int = 1,
 ) -> DataFrame:
     """Pairs (``id_col``, ``item_col``, n_shared, n_item, containment) of a
     document that holds at least ``threshold`` of an item's distinct n-word
     shingles.
 
-    Items of fewer than n words, and null or empty ones, have no shingle and
-    are not searched; documents likewise match nothing. Ids may be null; a
+    An item of fewer than n words is held by a document that has its words
+    consecutively (n_item and n_shared are 1); items of fewer than
+    ``least_words`` are not searched. Null and empty items and documents match
+    nothing. A very long text is handled whole, by one task. Ids may be null; a
     pair of ids that several rows give is reported once, with its largest
     containment. Other columns are not read. Empty tables give no pairs.
     """
+    short = F.size("w") < n
     wanted = (
         items.select(F.col(item_col).alias("item"), text_words(F.col(item_text_col)).alias("w"))
-        .select("item", shingle_texts(F.col("w"), n).alias("item_shingles"), shingle_hashes(F.col("w"), n).alias("h"))
+        .where(F.size("w") >= max(1, least_words))
+        .select(
+            "item",
+            F.when(short, F.size("w")).alias("short"),
+            F.when(short, F.array(_padded(F.col("w")))).otherwise(shingle_texts(F.col("w"), n)).alias("item_shingles"),
+            F.when(short, F.array(F.xxhash64("w"))).otherwise(shingle_hashes(F.col("w"), n)).alias("h"),
+        )
         .distinct()
         .withColumns({"n_item": F.size("item_shingles"), "item_key": F.xxhash64("item", "h")})
     )
-    wanted = cut_lineage(wanted, "decontaminate-items").where("n_item > 0")
-    shortest = wanted.agg(F.min("n_item")).first()[0]
-    d = extra_bits(max(1, math.ceil(threshold * (shortest or 1))), max_miss)
+    wanted = cut_lineage(wanted, "decontaminate-items")
+    shortest = wanted.where("short IS NULL").agg(F.min("n_item")).first()[0]
+    d = extra_bits(max(1, math.ceil(threshold * (shortest or 1))), max_miss) if shortest else 0
+    lengths = sorted(r.short for r in wanted.where("short IS NOT NULL").select("short").distinct().collect())  # below n
     probes = wanted.select(F.explode(F.array_distinct("h")).alias("hash"), "item_key")
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("d_text"), F.xxhash64(text_col).alias("digest"))
     sized = (
         texts.select("digest", text_words(F.col("d_text")).alias("w"))
-        .select("digest", shingle_hashes(F.col("w"), n).alias("h"))
+        .select("digest", shingle_hashes(F.col("w"), n).alias("h"), *[run_hashes(F.col("w"), k).alias(f"r{k}") for k in lengths])
         .withColumn("n_bits", F.least(F.ceil(F.log2(F.greatest(F.size("h"), F.lit(1)))) + d, F.lit(63)))
     )
     # the outer form, and no filter on the size: the optimiser would push a
     # filter into the scan and compute every array again for each element
-    agreeing = sized.select("digest", F.explode_outer(sketch(F.col("h"), F.col("n_bits"))).alias("hash")).join(probes, "hash")
+    hashes = F.concat(sketch(F.col("h"), F.col("n_bits")), *[F.col(f"r{k}") for k in lengths])
+    agreeing = sized.select("digest", F.explode_outer(hashes).alias("hash")).join(probes, "hash")
     found = cut_lineage(agreeing.select("digest", "item_key").distinct(), "decontaminate-candidates")
 
     some = found.select("digest").distinct()
     few = some.count() <= BROADCAST_ROWS
     read = texts.join(F.broadcast(some) if few else some.hint("shuffle_hash"), "digest")
-    read = read.select("id", "digest", text_words(F.col("d_text")).alias("w")).select("id", "digest", shingle_texts(F.col("w"), n).alias("s"))
+    read = read.select("id", "digest", text_words(F.col("d_text")).alias("w")).select(
+        "id", "digest", shingle_texts(F.col("w"), n).alias("s"), *([_padded(F.col("w")).alias("run")] if lengths else [])
+    )
     shared = F.size(F.array_intersect("s", "item_shingles"))
+    if lengths:
+        held = F.col("run").contains(F.col("item_shingles")[0]).cast("int")
+        shared = F.when(F.col("short").isNull(), shared).otherwise(held)
     pairs = (
         read.join(found, "digest")
-        .join(wanted.select("item_key", "item", "item_shingles", "n_item"), "item_key")
+        .join(wanted.select("item_key", "item", "short", "item_shingles", "n_item"), "item_key")
         .select("id", "item", shared.cast("bigint").alias("n_shared"), F.col("n_item").cast("bigint").alias("n_item"))
-        .where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item"))
+        .where((F.col("n_shared") > 0) & (F.col("n_shared") >= F.lit(threshold) * F.col("n_item")))
         .withColumn("containment", F.col("n_shared") / F.col("n_item"))
     )
     best = F.max(F.struct("containment", "n_shared", "n_item"))

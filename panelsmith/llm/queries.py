@@ -27,11 +27,15 @@ _SHINGLES = """list_distinct(CASE WHEN len(w) < 5 THEN [] ELSE list_transform(ra
   lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]) END)"""
 
 DECONTAMINATE_SQL = f"""
-WITH docs AS (SELECT doc_id, unnest({_SHINGLES}) AS t FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents)),
-items AS (SELECT item_id, len(s) AS n, unnest(s) AS t FROM (SELECT item_id, {_SHINGLES} AS s
-  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark)))
+WITH doc_words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+item_words AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark),
+docs AS (SELECT doc_id, unnest({_SHINGLES}) AS t FROM doc_words),
+items AS (SELECT item_id, len(s) AS n, unnest(s) AS t FROM (SELECT item_id, {_SHINGLES} AS s FROM item_words)),
+short AS (SELECT item_id, ' ' || array_to_string(w, ' ') || ' ' AS t FROM item_words WHERE len(w) BETWEEN 1 AND 4)
 SELECT doc_id, item_id, count(*) AS n_shared, max(n) AS n_item, count(*) / max(n) AS containment
 FROM docs JOIN items USING (t) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * max(n)
+UNION ALL SELECT DISTINCT doc_id, item_id, 1::BIGINT, 1::BIGINT, 1::DOUBLE
+FROM short JOIN doc_words ON contains(' ' || array_to_string(doc_words.w, ' ') || ' ', short.t)
 """
 
 

@@ -1,5 +1,6 @@
 import collections
 import os
+import random
 import shutil
 import subprocess
 import sys
@@ -94,10 +95,37 @@ def test_containment_equals_brute_force(spark):
     assert got == want and len(want) > len(texts)
 
 
+def test_short_items_equal_brute_force(spark):
+    """Items of one to seven words, with repeats, at ends and inside."""
+    rng = random.Random(5)
+    word = lambda: rng.choice("what is the answer to it all ok".split())
+    docs = [(i, " ".join(word() for _ in range(rng.randrange(0, 40)))) for i in range(200)]
+    docs += [(900, None), (901, "What is\tthe ANSWER?"), (902, "whatis theanswer")]
+    items = [(i, " ".join(word() for _ in range(i % 7 + 1))) for i in range(60)] + [(70, "what is the answer"), (71, ""), (72, None), (73, "xyz")]
+    tables = [spark.createDataFrame(rows, f"{c} long, text string") for rows, c in ((docs, "doc_id"), (items, "item_id"))]
+
+    def grams(text, n):
+        words = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+        return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+    def found(least):
+        want = set()
+        for i, text in items:
+            size = len((text or "").split())
+            x = grams(text, min(size, 5)) if size else set()
+            want |= {(d, i) for d, t in docs if size >= least and x and len(grams(t, min(size, 5)) & x) >= 0.8 * len(x)}
+        return want
+
+    for least in (1, 3):
+        got = decontaminate.contaminated(*tables, least_words=least).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == found(least) and len(got) == len(found(least))
+    assert (901, 70) in found(1) and (902, 70) not in found(1)
+
+
 def test_containment_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "three four five six seven"), (1, "words of the other kind are here"), (None, "one two three four five"), (2, "two words"), (3, None)], "item_id long, text string").withColumn("h", F.lit(1))
     got = decontaminate.contaminated(odd_docs, items).collect()
-    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted([(a, b) for a in (1, 2, None) for b in (1, None)], key=str)
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted([(a, b) for a in (1, 2, None) for b in (1, None)] + [(8, 2)], key=str)
     assert decontaminate.contaminated(no_docs, items).count() == decontaminate.contaminated(odd_docs, items.limit(0)).count() == 0
 
 
