@@ -54,9 +54,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold four fifths of a benchmark item's shingles."""
+    """Drop documents that hold four fifths of a benchmark item's shingles; an
+    item of fewer than five words is too common to drop a document for."""
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_key")).alias("row"), "text")
-    found = decontaminate.contaminated(rows, read_table(spark, sf_dir, "benchmark"), id_col="row")
+    found = decontaminate.contaminated(rows, read_table(spark, sf_dir, "benchmark"), id_col="row", least_words=5)
     return _without(docs, found.select("row.doc_id", "row.text_key"))
 
 
