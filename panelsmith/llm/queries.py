@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelsmith.llm import decontaminate, divergence, importance, inner_topk, jaccard_join, license_scan, merkle, mixing, pitman_yor, secret_ledger, surrogates, token_spans, url_rules
-from panelsmith.session import read_table
+from panelsmith.session import read_table, shared_dir
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -90,28 +92,33 @@ def _secret_kind(rank: int, kind: str, pattern: str, group: int, least: int) ->
   regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g FROM docs)"""
 
 
+_SAID = "coalesce(array_to_string(list_transform({}, lambda x: concat_ws(':', x.kind, x.start::BIGINT, x.stop::BIGINT)), ','), '')"
+
 SECRETS_SQL = f"""
 WITH docs AS (SELECT doc_id, row_number() OVER () AS row_no, coalesce(text, '') AS t FROM documents),
 kinds AS ({" UNION ALL ".join(_secret_kind(i, r.name, r.pattern, r.group, r.min_chars) for i, r in enumerate(secret_ledger.RULES))}),
 per_doc AS (SELECT doc_id, row_no, list_sort(flatten(list(list_transform(s, lambda x: {{'start': x.start, 'rank': x.rank, 'kind': x.kind, 'stop': x.start + x.len}})))) AS f
   FROM kinds GROUP BY doc_id, row_no),
-said AS (SELECT doc_id, f, coalesce(array_to_string(list_transform(f, lambda x: concat_ws(':', x.kind, x.start::BIGINT, x.stop::BIGINT)), ','), '') AS spans FROM per_doc)
+said AS (SELECT doc_id, f, {_SAID.format("f")} AS spans, {_SAID.format(f"list_filter(f, lambda x: x.rank < {len(secret_ledger.BASE_RULES)})")} AS base FROM per_doc)
 SELECT doc_id, len(list_filter(f, lambda x: x.kind = 'assign')) AS n_assign, len(list_filter(f, lambda x: x.kind = 'access')) AS n_access,
-  len(list_filter(f, lambda x: x.kind = 'hex')) AS n_hex, sha256(spans) AS base_sha256, spans FROM said
+  len(list_filter(f, lambda x: x.kind = 'hex')) AS n_hex, sha256(base) AS base_sha256, spans FROM said
 """
 
 
 @query("op4_secret_scans", SECRETS_SQL)
 def op4_secret_scans(spark, sf_dir):
+    """The ledger's table is named by the session's spark.panelsmith.secret_ledger;
+    where that is unset, a new one is begun."""
     docs = read_table(spark, sf_dir, "documents")
-    ledger = secret_ledger.scan_unseen(docs)
+    path = spark.conf.get("spark.panelsmith.secret_ledger", None) or shared_dir(spark, "ledgers", f"secrets-{uuid.uuid4().hex}")
+    ledger = secret_ledger.update_ledger(docs, path)
     found = F.col("found")
-    spans = secret_ledger.spans_text(found)
+    base = F.filter(found, lambda x: x["rank"] < len(secret_ledger.BASE_RULES))
     return secret_ledger.findings_by_path(docs, ledger).select(
         "doc_id",
-        *[secret_ledger.count_kind(found, r.name).alias(f"n_{r.name}") for r in secret_ledger.RULES],
-        F.sha2(spans, 256).alias("base_sha256"),
-        spans.alias("spans"),
+        *[secret_ledger.count_kind(found, r.name).alias(f"n_{r.name}") for r in secret_ledger.BASE_RULES],
+        F.sha2(secret_ledger.spans_text(base), 256).alias("base_sha256"),
+        secret_ledger.spans_text(found).alias("spans"),
     )
 
 
