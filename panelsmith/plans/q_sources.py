@@ -19,7 +19,7 @@ from panelsmith.plans import inputs as I
 from panelsmith.plans.inputs import R4
 from panelsmith.plans.registry import query
 from panelsmith.session import Tables, cut_lineage, shared_dir
-from panelsmith.sources import dims
+from panelsmith.sources import dims, landed
 from panelsmith.sources import normalise as N
 from panelsmith.sources.coverage import page_coverage
 
@@ -53,6 +53,32 @@ def _monthly(t: Tables):
     return m.withColumns({"year": F.year("first"), "month": F.month("first")})
 
 
+@query(
+    "src_inferred",
+    """
+SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS cust_code, CAST(o_orderdate AS DATE) AS o_day,
+       round(o_totalprice, 4) AS o_totalprice, o_totalprice > 100000 AS is_large, o_orderpriority,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS some_custkey
+FROM orders
+""",
+)
+def src_inferred(spark, sf_dir):
+    """orders landed as CSV and read with types found over all rows: counts,
+    codes with leading zeros, days, prices, flags and a column with gaps."""
+    root = _folder(spark)
+    orders = Tables(spark, sf_dir).orders.select(
+        "o_orderkey",
+        F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("cust_code"),
+        F.to_date("o_orderdate").alias("o_day"),
+        "o_totalprice",
+        (F.col("o_totalprice") > 100000).alias("is_large"),
+        "o_orderpriority",
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")).alias("some_custkey"),
+    )
+    landed.write_csv(orders, root)
+    return round_doubles(landed.read_inferred_csv(spark, root), 4)
+
+
 @query(
     "src_rates",
     BASE_SQL

@@ -1,7 +1,7 @@
 """Readers and writers for landed files (CSV, gzip CSV, JSON pages, Parquet).
 
-Schemas are explicit: no inference pass over the data, and malformed input
-fails the job (FAILFAST) instead of silently becoming NULL. Writers are
+Schemas are explicit, or inferred over all rows by ``infer_csv_schema``; malformed
+input fails the job (FAILFAST) instead of silently becoming NULL. Writers are
 distributed DataFrame writes; nothing is collected to the driver.
 """
 
@@ -24,7 +24,43 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str, header
     r = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         r = r.option(k, v)
-    return r.csv(path)
+    return r.csv(path if isinstance(path, str) else list(path))
+
+
+#: Types in the order they are tried: what a value must look like, and be cast to.
+INFERRED = (
+    ("boolean", "(?i)^(true|false)$"),
+    ("bigint", "^-?(0|[1-9][0-9]*)$"),
+    ("double", r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"),
+    ("date", "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp", "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}"),
+)
+
+
+def infer_csv_schema(spark: SparkSession, path: str | Sequence[str], **options) -> str:
+    """The schema of a CSV with a header, as DDL, from all rows in one
+    aggregate: per column the first of INFERRED that every value fits, else
+    string. Numbers with leading zeros are codes and stay strings; empty values
+    are null and fit all; a column without values is a string. The driver gets
+    one row of booleans, whatever the number of rows."""
+    raw = spark.read.options(header=True, inferSchema=False, mode="FAILFAST", **options).csv(path)
+
+    def quoted(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    def fits(c: str, kind: str, form: str):
+        value = F.col(quoted(c))
+        return F.bool_and(F.when(value.isNotNull(), value.rlike(form) & value.try_cast(kind).isNotNull()))
+
+    names = list(enumerate(raw.columns))
+    row = raw.agg(*[fits(c, kind, form).alias(f"{i}_{kind}") for i, c in names for kind, form in INFERRED]).first()
+    found = [next((kind for kind, _ in INFERRED if row[f"{i}_{kind}"]), "string") for i, _ in names]
+    return ", ".join(f"{quoted(c)} {kind}" for (_, c), kind in zip(names, found))
+
+
+def read_inferred_csv(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:
+    """``read_csv`` with the schema that ``infer_csv_schema`` finds; two scans."""
+    return read_csv(spark, path, infer_csv_schema(spark, path, **options), **options)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:

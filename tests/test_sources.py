@@ -6,7 +6,7 @@ import json
 
 import pytest
 
-from panelsmith.sources import dims
+from panelsmith.sources import dims, landed
 from panelsmith.sources import normalise as N
 
 D = dt.date
@@ -17,6 +17,26 @@ def _write_json(path, obj):
     path.write_text(json.dumps(obj))
 
 
+def test_inferred_types(spark, tmp_path):
+    """Every row counts: the value that does not fit is in the last file."""
+    head = "flag,n,code,x,late,day,at,none,big,`odd` name.x\n"
+    (tmp_path / "a.csv").write_text(head + "true,1,007,1,2,2024-02-29,2024-01-01 10:00:00,,9223372036854775807,1d\n" * 50)
+    (tmp_path / "b.csv").write_text(head + "FALSE,-2,010,2.5e3,x,2023-01-31,2024-01-02T11:30:00,,9223372036854775808,NaN\n,,,,,,,,,\n")
+    files = [str(tmp_path / f) for f in ("a.csv", "b.csv")]
+    df = landed.read_inferred_csv(spark, files)
+    assert [f.dataType.simpleString() for f in df.schema] == [
+        "boolean", "bigint", "string", "double", "string", "date", "timestamp", "string", "double", "string",
+    ]
+    explicit = "flag boolean, n bigint, code string, x double, late string, day date, at timestamp, none string, big double, odd string"
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, map(tuple, landed.read_csv(spark, files, explicit, enforceSchema=True).collect())))
+    only = landed.infer_csv_schema(spark, files[0])
+    assert "`late` bigint" in only and "`x` bigint" in only
+    (tmp_path / "c.csv").write_text("a,b\n")
+    assert landed.infer_csv_schema(spark, str(tmp_path / "c.csv")) == "`a` string, `b` string"
+    (tmp_path / "d.csv").write_text("day\n2024-02-30\n")  # no such day
+    assert landed.infer_csv_schema(spark, str(tmp_path / "d.csv")) == "`day` string"
+
+
 def test_rates_panel(spark, tmp_path):
     root = tmp_path / "rates"
     obs = lambda rows: {"observations": [dict(zip(["date", "realtime_start", "value"], r)) for r in rows]}
