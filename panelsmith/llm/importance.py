@@ -1,19 +1,27 @@
 """Quality selection by importance resampling.
 
-Texts are bags of hashed n-grams (words, word pairs and word shapes). The
-target model is fitted on labelled good text. The raw model of all text is a
-mixture of the target and of one n-gram model per kind of unwanted labelled
-text; its weights are fitted by expectation maximisation over all documents.
-Every model is the raw text's distribution times a rate per bucket, (count +
-prior) / (count expected at the target's rate + prior), so that buckets
-without evidence on a class stay neutral; so do those whose rate is near 1. A document's weight is
-log p(target) - log p(raw); the sample without replacement is the Gumbel
-top-k of weight + temperature * noise, with noise from a keyed hash of the
-id, and k is the number of documents that the raw model gives to the target
-more likely than not.
+A text is the set of its hashed n-grams: words, word pairs, word shapes, and
+runs of 4, 8 and 16 equal words, whichever word it is. The target model is
+fitted on labelled good text, the raw model on all text. A document's weight
+is log p(target) - log p(raw), a sum of one log rate per distinct n-gram; the
+sample without replacement is the Gumbel top-k of weight + temperature *
+noise, with noise from a keyed hash of the id.
+
+Of a bucket that n documents hold, c of them in the target, the rate is (c +
+s) / (s (n + 1)), s the target's share of all counts. Most buckets differ from
+s by chance alone, and a long text sums thousands of them. So the log rate is
+weighed by the probability that the bucket's share is its own and not s: a
+beta-binomial of mean s that varies with CLUMPS (documents come in families)
+against one with a share near 0 or 1, at odds of SPECIAL to begin with.
+
+A target document would count as its own evidence. Its weight comes from a
+model without its fold of the target (folds by text, so that copies share
+one); all other documents' from the whole target. So the weights of labelled
+and other good documents are alike, and k is the number of documents whose
+weight is no less than that of the RECALL share of the labelled good ones.
 
 Counts have a fixed number of buckets; every document is counted. Rows pass
-between jobs as (bucket, kind, count) and (id, log-likelihoods).
+between jobs as blocks of buckets and (id, weight).
 """
 
 from __future__ import annotations
@@ -24,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,25 +41,22 @@ from panelsmith.session import cut_lineage
 
 #: Buckets of the hashed n-grams: a bound on the size of every model.
 N_BUCKETS = 1 << 20
-#: Pseudo-count of each bucket's rate.
-PRIOR = 2.0
-#: Log rates move towards 0 by this much: the mix of topics and languages in a
-#: class differs by less by chance, and says nothing about quality.
-NEUTRAL = 2.0
-#: Buckets that travel together.
-BLOCK = 1 << 16
+#: Odds that a bucket's share of target documents is its own, before counts.
+SPECIAL = 1e-3
+#: Documents whose chance variation the other buckets' shares have.
+CLUMPS = 30.0
+#: Share of the labelled good documents whose weights the sample's size covers.
+RECALL = 0.99
+#: Parts of the target, each scored without itself.
+FOLDS = 4
+#: Lengths of runs of equal words that are n-grams of their own.
+RUNS = (4, 8, 16)
+#: Buckets that travel together, and groups that a block's counts are first added up in.
+BLOCK, SALTS = 1 << 16, 64
 #: Bytes of text whose n-grams are held at once.
 CHUNK_BYTES = 1 << 19
 #: Labels (an id and a kind, 16 bytes) up to which they may be broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Kinds of labelled text: the target, then the unwanted ones.
-KINDS = ("target", "low", "toxic")
-#: A text may be unwanted in part: beside its whole model, what a kind has in
-#: excess of the target enters the mixture at these shares of target text.
-DILUTIONS = (1 / 8, 1 / 64, 1 / 512)
-#: Shares of words in excess of the target in raw text of no labelled kind.
-RAW_SHARES = (1 / 2, 1 / 8)
-EM_ROUNDS = 12
 
 
 def _shape_hashes(words: W.Words) -> np.ndarray:
@@ -69,103 +75,127 @@ def _shape_hashes(words: W.Words) -> np.ndarray:
 
 
 def features(words: W.Words, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of some texts, and the text of each."""
-    text = words.text_of_word()
+    """The distinct buckets of each of some texts, and their texts, in the
+    order of text and bucket."""
+    text, h = words.text_of_word(), words.hashes
     shapes = W.mix(_shape_hashes(words) + np.uint64(0x2545F4914F6CDD1D))
-    pairs = W.ngrams(words.hashes, 2)
     inside = text[1:] == text[:-1] if len(text) else np.zeros(0, dtype=bool)
     half = np.uint64(n_buckets // 2)  # pairs, mostly rare, do not dilute words
-    buckets = np.concatenate([words.hashes % half, shapes % half, pairs[inside] % half + half])
-    return buckets.astype(np.int64), np.concatenate([text, text, text[1:][inside]])
+    buckets = [h % half, shapes % half, W.ngrams(h, 2)[inside] % half + half]
+    texts = [text, text, text[1:][inside]]
+    equal = inside & (h[1:] == h[:-1])  # a word and the one before it
+    for length in RUNS:
+        ends = np.flatnonzero(np.convolve(equal, np.ones(length - 1, dtype=np.int64), "valid") == length - 1) if len(equal) >= length - 1 else []
+        texts.append(np.unique(text[ends]) if len(ends) else text[:0])
+        buckets.append(np.full(len(texts[-1]), W.mix(np.array([length], dtype=np.uint64))[0] % half, dtype=np.uint64))
+    keys = np.sort(np.concatenate(texts).astype(np.int64) * n_buckets + np.concatenate(buckets).astype(np.int64))
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    return keys % n_buckets, keys // n_buckets
 
 
-def _count(docs: DataFrame, n_buckets: int) -> np.ndarray:
-    """Counts per kind, and of all rows (the last row), over the rows (kind,
-    text). Tasks send blocks of buckets, compressed, which are added up per
-    block; as many sums as a model has buckets reach the driver."""
+def _pack(values: np.ndarray) -> bytes:
+    return len(values).to_bytes(8, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize * int.from_bytes(blob[:8], "little")
+    return np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True), dtype=kind)
+
+
+_BLOCKS = pa.schema([("kind", pa.int32()), ("at", pa.int32()), ("salt", pa.int32()), ("blob", pa.binary())])
+
+
+def _count(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """(kind, at, total, blob): documents per bucket from ``at`` on, of each
+    fold of the target (kind 0 to FOLDS - 1) and of all rows (FOLDS), over the
+    rows (kind, text). Tasks send compressed blocks, which are added up in
+    salted groups first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(KINDS) + 1, n_buckets), dtype=np.int64)
+        counts = np.zeros((FOLDS + 1, n_buckets), dtype=np.int32)
         for batch in batches:
             for part in W.chunks(batch, "text", CHUNK_BYTES):
                 bucket, text = features(W.split_words(part.column("text"), lower=False), n_buckets)
                 kind = part.column("kind").to_numpy(zero_copy_only=False)[text]
-                for k in range(len(KINDS)):
-                    totals[k] += np.bincount(bucket[kind == k], minlength=n_buckets)
-                totals[-1] += np.bincount(bucket, minlength=n_buckets)
-        size = min(BLOCK, n_buckets)
-        for k, row in enumerate(totals):
+                for k in range(FOLDS):
+                    np.add.at(counts[k], bucket[kind == k], 1)
+                np.add.at(counts[FOLDS], bucket, 1)
+        size, salt = min(BLOCK, n_buckets), TaskContext.get().partitionId() % SALTS
+        for k, row in enumerate(counts):
             for at in range(0, n_buckets, size):
                 if row[at : at + size].any():
-                    yield pa.RecordBatch.from_pylist([{"kind": k, "at": at, "blob": _packed(row[at : at + size])}], schema=_BLOCKS)
+                    block = {"kind": k, "at": at, "salt": salt, "blob": _pack(row[at : at + size].astype("i8"))}
+                    yield pa.RecordBatch.from_pylist([block], schema=_BLOCKS)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "at": pdf["at"].iloc[:1], "blob": [_packed(sum(map(_unpacked, pdf["blob"])))]})
-
-    schema = "kind int, at int, blob binary"
-    out = np.zeros((len(KINDS) + 1, n_buckets), dtype=np.int64)
-    for r in docs.mapInArrow(work, schema).groupBy("kind", "at").applyInPandas(add, schema).collect():
-        block = _unpacked(bytes(r["blob"]))
-        out[r["kind"], r["at"] : r["at"] + len(block)] = block
-    return out
-
-
-_BLOCKS = pa.schema([("kind", pa.int32()), ("at", pa.int32()), ("blob", pa.binary())])
-
-
-def _packed(counts: np.ndarray) -> bytes:
-    return len(counts).to_bytes(8, "little") + pa.compress(counts.astype("i8").tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob[8:], 8 * int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True), dtype="i8")
-
-
-def fit_models(labelled: DataFrame, n_buckets: int = N_BUCKETS, prior: float = PRIOR) -> np.ndarray:
-    """log p(bucket | component) - log p(bucket | target) per bucket, of the
-    target, of the excess of all text over the target at each of RAW_SHARES,
-    and of each unwanted kind whole and at each dilution, from rows (kind, text). At most (kinds + 1) * n_buckets counts are collected."""
-    counts = _count(labelled, n_buckets)
-    total = counts.sum(axis=1)
-    good = max(int(total[0]), 1)
+        counts = 0
+        for blob in pdf["blob"]:
+            counts = counts + _unpack(blob, "i8")
+        return pdf.iloc[:1][["kind", "at"]].assign(total=int(counts.sum()), blob=[_pack(counts)])
+
+    schema = "kind int, at int, total long, blob binary"
+    first = docs.mapInArrow(work, "kind int, at int, salt int, blob binary").groupBy("kind", "at", "salt").applyInPandas(add, schema)
+    return cut_lineage(first.groupBy("kind", "at").applyInPandas(add, schema), "importance-counts")
+
+
+def _log_gamma(z: np.ndarray) -> np.ndarray:
+    """log of the gamma function for z > 0, by Stirling's series at z + 8."""
+    shift = np.zeros(np.shape(z))
+    for i in range(8):
+        shift += np.log(z + i)
+    z = z + 8.0
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) - shift
+
+
+def _log_split(c: np.ndarray, n: np.ndarray, a: float, b: float) -> np.ndarray:
+    """log probability of one order of c of n under a beta-binomial of a, b."""
+    of = [_log_gamma(np.array([x]))[0] for x in (a + b, a, b)]
+    return _log_gamma(c + a) + _log_gamma(n - c + b) - _log_gamma(n + a + b) + of[0] - of[1] - of[2]
+
+
+def log_rates(c: np.ndarray, n: np.ndarray, share: float, special: float = SPECIAL) -> np.ndarray:
+    """log p(target) - log p(raw) of buckets in n documents, c of them in the
+    target, weighed by the evidence that their share is not ``share``."""
+    both, at = np.unique(np.stack([c, n]), axis=1, return_inverse=True)  # few of them differ
+    c, n = both.astype(np.float64)
+    odds = _log_split(c, n, share, 1 - share) - _log_split(c, n, CLUMPS * share, CLUMPS * (1 - share)) + math.log(special)
+    rate = np.log((c + share) / ((n + 1) * share))
+    return (rate / (1 + np.exp(np.minimum(-odds, 700))))[at.reshape(-1)]
+
+
+def fit_models(rows: DataFrame, n_buckets: int = N_BUCKETS, special: float = SPECIAL) -> np.ndarray | None:
+    """Log rates per bucket of the target without each of its folds, and of the
+    whole target (the last row), from rows (kind, text); None without a target.
+    They are computed block by block in tasks; (FOLDS + 1) * n_buckets numbers
+    of four bytes reach the driver, whatever the number of rows."""
+    counts = _count(rows, n_buckets)
+    totals = {r["kind"]: r["total"] for r in counts.groupBy("kind").agg(F.sum("total").alias("total")).collect()}
+    target, everything = [totals.get(k, 0) for k in range(FOLDS)], totals.get(FOLDS, 0)
+    if not sum(target):
+        return None
     size = min(BLOCK, n_buckets)
 
-    def blocks() -> Iterator[tuple]:
-        """Per block of buckets: raw text times the kinds' rates, what all text
-        and what each kind has in excess of the target, the target."""
-        for at in range(0, n_buckets, size):
-            c = counts[:, at : at + size].astype(np.float64)
-            rate = np.log((c[:-1] + prior) / (total[:-1, None] * c[0] / good + prior))
-            rate = np.sign(rate) * np.maximum(np.abs(rate) - NEUTRAL, 0)
-            raw = (c[-1] + 0.5) / (total[-1] + 0.5 * n_buckets)
-            # all text but the target's own, over the target
-            rest = c[-1] - c[0]
-            over = np.maximum(np.log((rest + prior) / ((total[-1] - total[0]) * c[0] / good + prior)) - NEUTRAL, 0)
-            excess = np.vstack([rest * -np.expm1(-over), *(c[k] * -np.expm1(-np.maximum(rate[k], 0)) for k in range(1, len(KINDS)))])
-            yield at, raw * np.exp(rate), excess, (c[0] + 0.5) / (total[0] + 0.5 * n_buckets)
-
-    models_sum, excess_sum = np.zeros((len(KINDS), 1)), np.zeros((len(KINDS), 1))
-    for _, models, excess, _ in blocks():
-        models_sum += models.sum(axis=1, keepdims=True)
-        excess_sum += excess.sum(axis=1, keepdims=True)
-    excess_sum = np.maximum(excess_sum, 1e-300)
-    out = np.zeros((1 + len(RAW_SHARES) + (len(KINDS) - 1) * (1 + len(DILUTIONS)), n_buckets), dtype=np.float32)
-    for at, models, excess, target in blocks():
-        models /= models_sum
-        excess = excess / excess_sum / target
-        parts = [np.log(1 - d + d * excess[0]) for d in RAW_SHARES]
-        for k in range(1, len(KINDS)):
-            parts += [np.log(models[k] / models[0]), *(np.log(1 - d + d * excess[k]) for d in DILUTIONS)]
-        out[1:, at : at + size] = parts
-    return out
-
-
-def log_ratios(docs: DataFrame, shared, id_type: str) -> DataFrame:
-    """(id, kind, n_words, r0, r1, ...) of the rows (id, kind, text): the log
-    ratio of each component's likelihood to the target's. ``shared`` is the
-    broadcast result of ``fit_models``."""
+    def rates(pdf: pd.DataFrame) -> pd.DataFrame:
+        blocks = {k: _unpack(b, "i8") for k, b in zip(pdf["kind"], pdf["blob"])}
+        folds = [blocks.get(k, np.zeros(size, dtype=np.int64)) for k in range(FOLDS)]
+        out = []
+        for left_out in range(FOLDS + 1):
+            c = sum((f for k, f in enumerate(folds) if k != left_out), np.zeros(size, dtype=np.int64))
+            share = (sum(target) - (target[left_out] if left_out < FOLDS else 0)) / everything
+            # a share of 0 or 1 tells nothing apart
+            out.append(log_rates(c, blocks[FOLDS], share, special) if 0 < share < 1 else np.zeros(size))
+        return pd.DataFrame({"at": [int(pdf["at"].iloc[0])], "blob": [_pack(np.concatenate(out).astype("f4"))]})
+
+    models = np.zeros((FOLDS + 1, n_buckets), dtype=np.float32)
+    for r in counts.groupBy("at").applyInPandas(rates, "at int, blob binary").collect():
+        models[:, r["at"] : r["at"] + size] = _unpack(bytes(r["blob"]), "f4").reshape(FOLDS + 1, size)
+    return models
+
+
+def log_weights(docs: DataFrame, shared, id_type: str) -> DataFrame:
+    """(id, text_key, kind, n_words, log_weight) of the rows (id, text_key,
+    kind, text). ``shared`` is the broadcast result of ``fit_models``."""
     n_buckets = shared.value.shape[1]
-    names = [f"r{k}" for k in range(len(shared.value))]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -173,56 +203,14 @@ def log_ratios(docs: DataFrame, shared, id_type: str) -> DataFrame:
             for part in W.chunks(batch, "text", CHUNK_BYTES):
                 split = W.split_words(part.column("text"), lower=False)
                 bucket, text = features(split, n_buckets)
-                sums = [np.bincount(text, weights=row[bucket], minlength=part.num_rows).astype(float) for row in table]
+                kind = part.column("kind").to_numpy(zero_copy_only=False)
+                weight = np.bincount(text, weights=table[kind[text], bucket], minlength=part.num_rows).astype(float)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("text_key"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), *map(pa.array, sums)],
-                    names=["id", "text_key", "kind", "n_words", *names],
+                    [part.column("id"), part.column("text_key"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), pa.array(weight)],
+                    names=["id", "text_key", "kind", "n_words", "log_weight"],
                 )
 
-    return docs.mapInArrow(work, f"id {id_type}, text_key long, kind int, n_words long, " + ", ".join(f"{n} double" for n in names))
-
-
-def _log_raw(pi: list[float]):
-    """log of raw likelihood over target likelihood, given the mixture."""
-    terms = [F.lit(math.log(max(p, 1e-12))) + F.col(f"r{k}") for k, p in enumerate(pi)]
-    top = F.greatest(*terms)
-    return top + F.log(sum((F.exp(t - top) for t in terms[1:]), F.exp(terms[0] - top)))
-
-
-def _shares(names: list[str], pi: list[float]):
-    """Sums over rows of each component's posterior probability, per task."""
-    logs = np.log(np.maximum(pi, 1e-12))[:, None]
-    fields = ["n", *(f"s{k}" for k in range(len(names)))]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(names) + 1)
-        for batch in batches:
-            joint = np.stack([batch.column(n).to_numpy() for n in names]) + logs
-            joint = np.exp(joint - joint.max(axis=0))
-            total[0] += batch.num_rows
-            total[1:] += (joint / joint.sum(axis=0)).sum(axis=1)
-        yield pa.record_batch([pa.array([x]) for x in total], names=fields)
-
-    return work, fields
-
-
-def _fit_mixture(scored: DataFrame, start: list[float]) -> list[float]:
-    """Mixture weights of all documents; each round adds up one row per task.
-    The weights travel to the tasks as values: as literals they would make the
-    driver compile a new plan every round."""
-    names = [f"r{k}" for k in range(len(start))]
-    rows, pi = scored.select(*names), start
-    for _ in range(EM_ROUNDS):
-        work, fields = _shares(names, pi)
-        sums = rows.mapInArrow(work, ", ".join(f"{c} double" for c in fields)).agg(*[F.sum(c) for c in fields]).first()
-        if not sums[0]:
-            break
-        new = [s / sums[0] for s in sums[1:]]
-        done = max(abs(a - b) for a, b in zip(new, pi)) < 1e-6
-        pi = new
-        if done:
-            break
-    return pi
+    return docs.mapInArrow(work, f"id {id_type}, text_key long, kind int, n_words long, log_weight double")
 
 
 def kth_largest(df: DataFrame, col: str, k: int) -> float | None:
@@ -258,8 +246,9 @@ def select_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     n_buckets: int = N_BUCKETS,
-    prior: float = PRIOR,
-    temperature: float = 0.25,
+    special: float = SPECIAL,
+    recall: float = RECALL,
+    temperature: float = 1.0,
     seed: int = 20,
     share: float | None = None,
 ) -> DataFrame:
@@ -268,42 +257,44 @@ def select_quality(
     and kept (boolean).
 
     ``labels`` (``id_col``, quality 0/1, toxic 0/1) marks good text (quality 1,
-    toxic 0) and unwanted text (quality 0, or else toxic 1). Labels with nulls
-    are not used; an id with several labels is unwanted if any says so. k is
-    ``share`` of the rows, or by default the number of documents more likely
-    than not to come from the target. Ties at the cut all stay, so repeated rows share their fate.
-    Null and empty texts have weight 0. Without good or without unwanted
-    labels all weights are 0 and every row is kept. Rows with a null id are
-    scored, with noise 0. Other columns are not read.
+    toxic 0), the target, and unwanted text (quality 0, or else toxic 1), which
+    is raw text like any other. Labels with nulls are not used; an id with
+    several labels is unwanted if any says so. k is ``share`` of the rows, or by
+    default the number of documents whose weight is no less than that of the
+    ``recall`` share of the labelled good ones. Ties at the cut all stay, so
+    repeated rows share their fate. Null and empty texts have weight 0; a very
+    long text is handled by itself. Where no row is labelled good, all weights
+    are 0 and every row is kept. Rows with a null id are scored, with noise 0.
+    Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    kind = F.when(F.col("quality") == 0, 1).when(F.col("toxic") == 1, 2).when((F.col("quality") == 1) & (F.col("toxic") == 0), 0)
-    marks = labels.select(F.col(id_col).alias("id"), kind.alias("kind")).where("id is not null and kind is not null")
-    marks = marks.groupBy("id").agg(F.min(F.when(F.col("kind") > 0, F.col("kind"))).alias("bad")).select("id", F.coalesce("bad", F.lit(0)).alias("kind"))
-    marks = cut_lineage(marks, "importance-labels")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 0)
+    marks = labels.select(F.col(id_col).alias("id"), bad.alias("bad")).where("id is not null and bad is not null")
+    marks = cut_lineage(marks.groupBy("id").agg(F.max("bad").alias("bad")), "importance-labels")
     marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks.hint("shuffle_hash")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
-    rows = rows.select("id", F.xxhash64("text").alias("text_key"), F.coalesce("kind", F.lit(-1)).alias("kind"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(fit_models(rows, n_buckets, prior))
-    scored = cut_lineage(log_ratios(rows, shared, id_type), "importance-scores")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(marks, "id", "left")
+    fold = F.when(F.col("bad") == 0, F.pmod("text_key", F.lit(FOLDS))).otherwise(FOLDS).cast("int")
+    rows = rows.select("id", "text_key", fold.alias("kind"), "text")
+    models = fit_models(rows, n_buckets, special)
+    if models is None:
+        models = np.zeros((FOLDS + 1, 2), dtype=np.float32)
+        recall = None
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+    scored = cut_lineage(log_weights(rows, shared, id_type), "importance-scores")
     shared.destroy()  # the scores are written; the driver keeps no model
 
-    known = {r["kind"]: r["n"] for r in scored.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 4 rows
-    start = [known.get(k, 0) for k in range(len(KINDS))]
-    if not start[0] or not sum(start[1:]):
-        weight, k = F.lit(0.0), None
-    else:
-        shares = [s / sum(start) for s in start]
-        pi = _fit_mixture(scored, [shares[0], *[0.02 for _ in RAW_SHARES], *[s / (1 + len(DILUTIONS)) for s in shares[1:] for _ in range(1 + len(DILUTIONS))]])
-        weight = -_log_raw(pi)
-        weight = F.when(F.col("n_words") > 0, weight).otherwise(0.0)
-        likely = scored.where(F.lit(pi[0]) * F.exp(weight) >= 0.5).count()
-        k = likely if share is None else round(share * sum(known.values()))
+    total, good = scored.agg(F.count(F.lit(1)), F.count(F.when(F.col("kind") < FOLDS, 1))).first()
+    k = total
+    if share is not None:
+        k = round(share * total)
+    elif recall is not None:
+        least = kth_largest(scored.where(F.col("kind") < FOLDS), "log_weight", math.ceil(recall * good))
+        k = scored.where(F.col("log_weight") >= F.lit(least)).count()
     uniform = (F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = F.when(F.col("id").isNull(), 0.0).otherwise(-F.log(-F.log(uniform)))
-    keyed = scored.select("id", "text_key", "n_words", weight.alias("log_weight")).withColumn("key", F.col("log_weight") + temperature * noise)
+    keyed = scored.select("id", "text_key", "n_words", "log_weight").withColumn("key", F.col("log_weight") + temperature * noise)
     cut = None
-    if k is not None and k < sum(known.values()):
+    if k < total:
         cut = kth_largest(keyed, "key", k) if k else math.inf
     kept = F.lit(True) if cut is None else F.col("key") >= F.lit(cut)
     return keyed.withColumn("kept", kept).withColumnRenamed("id", id_col)

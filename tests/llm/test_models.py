@@ -4,10 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from panelsmith.llm import importance, pitman_yor
+from panelsmith.llm import words as W
 from panelsmith.llm.queries import held_out
 from panelsmith.session import read_table
 
@@ -68,6 +70,45 @@ def test_quality_top_k_and_edges(spark, odd_docs, no_docs):
     assert importance.select_quality(no_docs, marks).count() == 0
 
 
+def test_quality_weights_by_brute_force(spark):
+    """Each weight from sets of hashed n-grams, counted and weighed one by one."""
+    docs, labels = quality_rows(n=120)
+    n_buckets, folds = 1 << 12, importance.FOLDS
+    frame = spark.createDataFrame(docs, "doc_id long, text string, kind string")
+    got = {r.doc_id: r for r in importance.select_quality(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), n_buckets=n_buckets).collect()}
+    sets = {}
+    for i, text, _ in docs:
+        bucket, _ = importance.features(W.split_words(pa.array([text], pa.large_string()), lower=False), n_buckets)
+        assert len(bucket) == len(set(bucket.tolist()))
+        sets[i] = set(bucket.tolist())
+    good = {i: got[i].text_key % folds for i, quality, toxic in labels if quality and not toxic}
+    n = collections.Counter(b for s in sets.values() for b in s)
+
+    def log_split(c, of, a, b):
+        return sum(math.log(a + j) for j in range(c)) + sum(math.log(b + j) for j in range(of - c)) - sum(math.log(a + b + j) for j in range(of))
+
+    for i in sets:
+        target = collections.Counter(b for j, f in good.items() if f != good.get(i) for b in sets[j])
+        s, want = target.total() / n.total(), 0.0
+        for b in sets[i]:
+            own, chance = log_split(target[b], n[b], s, 1 - s), log_split(target[b], n[b], importance.CLUMPS * s, importance.CLUMPS * (1 - s))
+            odds = importance.SPECIAL * math.exp(own - chance)
+            want += odds / (1 + odds) * math.log((target[b] + s) / ((n[b] + 1) * s))
+        assert got[i].log_weight == pytest.approx(want, rel=1e-4, abs=1e-4)
+    weights = sorted((got[i].log_weight for i in good), reverse=True)
+    k = sum(r.log_weight >= weights[math.ceil(importance.RECALL * len(weights)) - 1] for r in got.values())
+    assert {i for i, r in got.items() if r.kept} == set(sorted(got, key=lambda i: -got[i].key)[:k])
+
+
+def test_runs_of_equal_words_are_ngrams():
+    lengths = [3, 4, 15, 16, 1, 0]
+    texts = pa.array(["b " + " ".join(["a"] * n) + " b a" for n in lengths], pa.large_string())
+    bucket, text = importance.features(W.split_words(texts, lower=False), 1 << 20)
+    for k in importance.RUNS:
+        run = int(W.mix(np.array([k], dtype="u8"))[0] % np.uint64(1 << 19))
+        assert text[bucket == run].tolist() == [i for i, n in enumerate(lengths) if n >= k]
+
+
 @pytest.mark.parametrize("k", [1, 2, 50, 999, 1000, 1001])
 def test_kth_largest(spark, k):
     rng = random.Random(k)
