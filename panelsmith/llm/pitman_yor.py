@@ -21,11 +21,14 @@ ranges of the word's hash, seated there and sent back; sums of five numbers
 reach the driver. The number of buckets follows the number of tokens, that of
 restaurants the contexts in the text. Word triples of texts that are only
 scored are counted with no customer, so that their probabilities need no
-separate search. Triples travel as compressed blobs, a row per (chunk of
-documents, bucket), summed within a chunk. A frequent word makes its bucket
-large: a large bucket is counted in two steps and scored in several groups of
-chunks, each with a copy of the bucket's counts; the sampler's seed depends on
-the bucket alone, so the copies agree.
+separate search. Triples travel once, as compressed blobs, a row per (chunk of
+documents, bucket), summed within a chunk. They are stored by bucket, merged,
+and beside them a piece for each chunk says which of them its tokens are and
+in which documents they stand, so that scoring neither reads the texts again
+nor sends the words of a chunk a second time. A frequent word makes its bucket
+large: it is stored and scored in several groups of chunks, each with a copy of
+the bucket's counts; the sampler's seed depends on the bucket alone, so the
+copies agree.
 """
 
 from __future__ import annotations
@@ -48,8 +51,7 @@ EXACT = 32
 #: Tokens of a chunk of documents, and of a bucket on average.
 CHUNK_TOKENS = 1_500_000
 BUCKET_TOKENS = 1_000_000
-#: Chunks whose counts are merged in one group, and MB of blobs scored in one.
-MERGE_CHUNKS = 64
+#: Bytes of blobs merged and scored in one group of chunks.
 GROUP_BYTES = 48_000_000
 _END, _START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
@@ -78,9 +80,11 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 #: The words of a blob, and triples of their places: previous word, the one
-#: before, word; then training customers, or tokens and the tokens' documents.
+#: before, word; then training customers, tokens and the tokens' documents.
 COUNTS = ("u8", "u4", "u4", "u4", "u4")
-TOKENS = ("u8", "u4", "u4", "u4", "u4", "u4")
+TOKENS = (*COUNTS, "u4", "u4")
+#: Steps from one triple of a chunk to the next, tokens, the tokens' documents.
+PIECE = ("u4", "u4", "u4")
 
 
 def _is_first(*columns: np.ndarray) -> np.ndarray:
@@ -116,20 +120,28 @@ def pack_triples(words, v, x, w, *rest) -> bytes:
     return pack(words[used], *[place[c] for c in (v, x, w)], *[c.astype("u4") for c in rest])
 
 
-def merge_counts(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(words, v, x, w, n) of all blobs: sorted words, and triples of their
-    places, sorted, with the sums of their customers."""
-    parts = [unpack(b, *COUNTS) for b in blobs]
+def merge_triples(parts: list) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]]:
+    """(words, v, x, w, n) of all parts: sorted words, and triples of their
+    places, sorted, with the sums of their customers. Also the places of each
+    part's triples among them, which rise as the part's do."""
     if len(parts) == 1:
-        return parts[0][0], *[c.astype(np.int64) for c in parts[0][1:]]
+        return (parts[0][0], *[c.astype(np.int64) for c in parts[0][1:5]]), [np.arange(len(parts[0][1]))]
     words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     ends = np.cumsum([0, *[len(p[0]) for p in parts]]).tolist()
     v, x, w = (np.concatenate([at[a:b][p[k]] for p, a, b in zip(parts, ends, ends[1:])]) for k in (1, 2, 3))
     n = np.concatenate([p[4] for p in parts]).astype(np.int64)
     order = _triple_order(v, x, w, len(words))
     v, x, w, n = v[order], x[order], w[order], n[order]
-    first = np.flatnonzero(_is_first(v, x, w))
-    return words, v[first], x[first], w[first], np.add.reduceat(n, first)
+    is_first = _is_first(v, x, w)
+    first, place = np.flatnonzero(is_first), np.empty(len(v), dtype=np.int64)
+    place[order] = np.cumsum(is_first) - 1
+    merged = words, v[first], x[first], w[first], np.add.reduceat(n, first)
+    return merged, np.split(place, np.cumsum([len(p[1]) for p in parts])[:-1])
+
+
+def merge_counts(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(words, v, x, w, n) of all blobs, see ``merge_triples``."""
+    return merge_triples([unpack(b, *COUNTS) for b in blobs])[0]
 
 
 # ------------------------------------------------------------------ sampler
@@ -382,39 +394,72 @@ def _bucket_cuts(words: np.ndarray, bits: int) -> tuple[list[int], list[int], li
     return buckets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(words)]
 
 
-def _count_triples(docs: DataFrame, bits: int, salted: bool) -> DataFrame:
-    """(bucket, tokens, blob): one row per bucket."""
+_STORED = "bucket long, part long, tokens long, blob binary, chunks array<long>, pieces array<binary>"
+
+
+def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
+    """(bucket, part, tokens, blob, chunks, pieces): the merged triples of a
+    bucket, and by chunk where its tokens stand; one row, but several of some
+    chunks each where a bucket has many of the about ``n_tokens`` tokens.
+    Below 0, the documents of chunks without their texts, as pieces."""
 
     def work(batches):
         seq, task = 0, TaskContext.get().partitionId()
         for part, words, doc in _chunks(batches):
-            unique, v, x, w, doc = _triples(words, doc)
+            chunk = task * 1_000_003 + seq
+            seq += 1
+            header = part.append_column("n_tokens", pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64()))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, header.schema) as out:
+                out.write_batch(header)
+            n_words, (unique, v, x, w, doc) = len(words), _triples(words, doc)
             learn = ~part.column("held_out").to_numpy(zero_copy_only=False)[doc]
             first = np.flatnonzero(_is_first(v, x, w))
             n, tokens = np.add.reduceat(learn.astype(np.int64), first), np.diff([*first, len(v)])
             v, x, w = v[first], x[first], w[first]
             buckets, starts, ends = _bucket_cuts(unique[v], bits)
-            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b]) for a, b in zip(starts, ends)]
-            salt = [(task * 131 + seq) % MERGE_CHUNKS] * len(blobs)
-            seq += 1
+            at = [*first[starts].tolist(), len(doc)]
+            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d]) for a, b, c, d in zip(starts, ends, at, at[1:])]
+            # as many parts as the bucket needs if all chunks are like this one; a token takes about five bytes
+            scale = n_tokens / max(n_words, CHUNK_TOKENS // 16) * 1.25 * 5 / GROUP_BYTES
+            parts = [chunk % max(1, int(np.ceil((d - c) * scale))) for c, d in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets, pa.int64()), pa.array(salt, pa.int32()), pa.array(np.add.reduceat(tokens, starts), pa.int64()), pa.array(blobs, pa.binary())],
-                names=["bucket", "salt", "tokens", "blob"],
+                [
+                    pa.array([*buckets, -1 - chunk % 4096], pa.int64()),
+                    pa.array([*parts, 0], pa.int64()),
+                    pa.array([chunk] * (len(blobs) + 1), pa.int64()),
+                    pa.array([*np.diff(at).tolist(), 0], pa.int64()),
+                    pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
+                ],
+                names=["bucket", "part", "chunk", "tokens", "blob"],
             )
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(pdf["tokens"].sum())], "blob": [pack_triples(*merge_counts(list(pdf["blob"])))]})
+        pdf = pdf.sort_values("chunk")
+        blob, pieces = b"", list(pdf["blob"])
+        if pdf["bucket"].iloc[0] >= 0:
+            parts = [unpack(b, *TOKENS) for b in pieces]
+            merged, places = merge_triples(parts)
+            blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
+            pieces = [pack(np.diff(at, prepend=0).astype("u4"), p[5], p[6]) for at, p in zip(places, parts)]
+        one = {"bucket": [pdf["bucket"].iloc[0]], "part": [pdf["part"].iloc[0]], "tokens": [int(pdf["tokens"].sum())]}
+        return pd.DataFrame(one | {"blob": [blob], "chunks": [pdf["chunk"].tolist()], "pieces": [pieces]})
+
+    sent = docs.mapInArrow(work, "bucket long, part long, chunk long, tokens long, blob binary")
+    return cut_lineage(sent.groupBy("bucket", "part").applyInPandas(merge, _STORED), "hpy-triples")
+
 
-    counted = docs.mapInArrow(work, "bucket long, salt int, tokens long, blob binary")
-    if salted:
-        counted = counted.groupBy("bucket", "salt").applyInPandas(merge, "bucket long, tokens long, blob binary")
-    return counted.groupBy("bucket").applyInPandas(merge, "bucket long, tokens long, blob binary")
+def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The counts of a bucket that is stored in parts."""
+    merged = merge_counts(list(pdf.sort_values("part")["blob"]))
+    blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
+    return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(pdf["tokens"].sum())], "blob": [blob]})
 
 
 def _with_root(counts: DataFrame, downs: DataFrame) -> DataFrame:
     """Counts with what the root sent to the bucket, in the order of words."""
     sent = downs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
-    return counts.join(sent, "bucket").select("bucket", "tokens", "blob", F.col("down.blob").alias("down"))
+    return counts.join(sent, "bucket").select(*counts.columns, F.col("down.blob").alias("down"))
 
 
 def _root_of(state: Seating, down: list[bytes], m: Totals) -> tuple[np.ndarray, np.ndarray]:
@@ -512,81 +557,58 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1.0, volume / 6 / BUCKET_TOKENS)))))  # about six bytes a token
+    stored = _stored_triples(rows, bits, volume / 6)
+    _free(stored)
+    found = stored.where("bucket >= 0")
+    # buckets in parts, few
+    split = [r["bucket"] for r in found.groupBy("bucket").count().where("count > 1").collect()]
+    counts = found.select("bucket", "tokens", "blob")
+    in_parts = F.col("bucket").isin(split)
+    if split:
+        whole = cut_lineage(found.where(in_parts).groupBy("bucket").applyInPandas(_whole, "bucket long, tokens long, blob binary"), "hpy-whole")
+        counts = counts.where(~in_parts).unionByName(whole)
     # a partition per bucket: each is sampled as one task
-    salted = volume / 6 / CHUNK_TOKENS > MERGE_CHUNKS
-    counts = cut_lineage(_count_triples(rows, bits, salted), "hpy-counts")
-    _free(counts)
-    counts = counts.repartition(max(1, 1 << min(bits, 16)), "bucket")
+    dealt = max(1, 1 << min(bits, 16))
+    counts = counts.repartition(dealt, "bucket")
     downs, m, n_train = _round(counts, bits, None, seed)
     for r in range(ROUNDS - 1):
         downs, m, _ = _round(_with_root(counts, downs), bits, m, seed + r)
     _free(counts)
 
-    # groups of chunks that a bucket is scored in: one, unless a word is very
-    # frequent; a token takes about five bytes
-    wanted = F.greatest(F.ceil(F.col("tokens") * (1.25 * 5 / GROUP_BYTES)), F.lit(1))
-    many = {r["bucket"]: int(r["g"]) for r in counts.select("bucket", wanted.alias("g")).where("g > 1").collect()}
-
-    def tokens(batches):
-        seq, task = 0, TaskContext.get().partitionId()
-        for part, words, doc in _chunks(batches):
-            chunk = task * 1_000_003 + seq
-            seq += 1
-            sizes_of = np.bincount(doc, minlength=part.num_rows)
-            unique, v, x, w, doc = _triples(words, doc)
-            buckets, starts, ends = _bucket_cuts(unique[v], bits)
-            blobs = []
-            for a, b in zip(starts, ends):
-                first = a + np.flatnonzero(_is_first(v[a:b], x[a:b], w[a:b]))
-                runs = np.diff([*first, b])
-                blobs.append(pack_triples(unique, v[first], x[first], w[first], runs, doc[a:b]))
-            header = part.append_column("n_tokens", pa.array(sizes_of, pa.int64()))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, header.schema) as out:
-                out.write_batch(header)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*buckets, -1 - chunk % 4096], pa.int64()),
-                    pa.array([*(chunk % many.get(b, 1) for b in buckets), 0], pa.int32()),
-                    pa.array([chunk] * (len(blobs) + 1), pa.int64()),
-                    pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
-                ],
-                names=["bucket", "group", "chunk", "blob"],
-            )
-
-    sent = rows.mapInArrow(tokens, "bucket long, group int, chunk long, blob binary")
-    spread = _with_root(counts, downs).select("bucket", F.explode(F.sequence(F.lit(0), wanted.cast("int") - 1)).alias("group"), F.col("blob").alias("counts"), "down")
-
-    def score(pieces: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(pieces):
-            return pd.DataFrame({"chunk": pd.Series(dtype="int64"), "is_header": pd.Series(dtype=bool), "blob": pd.Series(dtype=object)})
-        bucket = int(pieces["bucket"].iloc[0])
-        if bucket < 0:
-            return pd.DataFrame({"chunk": pieces["chunk"], "is_header": True, "blob": pieces["blob"]})
-        state = Seating.of(*merge_counts([known["counts"].iloc[0]]))
-        root, raw = _root_of(state, list(known["down"].iloc[0]), m)
-        mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
-        scale, size = n_train + 0.5 * (m.vocabulary + 1), len(state.words)
-        out = []
-        for blob in pieces["blob"]:
-            unique, v, x, w, runs, doc = unpack(blob, *TOKENS)
-            place = np.searchsorted(state.words, unique)
-            v, x, w = place[v], place[x], place[w]
-            there = raw[w] > 0
-            base = np.repeat(np.log10((raw[w] + 0.5) / scale), runs)
-            p = np.repeat(np.log10(probabilities(state, mean, m, state.words[w], v * size + x, v)), runs)
-            docs_here, place = np.unique(doc, return_inverse=True)
-            out.append(
-                pack(
-                    docs_here.astype("u4"),
-                    np.bincount(place, weights=np.repeat(there, runs)).astype("u4"),
-                    np.bincount(place, weights=base),
-                    np.bincount(place, weights=p),
+    def score(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bucket, blob, own, down, chunks, pieces = (batch.column(c)[row].as_py() for c in ("bucket", "blob", "own", "down", "chunks", "pieces"))
+                words, v, x, w, n = merge_counts([blob])
+                state = Seating.of(words, v, x, w, n)
+                root, raw = _root_of(state, down, m)
+                mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
+                if own is not None:  # a part of the bucket's triples
+                    words, *places, _ = merge_counts([own])
+                    v, x, w = (np.searchsorted(state.words, words)[c] for c in places)
+                there = raw[w] > 0
+                base = np.log10((raw[w] + 0.5) / (n_train + 0.5 * (m.vocabulary + 1)))
+                p = np.log10(probabilities(state, mean, m, state.words[w], v * len(state.words) + x, v) if own is not None else mean[2])
+                out = []
+                for piece in pieces:
+                    steps, runs, doc = unpack(piece, *PIECE)
+                    at = np.repeat(np.cumsum(steps), runs)
+                    docs_here, place = np.unique(doc, return_inverse=True)
+                    sums = (np.bincount(place, weights=c[at]) for c in (there, base, p))
+                    out.append(pack(docs_here.astype("u4"), next(sums).astype("u4"), *sums))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chunks, pa.int64()), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "is_header", "blob"]
                 )
-            )
-        return pd.DataFrame({"chunk": pieces["chunk"].to_numpy(), "is_header": False, "blob": out})
 
-    scored = sent.groupBy("bucket", "group").cogroup(spread.groupBy("bucket", "group")).applyInPandas(score, "chunk long, is_header boolean, blob binary")
+    def scores_of(pieces: DataFrame) -> DataFrame:
+        return pieces.select("bucket", "blob", "own", "down", "chunks", "pieces").mapInArrow(score, "chunk long, is_header boolean, blob binary")
+
+    headers = stored.where("bucket < 0").select(F.inline(F.arrays_zip("chunks", "pieces"))).select(F.col("chunks").alias("chunk"), F.lit(True).alias("is_header"), F.col("pieces").alias("blob"))
+    no_own = F.lit(None).cast("binary").alias("own")
+    scored = headers.unionByName(scores_of(_with_root(found.where(~in_parts).repartition(dealt, "bucket").withColumn("own", no_own), downs)))
+    if split:
+        parts = found.where(in_parts).select("bucket", "part", F.col("blob").alias("own"), "chunks", "pieces").join(_with_root(whole, downs), "bucket")
+        scored = scored.unionByName(scores_of(parts.repartition(dealt, "bucket", "part")))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         header = pa.ipc.open_stream(pdf.loc[pdf["is_header"], "blob"].iloc[0]).read_all()
