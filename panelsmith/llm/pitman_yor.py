@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelsmith.llm import words as W
-from panelsmith.session import cut_lineage
+from panelsmith.session import cut_lineage, drop_table
 
 ROUNDS, SWEEPS, BURN_IN = 3, 5, 2
 EXACT = 32
@@ -79,10 +79,14 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+#: Words that blobs name by a number, and texts they are taken from.
+CODED, CODED_FROM = 1 << 17, 3_000_000
 #: The words of a blob, and triples of their places: previous word, the one
-#: before, word; then training customers, tokens and the tokens' documents.
+#: before, word; then training customers.
 COUNTS = ("u8", "u4", "u4", "u4", "u4")
-TOKENS = (*COUNTS, "u4", "u4")
+#: The same with the tokens and the tokens' documents, and as the first column
+#: steps between the numbers of words that have one.
+TOKENS = ("u4", *COUNTS, "u4", "u4")
 #: Steps from one triple of a chunk to the next, tokens, the tokens' documents.
 PIECE = ("u4", "u4", "u4")
 
@@ -112,12 +116,23 @@ def _triple_order(v, x, w, size: int) -> np.ndarray:
     return np.lexsort((w, x, v))
 
 
-def pack_triples(words, v, x, w, *rest) -> bytes:
-    """A blob with those of the sorted ``words`` that its triples need."""
+def pack_triples(words, v, x, w, *rest, coded: np.ndarray | None = None) -> bytes:
+    """A blob with those of the sorted ``words`` that its triples need; of the
+    sorted ``coded`` words, it has their numbers."""
     used = np.unique(np.concatenate([v, x, w]))
     place = np.zeros(len(words), dtype=np.uint32)
     place[used] = np.arange(len(used), dtype=np.uint32)
-    return pack(words[used], *[place[c] for c in (v, x, w)], *[c.astype("u4") for c in rest])
+    own, numbers = words[used], []
+    if coded is not None:
+        at, known = lookup(coded, own)
+        own, numbers = own[~known], [np.diff(at[known], prepend=0).astype("u4")]
+    return pack(*numbers, own, *[place[c] for c in (v, x, w)], *[c.astype("u4") for c in rest])
+
+
+def unpack_tokens(blob: bytes, coded: np.ndarray) -> list[np.ndarray]:
+    """The columns of a blob with ``coded`` words, COUNTS first."""
+    steps, own, *rest = unpack(blob, *TOKENS)
+    return [np.sort(np.concatenate([coded[np.cumsum(steps)], own])), *rest]
 
 
 def merge_triples(parts: list) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]]:
@@ -397,11 +412,29 @@ def _bucket_cuts(words: np.ndarray, bits: int) -> tuple[list[int], list[int], li
 _STORED = "bucket long, part long, tokens long, blob binary, chunks array<long>, pieces array<binary>"
 
 
+def _coded_words(docs: DataFrame, n_tokens: float) -> np.ndarray:
+    """Sorted frequent words, of a bounded sample of the texts. They shorten
+    blobs; no result depends on which words they are."""
+
+    def count(batches):
+        for _, words, _ in _chunks(batches):
+            found, n = np.unique(words, return_counts=True)
+            top = np.argsort(-n, kind="stable")[:CODED]
+            yield pa.RecordBatch.from_arrays([pa.array([pack(found[top], n[top].astype("u4"))], pa.binary())], names=["blob"])
+
+    some = docs.sample(min(1.0, CODED_FROM / max(n_tokens, 1.0)), 9).select("held_out", "text")
+    parts = [unpack(r["blob"], "u8", "u4") for r in some.mapInArrow(count, "blob binary").collect()]
+    words, at = np.unique(np.concatenate([np.array([_END, _START]), *[p[0] for p in parts]]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([np.ones(2), *[p[1] for p in parts]]))
+    return np.sort(words[np.argsort(-n, kind="stable")[:CODED]])
+
+
 def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
     """(bucket, part, tokens, blob, chunks, pieces): the merged triples of a
     bucket, and by chunk where its tokens stand; one row, but several of some
     chunks each where a bucket has many of the about ``n_tokens`` tokens.
     Below 0, the documents of chunks without their texts, as pieces."""
+    sent_words = docs.sparkSession.sparkContext.broadcast(_coded_words(docs, n_tokens))
 
     def work(batches):
         seq, task = 0, TaskContext.get().partitionId()
@@ -419,7 +452,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
             v, x, w = v[first], x[first], w[first]
             buckets, starts, ends = _bucket_cuts(unique[v], bits)
             at = [*first[starts].tolist(), len(doc)]
-            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d]) for a, b, c, d in zip(starts, ends, at, at[1:])]
+            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value) for a, b, c, d in zip(starts, ends, at, at[1:])]
             # as many parts as the bucket needs if all chunks are like this one; a token takes about five bytes
             scale = n_tokens / max(n_words, CHUNK_TOKENS // 16) * 1.25 * 5 / GROUP_BYTES
             parts = [chunk % max(1, int(np.ceil((d - c) * scale))) for c, d in zip(at, at[1:])]
@@ -438,7 +471,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
         pdf = pdf.sort_values("chunk")
         blob, pieces = b"", list(pdf["blob"])
         if pdf["bucket"].iloc[0] >= 0:
-            parts = [unpack(b, *TOKENS) for b in pieces]
+            parts = [unpack_tokens(b, sent_words.value) for b in pieces]
             merged, places = merge_triples(parts)
             blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
             pieces = [pack(np.diff(at, prepend=0).astype("u4"), p[5], p[6]) for at, p in zip(places, parts)]
@@ -538,6 +571,7 @@ def _round(known: DataFrame, bits: int, m: Totals | None, seed: int) -> tuple[Da
     one1, two1, one2, two2 = sums(ups, "one1", "two1", "one2", "two2")
     _free(ups)
     downs = _at_root(ups, m, seed)
+    drop_table(ups)
     n, t, one0, two0, vocabulary, tokens = sums(downs, "n", "t", "one0", "two0", "vocabulary", "tokens")
     return downs, Totals({(0, 0): (n, t)}, {0: (one0, two0), 1: (one1, two1), 2: (one2, two2)}, int(vocabulary)), int(tokens)
 
@@ -572,7 +606,9 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     counts = counts.repartition(dealt, "bucket")
     downs, m, n_train = _round(counts, bits, None, seed)
     for r in range(ROUNDS - 1):
-        downs, m, _ = _round(_with_root(counts, downs), bits, m, seed + r)
+        last = downs
+        downs, m, _ = _round(_with_root(counts, last), bits, m, seed + r)
+        drop_table(last)
     _free(counts)
 
     def score(batches):

@@ -206,3 +206,30 @@ def test_every_context_has_its_restaurant():
     contexts = np.full(len(everything), state.contexts[7])
     p = pitman_yor.probabilities(state, state.predict(m), m, everything, contexts)
     assert abs(p.sum() - 1) < 1e-9 and p[np.searchsorted(everything[:-1], state.words[state.pairs[seen] % len(state.words)])].sum() > 0.3
+
+
+def test_triples_are_stored_once(spark, monkeypatch):
+    """op9: words with numbers come back in order, merged triples keep the
+    place of each chunk's own, and the texts are read once to be scored."""
+    draw = np.random.default_rng(5)
+    words = np.append(draw.integers(0, 1 << 62, 300, dtype=np.uint64)[draw.integers(0, 300, 2000)], pitman_yor._END)
+    unique, v, x, w, doc = pitman_yor._triples(words, np.zeros(len(words), dtype=np.int64))
+    first = np.flatnonzero(pitman_yor._is_first(v, x, w))
+    runs = np.diff([*first, len(v)])
+    plain = pitman_yor.pack_triples(unique, v[first], x[first], w[first], runs, runs, doc)
+    coded = np.sort(np.append(draw.permutation(unique)[:200], np.uint64(12)))
+    blob = pitman_yor.pack_triples(unique, v[first], x[first], w[first], runs, runs, doc, coded=coded)
+    got = pitman_yor.unpack_tokens(blob, coded)
+    assert len(blob) < len(plain) and all(np.array_equal(a, b) for a, b in zip(got, pitman_yor.unpack(plain, *pitman_yor.COUNTS, "u4", "u4")))
+    part = [c[: len(c) // 2] for c in got[1:5]]
+    merged, places = pitman_yor.merge_triples([[got[0], *part], got])
+    for (_, *own), at in zip(([got[0], *part], got), places):
+        assert all(np.array_equal(m[at], o) for m, o in zip(merged[1:4], own[:3]))
+
+    read = []
+    chunks = pitman_yor._stored_triples
+    monkeypatch.setattr(pitman_yor, "_stored_triples", lambda *a: read.append(chunks(*a)) or read[-1])
+    docs = spark.range(0, 40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a b"), F.col("id") % 7, F.lit("c")).alias("text"))
+    scored = pitman_yor.score_texts(docs, F.col("doc_id") % 4 == 1)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert len(read) == 1 and "Range (" not in plan and scored.count() == 40
