@@ -49,7 +49,7 @@ from panelsmith.session import cut_lineage, drop_table
 ROUNDS, SWEEPS, BURN_IN = 3, 5, 2
 EXACT = 32
 #: Tokens of a chunk of documents, and of a bucket on average.
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
 #: Bytes of blobs merged and scored in one group of chunks.
 GROUP_BYTES = 48_000_000
@@ -371,8 +371,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             parts.append((part.drop_columns(["text"]), *tokens))
             held += len(tokens[0])
             if held >= CHUNK_TOKENS:
-                yield _joined(parts)
-                parts, held = [], 0
+                chunk, parts, held = _joined(parts), [], 0
+                yield chunk
+                del chunk  # before the next one is read
     if parts:
         yield _joined(parts)
 
@@ -436,36 +437,39 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
     Below 0, the documents of chunks without their texts, as pieces."""
     sent_words = docs.sparkSession.sparkContext.broadcast(_coded_words(docs, n_tokens))
 
+    def packed(chunk: int, part: pa.RecordBatch, words: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+        header = part.append_column("n_tokens", pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64()))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, header.schema) as out:
+            out.write_batch(header)
+        n_words, (unique, v, x, w, doc) = len(words), _triples(words, doc)
+        learn = ~part.column("held_out").to_numpy(zero_copy_only=False)[doc]
+        first = np.flatnonzero(_is_first(v, x, w))
+        n, tokens = np.add.reduceat(learn.astype(np.int64), first), np.diff([*first, len(v)])
+        v, x, w = v[first], x[first], w[first]
+        buckets, starts, ends = _bucket_cuts(unique[v], bits)
+        at = [*first[starts].tolist(), len(doc)]
+        blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value) for a, b, c, d in zip(starts, ends, at, at[1:])]
+        # as many parts as the bucket needs if all chunks are like this one; a token takes about five bytes
+        scale = n_tokens / max(n_words, CHUNK_TOKENS // 16) * 1.25 * 5 / GROUP_BYTES
+        parts = [chunk % max(1, int(np.ceil((d - c) * scale))) for c, d in zip(at, at[1:])]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([*buckets, -1 - chunk % 4096], pa.int64()),
+                pa.array([*parts, 0], pa.int64()),
+                pa.array([chunk] * (len(blobs) + 1), pa.int64()),
+                pa.array([*np.diff(at).tolist(), 0], pa.int64()),
+                pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
+            ],
+            names=["bucket", "part", "chunk", "tokens", "blob"],
+        )
+
     def work(batches):
         seq, task = 0, TaskContext.get().partitionId()
-        for part, words, doc in _chunks(batches):
-            chunk = task * 1_000_003 + seq
+        for tokens in _chunks(batches):
+            yield packed(task * 1_000_003 + seq, *tokens)
+            del tokens
             seq += 1
-            header = part.append_column("n_tokens", pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64()))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, header.schema) as out:
-                out.write_batch(header)
-            n_words, (unique, v, x, w, doc) = len(words), _triples(words, doc)
-            learn = ~part.column("held_out").to_numpy(zero_copy_only=False)[doc]
-            first = np.flatnonzero(_is_first(v, x, w))
-            n, tokens = np.add.reduceat(learn.astype(np.int64), first), np.diff([*first, len(v)])
-            v, x, w = v[first], x[first], w[first]
-            buckets, starts, ends = _bucket_cuts(unique[v], bits)
-            at = [*first[starts].tolist(), len(doc)]
-            blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value) for a, b, c, d in zip(starts, ends, at, at[1:])]
-            # as many parts as the bucket needs if all chunks are like this one; a token takes about five bytes
-            scale = n_tokens / max(n_words, CHUNK_TOKENS // 16) * 1.25 * 5 / GROUP_BYTES
-            parts = [chunk % max(1, int(np.ceil((d - c) * scale))) for c, d in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([*buckets, -1 - chunk % 4096], pa.int64()),
-                    pa.array([*parts, 0], pa.int64()),
-                    pa.array([chunk] * (len(blobs) + 1), pa.int64()),
-                    pa.array([*np.diff(at).tolist(), 0], pa.int64()),
-                    pa.array([*blobs, sink.getvalue().to_pybytes()], pa.binary()),
-                ],
-                names=["bucket", "part", "chunk", "tokens", "blob"],
-            )
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
@@ -596,15 +600,16 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     found = stored.where("bucket >= 0")
     # buckets in parts, few
     split = [r["bucket"] for r in found.groupBy("bucket").count().where("count > 1").collect()]
+    _free(stored)  # once more, now that the listeners have let go of the plan
     counts = found.select("bucket", "tokens", "blob")
     in_parts = F.col("bucket").isin(split)
     if split:
         whole = cut_lineage(found.where(in_parts).groupBy("bucket").applyInPandas(_whole, "bucket long, tokens long, blob binary"), "hpy-whole")
         counts = counts.where(~in_parts).unionByName(whole)
+    downs, m, n_train = _round(counts, bits, None, seed)
     # a partition per bucket: each is sampled as one task
     dealt = max(1, 1 << min(bits, 16))
     counts = counts.repartition(dealt, "bucket")
-    downs, m, n_train = _round(counts, bits, None, seed)
     for r in range(ROUNDS - 1):
         last = downs
         downs, m, _ = _round(_with_root(counts, last), bits, m, seed + r)
