@@ -516,23 +516,26 @@ def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFra
     """A round of each bucket (without ``m`` the first seating): the customers
     and training tokens of each word for the root, a row per range of words."""
 
+    def round_of(bucket: int, blob: bytes, down: list | None) -> pa.RecordBatch:
+        state = Seating.of(*merge_counts([blob]))
+        if m is not None:
+            sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False, _root_of(state, down, m)[0])
+        targets = np.unique(state.word)
+        words, n, raw = state.words[targets], state.wn[targets], state.raw[targets]
+        parts, starts, ends = _bucket_cuts(words, bits)
+        blobs = [pack(words[a:b], n[a:b].astype("u8"), raw[a:b].astype("u8")) for a, b in zip(starts, ends)]
+        sizes = [float(x) for row in state.totals()[2:] for x in row[2:]]
+        rest = [[x] + [0.0] * (len(parts) - 1) for x in sizes]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket] * len(parts), pa.int64()), pa.array(parts, pa.int64()), pa.array(blobs, pa.binary()), *[pa.array(r, pa.float64()) for r in rest]],
+            names=["bucket", "part", "blob", "one1", "two1", "one2", "two2"],
+        )
+
     def work(batches):
         for batch in batches:
-            downs = batch.column("down") if m is not None else [None] * batch.num_rows
-            for bucket, blob, down in zip(batch.column("bucket").to_pylist(), batch.column("blob"), downs):
-                state = Seating.of(*merge_counts([blob.as_py()]))
-                if m is not None:
-                    sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False, _root_of(state, down.as_py(), m)[0])
-                targets = np.unique(state.word)
-                words, n, raw = state.words[targets], state.wn[targets], state.raw[targets]
-                parts, starts, ends = _bucket_cuts(words, bits)
-                blobs = [pack(words[a:b], n[a:b].astype("u8"), raw[a:b].astype("u8")) for a, b in zip(starts, ends)]
-                sizes = [float(x) for row in state.totals()[2:] for x in row[2:]]
-                rest = [[x] + [0.0] * (len(parts) - 1) for x in sizes]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket] * len(parts), pa.int64()), pa.array(parts, pa.int64()), pa.array(blobs, pa.binary()), *[pa.array(r, pa.float64()) for r in rest]],
-                    names=["bucket", "part", "blob", "one1", "two1", "one2", "two2"],
-                )
+            for row in range(batch.num_rows):  # a bucket's arrays go before the next one's come
+                down = batch.column("down")[row].as_py() if m is not None else None
+                yield round_of(batch.column("bucket")[row].as_py(), batch.column("blob")[row].as_py(), down)
 
     return cut_lineage(known.mapInArrow(work, _UP), "hpy-up")
 
@@ -616,30 +619,30 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
         drop_table(last)
     _free(counts)
 
+    def score_row(bucket: int, blob: bytes, own: bytes | None, down: list, chunks: list, pieces: list) -> pa.RecordBatch:
+        words, v, x, w, n = merge_counts([blob])
+        state = Seating.of(words, v, x, w, n)
+        root, raw = _root_of(state, down, m)
+        mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
+        if own is not None:  # a part of the bucket's triples
+            words, *places, _ = merge_counts([own])
+            v, x, w = (np.searchsorted(state.words, words)[c] for c in places)
+        there = raw[w] > 0
+        base = np.log10((raw[w] + 0.5) / (n_train + 0.5 * (m.vocabulary + 1)))
+        p = np.log10(probabilities(state, mean, m, state.words[w], v * len(state.words) + x, v) if own is not None else mean[2])
+        out = []
+        for piece in pieces:
+            steps, runs, doc = unpack(piece, *PIECE)
+            at = np.repeat(np.cumsum(steps), runs)
+            docs_here, place = np.unique(doc, return_inverse=True)
+            sums = (np.bincount(place, weights=c[at]) for c in (there, base, p))
+            out.append(pack(docs_here.astype("u4"), next(sums).astype("u4"), *sums))
+        return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "is_header", "blob"])
+
     def score(batches):
         for batch in batches:
-            for row in range(batch.num_rows):
-                bucket, blob, own, down, chunks, pieces = (batch.column(c)[row].as_py() for c in ("bucket", "blob", "own", "down", "chunks", "pieces"))
-                words, v, x, w, n = merge_counts([blob])
-                state = Seating.of(words, v, x, w, n)
-                root, raw = _root_of(state, down, m)
-                mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
-                if own is not None:  # a part of the bucket's triples
-                    words, *places, _ = merge_counts([own])
-                    v, x, w = (np.searchsorted(state.words, words)[c] for c in places)
-                there = raw[w] > 0
-                base = np.log10((raw[w] + 0.5) / (n_train + 0.5 * (m.vocabulary + 1)))
-                p = np.log10(probabilities(state, mean, m, state.words[w], v * len(state.words) + x, v) if own is not None else mean[2])
-                out = []
-                for piece in pieces:
-                    steps, runs, doc = unpack(piece, *PIECE)
-                    at = np.repeat(np.cumsum(steps), runs)
-                    docs_here, place = np.unique(doc, return_inverse=True)
-                    sums = (np.bincount(place, weights=c[at]) for c in (there, base, p))
-                    out.append(pack(docs_here.astype("u4"), next(sums).astype("u4"), *sums))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunks, pa.int64()), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "is_header", "blob"]
-                )
+            for row in range(batch.num_rows):  # a bucket's arrays go before the next one's come
+                yield score_row(*(batch.column(c)[row].as_py() for c in ("bucket", "blob", "own", "down", "chunks", "pieces")))
 
     def scores_of(pieces: DataFrame) -> DataFrame:
         return pieces.select("bucket", "blob", "own", "down", "chunks", "pieces").mapInArrow(score, "chunk long, is_header boolean, blob binary")
