@@ -126,6 +126,8 @@ def _count(docs: DataFrame, n_buckets: int) -> DataFrame:
                 if row[at : at + size].any():
                     block = {"kind": k, "at": at, "salt": salt, "blob": _pack(row[at : at + size].astype("i8"))}
                     yield pa.RecordBatch.from_pylist([block], schema=_BLOCKS)
+        del counts, row
+        W.release_memory()
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         counts = 0
@@ -209,6 +211,7 @@ def log_weights(docs: DataFrame, shared, id_type: str) -> DataFrame:
                     [part.column("id"), part.column("text_key"), part.column("kind"), pa.array(np.diff(split.first), pa.int64()), pa.array(weight)],
                     names=["id", "text_key", "kind", "n_words", "log_weight"],
                 )
+        W.release_memory()
 
     return docs.mapInArrow(work, f"id {id_type}, text_key long, kind int, n_words long, log_weight double")
 

@@ -90,6 +90,8 @@ def _sets(docs: DataFrame, n: int, keep, schema: str) -> DataFrame:
                     [*rest, pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), _lists(cut)],
                     names=[*names, "node", "n", "elements"],
                 )
+                ids = cut = None
+        W.release_memory()
 
     return docs.mapInArrow(work, schema)
 

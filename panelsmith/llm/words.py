@@ -8,6 +8,7 @@ hashes on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,12 +17,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled by itself.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GRAM = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _TABLES: dict = {}
 
 
+def release_memory() -> None:
+    """Hand free memory back to the system: a Python worker outlives its task,
+    beside tasks and stages that need the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's only
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = x ^ (x >> np.uint64(30))

@@ -1,4 +1,5 @@
 import collections
+import ctypes
 import math
 import random
 import zlib
@@ -233,3 +234,34 @@ def test_triples_are_stored_once(spark, monkeypatch):
     scored = pitman_yor.score_texts(docs, F.col("doc_id") % 4 == 1)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert len(read) == 1 and "Range (" not in plan and scored.count() == 40
+
+
+def _held_mb() -> float:
+    pages = [line for line in open("/proc/self/status") if line.startswith("RssAnon")]
+    return int(pages[0].split()[1]) / 1024
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs glibc")
+def test_free_memory_goes_back_to_the_system():
+    """pipeline, op9: what a task has freed does not stay with its worker."""
+    before, parts = _held_mb(), [np.ones(8000) for _ in range(4000)]  # too small to be mapped each
+    pinned = np.ones(8000)  # keeps the end of the heap
+    assert _held_mb() > before + 200
+    parts.clear()
+    W.release_memory()
+    assert _held_mb() < before + 100 and pinned.all()
+
+
+def test_texts_are_split_in_small_chunks():
+    batch = pa.RecordBatch.from_pydict({"text": ["a b " * 50_000] * 6})
+    got = [p.num_rows for p in W.chunks(batch, "text")]
+    assert got == [2, 2, 2]
+
+
+def test_seats_of_single_customers_take_no_draw():
+    """op9: only words with several customers in a restaurant are sampled."""
+    n = np.array([1, 5, 0, 2, 40, 1], dtype=np.uint32)
+    weight = np.array([0.0, 0.5, 0.0, 0.5, 0.5, 0.0])  # its log would warn
+    with np.errstate(divide="raise"):
+        t = pitman_yor.seat(n, weight, 0.5, pitman_yor.log_stirling(0.5), np.random.default_rng(1))
+    assert t.dtype == np.uint32 and t[[0, 2, 5]].tolist() == [1, 0, 1] and (t <= n).all() and (t[[1, 3, 4]] > 0).all()
