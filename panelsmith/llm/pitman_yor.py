@@ -67,7 +67,8 @@ def pack(*arrays: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
+def unpack(blob: bytes | pa.Buffer, *kinds: str) -> list[np.ndarray]:
+    blob = memoryview(blob)
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
     sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds) + 1)[1:]
     out, at = [], 8 * (len(kinds) + 1)
@@ -140,17 +141,18 @@ def merge_triples(parts: list) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]
     places, sorted, with the sums of their customers. Also the places of each
     part's triples among them, which rise as the part's do."""
     if len(parts) == 1:
-        return (parts[0][0], *[c.astype(np.int64) for c in parts[0][1:5]]), [np.arange(len(parts[0][1]))]
+        return tuple(parts[0][:5]), [np.arange(len(parts[0][1]))]
     words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    at = at.astype(np.uint32)
     ends = np.cumsum([0, *[len(p[0]) for p in parts]]).tolist()
     v, x, w = (np.concatenate([at[a:b][p[k]] for p, a, b in zip(parts, ends, ends[1:])]) for k in (1, 2, 3))
-    n = np.concatenate([p[4] for p in parts]).astype(np.int64)
     order = _triple_order(v, x, w, len(words))
-    v, x, w, n = v[order], x[order], w[order], n[order]
+    v, x, w = v[order], x[order], w[order]
     is_first = _is_first(v, x, w)
-    first, place = np.flatnonzero(is_first), np.empty(len(v), dtype=np.int64)
+    first, place = np.flatnonzero(is_first), np.empty(len(v), dtype=np.uint32)
     place[order] = np.cumsum(is_first) - 1
-    merged = words, v[first], x[first], w[first], np.add.reduceat(n, first)
+    n = np.concatenate([p[4] for p in parts])[order]
+    merged = words, v[first], x[first], w[first], np.add.reduceat(n, first, dtype=np.int64)
     return merged, np.split(place, np.cumsum([len(p[1]) for p in parts])[:-1])
 
 
@@ -178,13 +180,14 @@ def seat(customers: np.ndarray, weight: np.ndarray, d: float, stirling: np.ndarr
     ``weight`` = (strength + discount * tables) * parent probability of a new
     table, the restaurant's totals held."""
     tables = np.minimum(customers, 1)
-    first = np.minimum(customers, EXACT)
-    log_w = np.log(weight)
+    several = np.flatnonzero(customers > 1)
+    first = np.minimum(customers[several], EXACT).astype(np.uint8)
+    several, ends = several[np.argsort(first, kind="stable")], np.cumsum(np.bincount(first, minlength=EXACT + 1))
     for c in range(2, EXACT + 1):
-        at = np.flatnonzero(first == c)
+        at = several[ends[c - 1] : ends[c]]
         if len(at):
             t = np.arange(1, c + 1)
-            p = stirling[c, 1 : c + 1] + t * log_w[at, None]
+            p = stirling[c, 1 : c + 1] + t * np.log(weight[at])[:, None]
             p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
             tables[at] = 1 + (p < rng.random(len(at))[:, None] * p[:, -1:]).sum(axis=1)
     at, seated = np.flatnonzero(customers > EXACT), EXACT
@@ -234,17 +237,19 @@ class Seating:
         """From ``merge_counts``: contexts are (v, x), parents v."""
         self = cls.__new__(cls)
         is_context, is_parent = _is_first(v, x), _is_first(v)
-        self.contexts, self.parents = (v * len(words) + x)[is_context], v[is_parent]
+        self.contexts, self.parents = v[is_context].astype(np.int64) * len(words) + x[is_context], v[is_parent].astype(np.int64)
         self._build(words, np.cumsum(is_parent) - 1, np.cumsum(is_context) - 1, w, n)
         return self
 
     def _build(self, words, p, c, w, n):
-        self.words, self.n, self.context = words, n.astype(np.int64), c
+        # arrays by triple and group have four bytes a number, as in the blobs
+        self.words, self.n, self.context = words, n.astype(np.uint32), c.astype(np.uint32)
         self.parent_of_context = np.zeros(len(self.contexts), dtype=np.int64)
         self.parent_of_context[c] = p
-        self.pairs = c * len(words) + w
-        self.groups, self.group_of = np.unique(p * len(words) + w, return_inverse=True)
-        self.parent, self.word = self.groups // max(len(words), 1), self.groups % max(len(words), 1)
+        groups, group_of = np.unique(p * len(words) + w, return_inverse=True)
+        self.parent, self.word = (k.astype(np.uint32) for k in np.divmod(groups, max(len(words), 1)))
+        self.group_of, c = group_of.astype(np.uint32), self.context
+        del groups, group_of, p
         self.raw = self._sum(w, self.n, len(words))
         self.context_n = self._sum(c, self.n, len(self.contexts))
         # only these have a choice of tables
@@ -252,12 +257,22 @@ class Seating:
         self.open_context, self.open_group = c[self.open], self.group_of[self.open]
         self.t = np.minimum(self.n, 1)
         self.closed_context_t = self._sum(c, self.n == 1, len(self.contexts))
-        self.closed_group_n = self._sum(self.group_of, self.n == 1, len(self.groups))
+        self.closed_group_n = self._sum(self.group_of, self.n == 1, len(self.word)).astype(np.uint32)
         self._up()
         self.gt = np.minimum(self.gn, 1)
         self.wn = self._sum(self.word, self.gt, len(words))
         self.wt = np.minimum(self.wn, 1)
 
+    @property
+    def groups(self) -> np.ndarray:
+        """Parent and word of each group as one number."""
+        return self.parent.astype(np.int64) * len(self.words) + self.word
+
+    @property
+    def pairs(self) -> np.ndarray:
+        """Context and word of each pair as one number."""
+        return self.context.astype(np.int64) * len(self.words) + self.word[self.group_of]
+
     @staticmethod
     def _sum(where, weights, size) -> np.ndarray:
         return np.bincount(where, weights=weights, minlength=size).astype(np.int64)
@@ -265,7 +280,7 @@ class Seating:
     def _up(self):
         t = self.t[self.open]
         self.context_t = self.closed_context_t + self._sum(self.open_context, t, len(self.contexts))
-        self.gn = self.closed_group_n + self._sum(self.open_group, t, len(self.groups))
+        self.gn = self.closed_group_n + self._sum(self.open_group, t, len(self.word)).astype(np.uint32)
 
     def _group(self, m: Totals, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weight of a new table, and probability, of each group's word."""
@@ -282,7 +297,10 @@ class Seating:
         given where the root is seated elsewhere."""
         root = m.root(self.wn, self.wt) if root is None else root
         _, group = self._group(m, root)
-        pair = (self.n - m.d[2] * self.t + self._fresh(m)[self.context] * group[self.group_of]) / (self.context_n + m.strength[2])[self.context]
+        pair = group[self.group_of]
+        pair *= self._fresh(m)[self.context]
+        pair += self.n - m.d[2] * self.t
+        pair /= (self.context_n + m.strength[2])[self.context]
         return root, group, pair
 
     def sweep(self, m: Totals, stirling: list[np.ndarray], rng, root: np.ndarray | None = None) -> None:
@@ -312,8 +330,12 @@ def sample(state: Seating, m: Totals, seed: int, average: bool, root: np.ndarray
         state.sweep(m, stirling, rng, root)
         if average and s >= BURN_IN:
             now = state.predict(m, root)
-            mean = now if mean is None else [a + b for a, b in zip(mean, now)]
-    return [x / (SWEEPS - BURN_IN) for x in mean] if average else None
+            mean = [np.zeros(len(x)) for x in now] if mean is None else mean
+            for total, x in zip(mean, now):
+                total += x
+    for total in mean or ():
+        total /= SWEEPS - BURN_IN
+    return mean
 
 
 def lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,7 +350,7 @@ def probabilities(state: Seating, mean, m: Totals, words: np.ndarray, contexts:
     """Averaged predictive probability of words (unique per call or not) in
     contexts, backing off to the parents' where nothing was seen."""
     root, group, pair = mean
-    if not len(state.pairs):
+    if not len(state.n):
         return np.full(len(words), m.new_word() / (m.n + m.strength[0]))
     size = len(state.words)
     w, known = lookup(state.words, words)
@@ -470,6 +492,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
             yield packed(task * 1_000_003 + seq, *tokens)
             del tokens
             seq += 1
+        W.release_memory()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
@@ -479,6 +502,8 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
             merged, places = merge_triples(parts)
             blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
             pieces = [pack(np.diff(at, prepend=0).astype("u4"), p[5], p[6]) for at, p in zip(places, parts)]
+            del parts, merged, places
+        W.release_memory()
         one = {"bucket": [pdf["bucket"].iloc[0]], "part": [pdf["part"].iloc[0]], "tokens": [int(pdf["tokens"].sum())]}
         return pd.DataFrame(one | {"blob": [blob], "chunks": [pdf["chunk"].tolist()], "pieces": [pieces]})
 
@@ -508,6 +533,11 @@ def _root_of(state: Seating, down: list[bytes], m: Totals) -> tuple[np.ndarray,
     return root, tokens
 
 
+def _buffers(batch: pa.RecordBatch, column: str, row: int) -> list[pa.Buffer]:
+    """The blobs of a list, where they lie in the batch."""
+    return [b.as_buffer() for b in batch.column(column)[row].values]
+
+
 _UP = "bucket long, part long, blob binary, one1 double, two1 double, one2 double, two2 double"
 _DOWN = "bucket long, part long, blob binary, n double, t double, one0 double, two0 double, vocabulary double, tokens double"
 
@@ -534,8 +564,9 @@ def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFra
     def work(batches):
         for batch in batches:
             for row in range(batch.num_rows):  # a bucket's arrays go before the next one's come
-                down = batch.column("down")[row].as_py() if m is not None else None
-                yield round_of(batch.column("bucket")[row].as_py(), batch.column("blob")[row].as_py(), down)
+                down = _buffers(batch, "down", row) if m is not None else None
+                yield round_of(batch.column("bucket")[row].as_py(), batch.column("blob")[row].as_buffer(), down)
+        W.release_memory()
 
     return cut_lineage(known.mapInArrow(work, _UP), "hpy-up")
 
@@ -642,7 +673,9 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     def score(batches):
         for batch in batches:
             for row in range(batch.num_rows):  # a bucket's arrays go before the next one's come
-                yield score_row(*(batch.column(c)[row].as_py() for c in ("bucket", "blob", "own", "down", "chunks", "pieces")))
+                bucket, chunks = (batch.column(c)[row].as_py() for c in ("bucket", "chunks"))
+                yield score_row(bucket, *(batch.column(c)[row].as_buffer() for c in ("blob", "own")), _buffers(batch, "down", row), chunks, _buffers(batch, "pieces", row))
+        W.release_memory()
 
     def scores_of(pieces: DataFrame) -> DataFrame:
         return pieces.select("bucket", "blob", "own", "down", "chunks", "pieces").mapInArrow(score, "chunk long, is_header boolean, blob binary")
