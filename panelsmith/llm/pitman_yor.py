@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,16 +45,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelsmith.llm import words as W
-from panelsmith.session import cut_lineage, drop_table
+from panelsmith.session import bucketed_table, cut_lineage, drop_table
 
 ROUNDS, SWEEPS, BURN_IN = 3, 5, 2
 EXACT = 32
 #: Tokens of a chunk of documents, and of a bucket on average.
 CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
+#: A root's range of words is as wide as 2**ROOT_BITS buckets, and so many
+#: buckets are read by one task on average if there are many more.
+ROOT_BITS, SLOT_BITS = 4, 2
 #: Bytes of blobs merged and scored in one group of chunks.
 GROUP_BYTES = 48_000_000
-_END, _START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
+_ZERO, _END, _START = np.uint64(0), np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
 
 # ------------------------------------------------------------------- blobs
@@ -61,22 +65,30 @@ _END, _START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one blob; their numbers' first bytes, second bytes and so on
-    stand together, which compresses better."""
-    head = np.array([len(arrays), *[len(a) for a in arrays]], dtype=np.int64).tobytes()
-    raw = head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
+    stand together, which compresses better, up to the largest number's last."""
+    widths = [_width(a) for a in arrays]
+    head = np.array([len(arrays), *[len(a) for a in arrays], *widths], dtype=np.int64).tobytes()
+    raw = head + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize)[:, :k].T.tobytes() for a, k in zip(arrays, widths))
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
+def _width(a: np.ndarray) -> int:
+    """Bytes that the numbers of an array need."""
+    if a.dtype.kind != "u" or not len(a):
+        return a.dtype.itemsize
+    return max(1, (int(a.max()).bit_length() + 7) // 8)
+
+
 def unpack(blob: bytes | pa.Buffer, *kinds: str) -> list[np.ndarray]:
     blob = memoryview(blob)
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds) + 1)[1:]
-    out, at = [], 8 * (len(kinds) + 1)
-    for kind, n in zip(kinds, sizes.tolist()):
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, dtype=np.uint8, count=n * width, offset=at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
-        at += n * width
+    head = np.frombuffer(raw, dtype=np.int64, count=2 * len(kinds) + 1)[1:].tolist()
+    out, at = [], 8 * (2 * len(kinds) + 1)
+    for kind, n, k in zip(kinds, head, head[len(kinds) :]):
+        whole = np.zeros((n, np.dtype(kind).itemsize), dtype=np.uint8)
+        whole[:, :k] = np.frombuffer(raw, dtype=np.uint8, count=n * k, offset=at).reshape(k, n).T
+        out.append(whole.reshape(-1).view(kind))
+        at += n * k
     return out
 
 
@@ -85,9 +97,12 @@ CODED, CODED_FROM = 1 << 17, 3_000_000
 #: The words of a blob, and triples of their places: previous word, the one
 #: before, word; then training customers.
 COUNTS = ("u8", "u4", "u4", "u4", "u4")
-#: The same with the tokens and the tokens' documents, and as the first column
-#: steps between the numbers of words that have one.
-TOKENS = ("u4", *COUNTS, "u4", "u4")
+#: The same in steps: between the numbers of words that have one, between the
+#: other words, from one triple's previous word to the next one's, and between
+#: the words before of one previous word.
+CODED_COUNTS = ("u4", *COUNTS)
+#: With the tokens and the tokens' documents.
+TOKENS = (*CODED_COUNTS, "u4", "u4")
 #: Steps from one triple of a chunk to the next, tokens, the tokens' documents.
 PIECE = ("u4", "u4", "u4")
 
@@ -111,29 +126,39 @@ def _sum_pairs(words, contexts, n):
 
 
 def _triple_order(v, x, w, size: int) -> np.ndarray:
-    """Order of triples of numbers below ``size``."""
+    """Order of triples of numbers below ``size``, that of equal ones any."""
     if size <= 1 << 21:
-        return np.argsort((v.astype(np.int64) << 42) | (x.astype(np.int64) << 21) | w.astype(np.int64), kind="stable")
+        return np.argsort((v.astype(np.int64) << 42) | (x.astype(np.int64) << 21) | w.astype(np.int64))
     return np.lexsort((w, x, v))
 
 
-def pack_triples(words, v, x, w, *rest, coded: np.ndarray | None = None) -> bytes:
-    """A blob with those of the sorted ``words`` that its triples need; of the
-    sorted ``coded`` words, it has their numbers."""
-    used = np.unique(np.concatenate([v, x, w]))
-    place = np.zeros(len(words), dtype=np.uint32)
+def pack_triples(words, v, x, w, *rest, coded: np.ndarray | None = None, numbers=None) -> bytes:
+    """A blob with those of the sorted ``words`` that its triples need. With
+    sorted ``coded`` words it has their numbers (``numbers``: ``words`` looked
+    up among them, if that is done) and steps, see CODED_COUNTS."""
+    used = np.zeros(len(words), dtype=bool)
+    for column in (v, x, w):
+        used[column] = True
+    used = np.flatnonzero(used)
+    place = np.empty(len(words), dtype=np.uint32)
     place[used] = np.arange(len(used), dtype=np.uint32)
-    own, numbers = words[used], []
-    if coded is not None:
-        at, known = lookup(coded, own)
-        own, numbers = own[~known], [np.diff(at[known], prepend=0).astype("u4")]
-    return pack(*numbers, own, *[place[c] for c in (v, x, w)], *[c.astype("u4") for c in rest])
+    own, v, x, w = words[used], *[place[c] for c in (v, x, w)]
+    rest = [c.astype("u4") for c in rest]
+    if coded is None:
+        return pack(own, v, x, w, *rest)
+    at, known = (c[used] for c in (lookup(coded, words) if numbers is None else numbers))
+    x_steps = np.where(_is_first(v), x, np.diff(x, prepend=x[:1]))
+    return pack(np.diff(at[known], prepend=0).astype("u4"), np.diff(own[~known], prepend=_ZERO), np.diff(v, prepend=v.dtype.type(0)), x_steps, w, *rest)
 
 
-def unpack_tokens(blob: bytes, coded: np.ndarray) -> list[np.ndarray]:
+def unpack_tokens(blob: bytes | pa.Buffer, coded: np.ndarray, kinds: tuple = TOKENS) -> list[np.ndarray]:
     """The columns of a blob with ``coded`` words, COUNTS first."""
-    steps, own, *rest = unpack(blob, *TOKENS)
-    return [np.sort(np.concatenate([coded[np.cumsum(steps)], own])), *rest]
+    numbers, own, v, x, *rest = unpack(blob, *kinds)
+    v, x = np.cumsum(v, dtype="u4"), np.cumsum(x, dtype="u4")  # modulo 2**32
+    first = np.flatnonzero(_is_first(v))
+    before = np.append(x.dtype.type(0), x)[first]
+    x -= np.repeat(before, np.diff(first, append=len(v)))
+    return [np.sort(np.concatenate([coded[np.cumsum(numbers)], np.cumsum(own, dtype="u8")])), v, x, *rest]
 
 
 def merge_triples(parts: list) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]]:
@@ -156,9 +181,9 @@ def merge_triples(parts: list) -> tuple[tuple[np.ndarray, ...], list[np.ndarray]
     return merged, np.split(place, np.cumsum([len(p[1]) for p in parts])[:-1])
 
 
-def merge_counts(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+def merge_counts(blobs: list, coded: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(words, v, x, w, n) of all blobs, see ``merge_triples``."""
-    return merge_triples([unpack(b, *COUNTS) for b in blobs])[0]
+    return merge_triples([unpack(b, *COUNTS) if coded is None else unpack_tokens(b, coded, CODED_COUNTS) for b in blobs])[0]
 
 
 # ------------------------------------------------------------------ sampler
@@ -186,10 +211,10 @@ def seat(customers: np.ndarray, weight: np.ndarray, d: float, stirling: np.ndarr
     for c in range(2, EXACT + 1):
         at = several[ends[c - 1] : ends[c]]
         if len(at):
-            t = np.arange(1, c + 1)
-            p = stirling[c, 1 : c + 1] + t * np.log(weight[at])[:, None]
-            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
-            tables[at] = 1 + (p < rng.random(len(at))[:, None] * p[:, -1:]).sum(axis=1)
+            t = np.arange(1, c + 1)[:, None]
+            p = stirling[c, 1 : c + 1, None] + t * np.log(weight[at])
+            p = np.cumsum(np.exp(p - p.max(axis=0)), axis=0)
+            tables[at] = 1 + (p < rng.random(len(at)) * p[-1]).sum(axis=0)
     at, seated = np.flatnonzero(customers > EXACT), EXACT
     while len(at):
         block = np.minimum(max(1, seated // 8), customers[at] - seated)
@@ -250,13 +275,15 @@ class Seating:
         self.parent, self.word = (k.astype(np.uint32) for k in np.divmod(groups, max(len(words), 1)))
         self.group_of, c = group_of.astype(np.uint32), self.context
         del groups, group_of, p
+        self.first_of_parent = np.flatnonzero(_is_first(self.parent))
         self.raw = self._sum(w, self.n, len(words))
-        self.context_n = self._sum(c, self.n, len(self.contexts))
+        first = np.flatnonzero(_is_first(c))
+        self.context_n = np.add.reduceat(self.n, first, dtype=np.int64)
         # only these have a choice of tables
         self.open = np.flatnonzero(self.n > 1)
         self.open_context, self.open_group = c[self.open], self.group_of[self.open]
         self.t = np.minimum(self.n, 1)
-        self.closed_context_t = self._sum(c, self.n == 1, len(self.contexts))
+        self.closed_context_t = np.add.reduceat(self.n == 1, first, dtype=np.int64)
         self.closed_group_n = self._sum(self.group_of, self.n == 1, len(self.word)).astype(np.uint32)
         self._up()
         self.gt = np.minimum(self.gn, 1)
@@ -282,39 +309,48 @@ class Seating:
         self.context_t = self.closed_context_t + self._sum(self.open_context, t, len(self.contexts))
         self.gn = self.closed_group_n + self._sum(self.open_group, t, len(self.word)).astype(np.uint32)
 
-    def _group(self, m: Totals, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight of a new table, and probability, of each group's word."""
-        parent_n = self._sum(self.parent, self.gn, len(self.parents))
-        parent_t = self._sum(self.parent, self.gt, len(self.parents))
-        new = (m.strength[1] + m.d[1] * parent_t)[self.parent] * root[self.word]
+    def _of_parents(self) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of each parent's restaurant."""
+        n, t = (np.add.reduceat(k, self.first_of_parent, dtype=np.int64) for k in (self.gn, self.gt))
+        return n, t
+
+    def _group(self, m: Totals, at_root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of a new table, and probability, of each group's word, whose
+        probability at the root is given."""
+        parent_n, parent_t = self._of_parents()
+        new = (m.strength[1] + m.d[1] * parent_t)[self.parent] * at_root
         return new, (self.gn - m.d[1] * self.gt + new) / (parent_n + m.strength[1])[self.parent]
 
     def _fresh(self, m: Totals) -> np.ndarray:
         return m.strength[2] + m.d[2] * self.context_t
 
-    def predict(self, m: Totals, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def predict(self, m: Totals, root: np.ndarray | None = None, at_root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of each word at the root, group and pair; ``root`` is
-        given where the root is seated elsewhere."""
+        given where the root is seated elsewhere, ``at_root`` the same by group."""
         root = m.root(self.wn, self.wt) if root is None else root
-        _, group = self._group(m, root)
+        _, group = self._group(m, root[self.word] if at_root is None else at_root)
         pair = group[self.group_of]
         pair *= self._fresh(m)[self.context]
         pair += self.n - m.d[2] * self.t
         pair /= (self.context_n + m.strength[2])[self.context]
         return root, group, pair
 
-    def sweep(self, m: Totals, stirling: list[np.ndarray], rng, root: np.ndarray | None = None) -> None:
-        seated = root is None
-        root = m.root(self.wn, self.wt) if seated else root
-        new, group = self._group(m, root)
+    def sweep(self, m: Totals, stirling: list[np.ndarray], rng, at_root: np.ndarray | None = None) -> None:
+        """Seat all again, the root, too, if its probabilities are not given by
+        group."""
+        seated = at_root is None
+        new, group = self._group(m, m.root(self.wn, self.wt)[self.word] if seated else at_root)
         weight = self._fresh(m)[self.open_context] * group[self.open_group]
         self.t[self.open] = seat(self.n[self.open], weight, m.d[2], stirling[2], rng)
         self._up()
         self.gt = seat(self.gn, new, m.d[1], stirling[1], rng)
-        self.wn = self._sum(self.word, self.gt, len(self.words))
         if seated:
+            self.up_to_root()
             self.wt = seat(self.wn, np.full(len(self.words), m.new_word()), m.d[0], stirling[0], rng)
 
+    def up_to_root(self) -> None:
+        self.wn = self._sum(self.word, self.gt, len(self.words))
+
     def totals(self) -> list[tuple[int, int, float, float]]:
         """(0, 0, customers and tables of the root); level -1-k holds how many
         words level k has seen once and twice."""
@@ -325,16 +361,17 @@ class Seating:
 def sample(state: Seating, m: Totals, seed: int, average: bool, root: np.ndarray):
     """Run one round; the averaged predictive probabilities if asked for."""
     rng, stirling = np.random.default_rng(seed), [log_stirling(d) for d in m.d]
-    mean = None
+    mean, at_root = None, root[state.word]
     for s in range(SWEEPS):
-        state.sweep(m, stirling, rng, root)
+        state.sweep(m, stirling, rng, at_root)
         if average and s >= BURN_IN:
-            now = state.predict(m, root)
+            now = state.predict(m, root, at_root)
             mean = [np.zeros(len(x)) for x in now] if mean is None else mean
             for total, x in zip(mean, now):
                 total += x
     for total in mean or ():
         total /= SWEEPS - BURN_IN
+    state.up_to_root()
     return mean
 
 
@@ -363,7 +400,7 @@ def probabilities(state: Seating, mean, m: Totals, words: np.ndarray, contexts:
     u, is_parent = np.where(is_context, state.parent_of_context[c], u), is_context | is_parent
     p = np.where(known, root[w], m.new_word() / (m.n + m.strength[0]))
     g, in_group = lookup(state.groups, u * size + w)
-    parent_n, parent_t = (state._sum(state.parent, k, len(state.parents)) for k in (state.gn, state.gt))
+    parent_n, parent_t = state._of_parents()
     fresh = (m.strength[1] + m.d[1] * parent_t) / (parent_n + m.strength[1])
     p = np.where(in_group & known & is_parent, group[g], np.where(is_parent, fresh[u], 1.0) * p)
     fresh = state._fresh(m) / (state.context_n + m.strength[2])
@@ -452,12 +489,12 @@ def _coded_words(docs: DataFrame, n_tokens: float) -> np.ndarray:
     return np.sort(words[np.argsort(-n, kind="stable")[:CODED]])
 
 
-def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
+def _stored_triples(docs: DataFrame, bits: int, n_tokens: float, sent_words) -> DataFrame:
     """(bucket, part, tokens, blob, chunks, pieces): the merged triples of a
     bucket, and by chunk where its tokens stand; one row, but several of some
     chunks each where a bucket has many of the about ``n_tokens`` tokens.
-    Below 0, the documents of chunks without their texts, as pieces."""
-    sent_words = docs.sparkSession.sparkContext.broadcast(_coded_words(docs, n_tokens))
+    Below 0, the documents of chunks without their texts, as pieces. The
+    broadcast words are named by numbers."""
 
     def packed(chunk: int, part: pa.RecordBatch, words: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
         header = part.append_column("n_tokens", pa.array(np.bincount(doc, minlength=part.num_rows), pa.int64()))
@@ -467,11 +504,12 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
         n_words, (unique, v, x, w, doc) = len(words), _triples(words, doc)
         learn = ~part.column("held_out").to_numpy(zero_copy_only=False)[doc]
         first = np.flatnonzero(_is_first(v, x, w))
-        n, tokens = np.add.reduceat(learn.astype(np.int64), first), np.diff([*first, len(v)])
+        n, tokens = np.add.reduceat(learn, first, dtype=np.int64), np.diff(first, append=len(v))
         v, x, w = v[first], x[first], w[first]
         buckets, starts, ends = _bucket_cuts(unique[v], bits)
         at = [*first[starts].tolist(), len(doc)]
-        blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value) for a, b, c, d in zip(starts, ends, at, at[1:])]
+        numbers = lookup(sent_words.value, unique)
+        blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value, numbers=numbers) for a, b, c, d in zip(starts, ends, at, at[1:])]
         # as many parts as the bucket needs if all chunks are like this one; a token takes about five bytes
         scale = n_tokens / max(n_words, CHUNK_TOKENS // 16) * 1.25 * 5 / GROUP_BYTES
         parts = [chunk % max(1, int(np.ceil((d - c) * scale))) for c, d in zip(at, at[1:])]
@@ -500,7 +538,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
         if pdf["bucket"].iloc[0] >= 0:
             parts = [unpack_tokens(b, sent_words.value) for b in pieces]
             merged, places = merge_triples(parts)
-            blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
+            blob = pack_triples(*merged, coded=sent_words.value)
             pieces = [pack(np.diff(at, prepend=0).astype("u4"), p[5], p[6]) for at, p in zip(places, parts)]
             del parts, merged, places
         W.release_memory()
@@ -508,19 +546,28 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float) -> DataFrame:
         return pd.DataFrame(one | {"blob": [blob], "chunks": [pdf["chunk"].tolist()], "pieces": [pieces]})
 
     sent = docs.mapInArrow(work, "bucket long, part long, chunk long, tokens long, blob binary")
-    return cut_lineage(sent.groupBy("bucket", "part").applyInPandas(merge, _STORED), "hpy-triples")
+    return bucketed_table(sent.groupBy("bucket", "part").applyInPandas(merge, _STORED), "hpy_triples", "bucket", _slots(bits))
+
 
+def _whole(parts: DataFrame, sent_words) -> DataFrame:
+    """The counts of buckets that are stored in parts."""
 
-def _whole(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The counts of a bucket that is stored in parts."""
-    merged = merge_counts(list(pdf.sort_values("part")["blob"]))
-    blob = pack(merged[0], *[c.astype("u4") for c in merged[1:]])
-    return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(pdf["tokens"].sum())], "blob": [blob]})
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        blob = pack_triples(*merge_counts(list(pdf.sort_values("part")["blob"]), sent_words.value), coded=sent_words.value)
+        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "tokens": [int(pdf["tokens"].sum())], "blob": [blob]})
+
+    return cut_lineage(parts.groupBy("bucket").applyInPandas(work, "bucket long, tokens long, blob binary"), "hpy-whole")
+
+
+def _slots(bits: int) -> int:
+    """Tasks that read the stored buckets, each with its own."""
+    return 1 << min(max(0, bits - SLOT_BITS), 16)
 
 
-def _with_root(counts: DataFrame, downs: DataFrame) -> DataFrame:
-    """Counts with what the root sent to the bucket, in the order of words."""
-    sent = downs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
+def _with_root(counts: DataFrame, downs: DataFrame, bits: int) -> DataFrame:
+    """Counts with what the root sent to the bucket, in the order of words.
+    Stored counts stay where they are, the root's are dealt to them."""
+    sent = downs.repartition(_slots(bits), "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
     return counts.join(sent, "bucket").select(*counts.columns, F.col("down.blob").alias("down"))
 
 
@@ -542,17 +589,17 @@ _UP = "bucket long, part long, blob binary, one1 double, two1 double, one2 doubl
 _DOWN = "bucket long, part long, blob binary, n double, t double, one0 double, two0 double, vocabulary double, tokens double"
 
 
-def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFrame:
+def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words) -> DataFrame:
     """A round of each bucket (without ``m`` the first seating): the customers
     and training tokens of each word for the root, a row per range of words."""
 
     def round_of(bucket: int, blob: bytes, down: list | None) -> pa.RecordBatch:
-        state = Seating.of(*merge_counts([blob]))
+        state = Seating.of(*merge_counts([blob], sent_words.value))
         if m is not None:
             sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False, _root_of(state, down, m)[0])
         targets = np.unique(state.word)
         words, n, raw = state.words[targets], state.wn[targets], state.raw[targets]
-        parts, starts, ends = _bucket_cuts(words, bits)
+        parts, starts, ends = _bucket_cuts(words, max(0, bits - ROOT_BITS))
         blobs = [pack(words[a:b], n[a:b].astype("u8"), raw[a:b].astype("u8")) for a, b in zip(starts, ends)]
         sizes = [float(x) for row in state.totals()[2:] for x in row[2:]]
         rest = [[x] + [0.0] * (len(parts) - 1) for x in sizes]
@@ -571,18 +618,24 @@ def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFra
     return cut_lineage(known.mapInArrow(work, _UP), "hpy-up")
 
 
-def _at_root(ups: DataFrame, m: Totals | None, seed: int) -> DataFrame:
+def _at_root(ups: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFrame:
     """Customers, tables and training tokens of words, for each bucket."""
 
+    def seated(words: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Tables of words, drawn by ranges as narrow as a bucket's."""
+        t, stirling = np.empty_like(n), log_stirling(m.d[0])
+        for part, a, b in zip(*_bucket_cuts(words, bits)):
+            rng = np.random.default_rng(hash((seed, part, -1)) & 0xFFFFFFFF)
+            t[a:b] = seat(n[a:b], np.full(b - a, m.new_word()), m.d[0], stirling, rng)
+        return t
+
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bucket")
         part = int(pdf["part"].iloc[0])
         got = [unpack(b, "u8", "u8", "u8") for b in pdf["blob"]]
         words, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
         n, raw = (Seating._sum(at, np.concatenate([g[k] for g in got]), len(words)) for k in (1, 2))
-        t = np.minimum(n, 1)
-        if m is not None:
-            t = seat(n, np.full(len(n), m.new_word()), m.d[0], log_stirling(m.d[0]), np.random.default_rng(hash((seed, part, -1)) & 0xFFFFFFFF))
+        t = np.minimum(n, 1) if m is None else seated(words, n)
         ends = np.cumsum([0, *[len(g[0]) for g in got]]).tolist()
         out = pd.DataFrame({"bucket": pdf["bucket"].to_numpy(), "part": part})
         out["blob"] = [pack(*[c[at[a:b]].astype("u8") for c in (n, t, raw)]) for a, b in zip(ends, ends[1:])]
@@ -598,17 +651,17 @@ def _free(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def _round(known: DataFrame, bits: int, m: Totals | None, seed: int) -> tuple[DataFrame, Totals, int]:
+def _round(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words) -> tuple[DataFrame, Totals, int]:
     """What the root sends after a round over all buckets, the totals (sums of
     ten numbers) and the number of training tokens."""
 
     def sums(df: DataFrame, *names: str) -> list[float]:
         return [x or 0.0 for x in df.agg(*[F.sum(c) for c in names]).first()]
 
-    ups = _upward(known, bits, m, seed)
+    ups = _upward(known, bits, m, seed, sent_words)
     one1, two1, one2, two2 = sums(ups, "one1", "two1", "one2", "two2")
     _free(ups)
-    downs = _at_root(ups, m, seed)
+    downs = _at_root(ups, bits, m, seed)
     drop_table(ups)
     n, t, one0, two0, vocabulary, tokens = sums(downs, "n", "t", "one0", "two0", "vocabulary", "tokens")
     return downs, Totals({(0, 0): (n, t)}, {0: (one0, two0), 1: (one1, two1), 2: (one2, two2)}, int(vocabulary)), int(tokens)
@@ -629,45 +682,42 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1.0, volume / 6 / BUCKET_TOKENS)))))  # about six bytes a token
-    stored = _stored_triples(rows, bits, volume / 6)
+    sent_words = docs.sparkSession.sparkContext.broadcast(_coded_words(rows, volume / 6))
+    stored = _stored_triples(rows, bits, volume / 6, sent_words)
     _free(stored)
     found = stored.where("bucket >= 0")
-    # buckets in parts, few
+    # buckets in parts, few; the others are read where they lie in each round
     split = [r["bucket"] for r in found.groupBy("bucket").count().where("count > 1").collect()]
     _free(stored)  # once more, now that the listeners have let go of the plan
-    counts = found.select("bucket", "tokens", "blob")
     in_parts = F.col("bucket").isin(split)
+    counts = [found.where(~in_parts).select("bucket", "tokens", "blob")]
     if split:
-        whole = cut_lineage(found.where(in_parts).groupBy("bucket").applyInPandas(_whole, "bucket long, tokens long, blob binary"), "hpy-whole")
-        counts = counts.where(~in_parts).unionByName(whole)
-    downs, m, n_train = _round(counts, bits, None, seed)
-    # a partition per bucket: each is sampled as one task
-    dealt = max(1, 1 << min(bits, 16))
-    counts = counts.repartition(dealt, "bucket")
+        whole = _whole(found.where(in_parts), sent_words)
+        counts.append(whole)
+    downs, m, n_train = _round(reduce(DataFrame.unionByName, counts), bits, None, seed, sent_words)
     for r in range(ROUNDS - 1):
         last = downs
-        downs, m, _ = _round(_with_root(counts, last), bits, m, seed + r)
+        downs, m, _ = _round(reduce(DataFrame.unionByName, [_with_root(c, last, bits) for c in counts]), bits, m, seed + r, sent_words)
         drop_table(last)
-    _free(counts)
+    _free(stored)
 
     def score_row(bucket: int, blob: bytes, own: bytes | None, down: list, chunks: list, pieces: list) -> pa.RecordBatch:
-        words, v, x, w, n = merge_counts([blob])
+        words, v, x, w, n = merge_counts([blob], sent_words.value)
         state = Seating.of(words, v, x, w, n)
         root, raw = _root_of(state, down, m)
         mean = sample(state, m, hash((seed + ROUNDS, bucket)) & 0xFFFFFFFF, True, root)
         if own is not None:  # a part of the bucket's triples
-            words, *places, _ = merge_counts([own])
+            words, *places, _ = merge_counts([own], sent_words.value)
             v, x, w = (np.searchsorted(state.words, words)[c] for c in places)
-        there = raw[w] > 0
-        base = np.log10((raw[w] + 0.5) / (n_train + 0.5 * (m.vocabulary + 1)))
+        there, base = (raw > 0)[w], np.log10((raw + 0.5) / (n_train + 0.5 * (m.vocabulary + 1)))[w]
         p = np.log10(probabilities(state, mean, m, state.words[w], v * len(state.words) + x, v) if own is not None else mean[2])
         out = []
         for piece in pieces:
             steps, runs, doc = unpack(piece, *PIECE)
             at = np.repeat(np.cumsum(steps), runs)
-            docs_here, place = np.unique(doc, return_inverse=True)
-            sums = (np.bincount(place, weights=c[at]) for c in (there, base, p))
-            out.append(pack(docs_here.astype("u4"), next(sums).astype("u4"), *sums))
+            docs_here = np.flatnonzero(np.bincount(doc))
+            known, *sums = (np.bincount(doc, weights=c[at])[docs_here] for c in (there, base, p))
+            out.append(pack(docs_here.astype("u4"), known.astype("u4"), *sums))
         return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "is_header", "blob"])
 
     def score(batches):
@@ -682,10 +732,10 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
     headers = stored.where("bucket < 0").select(F.inline(F.arrays_zip("chunks", "pieces"))).select(F.col("chunks").alias("chunk"), F.lit(True).alias("is_header"), F.col("pieces").alias("blob"))
     no_own = F.lit(None).cast("binary").alias("own")
-    scored = headers.unionByName(scores_of(_with_root(found.where(~in_parts).repartition(dealt, "bucket").withColumn("own", no_own), downs)))
+    scored = headers.unionByName(scores_of(_with_root(found.where(~in_parts).withColumn("own", no_own), downs, bits)))
     if split:
-        parts = found.where(in_parts).select("bucket", "part", F.col("blob").alias("own"), "chunks", "pieces").join(_with_root(whole, downs), "bucket")
-        scored = scored.unionByName(scores_of(parts.repartition(dealt, "bucket", "part")))
+        parts = found.where(in_parts).select("bucket", "part", F.col("blob").alias("own"), "chunks", "pieces").join(_with_root(whole, downs, bits), "bucket")
+        scored = scored.unionByName(scores_of(parts.repartition(max(1, 1 << min(bits, 16)), "bucket", "part")))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         header = pa.ipc.open_stream(pdf.loc[pdf["is_header"], "blob"].iloc[0]).read_all()
