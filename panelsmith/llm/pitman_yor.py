@@ -52,9 +52,11 @@ EXACT = 32
 #: Tokens of a chunk of documents, and of a bucket on average.
 CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
-#: A root's range of words is as wide as 2**ROOT_BITS buckets, and so many
-#: buckets are read by one task on average if there are many more.
-ROOT_BITS, SLOT_BITS = 4, 2
+#: Buckets' ranges that one task of the root has, and buckets that one task
+#: samples, on average.
+ROOT_BUCKETS, TASK_BUCKETS = 16, 4
+#: Scores travel as whole multiples of 2**-SCORE_BITS.
+SCORE_BITS = 32
 #: Bytes of blobs merged and scored in one group of chunks.
 GROUP_BYTES = 48_000_000
 _ZERO, _END, _START = np.uint64(0), np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
@@ -462,9 +464,10 @@ def _triples(words: np.ndarray, doc: np.ndarray):
     return unique, v[order], x[order], w[order], doc[order]
 
 
-def _bucket_cuts(words: np.ndarray, bits: int) -> tuple[list[int], list[int], list[int]]:
-    """Buckets that sorted words touch, and where each begins and ends."""
-    buckets = (words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+def _bucket_cuts(words: np.ndarray, n: int) -> tuple[list[int], list[int], list[int]]:
+    """Buckets, of ``n`` equal ranges, that sorted words touch, and where each
+    begins and ends."""
+    buckets = ((words >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
     buckets, starts = np.unique(buckets, return_index=True)
     return buckets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(words)]
 
@@ -489,7 +492,7 @@ def _coded_words(docs: DataFrame, n_tokens: float) -> np.ndarray:
     return np.sort(words[np.argsort(-n, kind="stable")[:CODED]])
 
 
-def _stored_triples(docs: DataFrame, bits: int, n_tokens: float, sent_words) -> DataFrame:
+def _stored_triples(docs: DataFrame, n_buckets: int, n_tokens: float, sent_words) -> DataFrame:
     """(bucket, part, tokens, blob, chunks, pieces): the merged triples of a
     bucket, and by chunk where its tokens stand; one row, but several of some
     chunks each where a bucket has many of the about ``n_tokens`` tokens.
@@ -506,7 +509,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float, sent_words) ->
         first = np.flatnonzero(_is_first(v, x, w))
         n, tokens = np.add.reduceat(learn, first, dtype=np.int64), np.diff(first, append=len(v))
         v, x, w = v[first], x[first], w[first]
-        buckets, starts, ends = _bucket_cuts(unique[v], bits)
+        buckets, starts, ends = _bucket_cuts(unique[v], n_buckets)
         at = [*first[starts].tolist(), len(doc)]
         numbers = lookup(sent_words.value, unique)
         blobs = [pack_triples(unique, v[a:b], x[a:b], w[a:b], n[a:b], tokens[a:b], doc[c:d], coded=sent_words.value, numbers=numbers) for a, b, c, d in zip(starts, ends, at, at[1:])]
@@ -546,7 +549,7 @@ def _stored_triples(docs: DataFrame, bits: int, n_tokens: float, sent_words) ->
         return pd.DataFrame(one | {"blob": [blob], "chunks": [pdf["chunk"].tolist()], "pieces": [pieces]})
 
     sent = docs.mapInArrow(work, "bucket long, part long, chunk long, tokens long, blob binary")
-    return bucketed_table(sent.groupBy("bucket", "part").applyInPandas(merge, _STORED), "hpy_triples", "bucket", _slots(bits))
+    return bucketed_table(sent.groupBy("bucket", "part").applyInPandas(merge, _STORED), "hpy_triples", "bucket", _slots(n_buckets))
 
 
 def _whole(parts: DataFrame, sent_words) -> DataFrame:
@@ -559,15 +562,15 @@ def _whole(parts: DataFrame, sent_words) -> DataFrame:
     return cut_lineage(parts.groupBy("bucket").applyInPandas(work, "bucket long, tokens long, blob binary"), "hpy-whole")
 
 
-def _slots(bits: int) -> int:
+def _slots(n_buckets: int) -> int:
     """Tasks that read the stored buckets, each with its own."""
-    return 1 << min(max(0, bits - SLOT_BITS), 16)
+    return min(-(-n_buckets // TASK_BUCKETS), 1 << 16)
 
 
-def _with_root(counts: DataFrame, downs: DataFrame, bits: int) -> DataFrame:
+def _with_root(counts: DataFrame, downs: DataFrame, n_buckets: int) -> DataFrame:
     """Counts with what the root sent to the bucket, in the order of words.
     Stored counts stay where they are, the root's are dealt to them."""
-    sent = downs.repartition(_slots(bits), "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
+    sent = downs.repartition(_slots(n_buckets), "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("part", "blob"))).alias("down"))
     return counts.join(sent, "bucket").select(*counts.columns, F.col("down.blob").alias("down"))
 
 
@@ -589,7 +592,7 @@ _UP = "bucket long, part long, blob binary, one1 double, two1 double, one2 doubl
 _DOWN = "bucket long, part long, blob binary, n double, t double, one0 double, two0 double, vocabulary double, tokens double"
 
 
-def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words) -> DataFrame:
+def _upward(known: DataFrame, n_buckets: int, m: Totals | None, seed: int, sent_words) -> DataFrame:
     """A round of each bucket (without ``m`` the first seating): the customers
     and training tokens of each word for the root, a row per range of words."""
 
@@ -599,7 +602,7 @@ def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words
             sample(state, m, hash((seed, bucket)) & 0xFFFFFFFF, False, _root_of(state, down, m)[0])
         targets = np.unique(state.word)
         words, n, raw = state.words[targets], state.wn[targets], state.raw[targets]
-        parts, starts, ends = _bucket_cuts(words, max(0, bits - ROOT_BITS))
+        parts, starts, ends = _bucket_cuts(words, -(-n_buckets // ROOT_BUCKETS))
         blobs = [pack(words[a:b], n[a:b].astype("u8"), raw[a:b].astype("u8")) for a, b in zip(starts, ends)]
         sizes = [float(x) for row in state.totals()[2:] for x in row[2:]]
         rest = [[x] + [0.0] * (len(parts) - 1) for x in sizes]
@@ -618,24 +621,18 @@ def _upward(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words
     return cut_lineage(known.mapInArrow(work, _UP), "hpy-up")
 
 
-def _at_root(ups: DataFrame, bits: int, m: Totals | None, seed: int) -> DataFrame:
+def _at_root(ups: DataFrame, m: Totals | None, seed: int) -> DataFrame:
     """Customers, tables and training tokens of words, for each bucket."""
 
-    def seated(words: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Tables of words, drawn by ranges as narrow as a bucket's."""
-        t, stirling = np.empty_like(n), log_stirling(m.d[0])
-        for part, a, b in zip(*_bucket_cuts(words, bits)):
-            rng = np.random.default_rng(hash((seed, part, -1)) & 0xFFFFFFFF)
-            t[a:b] = seat(n[a:b], np.full(b - a, m.new_word()), m.d[0], stirling, rng)
-        return t
-
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bucket")
         part = int(pdf["part"].iloc[0])
         got = [unpack(b, "u8", "u8", "u8") for b in pdf["blob"]]
         words, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
         n, raw = (Seating._sum(at, np.concatenate([g[k] for g in got]), len(words)) for k in (1, 2))
-        t = np.minimum(n, 1) if m is None else seated(words, n)
+        t = np.minimum(n, 1)
+        if m is not None:
+            t = seat(n, np.full(len(n), m.new_word()), m.d[0], log_stirling(m.d[0]), np.random.default_rng(hash((seed, part, -1)) & 0xFFFFFFFF))
         ends = np.cumsum([0, *[len(g[0]) for g in got]]).tolist()
         out = pd.DataFrame({"bucket": pdf["bucket"].to_numpy(), "part": part})
         out["blob"] = [pack(*[c[at[a:b]].astype("u8") for c in (n, t, raw)]) for a, b in zip(ends, ends[1:])]
@@ -651,17 +648,17 @@ def _free(df: DataFrame) -> None:
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-def _round(known: DataFrame, bits: int, m: Totals | None, seed: int, sent_words) -> tuple[DataFrame, Totals, int]:
+def _round(known: DataFrame, n_buckets: int, m: Totals | None, seed: int, sent_words) -> tuple[DataFrame, Totals, int]:
     """What the root sends after a round over all buckets, the totals (sums of
     ten numbers) and the number of training tokens."""
 
     def sums(df: DataFrame, *names: str) -> list[float]:
         return [x or 0.0 for x in df.agg(*[F.sum(c) for c in names]).first()]
 
-    ups = _upward(known, bits, m, seed, sent_words)
+    ups = _upward(known, n_buckets, m, seed, sent_words)
     one1, two1, one2, two2 = sums(ups, "one1", "two1", "one2", "two2")
     _free(ups)
-    downs = _at_root(ups, bits, m, seed)
+    downs = _at_root(ups, m, seed)
     drop_table(ups)
     n, t, one0, two0, vocabulary, tokens = sums(downs, "n", "t", "one0", "two0", "vocabulary", "tokens")
     return downs, Totals({(0, 0): (n, t)}, {0: (one0, two0), 1: (one1, two1), 2: (one2, two2)}, int(vocabulary)), int(tokens)
@@ -681,9 +678,9 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, int(np.ceil(np.log2(max(1.0, volume / 6 / BUCKET_TOKENS)))))  # about six bytes a token
+    n_buckets = max(1, int(np.ceil(volume / 6 / BUCKET_TOKENS)))  # about six bytes a token
     sent_words = docs.sparkSession.sparkContext.broadcast(_coded_words(rows, volume / 6))
-    stored = _stored_triples(rows, bits, volume / 6, sent_words)
+    stored = _stored_triples(rows, n_buckets, volume / 6, sent_words)
     _free(stored)
     found = stored.where("bucket >= 0")
     # buckets in parts, few; the others are read where they lie in each round
@@ -694,10 +691,10 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     if split:
         whole = _whole(found.where(in_parts), sent_words)
         counts.append(whole)
-    downs, m, n_train = _round(reduce(DataFrame.unionByName, counts), bits, None, seed, sent_words)
+    downs, m, n_train = _round(reduce(DataFrame.unionByName, counts), n_buckets, None, seed, sent_words)
     for r in range(ROUNDS - 1):
         last = downs
-        downs, m, _ = _round(reduce(DataFrame.unionByName, [_with_root(c, last, bits) for c in counts]), bits, m, seed + r, sent_words)
+        downs, m, _ = _round(reduce(DataFrame.unionByName, [_with_root(c, last, n_buckets) for c in counts]), n_buckets, m, seed + r, sent_words)
         drop_table(last)
     _free(stored)
 
@@ -717,7 +714,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
             at = np.repeat(np.cumsum(steps), runs)
             docs_here = np.flatnonzero(np.bincount(doc))
             known, *sums = (np.bincount(doc, weights=c[at])[docs_here] for c in (there, base, p))
-            out.append(pack(docs_here.astype("u4"), known.astype("u4"), *sums))
+            sums = (np.rint(np.ldexp(-c, SCORE_BITS)).astype("u8") for c in sums)
+            out.append(pack(np.diff(docs_here, prepend=0).astype("u4"), known.astype("u4"), *sums))
         return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array([False] * len(out)), pa.array(out, pa.binary())], names=["chunk", "is_header", "blob"])
 
     def score(batches):
@@ -732,20 +730,20 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
     headers = stored.where("bucket < 0").select(F.inline(F.arrays_zip("chunks", "pieces"))).select(F.col("chunks").alias("chunk"), F.lit(True).alias("is_header"), F.col("pieces").alias("blob"))
     no_own = F.lit(None).cast("binary").alias("own")
-    scored = headers.unionByName(scores_of(_with_root(found.where(~in_parts).withColumn("own", no_own), downs, bits)))
+    scored = headers.unionByName(scores_of(_with_root(found.where(~in_parts).withColumn("own", no_own), downs, n_buckets)))
     if split:
-        parts = found.where(in_parts).select("bucket", "part", F.col("blob").alias("own"), "chunks", "pieces").join(_with_root(whole, downs, bits), "bucket")
-        scored = scored.unionByName(scores_of(parts.repartition(max(1, 1 << min(bits, 16)), "bucket", "part")))
+        parts = found.where(in_parts).select("bucket", "part", F.col("blob").alias("own"), "chunks", "pieces").join(_with_root(whole, downs, n_buckets), "bucket")
+        scored = scored.unionByName(scores_of(parts.repartition(min(n_buckets, 1 << 16), "bucket", "part")))
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         header = pa.ipc.open_stream(pdf.loc[pdf["is_header"], "blob"].iloc[0]).read_all()
-        known, base, own = np.zeros(header.num_rows, np.int64), np.zeros(header.num_rows), np.zeros(header.num_rows)
-        # in a fixed order, so that sums do not depend on the arrival
-        for blob in sorted(pdf.loc[~pdf["is_header"], "blob"]):
-            at, k, b, p = unpack(blob, "u4", "u4", "f8", "f8")
-            known[at] += k
-            base[at] += b
-            own[at] += p
+        known, base, own = (np.zeros(header.num_rows, np.int64) for _ in range(3))
+        for blob in pdf.loc[~pdf["is_header"], "blob"]:  # in any order, the numbers are whole
+            steps, *sums = unpack(blob, "u4", "u4", "u8", "u8")
+            at = np.cumsum(steps)
+            for total, c in zip((known, base, own), sums):
+                total[at] += c.astype(np.int64)
+        base, own = (np.ldexp((-c).astype(float), -SCORE_BITS) for c in (base, own))
         out = header.to_pandas(integer_object_nulls=True)
         n = out["n_tokens"].to_numpy()
         return out.assign(n_known=known, train_tokens=n_train, base_score=base, score=own, perplexity=10.0 ** (-own / n))

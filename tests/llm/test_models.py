@@ -236,6 +236,32 @@ def test_triples_are_stored_once(spark, monkeypatch):
     assert len(read) == 1 and "Range (" not in plan and scored.count() == 40
 
 
+def test_stored_triples_are_scored_where_they_lie(spark, monkeypatch):
+    """op9: only what the root sends is shuffled to the buckets, and what
+    shuffles grows with the text: no doubled number of ranges, no large
+    numbers for words and scores."""
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 20_000)
+    scored = pitman_yor.score_texts(read_table(spark, SMALL, "documents"), held_out("doc_id"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(bucket") == 1 and "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if "hpy" in t.name]
+    got = scored.collect()  # although the catalog has let go of the table
+    assert len({r.doc_id for r in got}) == len(got) == read_table(spark, SMALL, "documents").count()
+
+    words = np.arange(0, 1 << 64, 1 << 56, dtype=np.uint64)
+    buckets, starts, ends = pitman_yor._bucket_cuts(words, 5)
+    assert buckets == [0, 1, 2, 3, 4] and {b - a for a, b in zip(starts, ends)} == {51, 52}
+
+    draw = np.random.default_rng(3)
+    words = draw.integers(0, 1 << 62, 5000, dtype=np.uint64)[draw.integers(0, 5000, 20_000)]
+    unique, v, x, w, doc = pitman_yor._triples(words, np.zeros(len(words), dtype=np.int64))
+    ones = np.ones(len(v), dtype=np.int64)
+    blob = pitman_yor.pack_triples(unique, v, x, w, ones, coded=unique)
+    plain = pitman_yor.pack(unique, *[c.astype("u4") for c in (v, x, w, ones)])
+    assert len(blob) < 0.7 * len(plain)
+    assert all(np.array_equal(a, b) for a, b in zip(pitman_yor.unpack_tokens(blob, unique, pitman_yor.CODED_COUNTS), (unique, v, x, w, ones)))
+
+
 def _held_mb() -> float:
     pages = [line for line in open("/proc/self/status") if line.startswith("RssAnon")]
     return int(pages[0].split()[1]) / 1024
