@@ -25,7 +25,8 @@ separate search. Triples travel once, as compressed blobs, a row per (chunk of
 documents, bucket), summed within a chunk. They are stored by bucket, merged,
 and beside them a piece for each chunk says which of them its tokens are and
 in which documents they stand, so that scoring neither reads the texts again
-nor sends the words of a chunk a second time. A frequent word makes its bucket
+nor sends the words of a chunk a second time. All rounds and the scoring
+read them where they lie. A frequent word makes its bucket
 large: it is stored and scored in several groups of chunks, each with a copy of
 the bucket's counts; the sampler's seed depends on the bucket alone, so the
 copies agree.
